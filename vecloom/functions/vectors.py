@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 SCORE_DIGITS = 9
 
 
+def _column(value: Column | str) -> Column:
+    return F.col(value) if isinstance(value, str) else value
+
+
 def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, value: total + value)
 
@@ -52,13 +56,12 @@ def cosine(left: Column | str, right: Column | str) -> Column:
 
 def similarity(distance: Column | str) -> Column:
     """Cosine distance (0 = identical) to score (higher = closer)."""
-    return F.lit(1.0) - distance
+    return F.lit(1.0) - _column(distance)
 
 
 def similarity_from_euclidean(distance: Column | str) -> Column:
     """Euclidean distance between unit vectors to cosine score."""
-    column = F.col(distance) if isinstance(distance, str) else distance
-    return F.lit(1.0) - column * column / F.lit(2.0)
+    return F.lit(1.0) - _column(distance) * _column(distance) / F.lit(2.0)
 
 
 def is_complete(vector: Column | str) -> Column:

@@ -26,12 +26,13 @@ from vecloom.operators import cells as cell_search
 from vecloom.operators.kernel import to_matrix
 from vecloom.operators.search import (
     BROADCAST_BYTES,
-    QueryBlock,
     check_k,
+    fetch_block,
+    fits,
     hit_schema,
     merge_best,
+    query_size,
     scan_best,
-    small_block,
 )
 
 CELLS = T.ArrayType(T.IntegerType())
@@ -136,8 +137,9 @@ def top_k_in_cells(
     wanted = k + 1 if exclude_self else k
     schema = hit_schema(queries, corpus, carry)
     asked = queries.select("query_id", "embedding", F.col("cells").alias("probes"))
-    block: QueryBlock | None = small_block(asked, limit_bytes=limit_bytes)
-    if block is not None:
+    size = query_size(asked)
+    if fits(size, limit_bytes):
+        block = fetch_block(asked, size)
         hits = scan_best(corpus, block, wanted, schema, metric=metric, carry=carry, cell="cells")
     else:
         hits = cell_search.best_in_cells(

@@ -53,35 +53,26 @@ def check_metric(metric: str) -> str:
     return metric
 
 
-def small_block(
-    queries: DataFrame,
-    *,
-    counted: DataFrame | None = None,
-    dim: int | None = None,
-    limit_bytes: int = BROADCAST_BYTES,
-) -> QueryBlock | None:
-    """The queries as one block, or None when they exceed ``limit_bytes``.
+def query_size(queries: DataFrame) -> tuple[int, int]:
+    """Number and dimension of the query vectors."""
+    rows, dim = queries.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    return rows, dim or 0
 
-    The size is measured before anything is fetched. ``counted`` names a frame with
-    the same number of rows that is cheaper to count (the texts behind embedded
-    queries), and ``dim`` their known dimension.
-    """
-    if dim is None:
-        rows, dim = queries.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
-    else:
-        rows = (queries if counted is None else counted).count()
-    if rows * (dim or 0) * 8 > limit_bytes:
-        return None
+
+def fits(size: tuple[int, int], limit_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether that many float64 vectors may be held by every task."""
+    return size[0] * size[1] * 8 <= limit_bytes
+
+
+def fetch_block(queries: DataFrame, size: tuple[int, int]) -> QueryBlock:
+    """The queries as one block. Call it only for a size that :func:`fits`."""
     columns = ["query_id", "embedding"] + (["probes"] if "probes" in queries.columns else [])
     table = queries.select(*columns).toArrow()
     probes = None
     if "probes" in columns:
         probes = [np.asarray(p, dtype=np.int64) for p in table.column("probes").to_pylist()]
-    return QueryBlock(
-        table.column("query_id").combine_chunks(),
-        to_matrix(table.column("embedding"), dim if rows else None),
-        probes,
-    )
+    matrix = to_matrix(table.column("embedding"), size[1])
+    return QueryBlock(table.column("query_id").combine_chunks(), matrix, probes)
 
 
 def hit_schema(queries: DataFrame, corpus: DataFrame, carry: tuple[str, ...]) -> T.StructType:
@@ -190,7 +181,7 @@ def exact_top_k(
     carry: tuple[str, ...] = (),
     by: str | None = None,
     exclude_self: bool = False,
-    block: QueryBlock | None = None,
+    size: tuple[int, int] | None = None,
     limit_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``(query_id, rank, id, carry.., score)`` with the best ``k`` rows per query.
@@ -198,7 +189,8 @@ def exact_top_k(
     ``queries`` has ``query_id`` (unique) and ``embedding``; ``corpus`` has ``id``,
     ``embedding`` and the carried columns. ``exclude_self`` leaves out the row whose
     id is the query's own. ``by`` names the shard column for per-shard search and
-    merge, which gives the same rows.
+    merge, which gives the same rows. ``size`` is the queries' (rows, dimension) where
+    the caller knows it; otherwise it is measured before anything is fetched.
     """
     check_k(k)
     check_metric(metric)
@@ -206,8 +198,9 @@ def exact_top_k(
         carry = (*carry, by)
     wanted = k + 1 if exclude_self else k
     schema = hit_schema(queries, corpus, carry)
-    block = block or small_block(queries, limit_bytes=limit_bytes)
-    if block is not None:
+    size = size or query_size(queries)
+    if fits(size, limit_bytes):
+        block = fetch_block(queries, size)
         hits = scan_best(corpus, block, wanted, schema, metric=metric, carry=carry, by=by)
     else:
         hits = cells.best_in_cells(

@@ -126,12 +126,15 @@ def newest(rows: DataFrame, order: str) -> DataFrame:
 
 
 def hide_superseded(rows: DataFrame) -> DataFrame:
-    """Rows whose id no later batch holds. Only later batches' ids are compared, so the
-    first and largest batch is not shuffled while those stay small enough to broadcast."""
-    first = rows.agg(F.min("batch_no").alias("first_no"))
-    later = rows.select(
+    """Rows whose id no later batch holds.
+
+    Only the ids of batches after the first are compared. That side is read from its
+    own partitions; Spark broadcasts it while it is small, so the large first batch is
+    not shuffled, and drops the join when there is no later batch.
+    """
+    later = rows.where(F.col("batch_no") > 0).select(
         F.col("paragraph_id").alias("later_id"), F.col("batch_no").alias("later_no")
-    ).join(F.broadcast(first), F.col("batch_no") > F.col("first_no"), "left_semi")
+    )
     return rows.join(
         later,
         (F.col("paragraph_id") == F.col("later_id")) & (F.col("batch_no") < F.col("later_no")),
@@ -179,10 +182,7 @@ class VectorTable:
 
     def vectors(self) -> DataFrame:
         """The current rows: the newest of each id."""
-        rows = self.stored()
-        if len(self.batches()) > 1:
-            rows = hide_superseded(rows)
-        return rows.select(*VECTOR_COLUMNS, SHARD_COLUMN)
+        return hide_superseded(self.stored()).select(*VECTOR_COLUMNS, SHARD_COLUMN)
 
     def add_batch(self, batch: DataFrame, batch_no: int | None = None, order: str | None = None):
         """Add rows; an id already stored is replaced. ``order`` names a column that
