@@ -147,7 +147,7 @@ runs AS (
 
 _DOC_SEARCH = f"""WITH texts AS (SELECT doc_id, source, text FROM documents),
 {_embed('stored', 'texts', 'doc_id')},
-wanted AS (SELECT DISTINCT o_custkey AS doc_id FROM orders),
+wanted AS (SELECT CAST(n_nationkey AS BIGINT) AS doc_id FROM nation),
 {_ranked('''SELECT q.doc_id AS query_id, v.doc_id AS id, d.source AS title, d.text,
   list_dot_product(v.vector::DOUBLE[], q.vector::DOUBLE[]) AS raw
   FROM stored q JOIN wanted USING (doc_id) JOIN stored v ON v.doc_id <> q.doc_id
@@ -330,7 +330,7 @@ ORACLE: dict[str, str] = {
         {_ranked(_TEXT_PAIRS, 5)}
         SELECT query_id, string_agg(id, ',' ORDER BY rank) AS doc_ids FROM ranked GROUP BY query_id""",
     "f9_similar": f"""{_DOC_SEARCH} SELECT query_id, 'similar to ' || query_id AS query, rank, id AS doc_id,
-        title, CAST(length(text) AS INTEGER) AS text_length, {_SCORE} FROM ranked""",
+        title, text, {_SCORE} FROM ranked""",
     "f9_unknown": """SELECT DISTINCT o_custkey AS id, 'id ''' || o_custkey || ''' not found' AS error
         FROM orders WHERE o_custkey NOT IN (SELECT doc_id FROM documents)""",
     "f10_embed": f"""WITH turns AS (SELECT conv_id || '_' || turn AS id, text FROM conversations),

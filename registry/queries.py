@@ -20,7 +20,7 @@ from vecloom.operators import approx, lookup, store
 from vecloom.operators.embed import embed_texts, embedder_maker, hash_slots
 from vecloom.operators.search import exact_top_k
 from vecloom.plans import build, report, requests
-from vecloom.session import run_dir, spread
+from vecloom.session import run_dir, settled, spread
 from vecloom.sources import pages, tables as src
 from vecloom.streaming.ingest import add_stream
 
@@ -406,7 +406,9 @@ def d1_score_blocks(spark, sf):
     """Benchmark texts against all paragraphs on the block-by-block route, which holds
     neither side whole."""
     asked = embed_texts(benchmark_requests(spark, sf), HASHING, keep=("query_id",))
-    found = exact_top_k(asked, _embedded(spark, sf), 5, limit_bytes=0)
+    # This route reads both sides twice, to size the blocks and to fill them.
+    asked, corpus = settled(asked, "queries"), settled(_embedded(spark, sf), "corpus")
+    found = exact_top_k(asked, corpus, 5, limit_bytes=0)
     return _hits(found, "query_id", "rank", "id")
 
 
@@ -436,7 +438,7 @@ def d3_lookup_unknown(spark, sf):
 def d4_hydrate(spark, sf):
     labelled = table(spark, sf, "labels").select("doc_id", "quality")
     hits = labelled.select(F.concat_ws("_", "doc_id", "quality").alias("id"), "quality")
-    rows = lookup.hydrate(hits, paragraphs(spark, sf), columns=("article_title", "text"))
+    rows = lookup.hydrate(hits, paragraphs(spark, sf), ("article_title", "text"))
     return rows.fillna("missing", ["article_title", "text"])
 
 
@@ -571,14 +573,8 @@ def f6_lsh_topk_cells(spark, sf):
 
 
 def _ivf(spark, sf, probes: int) -> DataFrame:
-    corpus = _corpus(spark, sf).select("id", "embedding")
-    centres = approx.fit_centres(corpus, 16)
-    found = approx.top_k_in_cells(
-        approx.nearest_cells(_samples(spark, sf), centres, probes),
-        approx.nearest_cells(corpus, centres),
-        10,
-        num_cells=len(centres),
-    )
+    built = _stored(spark, sf).build_ivf(num_cells=16)
+    found = built.search(_samples(spark, sf), 10, method="ivf", probes=probes)
     return _hits(found, "query_id", "rank", "id")
 
 
@@ -625,28 +621,23 @@ def f8_conversations(spark, sf):
     return rows.select("query_id", F.array_join("results.doc_id", ",").alias("doc_ids"))
 
 
-def _similar(spark, sf):
-    wanted = table(spark, sf, "orders").select(F.col("o_custkey").alias("id"))
-    corpus = store_documents(spark, sf)
+def _similar(spark, sf, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    # Written once: the lookup and the search both read the vectors.
+    corpus = settled(_embedded_documents(spark, sf), "documents")
     return requests.similar_documents(wanted, corpus, _document_texts(spark, sf))
 
 
-def store_documents(spark, sf) -> DataFrame:
-    """The documents' vectors, embedded once and written, since a lookup and a search
-    both read them."""
-    path = run_dir(spark, "documents")
-    _embedded_documents(spark, sf).write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def f9_similar(spark, sf):
-    answers, _ = _similar(spark, sf)
-    return answers.select("query_id", "query", "rank", "doc_id", "title",
-                          F.length("text").alias("text_length"), F.round("score", 6).alias("score"))
+    """Neighbours of the documents numbered like the nations, among all documents."""
+    wanted = table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("id"))
+    answers, _ = _similar(spark, sf, wanted)
+    return answers.withColumn("score", F.round("score", 6))
 
 
 def f9_unknown(spark, sf):
-    return _similar(spark, sf)[1]
+    """Every order's customer number as a requested document."""
+    wanted = table(spark, sf, "orders").select(F.col("o_custkey").alias("id"))
+    return _similar(spark, sf, wanted)[1]
 
 
 def f10_embed(spark, sf):

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from vecloom.functions.vectors import SCORE_DIGITS
 from vecloom.operators import cells as cell_search
-from vecloom.operators.kernel import to_matrix
+from vecloom.operators.kernel import SCORES_AT_ONCE, to_matrix
 from vecloom.operators.search import (
     BROADCAST_BYTES,
     check_k,
@@ -39,6 +39,8 @@ CELLS = T.ArrayType(T.IntegerType())
 # Rows the k-means centres are fitted on. The centres only decide how rows are
 # grouped; every row is assigned to a cell and stays searchable.
 TRAINING_ROWS = 100_000
+# Centres are held by every task: 16,384 x 384 doubles are 50 MB.
+MAX_CENTRES = 1 << 14
 
 
 def plane_signs(dim: int, tables: int, bits: int) -> np.ndarray:
@@ -94,6 +96,8 @@ def hyperplane_cells(
 
 def fit_centres(corpus: DataFrame, num_cells: int, seed: int = 42) -> np.ndarray:
     """k-means centres, fitted by MLlib on a hash-chosen share of the corpus."""
+    if not 1 <= num_cells <= MAX_CENTRES:
+        raise ValueError(f"num_cells must be between 1 and {MAX_CENTRES}, got {num_cells}")
     rows = corpus.count()
     share = min(1.0, TRAINING_ROWS / max(rows, 1))
     part = corpus
@@ -112,10 +116,19 @@ def nearest_cells(
         raise ValueError(f"probes must be between 1 and {len(centres)}, got {probes}")
     half_norms = (centres * centres).sum(axis=1) / 2
 
-    def assign(matrix: np.ndarray) -> np.ndarray:
+    step = max(1, SCORES_AT_ONCE // len(centres))
+
+    def nearest(matrix: np.ndarray) -> np.ndarray:
         closeness = matrix @ centres.T - half_norms
+        if probes == 1:
+            return closeness.argmax(axis=1)[:, None]
         return np.argsort(-closeness, axis=1, kind="stable")[:, :probes]
 
+    def assign(matrix: np.ndarray) -> np.ndarray:
+        return np.concatenate(
+            [nearest(matrix[start : start + step]) for start in range(0, len(matrix), step)]
+        )
+
     return _add_cells(df, assign, column)
 
 
@@ -140,11 +153,15 @@ def top_k_in_cells(
     size = query_size(asked)
     if fits(size, limit_bytes):
         block = fetch_block(asked, size)
+        if "cell" in corpus.columns and block.probes:
+            # A partition column: folders of cells no query probes are not read.
+            probed = np.unique(np.concatenate(block.probes)).tolist()
+            corpus = corpus.where(F.col("cell").isin(probed))
         hits = scan_best(corpus, block, wanted, schema, metric=metric, carry=carry, cell="cells")
     else:
         hits = cell_search.best_in_cells(
             queries.withColumn("cell", F.explode("cells")),
-            corpus.withColumn("cell", F.explode("cells")),
+            corpus.drop("cell").withColumn("cell", F.explode("cells")),
             wanted,
             schema,
             metric=metric,
@@ -156,6 +173,64 @@ def top_k_in_cells(
     return merge_best(hits, k, repeated=True).select("query_id", "rank", "id", *carry, "score")
 
 
+def write_hyperplane_index(
+    corpus: DataFrame, path: str, dim: int, tables: int, bits: int
+) -> None:
+    """The corpus with its hyperplane cells, and the settings that made them."""
+    settings = corpus.sparkSession.createDataFrame(
+        [(dim, tables, bits)], "dim int, tables int, bits int"
+    )
+    settings.write.mode("overwrite").parquet(f"{path}/settings")
+    indexed = hyperplane_cells(corpus, dim, tables, bits)
+    indexed.write.mode("overwrite").parquet(f"{path}/vectors")
+
+
+def search_hyperplane_index(
+    queries: DataFrame, path: str, k: int, **options: object
+) -> DataFrame:
+    spark = queries.sparkSession
+    made = spark.read.parquet(f"{path}/settings").first()
+    return top_k_in_cells(
+        hyperplane_cells(queries, made.dim, made.tables, made.bits),
+        spark.read.parquet(f"{path}/vectors"),
+        k,
+        num_cells=made.tables << made.bits,
+        **options,
+    )
+
+
+def write_cluster_index(corpus: DataFrame, path: str, num_cells: int) -> None:
+    """The centres, and the corpus in one folder per cell. A cell that holds most of the
+    rows is split into many files by the rebalance."""
+    centres = fit_centres(corpus, num_cells)
+    rows = [(cell, [float(x) for x in centre]) for cell, centre in enumerate(centres)]
+    schema = "cell int, centre array<double>"
+    corpus.sparkSession.createDataFrame(rows, schema).write.mode("overwrite").parquet(
+        f"{path}/centres"
+    )
+    placed = nearest_cells(corpus, centres).withColumn("cell", F.get("cells", F.lit(0))).drop("cells")
+    placed.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(
+        f"{path}/vectors"
+    )
+
+
+def search_cluster_index(
+    queries: DataFrame, path: str, k: int, probes: int, **options: object
+) -> DataFrame:
+    """Top-k over the nearest ``probes`` cells of each query."""
+    spark = queries.sparkSession
+    stored = spark.read.parquet(f"{path}/centres").orderBy("cell").collect()
+    centres = np.array([row.centre for row in stored])
+    corpus = spark.read.parquet(f"{path}/vectors").withColumn("cells", F.array("cell"))
+    return top_k_in_cells(
+        nearest_cells(queries, centres, min(probes, len(centres))),
+        corpus,
+        k,
+        num_cells=len(centres),
+        **options,
+    )
+
+
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:
     """``(query_id, n_exact, n_found, recall)``: the share of each query's exact rows
     that the approximate search returned."""

@@ -15,57 +15,61 @@ def index_quantiles(
     ``floor(n * share)`` of the sorted values.
 
     One group may hold most of the rows. So values are counted first (equal values
-    collapse before the shuffle) and each group is cut into value slices; only the
-    slices that contain a wanted position are sorted. The slice borders come from an
-    approximate sketch, but any borders give the exact answer: they only set how
-    evenly the work is cut.
+    collapse before the shuffle, and the table is scanned once) and each group is cut
+    into value slices; only the slices that contain a wanted position are sorted. The
+    slice borders come from an approximate sketch, but any borders give the exact
+    answer: they only set how evenly the work is cut.
     """
     if not groups:
         whole = df.withColumn("__all", F.lit(0))
         return index_quantiles(whole, value, shares, "__all", slices=slices).drop("__all")
     points = [i / slices for i in range(1, slices)]
-    rows = df.where(F.col(value).isNotNull())
-    borders = rows.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(value).alias("mean"),
-        F.percentile_approx(value, points, 4 * slices).alias("borders"),
+    by = list(groups)
+    counted = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(*by, F.col(value).alias("v"))
+        .agg(F.count(F.lit(1)).alias("times"))
     )
-    counted = rows.groupBy(*groups, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("times"))
-    sliced = counted.join(borders, list(groups)).withColumn(
+    facts = counted.groupBy(*by).agg(
+        F.sum("times").alias("n"),
+        (F.sum(F.col("v") * F.col("times")) / F.sum("times")).alias("mean"),
+        F.percentile_approx("v", points, 4 * slices).alias("borders"),
+    )
+    # The slice of a value is the number of borders below it.
+    sliced = counted.join(facts, by).withColumn(
         "slice", F.size(F.filter("borders", lambda border: border < F.col("v")))
     )
-    sizes = sliced.groupBy(*groups, "slice").agg(
-        F.sum("times").alias("held"), F.first("n").alias("n")
+    # At most `slices` rows per group.
+    sizes = sliced.groupBy(*by, "slice").agg(
+        F.sum("times").alias("held"), F.first("n").alias("n"), F.first("mean").alias("mean")
     )
-    # At most `slices` rows per group from here on.
-    ending = F.sum("held").over(Window.partitionBy(*groups).orderBy("slice"))
-    wanted = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(name).alias("name"),
-                    F.floor(F.col("n") * F.lit(share)).cast("bigint").alias("position"),
-                )
-                for name, share in shares.items()
-            ]
-        )
+    positions = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("name"),
+                F.floor(F.col("n") * F.lit(share)).cast("bigint").alias("position"),
+            )
+            for name, share in shares.items()
+        ]
     )
+    ending = F.sum("held").over(Window.partitionBy(*by).orderBy("slice"))
     targets = (
         sizes.withColumn("ending", ending)
-        .select(*groups, "slice", (F.col("ending") - F.col("held")).alias("before"), "ending",
-                wanted.alias("want"))
+        .withColumn("before", F.col("ending") - F.col("held"))
+        .select("*", F.explode(positions).alias("want"))
         .where((F.col("want.position") >= F.col("before")) & (F.col("want.position") < F.col("ending")))
-        .select(*groups, "slice", "before", "want.name", "want.position")
+        .select(*by, "slice", "n", "mean", "before", "want.name", "want.position")
     )
-    running = F.sum("times").over(
-        Window.partitionBy(*groups, "slice", "name").orderBy("v")
-    )
-    picked = (
-        sliced.select(*groups, "slice", "v", "times")
-        .join(targets, [*groups, "slice"])
+    running = F.sum("times").over(Window.partitionBy(*by, "slice", "name").orderBy("v"))
+    return (
+        sliced.select(*by, "slice", "v", "times")
+        .join(targets, [*by, "slice"])
         .withColumn("reached", F.col("before") + running)
         .where(F.col("reached") > F.col("position"))
-        .groupBy(*groups)
-        .agg(*[F.min(F.when(F.col("name") == name, F.col("v"))).alias(name) for name in shares])
+        .groupBy(*by)
+        .agg(
+            F.first("n").alias("n"),
+            F.first("mean").alias("mean"),
+            *[F.min(F.when(F.col("name") == name, F.col("v"))).alias(name) for name in shares],
+        )
     )
-    return borders.drop("borders").join(picked, list(groups), "left")

@@ -27,7 +27,7 @@ from vecloom.functions.ids import (
     to_metadata_json,
 )
 from vecloom.functions.vectors import dims, is_complete
-from vecloom.operators import approx, lookup
+from vecloom.operators import approx
 from vecloom.operators.search import exact_top_k
 
 VECTOR_COLUMNS = ("paragraph_id", "article_id", "article_title", "embedding")
@@ -42,6 +42,7 @@ STORED_SCHEMA = T.StructType(
     ]
 )
 CARRY = ("article_id", "article_title")
+INDEXES = ("lsh", "ivf")
 
 
 def checked(vectors: DataFrame, dim: int | None = None) -> DataFrame:
@@ -247,6 +248,29 @@ class VectorTable:
         """The current vectors under the names the search operators use."""
         return self.vectors().withColumnRenamed("paragraph_id", "id")
 
+    def build_lsh(self, tables: int = 8, bits: int = 6) -> VectorTable:
+        """Write the hyperplane index of the current rows."""
+        approx.write_hyperplane_index(self.corpus(), f"{self.path}/lsh", self.dim(), tables, bits)
+        return self._note_index("lsh")
+
+    def build_ivf(self, num_cells: int = 16) -> VectorTable:
+        """Write the cluster index of the current rows."""
+        approx.write_cluster_index(self.corpus(), f"{self.path}/ivf", num_cells)
+        return self._note_index("ivf")
+
+    def _note_index(self, kind: str) -> VectorTable:
+        newest_batch = self._spark.createDataFrame([(max(self.batches()),)], "batch_no int")
+        newest_batch.write.mode("overwrite").parquet(f"{self.path}/{kind}/covers")
+        return self
+
+    def _check_index(self, kind: str) -> None:
+        try:
+            covered = self._spark.read.parquet(f"{self.path}/{kind}/covers").first().batch_no
+        except AnalysisException as missing:
+            raise ValueError(f"the {kind} index has not been built") from missing
+        if covered < max(self.batches()):
+            raise ValueError(f"the {kind} index is older than the store; build it again")
+
     def search(
         self,
         queries: DataFrame,
@@ -255,35 +279,20 @@ class VectorTable:
         method: str = "exact",
         metric: str = "ip",
         exclude_self: bool = False,
-        **tuning: int,
+        probes: int = 4,
     ) -> DataFrame:
         """Top-k per query. ``method``: ``exact``; ``sharded`` (per shard, then merged;
-        the same rows); ``lsh`` or ``ivf`` (approximate)."""
+        the same rows); ``lsh`` or ``ivf`` (approximate, from a built index)."""
         corpus = self.corpus()
         common = {"metric": metric, "carry": CARRY, "exclude_self": exclude_self}
         if method == "exact":
             return exact_top_k(queries, corpus, k, **common)
         if method == "sharded":
             return exact_top_k(queries, corpus, k, by=SHARD_COLUMN, **common).drop(SHARD_COLUMN)
-        if method == "lsh":
-            dim, tables, bits = self.dim(), tuning.get("tables", 8), tuning.get("bits", 6)
-            return approx.top_k_in_cells(
-                approx.hyperplane_cells(queries, dim, tables, bits),
-                approx.hyperplane_cells(corpus, dim, tables, bits),
-                k,
-                num_cells=tables << bits,
-                **common,
-            )
-        if method == "ivf":
-            centres = approx.fit_centres(corpus, tuning.get("num_cells", 16))
-            return approx.top_k_in_cells(
-                approx.nearest_cells(queries, centres, tuning.get("probes", 4)),
-                approx.nearest_cells(corpus, centres),
-                k,
-                num_cells=len(centres),
-                **common,
-            )
+        if method in INDEXES:
+            self._check_index(method)
+            path = f"{self.path}/{method}"
+            if method == "lsh":
+                return approx.search_hyperplane_index(queries, path, k, **common)
+            return approx.search_cluster_index(queries, path, k, probes, **common)
         raise ValueError(f"unknown search method {method!r}")
-
-    def hydrate(self, hits: DataFrame, paragraphs: DataFrame, most_hits: int | None = None):
-        return lookup.hydrate(hits, paragraphs, most_hits=most_hits)

@@ -68,6 +68,17 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a written table, for a result that several later steps read.
+
+    It is computed once, survives the loss of an executor, and gives the planner its
+    real size, so Spark itself decides whether a join may broadcast it.
+    """
+    path = run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(scan: DataFrame, key: str, tasks_per_core: int = 4) -> DataFrame:
     """Give a scan with few input splits enough tasks for costly per-row work.
 
