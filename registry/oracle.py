@@ -170,8 +170,8 @@ merged AS (
 
 _P = f"WITH {_PARAGRAPHS} "
 _V = f"WITH {_VECTORS} "
-_HITS = "query_id, rank, id, article_id, article_title, round(s, 6) AS score"
-_SCORE = "round(s, 6) AS score"
+_HITS = "query_id, rank, id, article_id, article_title, s AS score"
+_SCORE = "s AS score"
 _CUSTOMER = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 _EMBEDDED_PARAGRAPHS = f"""WITH {_PARAGRAPHS}, {_embed('stored', 'paragraphs', 'paragraph_id')}
   SELECT p.paragraph_id, p.article_id, p.article_title, CAST(p.article_id % 4 AS INTEGER) AS shard_id,
@@ -320,7 +320,7 @@ ORACLE: dict[str, str] = {
         FROM ranked r LEFT JOIN near n USING (query_id, id) GROUP BY r.query_id""",
     "f8_text_search": f"""{_TEXT_SEARCH}, {_ranked(_TEXT_PAIRS, 5)}
         SELECT r.query_id, q.text AS query, r.rank, r.id AS doc_id, r.article_title AS title, p.text,
-          round(r.s, 6) AS score
+          r.s AS score
         FROM ranked r JOIN requests q USING (query_id) JOIN paragraphs p ON p.paragraph_id = r.id""",
     "f8_rejected": f"""WITH {_PIECES} SELECT page_id || '_' || position AS query_id,
         'Query cannot be empty' AS error FROM marked WHERE blank""",

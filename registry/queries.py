@@ -9,6 +9,7 @@ from registry.tables import (
     NUM_SHARDS,
     SPARSE_SHARDS,
     benchmark_requests,
+    documents,
     micro,
     paragraphs,
     scaled,
@@ -56,7 +57,7 @@ def _embedded(spark, sf) -> DataFrame:
 
 
 def _embedded_documents(spark, sf) -> DataFrame:
-    docs = spread(table(spark, sf, "documents"), "doc_id").select(
+    docs = documents(spark, sf).select(
         F.col("doc_id").alias("id"), F.col("source").alias("article_title"), "text"
     )
     return embed_texts(docs, HASHING, keep=("id", "article_title"))
@@ -69,7 +70,7 @@ def _document_texts(spark, sf) -> DataFrame:
 
 
 def _hits(found: DataFrame, *columns: str) -> DataFrame:
-    return found.select(*columns, F.round("score", 6).alias("score"))
+    return found.select(*columns, "score")
 
 
 # --- A: sources ----------------------------------------------------------------------
@@ -597,7 +598,7 @@ def f8_text_search(spark, sf):
     answers, _ = requests.text_search(
         benchmark_requests(spark, sf), _embedded(spark, sf), paragraphs(spark, sf), HASHING
     )
-    return answers.withColumn("score", F.round("score", 6))
+    return answers
 
 
 def f8_rejected(spark, sf):
@@ -631,7 +632,7 @@ def f9_similar(spark, sf):
     """Neighbours of the documents numbered like the nations, among all documents."""
     wanted = table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("id"))
     answers, _ = _similar(spark, sf, wanted)
-    return answers.withColumn("score", F.round("score", 6))
+    return answers
 
 
 def f9_unknown(spark, sf):
@@ -658,15 +659,15 @@ def g1_unite_shards(spark, sf):
 
 
 def g2_spread(spark, sf):
-    rows = spread(paragraphs(spark, sf), "paragraph_id")
+    rows = spread(table(spark, sf, "documents"), "doc_id")
     return rows.withColumn("part", F.spark_partition_id()).groupBy("part").agg(
         F.count(F.lit(1)).alias("n")
     )
 
 
 def g3_bounded_batches(spark, sf):
-    """One text per model call gives the same vectors as 1,024."""
-    rows = embed_texts(table(spark, sf, "documents"), HASHING, keep=("doc_id",), rows_per_call=7)
+    """Seven texts per model call give the same vectors as 1,024."""
+    rows = embed_texts(documents(spark, sf), HASHING, keep=("doc_id",), rows_per_call=7)
     return rows.select("doc_id", micro("embedding").alias("vector"))
 
 

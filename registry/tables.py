@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vecloom.session import spread
 from vecloom.sources.chunking import to_paragraphs
 
 NUM_SHARDS = 4
@@ -37,8 +38,14 @@ def scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents in enough tasks for per-text work; the given table is one file."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return spread(rows, "doc_id")
+
+
 def paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_paragraphs(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
+    return to_paragraphs(documents(spark, sf_dir), "doc_id", "text", "source")
 
 
 def benchmark_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

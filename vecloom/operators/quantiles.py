@@ -1,75 +1,108 @@
-"""Exact order statistics per group, without sorting a group in one task."""
+"""Exact order statistics per group, without shuffling or sorting a whole group."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 256
+from vecloom.session import settled
+
+# Rank error of the sketch is n / ACCURACY; the bracket is twice that to either side.
+ACCURACY = 10_000
+MARGIN = 2 / ACCURACY
 
 
 def index_quantiles(
-    df: DataFrame, value: str, shares: dict[str, float], *groups: str, slices: int = SLICES
+    df: DataFrame, value: str, shares: dict[str, float], *groups: str
 ) -> DataFrame:
     """Per group: ``n``, ``mean`` and, for each named share, the element at position
-    ``floor(n * share)`` of the sorted values.
+    ``floor(n * share)`` of the sorted values. Nulls do not count.
+
+    One group may hold most of the rows, so no group is gathered:
+
+    1. a sketch per group brackets each wanted position between two values;
+    2. a second scan counts the rows below and inside each bracket, which tells where
+       the position really lies: inside, or, had the sketch failed, beside it;
+    3. a third scan fetches only that region's values, counted by value, and a running
+       sum finds the element.
 
-    One group may hold most of the rows. So values are counted first (equal values
-    collapse before the shuffle, and the table is scanned once) and each group is cut
-    into value slices; only the slices that contain a wanted position are sorted. The
-    slice borders come from an approximate sketch, but any borders give the exact
-    answer: they only set how evenly the work is cut.
+    Steps 1 and 2 move one partial row per task and group. The result is exact however
+    good the sketch is; its quality only sets how few rows step 3 sorts.
     """
     if not groups:
-        whole = df.withColumn("__all", F.lit(0))
-        return index_quantiles(whole, value, shares, "__all", slices=slices).drop("__all")
-    points = [i / slices for i in range(1, slices)]
+        whole = df.select(F.lit(0).alias("all_rows"), value)
+        return index_quantiles(whole, value, shares, "all_rows").drop("all_rows")
     by = list(groups)
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).alias("v"))
-        .agg(F.count(F.lit(1)).alias("times"))
+    rows = df.select(*by, F.col(value).alias("v")).where(F.col("v").isNotNull())
+    edges = [
+        edge
+        for share in shares.values()
+        for edge in (max(share - MARGIN, 0.0), min(share + MARGIN, 1.0))
+    ]
+    # Written tables of one row per group: Spark sees their size and broadcasts them
+    # only while they are small.
+    facts = settled(
+        rows.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.avg("v").alias("mean"),
+            F.percentile_approx("v", edges, ACCURACY).alias("edges"),
+        ),
+        "facts",
     )
-    facts = counted.groupBy(*by).agg(
-        F.sum("times").alias("n"),
-        (F.sum(F.col("v") * F.col("times")) / F.sum("times")).alias("mean"),
-        F.percentile_approx("v", points, 4 * slices).alias("borders"),
-    )
-    # The slice of a value is the number of borders below it.
-    sliced = counted.join(facts, by).withColumn(
-        "slice", F.size(F.filter("borders", lambda border: border < F.col("v")))
-    )
-    # At most `slices` rows per group.
-    sizes = sliced.groupBy(*by, "slice").agg(
-        F.sum("times").alias("held"), F.first("n").alias("n"), F.first("mean").alias("mean")
+    brackets = {
+        name: (F.get("edges", F.lit(2 * i)), F.get("edges", F.lit(2 * i + 1)))
+        for i, name in enumerate(shares)
+    }
+    counted = (
+        rows.join(facts, by)
+        .groupBy(*by)
+        .agg(
+            *[F.count_if(F.col("v") < low).alias(f"{name}_below") for name, (low, _) in brackets.items()],
+            *[F.count_if(F.col("v") <= high).alias(f"{name}_up_to") for name, (_, high) in brackets.items()],
+        )
+        .join(facts, by)
     )
-    positions = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("name"),
-                F.floor(F.col("n") * F.lit(share)).cast("bigint").alias("position"),
-            )
-            for name, share in shares.items()
-        ]
+    targets = settled(
+        counted.select(
+            *by,
+            F.explode(
+                F.array(*[_target(name, share, *brackets[name]) for name, share in shares.items()])
+            ).alias("t"),
+        ).select(*by, "t.*"),
+        "targets",
     )
-    ending = F.sum("held").over(Window.partitionBy(*by).orderBy("slice"))
-    targets = (
-        sizes.withColumn("ending", ending)
-        .withColumn("before", F.col("ending") - F.col("held"))
-        .select("*", F.explode(positions).alias("want"))
-        .where((F.col("want.position") >= F.col("before")) & (F.col("want.position") < F.col("ending")))
-        .select(*by, "slice", "n", "mean", "before", "want.name", "want.position")
+    in_region = (
+        F.when(F.col("region") == 0, F.col("v") < F.col("low"))
+        .when(F.col("region") == 1, F.col("v").between(F.col("low"), F.col("high")))
+        .otherwise(F.col("v") > F.col("high"))
     )
-    running = F.sum("times").over(Window.partitionBy(*by, "slice", "name").orderBy("v"))
-    return (
-        sliced.select(*by, "slice", "v", "times")
-        .join(targets, [*by, "slice"])
+    found = [*by, "name", "position", "before"]
+    running = F.sum("times").over(Window.partitionBy(*by, "name").orderBy("v"))
+    picked = (
+        rows.join(targets, by)
+        .where(in_region)
+        .groupBy(*found, "v")
+        .agg(F.count(F.lit(1)).alias("times"))
         .withColumn("reached", F.col("before") + running)
         .where(F.col("reached") > F.col("position"))
         .groupBy(*by)
-        .agg(
-            F.first("n").alias("n"),
-            F.first("mean").alias("mean"),
-            *[F.min(F.when(F.col("name") == name, F.col("v"))).alias(name) for name in shares],
-        )
+        .agg(*[F.min(F.when(F.col("name") == name, F.col("v"))).alias(name) for name in shares])
+    )
+    return facts.drop("edges").join(picked, by)
+
+
+def _target(name: str, share: float, low: Column, high: Column) -> Column:
+    """Where the share's element lies: its position, the region that holds it (0 below
+    the bracket, 1 inside, 2 above) and the number of rows before that region."""
+    position = F.floor(F.col("n") * F.lit(share)).cast("bigint")
+    below, up_to = F.col(f"{name}_below"), F.col(f"{name}_up_to")
+    region = F.when(position < below, 0).when(position < up_to, 1).otherwise(2)
+    before = F.when(position < below, F.lit(0)).when(position < up_to, below).otherwise(up_to)
+    return F.struct(
+        F.lit(name).alias("name"),
+        position.alias("position"),
+        region.alias("region"),
+        before.cast("bigint").alias("before"),
+        low.alias("low"),
+        high.alias("high"),
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Rows per Arrow batch handed to Python. 8,192 rows of 384 floats are 12.6 MB, so a
 # task holds a few such blocks at a time whatever the size of the table.
 ARROW_BATCH_ROWS = 8192
+TASKS_PER_CORE = 4
 
 
 def build_session(
@@ -79,14 +80,14 @@ def settled(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(scan: DataFrame, key: str, tasks_per_core: int = 4) -> DataFrame:
+def spread(scan: DataFrame, key: str) -> DataFrame:
     """Give a scan with few input splits enough tasks for costly per-row work.
 
     A table of many files already has more splits than cores and passes through
-    without a shuffle. Call it on a scan or another narrow plan: ``key`` should be
-    unique, so that the rows spread evenly and a retried task gets the same rows.
+    without a shuffle. Call it on a scan, before any shuffle. ``key`` should be unique,
+    so that the rows spread evenly and a retried task gets the same rows.
     """
-    wanted = scan.sparkSession.sparkContext.defaultParallelism * tasks_per_core
-    if scan.rdd.getNumPartitions() >= wanted // tasks_per_core:
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
         return scan
-    return scan.repartition(wanted, key)
+    return scan.repartition(cores * TASKS_PER_CORE, key)
