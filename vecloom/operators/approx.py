@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from vecloom.functions.vectors import SCORE_DIGITS
 from vecloom.operators import cells as cell_search
-from vecloom.operators.kernel import SCORES_AT_ONCE, to_matrix
+from vecloom.operators.kernel import to_matrix
 from vecloom.operators.search import (
     BROADCAST_BYTES,
     check_k,
@@ -41,6 +41,8 @@ CELLS = T.ArrayType(T.IntegerType())
 TRAINING_ROWS = 100_000
 # Centres are held by every task: 16,384 x 384 doubles are 50 MB.
 MAX_CENTRES = 1 << 14
+# Distances held at once while rows are placed: 4 M doubles are 32 MB.
+SCORES_AT_ONCE = 4_000_000
 
 
 def plane_signs(dim: int, tables: int, bits: int) -> np.ndarray:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecloom.operators.kernel import BestRows, to_matrix, to_unit
+from vecloom.operators.kernel import BestRows, to_matrix
 
 # Rows per block. 32,768 x 384 float64 are 100 MB.
 VECTOR_BLOCK = 32_768
@@ -74,9 +74,7 @@ def best_in_cells(
             return empty
         query_matrix = to_matrix(asking.column("asked"))
         vectors = to_matrix(stored.column("embedding"), query_matrix.shape[1])
-        if metric == "cosine":
-            query_matrix, vectors = to_unit(query_matrix), to_unit(vectors)
-        best = BestRows(query_matrix, k)
+        best = BestRows(query_matrix, k, metric)
         best.offer(stored.select(names), vectors)
         found = best.table()
         if found is None:

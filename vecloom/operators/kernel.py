@@ -6,23 +6,32 @@ queries; nothing here holds more than one block and the best ``k`` rows per quer
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from vecloom.functions.vectors import SCORE_DIGITS
 
-# Scores held at once: 4 M doubles are 32 MB.
-SCORES_AT_ONCE = 4_000_000
+# Scores are computed in tiles that stay in a core's cache: 512 x 1,024 floats are 2 MB.
+QUERY_TILE = 512
+ROW_TILE = 1024
 # Rows this close below a cut are kept until their scores have been rounded.
-_SLACK = 2 * 10.0**-SCORE_DIGITS
+_ROUNDING = 2 * 10.0**-SCORE_DIGITS
+# Above this the float32 products could overflow, so tiles are computed in float64.
+_FLOAT32_SAFE = 1e30
+
+# A part of the work: positions of queries and of rows, None meaning all of them.
+Part = tuple[np.ndarray | None, np.ndarray | None]
 
 
 def to_matrix(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.ndarray:
-    """A list column as a float64 matrix. Missing or uneven vectors are errors."""
+    """A list column as a matrix. Missing or uneven vectors are errors."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if len(column) == 0:
-        return np.zeros((0, dim or 0))
+        return np.zeros((0, dim or 0), dtype=np.float32)
     flat = column.flatten()
     if column.null_count or flat.null_count:
         raise ValueError("a vector is null or has a null element")
@@ -30,15 +39,20 @@ def to_matrix(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.
     width = int(lengths[0]) if dim is None else dim
     if not (lengths == width).all():
         raise ValueError(f"every vector must have {width} dimensions")
-    matrix = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), width)
+    matrix = flat.to_numpy(zero_copy_only=False).reshape(len(column), width)
     if not np.isfinite(matrix).all():
         raise ValueError("a vector has a non-finite element")
     return matrix
 
 
+def lengths_of(matrix: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.einsum("ij,ij->i", matrix, matrix, dtype=np.float64))
+
+
 def to_unit(matrix: np.ndarray) -> np.ndarray:
-    """Rows at length one; zero rows stay zero."""
-    lengths = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+    """Rows at length one, in float64; zero rows stay zero."""
+    matrix = matrix.astype(np.float64)
+    lengths = lengths_of(matrix)[:, None]
     return np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
 
 
@@ -51,75 +65,143 @@ def _first_k(query: np.ndarray, score: np.ndarray, tie: np.ndarray, k: int) -> n
     return order[np.arange(len(order)) - first < k]
 
 
-def _id_order(ids: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Rank of each id. Equal ids share a rank, and text compares by code point."""
-    return np.unique(np.asarray(ids.to_pylist()), return_inverse=True)[1]
-
-
 class BestRows:
-    """The best ``k`` rows per query over any number of blocks."""
-
-    def __init__(self, queries: np.ndarray, k: int) -> None:
-        self._queries = queries
+    """The best ``k`` rows per query over any number of blocks.
+
+    A block is scored in float32 to find the rows that can matter: those within the
+    arithmetic's error bound of the query's k-th best. Only these are scored again in
+    float64, so the result is that of float64 throughout.
+    """
+
+    def __init__(self, queries: np.ndarray, k: int, metric: str = "ip") -> None:
+        self._unit = metric == "cosine"
+        self._queries = to_unit(queries) if self._unit else queries.astype(np.float64)
+        self._rough = self._queries.astype(np.float32)
+        self._lengths = lengths_of(self._queries)
         self._k = k
-        # A row below its query's floor cannot be among the best any more.
+        # Every query has at least k kept rows that score no less than its floor.
         self._floor = np.full(len(queries), -np.inf)
         self._kept: pa.Table | None = None
-        self._new: list[pa.Table] = []
-        self._new_rows = 0
 
     def offer(
-        self, rows: pa.Table, matrix: np.ndarray, allowed: np.ndarray | None = None
+        self, rows: pa.Table, matrix: np.ndarray, parts: Iterable[Part] | None = None
     ) -> None:
-        """Score a block. ``rows`` has ``id`` first and whatever else the winners carry;
-        ``allowed`` (queries x rows) marks the pairs to consider."""
-        count = len(matrix)
-        if count == 0:
+        """Score a block. ``rows`` has ``id`` and whatever else the winners carry.
+        ``parts`` limits which queries meet which rows; parts may overlap."""
+        if len(matrix) == 0 or len(self._queries) == 0:
             return
-        tie = None
-        step = max(1, SCORES_AT_ONCE // count)
-        for start in range(0, len(self._queries), step):
-            scores = self._queries[start : start + step] @ matrix.T
-            if allowed is not None:
-                scores[~allowed[start : start + step]] = -np.inf
-            cut = self._floor[start : start + step]
-            near = scores >= (cut - _SLACK)[:, None]
-            if count > self._k and near.sum() > 4 * self._k * len(cut):
-                best_here = np.partition(scores, count - self._k, axis=1)[:, -self._k]
-                near = scores >= (np.maximum(cut, best_here) - _SLACK)[:, None]
-            query, row = np.nonzero(near & (scores > -np.inf))
-            if len(query) == 0:
-                continue
-            if tie is None:
-                tie = _id_order(rows.column("id"))
-            # Adding 0.0 turns -0.0 into 0.0.
-            score = np.round(scores[query, row], SCORE_DIGITS) + 0.0
-            best = _first_k(query, score, tie[row], self._k)
-            query, row, score = query[best], row[best], score[best]
-            found = rows.take(pa.array(row))
-            found = found.append_column("query", pa.array((query + start).astype(np.int32)))
-            self._new.append(found.append_column("score", pa.array(score)))
-            self._new_rows += len(row)
-        if self._new_rows > max(2 * self._k * len(self._queries), 50_000):
-            self._settle()
-
-    def _settle(self) -> None:
-        parts = ([self._kept] if self._kept is not None else []) + self._new
-        if not parts:
+        if self._unit:
+            matrix = to_unit(matrix)
+        longest = float(lengths_of(matrix).max(initial=0.0))
+        dim = matrix.shape[1]
+        reach = longest * float(self._lengths.max(initial=0.0))
+        if reach < _FLOAT32_SAFE:
+            queries, block = self._rough, matrix.astype(np.float32, copy=False)
+            error = (dim + 8) * 2.0**-23
+        else:
+            queries, block = self._queries, matrix.astype(np.float64)
+            error = (dim + 8) * 2.0**-52
+        slack = self._lengths * (longest * error) + _ROUNDING
+
+        pairs: list[np.ndarray] = []
+        overlapping = parts is not None
+        for asked, held in parts if overlapping else [(None, None)]:
+            self._candidates(queries, block, slack, asked, held, pairs)
+        if not pairs:
             return
-        table = pa.concat_tables(parts).combine_chunks()
-        query = table.column("query").to_numpy()
-        score = table.column("score").to_numpy()
-        best = _first_k(query, score, _id_order(table.column("id")), self._k)
-        query, score = query[best], score[best]
+        pair = np.concatenate(pairs)
+        if overlapping:
+            pair = np.unique(pair)
+        query, row = np.divmod(pair, len(matrix))
+        self._settle(rows, matrix, query, row)
+
+    def _candidates(
+        self,
+        queries: np.ndarray,
+        block: np.ndarray,
+        slack: np.ndarray,
+        asked: np.ndarray | None,
+        held: np.ndarray | None,
+        pairs: list[np.ndarray],
+    ) -> None:
+        """Append ``query * rows + row`` of every pair that may be among the best."""
+        asked = np.arange(len(queries)) if asked is None else asked
+        held = np.arange(len(block)) if held is None else held
+        for r in range(0, len(held), ROW_TILE):
+            row = held[r : r + ROW_TILE]
+            tile = block[row].T
+            for q in range(0, len(asked), QUERY_TILE):
+                query = asked[q : q + QUERY_TILE]
+                scores = queries[query] @ tile
+                cut = self._floor[query] - slack[query]
+                near = scores >= cut[:, None]
+                if len(row) > self._k and np.count_nonzero(near) > 4 * self._k * len(query):
+                    # Many qualify: raise the floors by this tile's own k-th best.
+                    kth = np.partition(scores, len(row) - self._k, axis=1)[:, -self._k]
+                    self._floor[query] = np.maximum(self._floor[query], kth - slack[query])
+                    cut = self._floor[query] - slack[query]
+                    near = scores >= cut[:, None]
+                at_query, at_row = np.nonzero(near)
+                if len(at_query):
+                    pairs.append(query[at_query] * len(block) + row[at_row])
+
+    def _settle(
+        self, rows: pa.Table, matrix: np.ndarray, query: np.ndarray, row: np.ndarray
+    ) -> None:
+        """Score the candidates exactly, merge them with the kept rows, raise the floors."""
+        score = np.empty(len(query))
+        for start in range(0, len(query), 1 << 16):
+            part = slice(start, start + (1 << 16))
+            score[part] = np.einsum(
+                "ij,ij->i", self._queries[query[part]], matrix[row[part]].astype(np.float64)
+            )
+        # Adding 0.0 turns -0.0 into 0.0.
+        score = np.round(score, SCORE_DIGITS) + 0.0
+        # The block's own best first: only those rows are copied.
+        here = _first_k(query, score, _id_order(rows.column("id"))[row], self._k)
+        found = rows.take(pa.array(row[here]))
+        found = found.append_column("query", pa.array(query[here].astype(np.int32)))
+        found = found.append_column("score", pa.array(score[here]))
+        if self._kept is not None:
+            found = pa.concat_tables([self._kept, found]).combine_chunks()
+            tie = _id_order(found.column("id"))
+            best = _first_k(found.column("query").to_numpy(), found.column("score").to_numpy(),
+                            tie, self._k)
+            found = found.take(pa.array(best))
+        self._kept = found
+        query, score = found.column("query").to_numpy(), found.column("score").to_numpy()
         full = np.bincount(query, minlength=len(self._queries)) >= self._k
         lowest = np.full(len(self._queries), np.inf)
         np.minimum.at(lowest, query, score)
-        self._floor = np.where(full, lowest, -np.inf)
-        self._kept = table.take(pa.array(best))
-        self._new, self._new_rows = [], 0
+        raised = np.maximum(self._floor, lowest - _ROUNDING)
+        self._floor = np.where(full, raised, self._floor)
 
     def table(self) -> pa.Table | None:
         """The kept rows with ``query`` (position) and ``score`` appended."""
-        self._settle()
         return self._kept
+
+
+def _id_order(ids: pa.ChunkedArray) -> np.ndarray:
+    """Rank of each id; equal ids share a rank, and text compares by code point."""
+    return pc.rank(ids, tiebreaker="dense").to_numpy()
+
+
+def parts_by_cell(row_cells: np.ndarray, asking: dict[int, np.ndarray]) -> Iterable[Part]:
+    """One part per cell that some query asks for: its queries and its rows.
+    ``row_cells`` has the cells of each row, ``asking`` the queries of each cell."""
+    width = row_cells.shape[1]
+    flat = row_cells.reshape(-1)
+    order = np.argsort(flat, kind="stable")
+    cells, starts = np.unique(flat[order], return_index=True)
+    for cell, start, stop in zip(cells, starts, [*starts[1:], len(flat)]):
+        queries = asking.get(int(cell))
+        if queries is not None:
+            yield queries, order[start:stop] // width
+
+
+def queries_by_cell(probes: list[np.ndarray]) -> dict[int, np.ndarray]:
+    asking: dict[int, list[int]] = {}
+    for query, cells in enumerate(probes):
+        for cell in cells:
+            asking.setdefault(int(cell), []).append(query)
+    return {cell: np.array(queries) for cell, queries in asking.items()}

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecloom.operators import cells
-from vecloom.operators.kernel import BestRows, to_matrix, to_unit
+from vecloom.operators.kernel import BestRows, parts_by_cell, queries_by_cell, to_matrix
 
 METRICS = ("ip", "cosine")
 # Largest query block a task may hold, in bytes of float64.
@@ -104,8 +104,7 @@ def scan_best(
     name one of its cells.
     """
     context = corpus.sparkSession.sparkContext
-    matrix = to_unit(block.matrix) if metric == "cosine" else block.matrix
-    shared = context.broadcast((block.ids, matrix, block.probes))
+    shared = context.broadcast((block.ids, block.matrix, block.probes))
     names = ["id", *carry]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,28 +112,22 @@ def scan_best(
         if len(query_ids) == 0:
             return
         kept: dict[object, BestRows] = {}
+        asking = None if cell is None else queries_by_cell(probes)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             vectors = to_matrix(batch.column("embedding"), query_matrix.shape[1])
-            if metric == "cosine":
-                vectors = to_unit(vectors)
             rows = pa.Table.from_batches([batch]).select(names)
-            allowed = None
-            if cell is not None:
-                own = to_matrix(batch.column(cell)).astype(np.int64)
-                allowed = np.stack([np.isin(own, probe).any(axis=1) for probe in probes])
-            if by is None:
-                kept.setdefault(None, BestRows(query_matrix, k)).offer(rows, vectors, allowed)
-                continue
-            group = np.asarray(rows.column(by).to_pylist())
-            for value in np.unique(group):
-                at = np.flatnonzero(group == value)
-                kept.setdefault(value, BestRows(query_matrix, k)).offer(
-                    rows.take(pa.array(at)),
-                    vectors[at],
-                    None if allowed is None else allowed[:, at],
-                )
+            for value, at in _groups(rows, by):
+                best = kept.setdefault(value, BestRows(query_matrix, k, metric))
+                parts = None
+                if cell is not None:
+                    cells_of = to_matrix(batch.column(cell))
+                    parts = parts_by_cell(cells_of if at is None else cells_of[at], asking)
+                if at is None:
+                    best.offer(rows, vectors, parts)
+                else:
+                    best.offer(rows.take(pa.array(at)), vectors[at], parts)
         for best in kept.values():
             table = best.table()
             if table is not None:
@@ -144,6 +137,16 @@ def scan_best(
     return corpus.select(*needed).mapInArrow(run, schema)
 
 
+def _groups(rows: pa.Table, by: str | None) -> Iterator[tuple[object, np.ndarray | None]]:
+    """The positions of each value of ``by``; one group of everything without it."""
+    if by is None:
+        yield None, None
+        return
+    values = rows.column(by).to_numpy()
+    for value in np.unique(values):
+        yield value, np.flatnonzero(values == value)
+
+
 def hits_table(table: pa.Table, query_ids: pa.Array, names: list[str]) -> pa.Table:
     """Kernel output with query positions replaced by query ids."""
     ids = query_ids.take(table.column("query").combine_chunks())
