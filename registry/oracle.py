@@ -282,10 +282,11 @@ ORACLE: dict[str, str] = {
     "e7_collisions": _P + f"""SELECT {_number('paragraph_id', 4)} AS vector_id, count(*) AS n_ids
         FROM paragraphs GROUP BY 1 HAVING count(*) > 1""",
     "e8_worker_scaling": f"""WITH {_RUNS}, rated AS (
-          SELECT worker_count, count(*) AS num_rows, count(*) / sum(duration_s) AS t FROM runs GROUP BY worker_count)
-        SELECT worker_count, num_rows, round(t, 9) AS throughput,
-          round(t / first_value(t) OVER (ORDER BY worker_count), 6) AS speedup,
-          t = max(t) OVER () AS is_peak FROM rated""",
+          SELECT event_type, worker_count, count(*) AS num_rows, count(*) / sum(duration_s) AS t
+          FROM runs GROUP BY event_type, worker_count)
+        SELECT event_type, worker_count, num_rows, round(t, 9) AS throughput,
+          round(t / first_value(t) OVER (PARTITION BY event_type ORDER BY worker_count), 6) AS speedup,
+          t = max(t) OVER (PARTITION BY event_type) AS is_peak FROM rated""",
     "e9_compare_settings": f"WITH {_RUNS}," + _EVENT_QUANTILES.format(
         groups="event_type, mode", value="duration_s", source="runs") + """
         SELECT c.event_type, c.mean AS centralized_mean, c.p50 AS centralized_p50, c.p95 AS centralized_p95,

@@ -494,9 +494,11 @@ def _runs(spark, sf) -> DataFrame:
 
 
 def e8_worker_scaling(spark, sf):
-    rows = report.worker_scaling(_runs(spark, sf))
-    return rows.select("worker_count", "num_rows", F.round("throughput", 9).alias("throughput"),
-                       F.round("speedup", 6).alias("speedup"), "is_peak")
+    rows = report.worker_scaling(_runs(spark, sf), "event_type")
+    return rows.select(
+        "event_type", "worker_count", "num_rows", F.round("throughput", 9).alias("throughput"),
+        F.round("speedup", 6).alias("speedup"), "is_peak",
+    )
 
 
 def e9_compare_settings(spark, sf):

@@ -176,7 +176,8 @@ def test_worker_scaling(spark):
     runs = spark.createDataFrame(
         [(1, 20000, 267.0), (2, 20000, 160.6), (4, 20000, 154.7), (8, 20000, 166.8)],
         "worker_count int, num_rows long, duration_s double")
-    rows = report.worker_scaling(runs).orderBy("worker_count").collect()
+    runs = runs.withColumn("stage", F.lit("embed"))
+    rows = report.worker_scaling(runs, "stage").orderBy("worker_count").collect()
     assert [r.is_peak for r in rows] == [False, False, True, False]
     assert rows[0].speedup == 1.0 and rows[2].speedup == pytest.approx(267.0 / 154.7)
 
@@ -217,7 +218,7 @@ def test_build_store_and_timed_search(spark, sf, tmp_path):
     assert spark.read.parquet(f"{path}/sample_queries").count() == 10
     run = spark.read.json(f"{path}/report").first()
     assert run.num_paragraphs == rows.count() and len(run.shard_stats) == 4
-    line = build.timed_search(spark, path, 4, k=5).first()
+    line = build.timed_search(spark, path, k=5).first()
     assert line.stage == "query_sharded" and line.extra["num_queries"] == "10"
     stages = {r.stage for r in report.read_metrics(spark, f"{path}/metrics").collect()}
     assert stages == {"embed", "query_sharded"}
@@ -227,7 +228,7 @@ def test_build_with_limit_and_one_shard(spark, sf, tmp_path):
     path = str(tmp_path / "built")
     table = build.build_store(paragraphs(spark, sf), path, limit=25)
     assert table.vectors().count() == 25
-    assert build.timed_search(spark, path, 1).first().stage == "query_centralized"
+    assert build.timed_search(spark, path).first().stage == "query_centralized"
 
 
 @pytest.mark.parametrize("options", [{"num_shards": 0}, {"embedder": "nope"}])

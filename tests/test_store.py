@@ -18,7 +18,7 @@ def test_save_load_search(spark, path):
     vectors = unit_vectors(10, 12)
     VectorTable.create(vector_frame(spark, vectors), path, 3)
     loaded = VectorTable.load(spark, path)
-    assert loaded.dim() == 12 and loaded.num_shards == 3
+    assert loaded.dim == loaded.check_dims() == 12 and loaded.num_shards == 3
     top = loaded.search(query_frame(spark, vectors[3:4]), 1).first()
     assert top.id == "p3" and top.article_title == "Article 3"
 
@@ -56,6 +56,32 @@ def test_shard_without_data(spark, path):
     assert table.shard(10).count() == 0
 
 
+def test_loading_keeps_the_sharding_with_empty_shards(spark, path):
+    VectorTable.create(vector_frame(spark, unit_vectors(4, 4)), path, 11)
+    loaded = VectorTable.load(spark, path)
+    loaded.add_batch(spark.createDataFrame([("z", 10, "t", [1.0, 0.0, 0.0, 0.0])],
+                     "paragraph_id string, article_id long, article_title string, embedding array<float>"))
+    assert loaded.num_shards == 11 and {r.shard_id for r in loaded.shards().collect()} == {0, 1, 10}
+
+
+def test_a_batch_of_another_dimension_is_refused(spark, path):
+    table = VectorTable.create(vector_frame(spark, unit_vectors(4, 4)), path)
+    with pytest.raises(Exception, match="4 dimensions"):
+        table.add_batch(vector_frame(spark, unit_vectors(1, 5)))
+
+
+def test_repeats_within_a_batch_leave_one_row(spark, path):
+    table = VectorTable.create(vector_frame(spark, unit_vectors(2, 4)), path)
+    one = vector_frame(spark, unit_vectors(1, 4, seed=5), title="x {}")
+    table.add_batch(one.unionByName(one))
+    assert titles(table) == {"p0": "x 0", "p1": "Article 1"} and table.vectors().count() == 2
+
+
+def test_loading_nothing_is_an_error(spark, path):
+    with pytest.raises(ValueError, match="no store"):
+        VectorTable.load(spark, path)
+
+
 def test_no_store_is_an_error(spark, path):
     with pytest.raises(ValueError, match="no shards"):
         VectorTable(spark, path, 2).shards()
@@ -140,7 +166,7 @@ def test_bad_rows_fail_the_write(spark, path, row, message):
 def test_uneven_dimensions_are_reported(spark, path):
     df = vector_frame(spark, unit_vectors(2, 4)).unionByName(vector_frame(spark, unit_vectors(2, 5), "x"))
     with pytest.raises(ValueError, match="between 4 and 5"):
-        VectorTable.create(df, path).dim()
+        VectorTable.create(df, path).check_dims()
 
 
 def test_collisions_are_refused(spark):

@@ -36,9 +36,9 @@ from vecloom.operators.search import (
 )
 
 CELLS = T.ArrayType(T.IntegerType())
-# Rows the k-means centres are fitted on. The centres only decide how rows are
+# Rows per centre that k-means is fitted on. The centres only decide how rows are
 # grouped; every row is assigned to a cell and stays searchable.
-TRAINING_ROWS = 100_000
+TRAINING_ROWS_PER_CENTRE = 256
 # Centres are held by every task: 16,384 x 384 doubles are 50 MB.
 MAX_CENTRES = 1 << 14
 # Distances held at once while rows are placed: 4 M doubles are 32 MB.
@@ -101,7 +101,7 @@ def fit_centres(corpus: DataFrame, num_cells: int, seed: int = 42) -> np.ndarray
     if not 1 <= num_cells <= MAX_CENTRES:
         raise ValueError(f"num_cells must be between 1 and {MAX_CENTRES}, got {num_cells}")
     rows = corpus.count()
-    share = min(1.0, TRAINING_ROWS / max(rows, 1))
+    share = min(1.0, TRAINING_ROWS_PER_CENTRE * num_cells / max(rows, 1))
     part = corpus
     if share < 1.0:
         part = corpus.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))

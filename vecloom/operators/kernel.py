@@ -141,9 +141,9 @@ class BestRows:
                     self._floor[query] = np.maximum(self._floor[query], kth - slack[query])
                     cut = self._floor[query] - slack[query]
                     near = scores >= cut[:, None]
-                at_query, at_row = np.nonzero(near)
-                if len(at_query):
-                    pairs.append(query[at_query] * len(block) + row[at_row])
+                at = np.flatnonzero(near)
+                if len(at):
+                    pairs.append(query[at // len(row)] * len(block) + row[at % len(row)])
 
     def _settle(
         self, rows: pa.Table, matrix: np.ndarray, query: np.ndarray, row: np.ndarray

@@ -2,7 +2,9 @@
 
 Layout under the store's folder::
 
+    settings/                                   one row: num_shards, dim
     embeddings/batch_no=B/shard_id=N/*.parquet
+    lsh/, ivf/                                  approximate indexes, once built
 
 Adding a batch writes only that batch. Reading hides a row once a later batch holds
 its id; with one batch there is nothing to hide and the read is a plain scan.
@@ -115,13 +117,14 @@ def unite(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def newest(rows: DataFrame, order: str) -> DataFrame:
-    """One row per id, the one with the highest ``order``. The maximum is taken map-side
-    first, so an id repeated many times reaches its reducer as a few rows."""
-    others = [name for name in rows.columns if name != "paragraph_id"]
+def newest(rows: DataFrame, order: str | None = None) -> DataFrame:
+    """One row per id: the one with the highest ``order``, or without one the highest in
+    column order. The maximum is taken map-side first, so an id repeated many times
+    reaches its reducer as a few rows."""
+    others = F.struct(*[name for name in rows.columns if name != "paragraph_id"])
     return (
         rows.groupBy("paragraph_id")
-        .agg(F.max_by(F.struct(*others), F.col(order)).alias("last"))
+        .agg(F.max_by(others, F.col(order) if order else others).alias("last"))
         .select("paragraph_id", "last.*")
     )
 
@@ -146,28 +149,42 @@ def hide_superseded(rows: DataFrame) -> DataFrame:
 class VectorTable:
     """A stored set of vectors: add, search, save, load."""
 
-    def __init__(self, spark: SparkSession, path: str, num_shards: int) -> None:
+    def __init__(
+        self, spark: SparkSession, path: str, num_shards: int, dim: int | None = None
+    ) -> None:
         self._spark = spark
         self.path = path
         self.num_shards = check_num_shards(num_shards)
+        self.dim = dim
 
     @classmethod
     def create(
         cls, vectors: DataFrame, path: str, num_shards: int = 1, dim: int | None = None
     ) -> VectorTable:
-        """Write ``vectors`` (paragraph_id, article_id, article_title, embedding) as
-        batch 0 of a new store. A store's folder holds one sharding only."""
-        table = cls(vectors.sparkSession, path, num_shards)
+        """Write ``vectors`` (paragraph_id, article_id, article_title, embedding; ids
+        unique) as batch 0 of a new store. A store's folder holds one sharding only."""
+        table = cls(vectors.sparkSession, path, num_shards, dim)
         table._write(checked(vectors, dim), 0)
-        return table
+        return table.describe()
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, num_shards: int | None = None) -> VectorTable:
-        table = cls(spark, path, num_shards or 1)
-        if num_shards is None:
-            highest = table.shards().agg(F.max(SHARD_COLUMN)).first()[0]
-            table.num_shards = highest + 1
-        return table
+    def load(cls, spark: SparkSession, path: str) -> VectorTable:
+        try:
+            made = spark.read.parquet(f"{path}/settings").first()
+        except AnalysisException as missing:
+            raise ValueError(f"no store under {path}") from missing
+        return cls(spark, path, made.num_shards, made.dim)
+
+    def describe(self) -> VectorTable:
+        """Write the settings a later load needs, the dimension from a stored row."""
+        if self.dim is None:
+            row = self.stored().select(dims("embedding").alias("dim")).first()
+            self.dim = row.dim if row else None
+        settings = [(self.num_shards, self.dim)]
+        self._spark.createDataFrame(settings, "num_shards int, dim int").write.mode(
+            "overwrite"
+        ).parquet(f"{self.path}/settings")
+        return self
 
     def _write(self, vectors: DataFrame, batch_no: int, compact: bool = True) -> None:
         rows = with_shards(vectors.select(*VECTOR_COLUMNS), self.num_shards)
@@ -185,19 +202,19 @@ class VectorTable:
         """The current rows: the newest of each id."""
         return hide_superseded(self.stored()).select(*VECTOR_COLUMNS, SHARD_COLUMN)
 
-    def add_batch(self, batch: DataFrame, batch_no: int | None = None, order: str | None = None):
+    def add_batch(
+        self, batch: DataFrame, batch_no: int | None = None, order: str | None = None
+    ) -> VectorTable:
         """Add rows; an id already stored is replaced. ``order`` names a column that
-        ranks repeats of an id within the batch; without it ids must not repeat."""
-        if order is not None:
-            batch = newest(batch, order)
+        ranks repeats of an id within the batch."""
         if batch_no is None:
             batch_no = max(self.batches(), default=-1) + 1
-        self._write(checked(batch), batch_no)
+        self._write(checked(newest(batch, order), self.dim), batch_no)
         return self
 
     def compact(self, path: str) -> VectorTable:
         """The current rows as a new single-batch store."""
-        return VectorTable.create(self.vectors(), path, self.num_shards)
+        return VectorTable.create(self.vectors(), path, self.num_shards, self.dim)
 
     def shards(self) -> DataFrame:
         """The shards that hold data; none at all is an error."""
@@ -218,8 +235,8 @@ class VectorTable:
         has no rows."""
         return self.vectors().where(F.col(SHARD_COLUMN) == number)
 
-    def dim(self) -> int:
-        """The common dimension; uneven vectors are an error."""
+    def check_dims(self) -> int:
+        """The common dimension of all vectors; uneven ones are an error."""
         low, high = self.vectors().agg(F.min(dims("embedding")), F.max(dims("embedding"))).first()
         if low != high:
             raise ValueError(f"vectors have between {low} and {high} dimensions")
@@ -250,7 +267,7 @@ class VectorTable:
 
     def build_lsh(self, tables: int = 8, bits: int = 6) -> VectorTable:
         """Write the hyperplane index of the current rows."""
-        approx.write_hyperplane_index(self.corpus(), f"{self.path}/lsh", self.dim(), tables, bits)
+        approx.write_hyperplane_index(self.corpus(), f"{self.path}/lsh", self.dim, tables, bits)
         return self._note_index("lsh")
 
     def build_ivf(self, num_cells: int = 16) -> VectorTable:

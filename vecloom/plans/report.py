@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vecloom.operators.quantiles import index_quantiles
@@ -92,23 +92,21 @@ def latency_stats(durations: DataFrame, value: str, *groups: str) -> DataFrame:
     return index_quantiles(durations, value, LATENCY_SHARES, *groups)
 
 
-def worker_scaling(runs: DataFrame) -> DataFrame:
-    """Throughput per worker count, its speed-up over the fewest workers, and whether it
-    is the peak. ``runs`` has ``worker_count``, ``num_rows`` and ``duration_s``; the
-    totals are one row per worker setting before any window sees them."""
-    totals = runs.groupBy("worker_count").agg(
+def worker_scaling(runs: DataFrame, *stage: str) -> DataFrame:
+    """Throughput per stage and worker count, its speed-up over the fewest workers, and
+    whether it is the peak. ``runs`` has ``worker_count``, ``num_rows`` and
+    ``duration_s``; the windows see one row per stage and worker count."""
+    totals = runs.groupBy(*stage, "worker_count").agg(
         F.sum("num_rows").alias("num_rows"), F.sum("duration_s").alias("duration_s")
     )
-    rated = totals.withColumn("throughput", throughput("num_rows", "duration_s"))
-    base = rated.agg(F.min_by("throughput", "worker_count").alias("base"),
-                     F.max_by("worker_count", "throughput").alias("best"))
-    # `base` is a single row.
-    return rated.join(F.broadcast(base)).select(
-        "worker_count",
-        "num_rows",
-        "throughput",
-        F.coalesce(F.try_divide("throughput", F.col("base")), F.lit(0.0)).alias("speedup"),
-        (F.col("worker_count") == F.col("best")).alias("is_peak"),
+    whole = Window.partitionBy(*stage)
+    base = F.first("throughput").over(whole.orderBy("worker_count"))
+    best = F.max_by("worker_count", "throughput").over(whole)
+    return (
+        totals.withColumn("throughput", throughput("num_rows", "duration_s"))
+        .withColumn("speedup", F.coalesce(F.try_divide("throughput", base), F.lit(0.0)))
+        .withColumn("is_peak", F.col("worker_count") == best)
+        .drop("duration_s")
     )
 
 

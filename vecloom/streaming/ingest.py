@@ -24,13 +24,11 @@ def add_stream(
 
     The micro-batch's number is its batch number in the store. A micro-batch that is
     run again after a failure therefore replaces its own rows. ``order`` ranks repeats
-    of an id within one micro-batch, before anything is embedded.
+    of an id within one micro-batch; they are settled before anything is embedded.
     """
 
     def add(rows: DataFrame, epoch: int) -> None:
-        if order is not None:
-            rows = newest(rows, order)
-        vectors = embed_texts(rows, make, keep=("paragraph_id", "article_id", "article_title"))
+        vectors = embed_texts(newest(rows, order), make, keep=("paragraph_id", "article_id", "article_title"))
         store.add_batch(vectors, batch_no=first_batch + epoch)
 
     return (
