@@ -338,6 +338,7 @@ ORACLE: dict[str, str] = {
         {_embed('stored', 'turns', 'id')}
         SELECT t.id, t.text, {_micro('s.vector')} AS vector, 64 AS dims FROM turns t JOIN stored s USING (id)""",
     "g1_unite_shards": _V + "SELECT paragraph_id, article_id, article_title, shard_id FROM vectors",
+    "g2_spread": "SELECT doc_id, lang, true AS enough_parts FROM documents",
     "g3_bounded_batches": f"""WITH texts AS (SELECT doc_id, text FROM documents), {_embed('stored', 'texts', 'doc_id')}
         SELECT doc_id, {_micro('vector')} AS vector FROM stored""",
     "i1_embed_paragraphs": _EMBEDDED_PARAGRAPHS,

@@ -661,10 +661,10 @@ def g1_unite_shards(spark, sf):
 
 
 def g2_spread(spark, sf):
+    """The documents, and whether they now lie in at least one part per core."""
     rows = spread(table(spark, sf, "documents"), "doc_id")
-    return rows.withColumn("part", F.spark_partition_id()).groupBy("part").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    enough = rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    return rows.select("doc_id", "lang", F.lit(enough).alias("enough_parts"))
 
 
 def g3_bounded_batches(spark, sf):

@@ -156,6 +156,13 @@ def test_hot_group_and_hot_value(spark):
             by_rule(values, s) for s in (0.5, 0.95, 0.0, 0.999))
 
 
+def test_null_group_and_null_values(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0), ("a", None), ("b", None)],
+                               "g string, v double")
+    rows = {r.g: (r.n, r.p50) for r in report.latency_stats(df, "v", "g").collect()}
+    assert rows == {None: (2, 3.0), "a": (1, 2.0)}
+
+
 @pytest.mark.parametrize("margin", [0.0, -0.02, 0.3])
 def test_quantiles_do_not_depend_on_the_sketch(spark, monkeypatch, margin):
     """Brackets that miss the position still give the exact element."""

@@ -163,7 +163,7 @@ def top_k_in_cells(
     else:
         hits = cell_search.best_in_cells(
             queries.withColumn("cell", F.explode("cells")),
-            corpus.drop("cell").withColumn("cell", F.explode("cells")),
+            corpus if "cell" in corpus.columns else corpus.withColumn("cell", F.explode("cells")),
             wanted,
             schema,
             metric=metric,

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecloom.operators.kernel import BestRows, to_matrix
+from vecloom.operators.kernel import BestRows, hits_table, to_matrix
 
 # Rows per block. 32,768 x 384 float64 are 100 MB.
 VECTOR_BLOCK = 32_768
@@ -69,39 +69,12 @@ def best_in_cells(
     )
 
     def search(asking: pa.Table, stored: pa.Table) -> pa.Table:
-        empty = schema_table(schema)
-        if asking.num_rows == 0 or stored.num_rows == 0:
-            return empty
-        query_matrix = to_matrix(asking.column("asked"))
-        vectors = to_matrix(stored.column("embedding"), query_matrix.shape[1])
-        best = BestRows(query_matrix, k, metric)
-        best.offer(stored.select(names), vectors)
-        found = best.table()
-        if found is None:
-            return empty
-        ids = asking.column("query_id").combine_chunks().take(
-            found.column("query").combine_chunks()
-        )
-        return pa.table(
-            [ids, *[found.column(n) for n in names], found.column("score")],
-            names=["query_id", *names, "score"],
-        )
+        rows = stored.select(names)
+        best = BestRows(to_matrix(asking.column("asked")), k, metric)
+        if asking.num_rows and stored.num_rows:
+            best.offer(rows, to_matrix(stored.column("embedding"), best.dim))
+        return hits_table(best, asking.column("query_id"), rows)
 
     keys = ["cell", "q_block", "v_block"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, schema)
 
-
-_ARROW_TYPES = {
-    T.StringType(): pa.string(),
-    T.LongType(): pa.int64(),
-    T.IntegerType(): pa.int32(),
-    T.DoubleType(): pa.float64(),
-    T.FloatType(): pa.float32(),
-}
-
-
-def schema_table(schema: T.StructType) -> pa.Table:
-    """An empty Arrow table of the given flat schema."""
-    return pa.table(
-        [pa.array([], _ARROW_TYPES[f.dataType]) for f in schema], names=schema.fieldNames()
-    )

@@ -78,6 +78,7 @@ class BestRows:
         self._queries = to_unit(queries) if self._unit else queries.astype(np.float64)
         self._rough = self._queries.astype(np.float32)
         self._lengths = lengths_of(self._queries)
+        self.dim = queries.shape[1]
         self._k = k
         # Every query has at least k kept rows that score no less than its floor.
         self._floor = np.full(len(queries), -np.inf)
@@ -181,6 +182,22 @@ class BestRows:
         return self._kept
 
 
+def hits_table(
+    best: BestRows, query_ids: pa.Array | pa.ChunkedArray, rows: pa.Table
+) -> pa.Table:
+    """``query_id``, the columns of ``rows`` and ``score``, one line per kept row."""
+    kept = best.table()
+    if kept is None:
+        kept = rows.slice(0, 0)
+        kept = kept.append_column("query", pa.array([], pa.int32()))
+        kept = kept.append_column("score", pa.array([], pa.float64()))
+    ids = query_ids.take(kept.column("query").combine_chunks())
+    return pa.table(
+        [ids, *kept.select(rows.column_names).columns, kept.column("score")],
+        names=["query_id", *rows.column_names, "score"],
+    )
+
+
 def _id_order(ids: pa.ChunkedArray) -> np.ndarray:
     """Rank of each id; equal ids share a rank, and text compares by code point."""
     return pc.rank(ids, tiebreaker="dense").to_numpy()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,22 +56,19 @@ def index_quantiles(
         name: (F.get("edges", F.lit(2 * i)), F.get("edges", F.lit(2 * i + 1)))
         for i, name in enumerate(shares)
     }
-    counted = (
-        rows.join(facts, by)
-        .groupBy(*by)
-        .agg(
-            *[F.count_if(F.col("v") < low).alias(f"{name}_below") for name, (low, _) in brackets.items()],
-            *[F.count_if(F.col("v") <= high).alias(f"{name}_up_to") for name, (_, high) in brackets.items()],
-        )
-        .join(facts, by)
-    )
+    counts = [
+        F.count_if(test).alias(f"{name}_{side}")
+        for name, (low, high) in brackets.items()
+        for side, test in (("below", F.col("v") < low), ("up_to", F.col("v") <= high))
+    ]
+    facts_of = [F.first(column).alias(column) for column in ("n", "mean", "edges")]
+    wanted = F.array(*[_target(name, share, *brackets[name]) for name, share in shares.items()])
     targets = settled(
-        counted.select(
-            *by,
-            F.explode(
-                F.array(*[_target(name, share, *brackets[name]) for name, share in shares.items()])
-            ).alias("t"),
-        ).select(*by, "t.*"),
+        _join_groups(rows, facts, by)
+        .groupBy(*by)
+        .agg(*facts_of, *counts)
+        .select(*by, "n", "mean", F.explode(wanted).alias("t"))
+        .select(*by, "n", "mean", "t.*"),
         "targets",
     )
     in_region = (
@@ -76,19 +76,24 @@ def index_quantiles(
         .when(F.col("region") == 1, F.col("v").between(F.col("low"), F.col("high")))
         .otherwise(F.col("v") > F.col("high"))
     )
-    found = [*by, "name", "position", "before"]
     running = F.sum("times").over(Window.partitionBy(*by, "name").orderBy("v"))
-    picked = (
-        rows.join(targets, by)
+    return (
+        _join_groups(rows, targets, by)
         .where(in_region)
-        .groupBy(*found, "v")
+        .groupBy(*by, "n", "mean", "name", "position", "before", "v")
         .agg(F.count(F.lit(1)).alias("times"))
         .withColumn("reached", F.col("before") + running)
         .where(F.col("reached") > F.col("position"))
-        .groupBy(*by)
+        .groupBy(*by, "n", "mean")
         .agg(*[F.min(F.when(F.col("name") == name, F.col("v"))).alias(name) for name in shares])
     )
-    return facts.drop("edges").join(picked, by)
+
+
+def _join_groups(rows: DataFrame, per_group: DataFrame, by: list[str]) -> DataFrame:
+    """Join on the group columns; a null group matches itself."""
+    renamed = per_group.withColumnsRenamed({name: f"group_{name}" for name in by})
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"group_{name}")) for name in by])
+    return rows.join(renamed, same).drop(*[f"group_{name}" for name in by])
 
 
 def _target(name: str, share: float, low: Column, high: Column) -> Column:

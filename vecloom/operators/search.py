@@ -24,7 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecloom.operators import cells
-from vecloom.operators.kernel import BestRows, parts_by_cell, queries_by_cell, to_matrix
+from vecloom.operators.kernel import (
+    BestRows,
+    hits_table,
+    parts_by_cell,
+    queries_by_cell,
+    to_matrix,
+)
 
 METRICS = ("ip", "cosine")
 # Largest query block a task may hold, in bytes of float64.
@@ -129,9 +135,7 @@ def scan_best(
                 else:
                     best.offer(rows.take(pa.array(at)), vectors[at], parts)
         for best in kept.values():
-            table = best.table()
-            if table is not None:
-                yield from hits_table(table, query_ids, names).to_batches()
+            yield from hits_table(best, query_ids, rows).to_batches()
 
     needed = list(dict.fromkeys([*names, "embedding", *([cell] if cell else [])]))
     return corpus.select(*needed).mapInArrow(run, schema)
@@ -147,15 +151,6 @@ def _groups(rows: pa.Table, by: str | None) -> Iterator[tuple[object, np.ndarray
         yield value, np.flatnonzero(values == value)
 
 
-def hits_table(table: pa.Table, query_ids: pa.Array, names: list[str]) -> pa.Table:
-    """Kernel output with query positions replaced by query ids."""
-    ids = query_ids.take(table.column("query").combine_chunks())
-    return pa.table(
-        [ids, *[table.column(n) for n in names], table.column("score")],
-        names=["query_id", *names, "score"],
-    )
-
-
 def merge_best(
     hits: DataFrame, k: int, *, by: str | None = None, repeated: bool = False
 ) -> DataFrame:

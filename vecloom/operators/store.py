@@ -194,9 +194,9 @@ class VectorTable:
         """Every stored row, superseded ones included."""
         return self._spark.read.schema(STORED_SCHEMA).parquet(f"{self.path}/embeddings")
 
-    def batches(self) -> list[int]:
-        rows = self.stored().select("batch_no").distinct().orderBy("batch_no").collect()
-        return [row.batch_no for row in rows]
+    def last_batch(self) -> int:
+        """The highest batch number stored."""
+        return self.stored().agg(F.max("batch_no")).first()[0]
 
     def vectors(self) -> DataFrame:
         """The current rows: the newest of each id."""
@@ -208,7 +208,7 @@ class VectorTable:
         """Add rows; an id already stored is replaced. ``order`` names a column that
         ranks repeats of an id within the batch."""
         if batch_no is None:
-            batch_no = max(self.batches(), default=-1) + 1
+            batch_no = self.last_batch() + 1
         self._write(checked(newest(batch, order), self.dim), batch_no)
         return self
 
@@ -276,7 +276,7 @@ class VectorTable:
         return self._note_index("ivf")
 
     def _note_index(self, kind: str) -> VectorTable:
-        newest_batch = self._spark.createDataFrame([(max(self.batches()),)], "batch_no int")
+        newest_batch = self._spark.createDataFrame([(self.last_batch(),)], "batch_no int")
         newest_batch.write.mode("overwrite").parquet(f"{self.path}/{kind}/covers")
         return self
 
@@ -285,7 +285,7 @@ class VectorTable:
             covered = self._spark.read.parquet(f"{self.path}/{kind}/covers").first().batch_no
         except AnalysisException as missing:
             raise ValueError(f"the {kind} index has not been built") from missing
-        if covered < max(self.batches()):
+        if covered < self.last_batch():
             raise ValueError(f"the {kind} index is older than the store; build it again")
 
     def search(

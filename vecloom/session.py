@@ -32,6 +32,8 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_BATCH_ROWS))
+        # Long texts: a batch is also cut at this size.
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
         # One BLAS thread per task: parallelism comes from Spark's tasks alone.
         .config("spark.executorEnv.OMP_NUM_THREADS", "1")
         .config("spark.executorEnv.OPENBLAS_NUM_THREADS", "1")
