@@ -16,15 +16,20 @@ from pyspark.sql import types as T
 
 from vecloom.operators.kernel import BestRows, hits_table, to_matrix
 
-# Rows per block. 32,768 x 384 float64 are 100 MB.
-VECTOR_BLOCK = 32_768
-QUERY_BLOCK = 4_096
+# Largest block of each side: 131,072 x 384 floats are 200 MB, 32,768 are 50 MB. Large
+# blocks keep the number of copies of each side and of partial results low.
+VECTOR_BLOCK = 131_072
+QUERY_BLOCK = 32_768
+# A side smaller than this is not cut further to occupy idle cores.
+SMALL_BLOCK = 4_096
 # Per-cell counts are broadcast, so the number of distinct cells must stay small.
 MAX_CELLS = 1 << 18
 
 
-def _blocks(count: Column, size: int) -> Column:
-    return F.ceil(count / size).cast("int")
+def _blocks(count: Column, size: int, tasks: int = 1) -> Column:
+    """How many blocks: enough for their size, and for ``tasks`` where rows suffice."""
+    occupying = F.least(F.lit(tasks), F.ceil(count / SMALL_BLOCK))
+    return F.greatest(F.ceil(count / size), occupying).cast("int")
 
 
 def _block_of(key: str, blocks: Column) -> Column:
@@ -52,7 +57,11 @@ def best_in_cells(
         raise ValueError(f"at most {MAX_CELLS} cells, got {num_cells}")
     names = ["id", *carry]
     asked = queries.groupBy("cell").agg(_blocks(F.count(F.lit(1)), query_block).alias("q_blocks"))
-    held = corpus.groupBy("cell").agg(_blocks(F.count(F.lit(1)), vector_block).alias("v_blocks"))
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    tasks = -(-2 * cores // num_cells)
+    held = corpus.groupBy("cell").agg(
+        _blocks(F.count(F.lit(1)), vector_block, tasks).alias("v_blocks")
+    )
     grid = F.broadcast(asked.join(held, "cell"))
     left = (
         queries.join(grid, "cell")
