@@ -279,6 +279,7 @@ ORACLE: dict[str, str] = {
     "e5_throughput": """SELECT o_custkey, round(CASE WHEN s > 0 THEN n / s ELSE 0 END, 9) AS throughput FROM (
         SELECT o_custkey, count(*) AS n, sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END) AS s
         FROM orders GROUP BY o_custkey)""",
+    "e6_stored_size": _P + "SELECT CAST(sum(strlen(text) + 1) AS BIGINT) AS total_bytes FROM paragraphs",
     "e7_collisions": _P + f"""SELECT {_number('paragraph_id', 4)} AS vector_id, count(*) AS n_ids
         FROM paragraphs GROUP BY 1 HAVING count(*) > 1""",
     "e8_worker_scaling": f"""WITH {_RUNS}, rated AS (
@@ -312,6 +313,19 @@ ORACLE: dict[str, str] = {
         SELECT query_id, rank, id, {_SCORE} FROM ranked""",
     "f6_lsh_topk_cells": f"""WITH {_VECTORS}, {_LSH}, {_ranked(_LSH_ALL_PAIRS, 10)}
         SELECT query_id, rank, id, {_SCORE} FROM ranked""",
+    "f6_ivf_topk": f"""WITH {_VECTORS}, {_SAMPLES}, parts AS (
+          SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS d FROM embeddings),
+        means AS (SELECT label, d, avg(x) AS m FROM parts GROUP BY label, d),
+        centres AS (SELECT label, list(m ORDER BY d) AS centre, sum(m * m) / 2 AS half FROM means GROUP BY label),
+        near AS (
+          SELECT v.paragraph_id, c.label, row_number() OVER (
+            PARTITION BY v.paragraph_id
+            ORDER BY list_dot_product(v.embedding::DOUBLE[], c.centre) - c.half DESC, c.label) AS place
+          FROM vectors v CROSS JOIN centres c),
+        candidates AS (
+          SELECT q.paragraph_id AS query_id, o.paragraph_id AS id
+          FROM near q JOIN near o ON o.label = q.label AND q.place <= 4 AND o.place = 1),
+        {_ranked(_LSH_SAMPLE_PAIRS, 10)} SELECT query_id, rank, id, {_SCORE} FROM ranked""",
     "f6_ivf_all_cells": f"{_TOP10} SELECT query_id, rank, id, {_SCORE} FROM ranked",
     "f7_recall": f"""{_TOP10}, {_LSH},
         near AS (SELECT * FROM (

@@ -109,6 +109,28 @@ def test_hydrate_runs_the_search_once(spark, texts, corpus):
     assert calls.value == 1
 
 
+def test_few_hits_are_broadcast_to_the_paragraphs(spark, sf):
+    rows = paragraphs(spark, sf)
+    hits = rows.select(F.col("paragraph_id").alias("id")).orderBy("id").limit(20)
+    plan = lookup.hydrate(hits, spark.read.parquet(settled_path(spark, rows)))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+
+
+def settled_path(spark, rows):
+    path = run_dir(spark, "paragraphs")
+    rows.write.parquet(path)
+    return path
+
+
+def test_few_requests_are_broadcast_to_the_table(spark, texts):
+    wanted = spark.createDataFrame([("1_0",), ("x",)], "paragraph_id string")
+    table = settled(texts, "texts")
+    for part in lookup.known_and_unknown(wanted, table, "paragraph_id"):
+        text = part._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+
+
 def test_known_and_unknown(spark, texts):
     wanted = spark.createDataFrame([("1_0",), ("1_0",), ("x",), (None,)], "paragraph_id string")
     known, unknown = lookup.known_and_unknown(wanted, texts, "paragraph_id")

@@ -27,6 +27,7 @@ from vecloom.operators.kernel import to_matrix
 from vecloom.operators.search import (
     BROADCAST_BYTES,
     check_k,
+    check_metric,
     fetch_block,
     fits,
     hit_schema,
@@ -104,7 +105,7 @@ def fit_centres(corpus: DataFrame, num_cells: int, seed: int = 42) -> np.ndarray
     share = min(1.0, TRAINING_ROWS_PER_CENTRE * num_cells / max(rows, 1))
     part = corpus
     if share < 1.0:
-        part = corpus.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
+        part = corpus.where(F.xxhash64("id") < int((share - 0.5) * 2.0**64))
     features = part.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     model = KMeans(k=num_cells, seed=seed, maxIter=10).fit(features)
     return np.array(model.clusterCenters())
@@ -149,6 +150,7 @@ def top_k_in_cells(
     ``cells`` column. A small query set rides along with the corpus scan; a large one
     meets the corpus cell by cell."""
     check_k(k)
+    check_metric(metric)
     wanted = k + 1 if exclude_self else k
     schema = hit_schema(queries, corpus, carry)
     asked = queries.select("query_id", "embedding", F.col("cells").alias("probes"))
@@ -201,10 +203,11 @@ def search_hyperplane_index(
     )
 
 
-def write_cluster_index(corpus: DataFrame, path: str, num_cells: int) -> None:
+def write_cluster_index(corpus: DataFrame, path: str, centres: np.ndarray) -> None:
     """The centres, and the corpus in one folder per cell. A cell that holds most of the
     rows is split into many files by the rebalance."""
-    centres = fit_centres(corpus, num_cells)
+    if len(centres) > MAX_CENTRES:
+        raise ValueError(f"at most {MAX_CENTRES} centres, got {len(centres)}")
     rows = [(cell, [float(x) for x in centre]) for cell, centre in enumerate(centres)]
     schema = "cell int, centre array<double>"
     corpus.sparkSession.createDataFrame(rows, schema).write.mode("overwrite").parquet(

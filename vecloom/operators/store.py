@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
+import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -270,9 +271,13 @@ class VectorTable:
         approx.write_hyperplane_index(self.corpus(), f"{self.path}/lsh", self.dim, tables, bits)
         return self._note_index("lsh")
 
-    def build_ivf(self, num_cells: int = 16) -> VectorTable:
-        """Write the cluster index of the current rows."""
-        approx.write_cluster_index(self.corpus(), f"{self.path}/ivf", num_cells)
+    def build_ivf(self, num_cells: int = 16, centres: np.ndarray | None = None) -> VectorTable:
+        """Write the cluster index of the current rows, around given centres or around
+        ``num_cells`` fitted ones."""
+        corpus = self.corpus()
+        if centres is None:
+            centres = approx.fit_centres(corpus, num_cells)
+        approx.write_cluster_index(corpus, f"{self.path}/ivf", centres)
         return self._note_index("ivf")
 
     def _note_index(self, kind: str) -> VectorTable:
