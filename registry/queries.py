@@ -672,7 +672,8 @@ def g1_unite_shards(spark, sf):
 def g2_spread(spark, sf):
     """The documents, and whether they now lie in at least one part per core."""
     rows = spread(table(spark, sf, "documents"), "doc_id")
-    enough = rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    parts = rows.select(F.spark_partition_id().alias("part")).distinct().count()
+    enough = parts >= spark.sparkContext.defaultParallelism
     return rows.select("doc_id", "lang", F.lit(enough).alias("enough_parts"))
 
 

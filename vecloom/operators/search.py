@@ -125,8 +125,9 @@ def scan_best(
             vectors = to_matrix(batch.column("embedding"), query_matrix.shape[1])
             rows = pa.Table.from_batches([batch]).select(names)
             for value, at in _groups(rows, by):
-                best = kept.setdefault(value, BestRows(query_matrix, k, metric))
-                parts = None
+                if value not in kept:
+                    kept[value] = BestRows(query_matrix, k, metric)
+                best, parts = kept[value], None
                 if cell is not None:
                     cells_of = to_matrix(batch.column(cell))
                     parts = parts_by_cell(cells_of if at is None else cells_of[at], asking)
