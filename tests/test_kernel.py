@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from vecloom.operators.kernel import BestRows, parts_by_cell, queries_by_cell, to_matrix, to_unit
+from vecloom.operators.kernel import BestRows, pack, parts_by_cell, queries_by_cell, to_matrix, to_unit
 
 
 def expected(queries, vectors, ids, k, metric="ip", allowed=None):
@@ -95,6 +95,22 @@ def test_sliced_list_column():
     assert to_matrix(column.slice(0, 0), 2).shape == (0, 2)
 
 
+def test_packed_column():
+    matrix = np.random.default_rng(0).normal(size=(50, 7)).astype("float32")
+    column = pack(pa.array(matrix.tolist(), pa.list_(pa.float32())))
+    assert column.type == pa.binary()
+    np.testing.assert_array_equal(to_matrix(column, 7), matrix)
+    np.testing.assert_array_equal(to_matrix(column.slice(13, 20)), matrix[13:33])
+    np.testing.assert_array_equal(to_matrix(column.cast(pa.large_binary()).slice(1, 2)), matrix[1:3])
+    assert to_matrix(column.slice(0, 0), 7).shape == (0, 7)
+
+
+@pytest.mark.parametrize("bad", [[b"1234", None], [b"123"], [b"1234", b"12345678"]])
+def test_bad_packed_vectors(bad):
+    with pytest.raises(ValueError, match="vector"):
+        to_matrix(pa.array(bad, pa.binary()))
+
+
 @pytest.mark.parametrize("bad", [[[1.0], None], [[1.0], [None]], [[1.0], [1.0, 2.0]], [[float("nan")]]])
 def test_bad_vectors(bad):
     with pytest.raises(ValueError, match="vector"):

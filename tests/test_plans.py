@@ -250,7 +250,7 @@ def test_build_store_and_timed_search(spark, sf, tmp_path):
     line = build.timed_search(spark, path, k=5).first()
     assert line.stage == "query_sharded" and line.extra["num_queries"] == "10"
     stages = {r.stage for r in report.read_metrics(spark, f"{path}/metrics").collect()}
-    assert stages == {"embed", "query_sharded"}
+    assert stages == {"embed", "index_build", "query_sharded"}
 
 
 def test_build_with_limit_and_one_shard(spark, sf, tmp_path):

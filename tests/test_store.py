@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import brute_force, found_ids, query_frame, unit_vectors, vector_frame
 from vecloom.operators import store as st
+from vecloom.operators.search import exact_top_k, packed
 from vecloom.operators.store import VectorTable
 
 
@@ -116,6 +117,38 @@ def test_approximate_methods(spark, path):
         table.search(queries, 3, method="lsh")
 
 
+@pytest.mark.parametrize("method", ["exact", "sharded"])
+def test_flat_index_gives_the_same_rows_and_is_dropped_when_stale(spark, path, method):
+    vectors = unit_vectors(50, 8, seed=4)
+    table = VectorTable.create(vector_frame(spark, vectors), path, 4)
+    queries = query_frame(spark, vectors[:5])
+    columns = ("query_id", "rank", "id", "article_id", "article_title", "score")
+    before = sorted(table.search(queries, 6, method=method).select(*columns).collect())
+    table.build_flat()
+    out = table.search(queries, 6, method=method)
+    assert "embedding:binary" in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(out.select(*columns).collect()) == before
+    table.add_batch(vector_frame(spark, unit_vectors(2, 8, seed=5), prefix="new"), batch_no=1)
+    assert "embedding:binary" not in table.search(queries, 6, method=method)._jdf.queryExecution().executedPlan().toString()
+    table.build_flat()
+    table.add_batch(vector_frame(spark, unit_vectors(2, 8, seed=6), prefix="new"), batch_no=1)
+    assert "embedding:binary" not in table.search(queries, 6, method=method)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_packed_queries_and_corpus(spark, path):
+    vectors = unit_vectors(40, 8, seed=4)
+    corpus = vector_frame(spark, vectors).withColumnRenamed("paragraph_id", "id")
+    for limit in (1 << 20, 0):
+        out = exact_top_k(packed(query_frame(spark, vectors[:4])), packed(corpus), 5, limit_bytes=limit)
+        assert found_ids(out, 4) == brute_force(vectors[:4], vectors, 5, [f"p{i}" for i in range(40)])
+
+
+def test_a_folder_holds_one_store(spark, path):
+    VectorTable.create(vector_frame(spark, unit_vectors(4, 4)), path, 2)
+    with pytest.raises(ValueError, match="already"):
+        VectorTable.create(vector_frame(spark, unit_vectors(4, 4)), path, 3)
+
+
 def test_unprobed_cells_are_not_read(spark, path):
     vectors = unit_vectors(60, 8, seed=3)
     table = VectorTable.create(vector_frame(spark, vectors), path, 1).build_ivf(6)

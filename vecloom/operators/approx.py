@@ -32,6 +32,7 @@ from vecloom.operators.search import (
     fits,
     hit_schema,
     merge_best,
+    packed,
     query_size,
     scan_best,
 )
@@ -185,7 +186,7 @@ def write_hyperplane_index(
         [(dim, tables, bits)], "dim int, tables int, bits int"
     )
     settings.write.mode("overwrite").parquet(f"{path}/settings")
-    indexed = hyperplane_cells(corpus, dim, tables, bits)
+    indexed = hyperplane_cells(packed(corpus), dim, tables, bits)
     indexed.write.mode("overwrite").parquet(f"{path}/vectors")
 
 
@@ -213,7 +214,7 @@ def write_cluster_index(corpus: DataFrame, path: str, centres: np.ndarray) -> No
     corpus.sparkSession.createDataFrame(rows, schema).write.mode("overwrite").parquet(
         f"{path}/centres"
     )
-    placed = nearest_cells(corpus, centres).withColumn("cell", F.get("cells", F.lit(0))).drop("cells")
+    placed = nearest_cells(packed(corpus), centres).withColumn("cell", F.get("cells", F.lit(0))).drop("cells")
     placed.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(
         f"{path}/vectors"
     )

@@ -27,22 +27,50 @@ Part = tuple[np.ndarray | None, np.ndarray | None]
 
 
 def to_matrix(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.ndarray:
-    """A list column as a matrix. Missing or uneven vectors are errors."""
+    """A list or packed column as a matrix. Missing or uneven vectors are errors."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if len(column) == 0:
         return np.zeros((0, dim or 0), dtype=np.float32)
+    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+        return _checked(*_unpacked(column), column.null_count, dim)
     flat = column.flatten()
-    if column.null_count or flat.null_count:
-        raise ValueError("a vector is null or has a null element")
     lengths = np.diff(column.offsets.to_numpy())
+    values = flat.to_numpy(zero_copy_only=False)
+    return _checked(values, lengths, column.null_count + flat.null_count, dim)
+
+
+def _checked(
+    values: np.ndarray, lengths: np.ndarray, missing: int, dim: int | None
+) -> np.ndarray:
+    if missing:
+        raise ValueError("a vector is null or has a null element")
     width = int(lengths[0]) if dim is None else dim
     if not (lengths == width).all():
         raise ValueError(f"every vector must have {width} dimensions")
-    matrix = flat.to_numpy(zero_copy_only=False).reshape(len(column), width)
-    if not np.isfinite(matrix).all():
+    if not np.isfinite(values).all():
         raise ValueError("a vector has a non-finite element")
-    return matrix
+    return values.reshape(len(lengths), width)
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a packed column and the dimension of each row, without a copy."""
+    _, offset_buffer, data = column.buffers()
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    offsets = np.frombuffer(offset_buffer, dtype=kind)[column.offset :][: len(column) + 1]
+    raw = np.frombuffer(data or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
+    lengths = np.diff(offsets)
+    if (lengths % 4).any():
+        raise ValueError("a packed vector is not made of whole floats")
+    return raw.view("<f4"), lengths // 4
+
+
+def pack(column: pa.Array) -> pa.Array:
+    """A list column as little-endian float32 bytes, one value per vector."""
+    matrix = np.ascontiguousarray(to_matrix(column), dtype="<f4")
+    offsets = np.arange(len(matrix) + 1, dtype=np.int32) * np.int32(4 * matrix.shape[1])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(matrix)]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(matrix), buffers)
 
 
 def lengths_of(matrix: np.ndarray) -> np.ndarray:

@@ -27,6 +27,7 @@ from vecloom.operators import cells
 from vecloom.operators.kernel import (
     BestRows,
     hits_table,
+    pack,
     parts_by_cell,
     queries_by_cell,
     to_matrix,
@@ -61,10 +62,31 @@ def check_metric(metric: str) -> str:
 
 def query_size(queries: DataFrame) -> tuple[int, int]:
     """Number and dimension of the query vectors."""
-    rows, dim = queries.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    is_packed = isinstance(queries.schema["embedding"].dataType, T.BinaryType)
+    width = F.octet_length("embedding") / 4 if is_packed else F.size("embedding")
+    rows, dim = queries.agg(F.count(F.lit(1)), F.max(width).cast("int")).first()
     return rows, dim or 0
 
 
+def packed(vectors: DataFrame) -> DataFrame:
+    """The same rows with ``embedding`` as float32 bytes. Spark copies such a value whole
+    on its way to Python, where an array is copied element by element; every search
+    operator reads both forms."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                at = batch.schema.get_field_index("embedding")
+                columns = [*batch.columns[:at], pack(batch.column(at)), *batch.columns[at + 1 :]]
+                yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    fields = [
+        T.StructField(f.name, T.BinaryType() if f.name == "embedding" else f.dataType)
+        for f in vectors.schema
+    ]
+    return vectors.mapInArrow(run, T.StructType(fields))
+
+
 def fits(size: tuple[int, int], limit_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether that many float64 vectors may be held by every task."""
     return size[0] * size[1] * 8 <= limit_bytes
@@ -186,7 +208,7 @@ def exact_top_k(
     """``(query_id, rank, id, carry.., score)`` with the best ``k`` rows per query.
 
     ``queries`` has ``query_id`` (unique) and ``embedding``; ``corpus`` has ``id``,
-    ``embedding`` and the carried columns. ``exclude_self`` leaves out the row whose
+    ``embedding`` (arrays or packed) and the carried columns. ``exclude_self`` leaves out the row whose
     id is the query's own. ``by`` names the shard column for per-shard search and
     merge, which gives the same rows. ``size`` is the queries' (rows, dimension) where
     the caller knows it; otherwise it is measured before anything is fetched.

@@ -2,9 +2,9 @@
 
 Layout under the store's folder::
 
-    settings/                                   one row: num_shards, dim
+    settings/                                   one row per write: batch_no, num_shards, dim
     embeddings/batch_no=B/shard_id=N/*.parquet
-    lsh/, ivf/                                  approximate indexes, once built
+    flat/, lsh/, ivf/                           search indexes, once built
 
 Adding a batch writes only that batch. Reading hides a row once a later batch holds
 its id; with one batch there is nothing to hide and the read is a plain scan.
@@ -31,7 +31,7 @@ from vecloom.functions.ids import (
 )
 from vecloom.functions.vectors import dims, is_complete
 from vecloom.operators import approx
-from vecloom.operators.search import exact_top_k
+from vecloom.operators.search import exact_top_k, packed
 
 VECTOR_COLUMNS = ("paragraph_id", "article_id", "article_title", "embedding")
 STORED_SCHEMA = T.StructType(
@@ -45,7 +45,7 @@ STORED_SCHEMA = T.StructType(
     ]
 )
 CARRY = ("article_id", "article_title")
-INDEXES = ("lsh", "ivf")
+APPROXIMATE = ("lsh", "ivf")
 
 
 def checked(vectors: DataFrame, dim: int | None = None) -> DataFrame:
@@ -165,8 +165,9 @@ class VectorTable:
         """Write ``vectors`` (paragraph_id, article_id, article_title, embedding; ids
         unique) as batch 0 of a new store. A store's folder holds one sharding only."""
         table = cls(vectors.sparkSession, path, num_shards, dim)
+        table.refuse_existing()
         table._write(checked(vectors, dim), 0)
-        return table.describe()
+        return table.log_write(0)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> VectorTable:
@@ -176,14 +177,26 @@ class VectorTable:
             raise ValueError(f"no store under {path}") from missing
         return cls(spark, path, made.num_shards, made.dim)
 
-    def describe(self) -> VectorTable:
-        """Write the settings a later load needs, the dimension from a stored row."""
+    def refuse_existing(self) -> None:
+        """A new store needs a folder of its own: shards of two settings never mix."""
+        try:
+            self._settings()
+        except AnalysisException:
+            return
+        raise ValueError(f"there is a store under {self.path} already")
+
+    def _settings(self) -> DataFrame:
+        return self._spark.read.parquet(f"{self.path}/settings")
+
+    def log_write(self, batch_no: int) -> VectorTable:
+        """Note a finished write and what a later load needs, the dimension from a
+        stored row."""
         if self.dim is None:
             row = self.stored().select(dims("embedding").alias("dim")).first()
             self.dim = row.dim if row else None
-        settings = [(self.num_shards, self.dim)]
-        self._spark.createDataFrame(settings, "num_shards int, dim int").write.mode(
-            "overwrite"
+        row = [(batch_no, self.num_shards, self.dim)]
+        self._spark.createDataFrame(row, "batch_no int, num_shards int, dim int").write.mode(
+            "append"
         ).parquet(f"{self.path}/settings")
         return self
 
@@ -196,8 +209,8 @@ class VectorTable:
         return self._spark.read.schema(STORED_SCHEMA).parquet(f"{self.path}/embeddings")
 
     def last_batch(self) -> int:
-        """The highest batch number stored."""
-        return self.stored().agg(F.max("batch_no")).first()[0]
+        """The highest batch number written."""
+        return self._settings().agg(F.max("batch_no")).first()[0]
 
     def vectors(self) -> DataFrame:
         """The current rows: the newest of each id."""
@@ -211,7 +224,7 @@ class VectorTable:
         if batch_no is None:
             batch_no = self.last_batch() + 1
         self._write(checked(newest(batch, order), self.dim), batch_no)
-        return self
+        return self.log_write(batch_no)
 
     def compact(self, path: str) -> VectorTable:
         """The current rows as a new single-batch store."""
@@ -266,6 +279,13 @@ class VectorTable:
         """The current vectors under the names the search operators use."""
         return self.vectors().withColumnRenamed("paragraph_id", "id")
 
+    def build_flat(self) -> VectorTable:
+        """Write the current rows with packed vectors, for exact search."""
+        packed(self.corpus()).write.mode("overwrite").partitionBy(SHARD_COLUMN).parquet(
+            f"{self.path}/flat/vectors"
+        )
+        return self._note_index("flat")
+
     def build_lsh(self, tables: int = 8, bits: int = 6) -> VectorTable:
         """Write the hyperplane index of the current rows."""
         approx.write_hyperplane_index(self.corpus(), f"{self.path}/lsh", self.dim, tables, bits)
@@ -281,17 +301,24 @@ class VectorTable:
         return self._note_index("ivf")
 
     def _note_index(self, kind: str) -> VectorTable:
-        newest_batch = self._spark.createDataFrame([(self.last_batch(),)], "batch_no int")
-        newest_batch.write.mode("overwrite").parquet(f"{self.path}/{kind}/covers")
+        covered = [(self._settings().count(),)]
+        self._spark.createDataFrame(covered, "writes long").write.mode("overwrite").parquet(
+            f"{self.path}/{kind}/covers"
+        )
         return self
 
-    def _check_index(self, kind: str) -> None:
+    def _index_state(self, kind: str) -> str:
         try:
-            covered = self._spark.read.parquet(f"{self.path}/{kind}/covers").first().batch_no
-        except AnalysisException as missing:
-            raise ValueError(f"the {kind} index has not been built") from missing
-        if covered < self.last_batch():
-            raise ValueError(f"the {kind} index is older than the store; build it again")
+            covered = self._spark.read.parquet(f"{self.path}/{kind}/covers").first().writes
+        except AnalysisException:
+            return "has not been built"
+        return "ready" if covered == self._settings().count() else "is older than the store"
+
+    def _exact_corpus(self) -> DataFrame:
+        """The flat index while it covers the store, else the stored rows themselves."""
+        if self._index_state("flat") != "ready":
+            return self.corpus()
+        return self._spark.read.parquet(f"{self.path}/flat/vectors")
 
     def search(
         self,
@@ -305,14 +332,16 @@ class VectorTable:
     ) -> DataFrame:
         """Top-k per query. ``method``: ``exact``; ``sharded`` (per shard, then merged;
         the same rows); ``lsh`` or ``ivf`` (approximate, from a built index)."""
-        corpus = self.corpus()
         common = {"metric": metric, "carry": CARRY, "exclude_self": exclude_self}
         if method == "exact":
-            return exact_top_k(queries, corpus, k, **common)
+            return exact_top_k(queries, self._exact_corpus(), k, **common)
         if method == "sharded":
-            return exact_top_k(queries, corpus, k, by=SHARD_COLUMN, **common).drop(SHARD_COLUMN)
-        if method in INDEXES:
-            self._check_index(method)
+            hits = exact_top_k(queries, self._exact_corpus(), k, by=SHARD_COLUMN, **common)
+            return hits.drop(SHARD_COLUMN)
+        if method in APPROXIMATE:
+            state = self._index_state(method)
+            if state != "ready":
+                raise ValueError(f"the {method} index {state}; build it first")
             path = f"{self.path}/{method}"
             if method == "lsh":
                 return approx.search_hyperplane_index(queries, path, k, **common)
