@@ -111,6 +111,7 @@ class BestRows:
         # Every query has at least k kept rows that score no less than its floor.
         self._floor = np.full(len(queries), -np.inf)
         self._kept: pa.Table | None = None
+        self._pending: list[pa.Table] = []
 
     def offer(
         self, rows: pa.Table, matrix: np.ndarray, parts: Iterable[Part] | None = None
@@ -177,7 +178,7 @@ class BestRows:
     def _settle(
         self, rows: pa.Table, matrix: np.ndarray, query: np.ndarray, row: np.ndarray
     ) -> None:
-        """Score the candidates exactly, merge them with the kept rows, raise the floors."""
+        """Score the candidates exactly and keep the block's best."""
         score = np.empty(len(query))
         for start in range(0, len(query), 1 << 16):
             part = slice(start, start + (1 << 16))
@@ -191,11 +192,22 @@ class BestRows:
         found = rows.take(pa.array(row[here]))
         found = found.append_column("query", pa.array(query[here].astype(np.int32)))
         found = found.append_column("score", pa.array(score[here]))
-        if self._kept is not None:
-            found = pa.concat_tables([self._kept, found]).combine_chunks()
-            tie = _id_order(found.column("id"))
-            best = _first_k(found.column("query").to_numpy(), found.column("score").to_numpy(),
-                            tie, self._k)
+        self._pending.append(found)
+        waiting = sum(table.num_rows for table in self._pending)
+        # Few rows of a late block win; merge them once they are worth a sort.
+        if self._kept is None or waiting > self._kept.num_rows // 2:
+            self._merge()
+
+    def _merge(self) -> None:
+        """Merge the waiting rows into the kept ones and raise the floors."""
+        if not self._pending:
+            return
+        tables = ([] if self._kept is None else [self._kept]) + self._pending
+        found, self._pending = pa.concat_tables(tables).combine_chunks(), []
+        if len(tables) > 1:
+            query = found.column("query").to_numpy()
+            score = found.column("score").to_numpy()
+            best = _first_k(query, score, _id_order(found.column("id")), self._k)
             found = found.take(pa.array(best))
         self._kept = found
         query, score = found.column("query").to_numpy(), found.column("score").to_numpy()
@@ -207,6 +219,7 @@ class BestRows:
 
     def table(self) -> pa.Table | None:
         """The kept rows with ``query`` (position) and ``score`` appended."""
+        self._merge()
         return self._kept
 
 
