@@ -7,11 +7,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vecloom.session import run_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bucketed(rows: DataFrame, key: str) -> DataFrame:
+    """The rows as a written table bucketed by ``key``: joins on it do not shuffle them again.
+
+    An external table in the shared folder, with as many buckets as the session's shuffles
+    have partitions.
+    """
+    spark = rows.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = run_dir(spark, "bucketed")
+    name = "t" + path.rsplit("-", 1)[1]
+    rows.repartition(buckets, key).write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A string column as UTF-8 bytes and the place of each row in them; null is empty."""
     column = column.cast(pa.large_string())
