@@ -1,22 +1,82 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again."""
+"""The corpus pipeline: stages over ``documents``, each written and read again.
+
+Every stage keeps the columns of ``documents`` (the last one gives packed pieces) and works
+on all rows its predecessor kept. Repeated rows of one id are told apart by their text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vecloom.llm import packing
+from vecloom.llm import packing, pii, quality, simhash, substring
 from vecloom.llm.common import table
 from vecloom.llm.queries import BYTE_BPE
 from vecloom.session import settled
 
+# A document below this quality goes.
+QUALITY = 0.3
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: documents that the line model rejects go."""
+    labels = table(spark, sf_dir, "labels").where(~quality.held_out(F.col("doc_id")))
+    model = quality.train(docs, labels)
+    return docs.where(quality.score(model, F.col("text")) >= QUALITY)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: of each group of near-duplicates the smallest id stays.
+
+    A null id stays only in a group without others. Repeated rows of the smallest id are
+    one document: one row stays.
+    """
+    marked = docs.withColumn("simhash_row", F.xxhash64("doc_id", "text"))
+    found = simhash.near_duplicates(marked, doc_id="doc_id", text="text", keep=("simhash_row",))
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        "simhash_row", "component_id", "component"
+    )
+    chosen = first.groupBy("component").agg(F.min("simhash_row").alias("simhash_row")).select("simhash_row")
+    kept = marked.join(chosen, "simhash_row", "left_semi").dropDuplicates(["simhash_row"])
+    return kept.select(*docs.columns)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: passages of 20 words and more that start earlier are cut out.
+
+    Texts that lose nothing stay as they are; the others are their kept words, and
+    ``n_chars`` follows.
+    """
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    found = substring.remove_repeats(docs, keep=others, restore=True)
+    cut = found.withColumn("text", F.col("kept"))
+    changed = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", changed).select(*docs.columns)
+
+
+def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: personal data becomes [KIND]; other texts stay as they are."""
+    found = pii.find(docs, keep=tuple(docs.columns))
+    rows = found.select("spans", *(F.col("others")[c].alias(c) for c in docs.columns))
+    text = pii.redacted(F.col("text"), F.col("spans"))
+    marked = rows.withColumn("text", text)
+    changed = F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return marked.withColumn("n_chars", changed).select(*docs.columns)
+
 
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: every remaining text in sequences of at most 2048 tokens."""
     return packing.pack(docs, BYTE_BPE)
 
 
-STAGES = [("best_fit_packing", packed)]
-# Tokenizers and trained models have no SQL; the tests hold each stage against brute force.
+STAGES = [
+    ("quality_filter", quality_filter),
+    ("simhash_dedup", simhash_dedup),
+    ("substring_dedup", substring_dedup),
+    ("pii_redaction", pii_redaction),
+    ("best_fit_packing", best_fit_packing),
+]
+# A trained model and a tokenizer have no SQL; the tests hold each stage against brute force.
 ORACLE_SQL = None
 
 

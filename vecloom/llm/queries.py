@@ -7,13 +7,18 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import bpe, embedding_dups, packing, simhash, substring, topk
-from vecloom.llm.common import table
+from vecloom.llm import bpe, embedding_dups, packing, pii, quality, secret_scan, simhash, substring, topk, urls
+from vecloom.llm.common import spans_text, table
+from vecloom.llm.oracle import ORACLE
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
+RANKS = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+# The pattern that goes with the rank file (a fixed value of that vocabulary).
+RANKS_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+__all__ = ["BYTE_BPE", "ORACLE", "QUERIES"]
 
 
 def registered(query):
@@ -33,11 +38,48 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def op2_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(table(spark, sf_dir, "documents")))
+
+
+@registered
+def op3_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @registered
 def op4_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@registered
+def op5_token_efficiency_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = secret_scan.encoding_file(RANKS)
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", secret_scan.find(ranks, RANKS_PATTERN, F.col("text")).alias("f"))
+
+    def many(kind: str):
+        return F.size(F.filter("f.base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(many(kind).alias(f"n_{kind}") for kind in secret_scan.BASE),
+        F.sha2(spans_text(F.col("f.base")), 256).alias("base_sha256"),
+        spans_text(F.col("f.spans")).alias("spans"),
+    )
+
+
+@registered
+def op6_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(~quality.held_out(F.col("doc_id"))))
+    found = docs.select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), quality.score(model, F.col("text")).alias("score")
+    )
+    return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @registered
 def op7_hyperplane_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dups.near_duplicates(table(spark, sf_dir, "embeddings"))

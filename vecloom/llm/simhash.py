@@ -133,10 +133,23 @@ def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK_ROWS) -> D
 
 
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    radius: int = RADIUS,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of docs."""
-    made = settled(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text)).alias("fingerprint")), "prints")
+    """(doc_id, *keep, fingerprint, component_id, component) for every row of docs.
+
+    component_id is the smallest id of the component, component its own number, which it has
+    even if all its ids are null.
+    """
+    made = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.struct(F.lit(0).alias("_"), *keep).alias("others"),
+        fingerprint(F.col(text)).alias("fingerprint"),
+    )
+    made = settled(made, "prints")
     classes = settled(made.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "classes")
     parts = connected_components(links(classes.select("fingerprint"), radius), "a", "b")
     named = classes.join(parts, classes.fingerprint == parts.node, "left").select(
@@ -144,5 +157,7 @@ def near_duplicates(
     )
     named = settled(named, "components")
     lowest = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = named.join(lowest, "component").select("fingerprint", "component_id")
-    return made.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    named = named.join(lowest, "component").select("fingerprint", "component_id", "component")
+    return made.join(named, "fingerprint").select(
+        "doc_id", *(F.col("others")[c].alias(c) for c in keep), "fingerprint", "component_id", "component"
+    )
