@@ -28,6 +28,13 @@ def bucketed(rows: DataFrame, key: str) -> DataFrame:
     return spark.table(name)
 
 
+def written(rows: DataFrame, label: str) -> DataFrame:
+    """The rows as a written table, tightly compressed: for texts that are read again."""
+    path = run_dir(rows.sparkSession, label)
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A string column as UTF-8 bytes and the place of each row in them; null is empty."""
     column = column.cast(pa.large_string())

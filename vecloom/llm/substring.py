@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from vecloom.llm.blocks import GROUP, whole_groups
-from vecloom.llm.common import bucketed
+from vecloom.llm.common import bucketed, written
 from vecloom.llm.fm_index import FMIndex
 from vecloom.llm.words import mixed, word_hashes
 
@@ -314,7 +314,7 @@ def remove_repeats(
     anchored = first_texts.select("row", "packed").mapInArrow(_anchors(window), "anchor bigint, row bigint, n bigint")
     repeated = anchored.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
     wanted = anchored.join(repeated, "anchor", "left_semi").groupBy("row").agg(F.collect_list("anchor").alias("anchors"))
-    searched = first_texts.join(wanted, "row").select("row", "at", "anchors", "packed")
+    searched = first_texts.join(bucketed(wanted, "row"), "row").select("row", "at", "anchors", "packed")
 
     order = F.col("at").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("place")
     contents = (
@@ -322,6 +322,7 @@ def remove_repeats(
         .groupBy("anchor", "content")
         .agg(F.sum("n").alias("n"), F.min("at").alias("at"), F.min_by("place", order).alias("place"))
     )
+    contents = written(contents, "segments")
     hot = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > BLOCK_ROWS)
     blocks = F.coalesce(F.ceil(F.col("rows") / BLOCK_ROWS).cast("int"), F.lit(1))
     dealt = (
