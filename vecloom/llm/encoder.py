@@ -20,9 +20,9 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
-import regex
 import tiktoken
-from tokenizers import Tokenizer
+from tokenizers import Regex, Tokenizer
+from tokenizers.normalizers import Replace
 
 from vecloom.llm.common import text_buffers
 
@@ -43,14 +43,18 @@ def byte_letters() -> list[str]:
 
 def letter_classes() -> list[tuple[int, int]]:
     """Runs (first code point, class) of the letters, numbers and white space that the
-    tokenizer's word splitting tells apart; the tests hold every code point against it."""
+    word splitting tells apart, asked from the library's own patterns: other libraries
+    follow other versions of Unicode."""
     points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    text = "".join(map(chr, points))
-    points = np.array(points)
     classes = np.full(0x110000, OTHER, np.uint8)
-    for pattern, name in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\s+", SPACE)):
-        for found in regex.finditer(pattern, text):
-            classes[points[found.start() : found.end()]] = name
+    for at in range(0, len(points), 1 << 16):
+        text = "".join(map(chr, points[at : at + (1 << 16)]))
+        for pattern, name in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER), (r"\s", SPACE)):
+            rest = Replace(Regex(pattern), "").normalize_str(text)
+            if len(rest) < len(text):
+                left = np.frombuffer(rest.encode("utf-32-le"), np.uint32)
+                whole = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+                classes[np.setdiff1d(whole, left, assume_unique=True)] = name
     first = np.flatnonzero(np.diff(classes, prepend=255))
     return list(zip(first.tolist(), classes[first].tolist(), strict=True))
 

@@ -58,12 +58,22 @@ def _longs(scores: np.ndarray) -> np.ndarray:
     return scores.astype(np.int64)
 
 
-def _scan(block: list, scale: float, choose: Callable) -> Callable:
-    """A mapInArrow function: what ``choose`` finds for a block of queries in each batch."""
+def _best(found: list[tuple[np.ndarray, ...]], k: int) -> tuple[np.ndarray, ...]:
+    """The k best of (query, id, score) entries for each query."""
+    query, ids, score = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((ids, -score, query))
+    ordered = query[order]
+    keep = order[np.arange(len(ordered)) - np.searchsorted(ordered, ordered) < k]
+    return query[keep], ids[keep], score[keep]
+
+
+def _scan(block: list, scale: float, k: int, choose: Callable) -> Callable:
+    """A mapInArrow function: the k best a task finds for each query with ``choose``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups = {m.shape[1]: (rows, np.floor(scale * m)) for rows, m in by_dimension([r for _, r in block])}
         own = np.array([i for i, _ in block], np.int64)
+        kept, entries = [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for rows, matrix in by_dimension(batch.column(1).to_pylist()):
@@ -76,10 +86,15 @@ def _scan(block: list, scale: float, choose: Callable) -> Callable:
                     lists = _partials(queries, matrix[at : at + ROWS_AT_ONCE])
                     allowed = own[asked][:, None] != ids[some][None, :]
                     q, r, score = choose(lists, allowed, asked)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(own[asked[q]]), pa.array(ids[some[r]]), pa.array(_longs(score))],
-                        ["query_id", "vec_id", "score"],
-                    )
+                    kept.append((asked[q], ids[some[r]], _longs(score)))
+                    entries += len(q)
+                    if entries > 4 * k * len(block):
+                        kept = [_best(kept, k)]
+                        entries = len(kept[0][0])
+        if entries:
+            q, found, score = _best(kept, k)
+            arrays = [pa.array(own[q]), pa.array(found), pa.array(score)]
+            yield pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
 
     return run
 
@@ -153,11 +168,11 @@ def top_k(
     for number in range(blocks):
         # About block_queries rows: the block is what every task holds.
         block = [(r.vec_id, bytes(r.packed)) for r in queries.where(F.col("block") == number).collect()]
-        listed = best_k(vectors.mapInArrow(_scan(block, scale, _local_lists(k)), SCHEMA), k)
+        listed = best_k(vectors.mapInArrow(_scan(block, scale, k, _local_lists(k)), SCHEMA), k)
         least = {r.query_id: r.score for r in listed.where(F.col("rank") == k).select("query_id", "score").collect()}
         # float(score) may round up beyond 2^53; stay below it.
         cutoffs = np.array([np.nextafter(float(least[i]), -np.inf) if i in least else -np.inf for i, _ in block])
-        found = best_k(vectors.mapInArrow(_scan(block, scale, _above(cutoffs)), SCHEMA), k)
+        found = best_k(vectors.mapInArrow(_scan(block, scale, k, _above(cutoffs)), SCHEMA), k)
         found.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(folder)
     if not blocks:
         spark.createDataFrame([], kind).write.parquet(folder)
