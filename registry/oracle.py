@@ -51,6 +51,8 @@ samples AS (
   WHERE shard_id = (SELECT min(shard_id) FROM vectors)
   ORDER BY paragraph_id LIMIT 10)"""
 
+_EVERY = "samples AS (SELECT paragraph_id AS query_id, embedding AS asked FROM vectors)"
+
 _REQUESTS = "requests AS (SELECT 'b' || item_id AS query_id, text FROM benchmark)"
 
 
@@ -91,6 +93,8 @@ _SAMPLE_PAIRS = f"""SELECT q.query_id, v.paragraph_id AS id, v.article_id, v.art
 
 _TOP10 = f"WITH {_VECTORS}, {_SAMPLES}, {_ranked(_SAMPLE_PAIRS, 10)}"
 
+_EVERY10 = f"WITH {_VECTORS}, {_EVERY}, {_ranked(_SAMPLE_PAIRS, 10)}"
+
 _TEXT_PAIRS = """SELECT q.query_id, p.paragraph_id AS id, p.article_title,
   list_dot_product(pv.vector::DOUBLE[], q.vector::DOUBLE[]) AS raw
   FROM asked q CROSS JOIN stored pv JOIN paragraphs p USING (paragraph_id)"""
@@ -147,7 +151,7 @@ runs AS (
 
 _DOC_SEARCH = f"""WITH texts AS (SELECT doc_id, source, text FROM documents),
 {_embed('stored', 'texts', 'doc_id')},
-wanted AS (SELECT CAST(n_nationkey AS BIGINT) AS doc_id FROM nation),
+wanted AS (SELECT doc_id FROM documents),
 {_ranked('''SELECT q.doc_id AS query_id, v.doc_id AS id, d.source AS title, d.text,
   list_dot_product(v.vector::DOUBLE[], q.vector::DOUBLE[]) AS raw
   FROM stored q JOIN wanted USING (doc_id) JOIN stored v ON v.doc_id <> q.doc_id
@@ -188,6 +192,8 @@ ORACLE: dict[str, str] = {
     "a2_scan_csv_schema": _CUSTOMER,
     "a3_xml_articles": f"""SELECT CAST(doc_id AS VARCHAR) AS title, {_strip('text')} AS extract
         FROM documents WHERE {_strip('text')} <> ''""",
+    "a3_xml_nested": f"""SELECT 'outer ' || doc_id AS title, 'first' AS extract FROM documents WHERE doc_id % 5 <> 0
+        UNION ALL SELECT CAST(doc_id AS VARCHAR), {_strip('text')} FROM documents WHERE {_strip('text')} <> ''""",
     "a3_html_titles": f"SELECT page_id, {_TITLE} AS title FROM pages",
     "a4_chunk_paragraphs": _P + "SELECT * FROM paragraphs",
     "a5_read_shard": _V + f"""SELECT paragraph_id, article_id, shard_id, {_micro('embedding')} AS vector
@@ -221,7 +227,7 @@ ORACLE: dict[str, str] = {
     "c5_reject_blank": f"""WITH {_PIECES} SELECT page_id,
         CASE WHEN blank THEN 'Text cannot be empty' ELSE 'none' END AS error, count(*) AS n
         FROM marked GROUP BY page_id, blank""",
-    "c6_exclude_self": f"""WITH {_VECTORS}, {_SAMPLES},
+    "c6_exclude_self": f"""WITH {_VECTORS}, {_EVERY},
         {_ranked(_SAMPLE_PAIRS + ' WHERE v.paragraph_id <> q.query_id', 5)} SELECT {_HITS} FROM ranked""",
     "c7_limit_if_positive": """SELECT * FROM (SELECT c_custkey, c_name, 20 AS row_limit FROM customer
         ORDER BY c_custkey LIMIT 20) UNION ALL SELECT c_custkey, c_name, 0 FROM customer""",
@@ -257,7 +263,7 @@ ORACLE: dict[str, str] = {
         FROM documents LEFT JOIN embeddings ON vec_id = doc_id GROUP BY lang""",
     "c21_rounding": "SELECT event_id, round(value / 7, 4) AS four, round(value / 7, 2) AS two FROM events",
     "d1_score_blocks": f"{_TEXT_SEARCH}, {_ranked(_TEXT_PAIRS, 5)} SELECT query_id, rank, id, {_SCORE} FROM ranked",
-    "d2_resolve_ids": f"""WITH {_VECTORS}, {_SAMPLES}, numbered AS (
+    "d2_resolve_ids": f"""WITH {_VECTORS}, {_EVERY}, numbered AS (
           SELECT *, {_number('paragraph_id')} AS vector_id FROM vectors),
         {_ranked(f"SELECT q.query_id, v.vector_id AS id, v.paragraph_id, v.article_id, v.article_title, {_dot('v.embedding', 'q.asked')} AS raw FROM samples q CROSS JOIN numbered v", 10)}
         SELECT query_id, rank, paragraph_id,
@@ -297,7 +303,7 @@ ORACLE: dict[str, str] = {
     "f1_longest": """SELECT doc_id, CAST(length(text) AS INTEGER) AS text_length FROM documents
         ORDER BY length(text) DESC, doc_id LIMIT 20""",
     "f2_exact_topk": f"{_TOP10} SELECT {_HITS} FROM ranked",
-    "f2_exact_topk_cosine": f"""WITH {_VECTORS}, {_SAMPLES}, {_PAIRS_AFTER},
+    "f2_exact_topk_cosine": f"""WITH {_VECTORS}, {_EVERY}, {_PAIRS_AFTER},
         {_ranked('''SELECT q.query_id, v.vec_id AS id, CASE WHEN list_dot_product(v.v::DOUBLE[], v.v::DOUBLE[]) > 0
           THEN list_dot_product(v.v::DOUBLE[], q.asked::DOUBLE[])
             / (sqrt(list_dot_product(v.v::DOUBLE[], v.v::DOUBLE[])) * sqrt(list_dot_product(q.asked::DOUBLE[], q.asked::DOUBLE[])))
@@ -309,11 +315,11 @@ ORACLE: dict[str, str] = {
         {_ranked('''SELECT q.query_id, s.id, list_dot_product(s.vector::DOUBLE[], q.vector::DOUBLE[]) AS raw
           FROM asked q CROSS JOIN stored s''', 10)}
         SELECT query_id, rank, id, {_SCORE} FROM ranked""",
-    "f6_lsh_topk": f"""WITH {_VECTORS}, {_SAMPLES}, {_LSH}, {_ranked(_LSH_SAMPLE_PAIRS, 10)}
+    "f6_lsh_topk": f"""WITH {_VECTORS}, {_EVERY}, {_LSH}, {_ranked(_LSH_SAMPLE_PAIRS, 10)}
         SELECT query_id, rank, id, {_SCORE} FROM ranked""",
     "f6_lsh_topk_cells": f"""WITH {_VECTORS}, {_LSH}, {_ranked(_LSH_ALL_PAIRS, 10)}
         SELECT query_id, rank, id, {_SCORE} FROM ranked""",
-    "f6_ivf_topk": f"""WITH {_VECTORS}, {_SAMPLES}, parts AS (
+    "f6_ivf_topk": f"""WITH {_VECTORS}, {_EVERY}, parts AS (
           SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS d FROM embeddings),
         means AS (SELECT label, d, avg(x) AS m FROM parts GROUP BY label, d),
         centres AS (SELECT label, list(m ORDER BY d) AS centre, sum(m * m) / 2 AS half FROM means GROUP BY label),
@@ -326,8 +332,8 @@ ORACLE: dict[str, str] = {
           SELECT q.paragraph_id AS query_id, o.paragraph_id AS id
           FROM near q JOIN near o ON o.label = q.label AND q.place <= 4 AND o.place = 1),
         {_ranked(_LSH_SAMPLE_PAIRS, 10)} SELECT query_id, rank, id, {_SCORE} FROM ranked""",
-    "f6_ivf_all_cells": f"{_TOP10} SELECT query_id, rank, id, {_SCORE} FROM ranked",
-    "f7_recall": f"""{_TOP10}, {_LSH},
+    "f6_ivf_all_cells": f"{_EVERY10} SELECT query_id, rank, id, {_SCORE} FROM ranked",
+    "f7_recall": f"""{_EVERY10}, {_LSH},
         near AS (SELECT * FROM (
           SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY round(raw, 9) DESC, id) AS place
           FROM ({_LSH_SAMPLE_PAIRS})) WHERE place <= 10)
@@ -344,10 +350,21 @@ ORACLE: dict[str, str] = {
         {_embed('stored', 'paragraphs', 'paragraph_id')}, {_embed('asked', 'requests', 'query_id')},
         {_ranked(_TEXT_PAIRS, 5)}
         SELECT query_id, string_agg(id, ',' ORDER BY rank) AS doc_ids FROM ranked GROUP BY query_id""",
+    "f8_repeated_ids": f"""WITH {_PARAGRAPHS}, requests AS (
+          SELECT conv_id || '_' || turn AS query_id, text, conv_id, role FROM conversations),
+        {_embed('stored', 'paragraphs', 'paragraph_id')}, {_embed('asked', 'requests', 'query_id')},
+        {_ranked(_TEXT_PAIRS, 50)}
+        SELECT CAST(CASE WHEN role = 'user' THEN conv_id END AS VARCHAR) AS query_id, r.text,
+          CASE WHEN conv_id % 60 BETWEEN 1 AND 50 THEN (
+            SELECT string_agg(id, ',' ORDER BY rank) FROM ranked k WHERE k.query_id = r.query_id AND rank <= conv_id % 60)
+          ELSE 'k must be between 1 and 50' END AS outcome
+        FROM requests r""",
     "f9_similar": f"""{_DOC_SEARCH} SELECT query_id, 'similar to ' || query_id AS query, rank, id AS doc_id,
         title, text, {_SCORE} FROM ranked""",
-    "f9_unknown": """SELECT DISTINCT o_custkey AS id, 'id ''' || o_custkey || ''' not found' AS error
-        FROM orders WHERE o_custkey NOT IN (SELECT doc_id FROM documents)""",
+    "f9_unknown": """SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS id, 'id ''' || o_custkey || ''' not found' AS error
+        FROM orders WHERE o_custkey NOT IN (SELECT doc_id FROM documents)
+        UNION ALL SELECT NULL, 'id ''null'' not found'
+        WHERE EXISTS (SELECT 1 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))""",
     "f10_embed": f"""WITH turns AS (SELECT conv_id || '_' || turn AS id, text FROM conversations),
         {_embed('stored', 'turns', 'id')}
         SELECT t.id, t.text, {_micro('s.vector')} AS vector, 64 AS dims FROM turns t JOIN stored s USING (id)""",
@@ -366,6 +383,14 @@ ORACLE: dict[str, str] = {
     "i5_store_search": f"""{_TEXT_SEARCH}, {_ranked(_TEXT_PAIRS.replace('p.article_title', 'p.article_title, p.article_id'), 5)}
         SELECT {_HITS} FROM ranked""",
     "j1_add_batch": f"WITH {_VECTORS}, {_CHANGED} SELECT * FROM merged",
+    "j1_stream_into_batches": f"""WITH {_VECTORS}, {_CHANGED}, {_PARAGRAPHS},
+        names AS (SELECT unnest(['one ', 'two ']) AS name)
+        SELECT paragraph_id, article_id, article_title, shard_id FROM merged UNION ALL
+        SELECT name || paragraph_id, article_id, article_title, CAST(article_id % 4 AS INTEGER)
+        FROM paragraphs CROSS JOIN names""",
+    "f7_fitted_share": f"""WITH {_VECTORS}, {_EVERY}, {_ranked(_SAMPLE_PAIRS, 3)}
+        SELECT query_id, rank, id, {_SCORE}, share FROM ranked
+        CROSS JOIN (SELECT unnest([1.0::DOUBLE, 0.5::DOUBLE]) AS share) s""",
     "j1_compact": f"WITH {_VECTORS}, {_CHANGED} SELECT * FROM merged",
     "j1_stream_add": f"""WITH {_VECTORS}, {_PARAGRAPHS}, arrived AS (
           SELECT paragraph_id, article_id, article_title, CAST(article_id % 4 AS INTEGER) AS shard_id FROM paragraphs)
@@ -373,5 +398,5 @@ ORACLE: dict[str, str] = {
         SELECT paragraph_id, article_id, article_title, shard_id FROM vectors
         WHERE paragraph_id NOT IN (SELECT paragraph_id FROM arrived)""",
 }
-ORACLE["f5_routes"] = f"""{_TOP10} SELECT query_id, rank, id, {_SCORE}, n.num_shards
+ORACLE["f5_routes"] = f"""{_EVERY10} SELECT query_id, rank, id, {_SCORE}, n.num_shards
     FROM ranked CROSS JOIN (SELECT unnest([1, 4, 7]) AS num_shards) n"""

@@ -46,11 +46,16 @@ def _corpus(spark, sf) -> DataFrame:
 def _samples(spark, sf) -> DataFrame:
     """The ten sample queries: first by id in the lowest shard."""
     corpus = _corpus(spark, sf)
-    lowest = F.broadcast(corpus.agg(F.min("shard_id").alias("shard_id")))
-    first = corpus.join(lowest, "shard_id", "left_semi").orderBy("id").limit(10)
+    lowest = corpus.agg(F.min("shard_id")).first()[0]
+    first = corpus.where(F.col("shard_id") == F.lit(lowest)).orderBy("id").limit(10)
     return first.select(F.col("id").alias("query_id"), "embedding")
 
 
+def _every(spark, sf) -> DataFrame:
+    """Every vector as a query."""
+    return _corpus(spark, sf).select(F.col("id").alias("query_id"), "embedding")
+
+
 def _embedded(spark, sf) -> DataFrame:
     """All paragraphs, embedded, as a search corpus."""
     rows = build.embed_paragraphs(paragraphs(spark, sf))
@@ -103,6 +108,21 @@ def a3_xml_articles(spark, sf):
     return pages.read_xml_articles(spark, path)
 
 
+def a3_xml_nested(spark, sf):
+    """Documents as pages that hold another page, end in ``</page >`` and have a second
+    extract, which does not count; every fifth has an empty first one."""
+    path = run_dir(spark, "dump")
+    docs = table(spark, sf, "documents")
+    record = pages.to_xml_records("doc_id", "text")
+    first = F.when(F.col("doc_id") % 5 == 0, "<extract/>").otherwise("<extract>first\n</extract>")
+    outer = F.concat(
+        F.lit('<page title="outer '), "doc_id", F.lit('">'), first, F.lit("<extract>second</extract>"),
+        record, F.lit("</page >"),
+    )
+    docs.select(outer.alias("value")).write.text(path)
+    return pages.read_xml_articles(spark, path)
+
+
 def a3_html_titles(spark, sf):
     return pages.html_titles(table(spark, sf, "pages")).select("page_id", "title")
 
@@ -261,7 +281,7 @@ def c5_reject_blank(spark, sf):
 
 
 def c6_exclude_self(spark, sf):
-    found = exact_top_k(_samples(spark, sf), _corpus(spark, sf), 5, carry=CARRY, exclude_self=True)
+    found = exact_top_k(_every(spark, sf), _corpus(spark, sf), 5, carry=CARRY, exclude_self=True)
     return _hits(found, *HITS)
 
 
@@ -287,8 +307,10 @@ def c8_bounded_k(spark, sf):
 
 
 def c9_skip_empty_batches(spark, sf):
-    by_language = table(spark, sf, "documents").repartition(32, "lang")
-    rows = embed_texts(by_language, HASHING, keep=("doc_id", "lang"))
+    """The documents beside a scan without rows, whose tasks get empty batches or none."""
+    docs = table(spark, sf, "documents")
+    both = docs.where(F.col("n_chars") < 0).unionAll(docs)
+    rows = embed_texts(both, HASHING, keep=("doc_id", "lang"))
     return rows.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"), F.min(vec.dims("embedding")).alias("dims")
     )
@@ -304,12 +326,6 @@ def c11_numeric_id(spark, sf):
     )
 
 
-def c11_blake2b_id(spark, sf):
-    return paragraphs(spark, sf).select(
-        "paragraph_id", ids.blake2b_id("paragraph_id").alias("vector_id")
-    )
-
-
 def c12_metadata_json(spark, sf):
     scored = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
     written = scored.select("doc_id", ids.to_metadata_json("source", "quality").alias("metadata_json"))
@@ -417,7 +433,7 @@ def d1_score_blocks(spark, sf):
 def d2_resolve_ids(spark, sf):
     corpus = _corpus(spark, sf)
     numbered = corpus.select(ids.numeric_id("id").alias("id"), "embedding")
-    hits = exact_top_k(_samples(spark, sf), numbered, 10).withColumnRenamed("id", "vector_id")
+    hits = exact_top_k(_every(spark, sf), numbered, 10).withColumnRenamed("id", "vector_id")
     return _hits(
         lookup.resolve_ids(hits, store.id_map(vectors(spark, sf))),
         "query_id", "rank", "paragraph_id", "metadata_json",
@@ -528,7 +544,7 @@ def f2_exact_topk(spark, sf):
 
 def f2_exact_topk_cosine(spark, sf):
     corpus = scaled(spark, sf).withColumnRenamed("vec_id", "id")
-    asked = _samples(spark, sf)
+    asked = _every(spark, sf)
     return _hits(exact_top_k(asked, corpus, 10, metric="cosine"), "query_id", "rank", "id")
 
 
@@ -551,7 +567,7 @@ def f5_routes(spark, sf):
     for count in (1, 4, 7):
         corpus = store.with_shards(vectors(spark, sf), count).withColumnRenamed("paragraph_id", "id")
         by = "shard_id" if count > 1 else None
-        found = exact_top_k(_samples(spark, sf), corpus, 10, by=by)
+        found = exact_top_k(_every(spark, sf), corpus, 10, by=by)
         parts.append(_hits(found, "query_id", "rank", "id").withColumn("num_shards", F.lit(count)))
     return store.unite(parts)
 
@@ -570,7 +586,7 @@ def _lsh(spark, sf, asked: DataFrame, **options) -> DataFrame:
 
 
 def f6_lsh_topk(spark, sf):
-    return _hits(_lsh(spark, sf, _samples(spark, sf)), "query_id", "rank", "id")
+    return _hits(_lsh(spark, sf, _every(spark, sf)), "query_id", "rank", "id")
 
 
 def f6_lsh_topk_cells(spark, sf):
@@ -585,21 +601,24 @@ def f6_ivf_topk(spark, sf):
         F.array(*[F.avg(F.get("embedding", F.lit(i))) for i in range(64)]).alias("centre")
     )
     # One row per label.
-    centres = np.array([row.centre for row in means.orderBy("label").collect()])
+    rows = means.orderBy("label").limit(approx.MAX_CENTRES + 1).collect()
+    if len(rows) > approx.MAX_CENTRES:
+        raise ValueError("too many labels to be centres")
+    centres = np.array([row.centre for row in rows])
     built = _stored(spark, sf).build_ivf(centres=centres)
-    found = built.search(_samples(spark, sf), 10, method="ivf", probes=4)
+    found = built.search(_every(spark, sf), 10, method="ivf", probes=4)
     return _hits(found, "query_id", "rank", "id")
 
 
 def f6_ivf_all_cells(spark, sf):
     """Fitted clusters, all of them probed: the exact result."""
     built = _stored(spark, sf).build_ivf(num_cells=16)
-    found = built.search(_samples(spark, sf), 10, method="ivf", probes=16)
+    found = built.search(_every(spark, sf), 10, method="ivf", probes=16)
     return _hits(found, "query_id", "rank", "id")
 
 
 def f7_recall(spark, sf):
-    asked = _samples(spark, sf)
+    asked = _every(spark, sf)
     exact = exact_top_k(asked, _corpus(spark, sf), 10)
     rows = approx.recall(_lsh(spark, sf, asked), exact)
     return rows.withColumn("recall", F.round("recall", 6))
@@ -609,7 +628,7 @@ def f8_text_search(spark, sf):
     answers, _ = requests.text_search(
         benchmark_requests(spark, sf), _embedded(spark, sf), paragraphs(spark, sf), HASHING
     )
-    return answers
+    return answers.select(*requests.ANSWER)
 
 
 def f8_rejected(spark, sf):
@@ -633,6 +652,23 @@ def f8_conversations(spark, sf):
     return rows.select("query_id", F.array_join("results.doc_id", ",").alias("doc_ids"))
 
 
+def f8_repeated_ids(spark, sf):
+    """Every turn as a request under the conversation's number, which repeats, and null for
+    the assistant's turns: each is answered or refused."""
+    user = F.when(F.col("role") == "user", F.col("conv_id"))
+    asked = table(spark, sf, "conversations").select(
+        user.alias("query_id"), "text", F.pmod("conv_id", F.lit(60)).cast("int").alias("k")
+    )
+    answers, rejected = requests.text_search(
+        asked, _embedded(spark, sf), paragraphs(spark, sf), HASHING
+    )
+    rows = requests.responses(answers).select(
+        "query_id", F.col("query").alias("text"), F.array_join("results.doc_id", ",").alias("outcome")
+    )
+    rows = rows.unionAll(rejected.select("query_id", "text", F.col("error").alias("outcome")))
+    return rows.withColumn("query_id", F.col("query_id").cast("string"))
+
+
 def _similar(spark, sf, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Written once: the lookup and the search both read the vectors.
     corpus = settled(_embedded_documents(spark, sf), "documents")
@@ -640,16 +676,20 @@ def _similar(spark, sf, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def f9_similar(spark, sf):
-    """Neighbours of the documents numbered like the nations, among all documents."""
-    wanted = table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("id"))
+    """Neighbours of every document among all documents."""
+    wanted = table(spark, sf, "documents").select(F.col("doc_id").alias("id"))
     answers, _ = _similar(spark, sf, wanted)
     return answers
 
 
 def f9_unknown(spark, sf):
-    """Every order's customer number as a requested document."""
-    wanted = table(spark, sf, "orders").select(F.col("o_custkey").alias("id"))
-    return _similar(spark, sf, wanted)[1]
+    """Every order's customer number as a requested document, and the document numbers
+    that documents without a label lack, which are null."""
+    labels = table(spark, sf, "labels").select("doc_id", F.col("doc_id").alias("id"))
+    missing = table(spark, sf, "documents").join(labels, "doc_id", "left").select("id")
+    wanted = table(spark, sf, "orders").select(F.col("o_custkey").alias("id")).unionAll(missing)
+    unknown = _similar(spark, sf, wanted)[1]
+    return unknown.withColumn("id", F.col("id").cast("string"))
 
 
 def f10_embed(spark, sf):
@@ -753,6 +793,28 @@ def j1_stream_add(spark, sf):
     return target.vectors().select("paragraph_id", "article_id", "article_title", "shard_id")
 
 
+def j1_stream_into_batches(spark, sf):
+    """The same stream into a store that holds a second batch already, then another."""
+    arriving = run_dir(spark, "arriving")
+    paragraphs(spark, sf).write.parquet(arriving)
+    target = _stored(spark, sf).add_batch(_changed(spark, sf), order="version")
+    for name in ("one", "two"):
+        stream = spark.readStream.schema(src.PARAGRAPH_SCHEMA).parquet(arriving)
+        stream = stream.withColumn("paragraph_id", F.concat(F.lit(f"{name} "), "paragraph_id"))
+        add_stream(stream, target, HASHING, run_dir(spark, "progress")).awaitTermination()
+    return target.vectors().select("paragraph_id", "article_id", "article_title", "shard_id")
+
+
+def f7_fitted_share(spark, sf):
+    """Clusters fitted on every row and on an asked share, all probed: both exact."""
+    found = []
+    for share in (1.0, 0.5):
+        built = _stored(spark, sf).build_ivf(num_cells=2, share=share)
+        hits = _hits(built.search(_every(spark, sf), 3, method="ivf", probes=2), "query_id", "rank", "id")
+        found.append(hits.withColumn("share", F.lit(share)))
+    return store.unite(found)
+
+
 QUERIES = {
     name: function
     for name, function in list(globals().items())

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,7 +136,7 @@ def test_known_and_unknown(spark, texts):
     wanted = spark.createDataFrame([("1_0",), ("1_0",), ("x",), (None,)], "paragraph_id string")
     known, unknown = lookup.known_and_unknown(wanted, texts, "paragraph_id")
     assert [r.paragraph_id for r in known.collect()] == ["1_0"]
-    assert [r.paragraph_id for r in unknown.collect()] == ["x"]
+    assert {r.paragraph_id for r in unknown.collect()} == {"x", None}
 
 
 # --- quantiles and reports ------------------------------------------------------------
@@ -302,7 +303,109 @@ def test_settled_is_a_scan_with_the_same_rows(spark):
     assert rows.count() == 5
 
 
-def test_spread_leaves_many_partitions_alone(spark):
-    many = spark.range(0, 100, 1, 64)
-    assert spread(many, "id").rdd.getNumPartitions() == 64
-    assert spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() > 1
+def test_spread_leaves_many_files_alone(spark, tmp_path):
+    def parts(rows):
+        return rows.select(F.spark_partition_id().alias("p")).distinct().count()
+
+    path = str(tmp_path / "rows")
+    spark.range(0, 1000, 1, 64).write.parquet(path)
+    many = spark.read.parquet(path)
+    assert spread(many, "id") is many
+    one = str(tmp_path / "one")
+    spark.range(0, 1000, 1, 1).write.parquet(one)
+    assert parts(spread(spark.read.parquet(one), "id")) > 1
+    assert parts(spread(many, "id", tasks=3)) <= 3
+
+
+# --- nothing is lost or mixed up --------------------------------------------------------
+
+
+def test_requests_that_share_an_id_are_answered_each(spark, texts, corpus):
+    rows = [("a", "quick cat", 2), ("a", "spark data", 1), (None, "dog", 1), (None, " ", 1), ("a", "quick cat", 2)]
+    answers, rejected = requests.text_search(asked(spark, rows), corpus, texts, HashingEmbedder)
+    found = answers.collect()
+    assert len(found) == 6 and rejected.count() == 1
+    assert len({(r.request_no, r["rank"]) for r in found}) == 6
+    assert {r.doc_id for r in found if r.query == "spark data"} == {"2_0"}
+    assert [r.query_id for r in found if r.query == "dog"] == [None]
+    grouped = requests.responses(answers).collect()
+    assert sorted((r.query, len(r.results)) for r in grouped) == [
+        ("dog", 1), ("quick cat", 2), ("quick cat", 2), ("spark data", 1)]
+
+
+def test_null_ids_are_not_found(spark):
+    table = spark.createDataFrame([(1, "x"), (None, "y")], "id bigint, name string")
+    wanted = spark.createDataFrame([(1,), (None,), (None,), (999,)], "id bigint")
+    known, unknown = lookup.known_and_unknown(wanted, table, "id")
+    assert [r.name for r in known.collect()] == ["x"]
+    assert {(r.id, r.error) for r in unknown.collect()} == {
+        (None, "id 'null' not found"), (999, "id '999' not found")}
+
+
+def test_streams_and_batches_keep_their_rows(spark, tmp_path, texts):
+    table = VectorTable.create(
+        embed_texts(texts, HashingEmbedder, keep=("paragraph_id", "article_id", "article_title")),
+        str(tmp_path / "store"), 2)
+    def new(name):
+        return spark.createDataFrame([(f"{name}_{i}", i, name, "words") for i in range(3)], PARAGRAPH_SCHEMA)
+
+    table.add_batch(embed_texts(new("batch"), HashingEmbedder, keep=("paragraph_id", "article_id", "article_title")))
+    for name in ("first", "second"):
+        new(name).write.parquet(str(tmp_path / name))
+        for _ in range(2):  # a resumed stream adds nothing twice
+            stream = spark.readStream.schema(PARAGRAPH_SCHEMA).parquet(str(tmp_path / name))
+            add_stream(stream, table, HashingEmbedder, str(tmp_path / f"progress {name}")).awaitTermination()
+    got = [r.paragraph_id for r in table.vectors().collect()]
+    assert len(got) == len(TEXTS) + 9 and len(set(got)) == len(got)
+
+
+def test_a_batch_run_again_replaces_its_own(spark, tmp_path):
+    table = VectorTable.create(vector_frame(spark, unit_vectors(4, 4)), str(tmp_path), 2)
+    table.add_batch(vector_frame(spark, unit_vectors(2, 4), "a"), writer="w", epoch=0)
+    table.add_batch(vector_frame(spark, unit_vectors(2, 4), "b"))
+    table.add_batch(vector_frame(spark, unit_vectors(1, 4), "c"), writer="w", epoch=0)
+    assert sorted(r.paragraph_id for r in table.vectors().collect()) == ["b0", "b1", "c0", "p0", "p1", "p2", "p3"]
+    for number in (0, 1):
+        with pytest.raises(ValueError, match="another writer"):
+            table.add_batch(vector_frame(spark, unit_vectors(1, 4), "d"), batch_no=number)
+
+
+def test_a_batch_is_seen_once_it_is_logged(spark, tmp_path):
+    table = VectorTable.create(vector_frame(spark, unit_vectors(4, 4)), str(tmp_path), 2)
+    table._write(vector_frame(spark, unit_vectors(3, 4), "half"), 1)
+    assert table.vectors().count() == 4
+    table.add_batch(vector_frame(spark, unit_vectors(1, 4), "whole"))
+    assert sorted(r.paragraph_id for r in table.vectors().collect())[-1] == "whole0"
+    assert table.vectors().count() == 5
+
+
+def test_a_new_store_has_one_row_per_id(spark, tmp_path):
+    twice = vector_frame(spark, unit_vectors(4, 4)).unionAll(vector_frame(spark, unit_vectors(2, 4, seed=3)))
+    table = VectorTable.create(twice, str(tmp_path / "a"), 2)
+    assert table.vectors().count() == 4
+    rows = spark.createDataFrame([*TEXTS, ("1_0", 1, "cats", "the second text")], PARAGRAPH_SCHEMA)
+    assert build.build_store(rows, str(tmp_path / "b"), num_shards=2).vectors().count() == len(TEXTS)
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), float("-inf")])
+def test_non_finite_elements_are_refused(spark, tmp_path, bad):
+    rows = vector_frame(spark, np.array([[0.5, bad], [1.0, 0.0]]))
+    with pytest.raises(Exception, match="non-finite"):
+        VectorTable.create(rows, str(tmp_path), 1)
+
+
+def test_sample_queries_read_one_shard(spark, tmp_path):
+    table = VectorTable.create(vector_frame(spark, unit_vectors(40, 4)), str(tmp_path), 4)
+    plan = table.sample_queries(3)._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "embedding" in line)
+    assert "(shard_id#" in scan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_search_metric_has_quantiles_and_backend(spark, tmp_path, texts):
+    build.build_store(texts, str(tmp_path), num_shards=2)
+    line = build.timed_search(spark, str(tmp_path), 3, rounds=3).first()
+    assert line.extra["backend"] == "flat" and line.extra["rounds"] == "3"
+    assert 0 < float(line.extra["p50_s"]) <= float(line.extra["p95_s"])
+    made = spark.read.json(str(tmp_path / "report")).first()
+    assert made.num_sample_queries > 0 and made.backends == "flat"
+    assert all(s.stored_bytes > 0 and s.num_vectors > 0 for s in made.shard_stats)

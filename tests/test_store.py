@@ -185,7 +185,7 @@ def test_uneven_batch_arrays_fail(spark):
     [
         ((None, 1, "t", [1.0, 2.0]), "paragraph_id is null"),
         (("a", 1, "t", None), "embedding is null"),
-        (("a", 1, "t", [1.0, None]), "null element"),
+        (("a", 1, "t", [1.0, None]), "null or non-finite element"),
         (("a", 1, "t", [1.0]), "2 dimensions"),
         (("a", None, "t", [1.0, 2.0]), "article_id is null"),
     ],

@@ -147,3 +147,29 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
     plan = df.select("c_custkey")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(c_nationkey,7)" in plan
     assert "ReadSchema: struct<c_custkey:bigint,c_nationkey:int>" in plan
+
+
+def read_dump(spark, tmp_path, text):
+    (tmp_path / "dump.xml").write_text(text, encoding="utf-8")
+    rows = pages.read_xml_articles(spark, str(tmp_path)).collect()
+    return sorted((r.title, r.extract) for r in rows)
+
+
+def test_nested_xml_pages_are_all_read(spark, tmp_path):
+    dump = """<pages><page title="a"><extract>A</extract>
+      <page title="b"><extract>B</extract><page title="c"><extract>C</extract></page ></page></page
+      ><page title="d"/><page title="e"><extract>E</extract></page></pages>"""
+    assert read_dump(spark, tmp_path, dump) == [("a", "A"), ("b", "B"), ("c", "C"), ("e", "E")]
+
+
+def test_first_extract_of_an_xml_page_counts(spark, tmp_path):
+    dump = """<pages><page title="a"><extract>one</extract><extract>two</extract></page>
+      <page title="b"><extract/><extract>two</extract></page>
+      <page title="c"><extract>x<b>y</b></extract><extract><b>z</b></extract></page></pages>"""
+    assert read_dump(spark, tmp_path, dump) == [("a", "one"), ("c", "x")]
+
+
+def test_an_extract_after_a_nested_page_fails(spark, tmp_path):
+    dump = '<page title="a"><page title="b"><extract>B</extract></page><extract>late</extract></page>'
+    with pytest.raises(Exception, match="follows a page nested"):
+        read_dump(spark, tmp_path, dump)

@@ -65,5 +65,7 @@ def similarity_from_euclidean(distance: Column | str) -> Column:
 
 
 def is_complete(vector: Column | str) -> Column:
-    """True for a vector that is present and has no missing element."""
-    return F.coalesce(~F.exists(vector, lambda x: x.isNull()), F.lit(False))
+    """True for a vector that is present and has no missing or non-finite element."""
+    limit = F.lit(float("inf"))
+    missing = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (x == limit) | (x == -limit))
+    return F.coalesce(~missing, F.lit(False))

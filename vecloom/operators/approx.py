@@ -38,9 +38,6 @@ from vecloom.operators.search import (
 )
 
 CELLS = T.ArrayType(T.IntegerType())
-# Rows per centre that k-means is fitted on. The centres only decide how rows are
-# grouped; every row is assigned to a cell and stays searchable.
-TRAINING_ROWS_PER_CENTRE = 256
 # Centres are held by every task: 16,384 x 384 doubles are 50 MB.
 MAX_CENTRES = 1 << 14
 # Distances held at once while rows are placed: 4 M doubles are 32 MB.
@@ -98,12 +95,15 @@ def hyperplane_cells(
     return _add_cells(df, assign, column)
 
 
-def fit_centres(corpus: DataFrame, num_cells: int, seed: int = 42) -> np.ndarray:
-    """k-means centres, fitted by MLlib on a hash-chosen share of the corpus."""
+def fit_centres(
+    corpus: DataFrame, num_cells: int, seed: int = 42, share: float = 1.0
+) -> np.ndarray:
+    """k-means centres, fitted by MLlib on every row, or on the hash-chosen ``share`` of
+    the rows that the caller asks for."""
+    if not 0 < share <= 1:
+        raise ValueError(f"share must be above 0 and at most 1, got {share}")
     if not 1 <= num_cells <= MAX_CENTRES:
         raise ValueError(f"num_cells must be between 1 and {MAX_CENTRES}, got {num_cells}")
-    rows = corpus.count()
-    share = min(1.0, TRAINING_ROWS_PER_CENTRE * num_cells / max(rows, 1))
     part = corpus
     if share < 1.0:
         part = corpus.where(F.xxhash64("id") < int((share - 0.5) * 2.0**64))
@@ -172,6 +172,7 @@ def top_k_in_cells(
             metric=metric,
             carry=carry,
             num_cells=num_cells,
+            dim=size[1],
         )
     if exclude_self:
         hits = hits.where(F.col("id") != F.col("query_id").cast(schema["id"].dataType))
@@ -204,11 +205,17 @@ def search_hyperplane_index(
     )
 
 
-def write_cluster_index(corpus: DataFrame, path: str, centres: np.ndarray) -> None:
+def write_cluster_index(
+    corpus: DataFrame, path: str, centres: np.ndarray, share: float | None = None
+) -> None:
     """The centres, and the corpus in one folder per cell. A cell that holds most of the
     rows is split into many files by the rebalance."""
     if len(centres) > MAX_CENTRES:
         raise ValueError(f"at most {MAX_CENTRES} centres, got {len(centres)}")
+    settings = corpus.sparkSession.createDataFrame(
+        [(len(centres), share)], "num_cells int, fitted_share double"
+    )
+    settings.write.mode("overwrite").parquet(f"{path}/settings")
     rows = [(cell, [float(x) for x in centre]) for cell, centre in enumerate(centres)]
     schema = "cell int, centre array<double>"
     corpus.sparkSession.createDataFrame(rows, schema).write.mode("overwrite").parquet(

@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecloom.operators.kernel import BestRows, hits_table, to_matrix
+from vecloom.session import settled
 
-# Largest block of each side: 131,072 x 384 floats are 200 MB, 32,768 are 50 MB. Large
-# blocks keep the number of copies of each side and of partial results low.
-VECTOR_BLOCK = 131_072
-QUERY_BLOCK = 32_768
+# Largest block of each side, in bytes of float64. Large blocks keep the number of copies
+# of each side and of partial results low.
+VECTOR_BYTES = 256 * 1024 * 1024
+QUERY_BYTES = 64 * 1024 * 1024
 # A side smaller than this is not cut further to occupy idle cores.
 SMALL_BLOCK = 4_096
-# Per-cell counts are broadcast, so the number of distinct cells must stay small.
 MAX_CELLS = 1 << 18
 
 
@@ -46,15 +46,17 @@ def best_in_cells(
     metric: str = "ip",
     carry: tuple[str, ...] = (),
     num_cells: int = 1,
-    vector_block: int = VECTOR_BLOCK,
-    query_block: int = QUERY_BLOCK,
+    dim: int,
+    vector_bytes: int = VECTOR_BYTES,
+    query_bytes: int = QUERY_BYTES,
 ) -> DataFrame:
-    """Partial hits of queries and vectors that share a ``cell``.
+    """Partial hits of queries and vectors of ``dim`` elements that share a ``cell``.
 
     Vectors in a cell no query asks for drop out before the shuffle.
     """
     if num_cells > MAX_CELLS:
         raise ValueError(f"at most {MAX_CELLS} cells, got {num_cells}")
+    vector_block, query_block = (max(1, size // (8 * max(1, dim))) for size in (vector_bytes, query_bytes))
     names = ["id", *carry]
     asked = queries.groupBy("cell").agg(_blocks(F.count(F.lit(1)), query_block).alias("q_blocks"))
     cores = corpus.sparkSession.sparkContext.defaultParallelism
@@ -62,7 +64,8 @@ def best_in_cells(
     held = corpus.groupBy("cell").agg(
         _blocks(F.count(F.lit(1)), vector_block, tasks).alias("v_blocks")
     )
-    grid = F.broadcast(asked.join(held, "cell"))
+    # One row per cell; Spark broadcasts it if its measured size allows.
+    grid = settled(asked.join(held, "cell"), "grid")
     left = (
         queries.join(grid, "cell")
         .withColumn("q_block", _block_of("query_id", F.col("q_blocks")))

@@ -6,6 +6,7 @@ queries; nothing here holds more than one block and the best ``k`` rows per quer
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterable
 
 import numpy as np
@@ -113,6 +114,13 @@ class BestRows:
         self._kept: pa.Table | None = None
         self._pending: list[pa.Table] = []
 
+    def fresh(self) -> BestRows:
+        """An empty one for the same queries, which it shares."""
+        other = copy.copy(self)
+        other._floor = np.full(len(self._queries), -np.inf)
+        other._kept, other._pending = None, []
+        return other
+
     def offer(
         self, rows: pa.Table, matrix: np.ndarray, parts: Iterable[Part] | None = None
     ) -> None:

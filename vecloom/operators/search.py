@@ -2,12 +2,12 @@
 
 Two plans give the same rows.
 
-* *Scan*: the queries are few (their size is checked), so each task of the corpus
-  scan holds them and keeps its best ``k`` per query. The corpus is read once and
+* *Scan*: the queries come in blocks of checked size; each task of a corpus scan holds
+  one block and keeps its best ``k`` per query. The corpus is read once per block and
   never shuffled; only ``tasks x queries x k`` rows are.
-* *Grid* (:mod:`vecloom.operators.cells`): the queries are too many to hold. Both
-  sides are cut into blocks by a hash of their id, and each pair of blocks is one
-  bounded task.
+* *Grid* (:mod:`vecloom.operators.cells`): more blocks than the driver should hold, as
+  when the corpus is its own query set. Both sides are cut into blocks by a hash of
+  their id, and each pair of blocks is one bounded task.
 
 Neither plan materialises query-vector pairs.
 """
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,11 @@ from vecloom.operators.kernel import (
 METRICS = ("ip", "cosine")
 # Largest query block a task may hold, in bytes of float64.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Blocks that are scanned one by one: together at most 1 GB in the driver. Beyond that
+# reading the corpus once per block costs more than shuffling both sides.
+MAX_BLOCKS = 16
+# A query's partial results are merged in so many parts first.
+MERGE_PARTS = 32
 MAX_SERVICE_K = 50
 
 
@@ -148,7 +154,9 @@ def scan_best(
             rows = pa.Table.from_batches([batch]).select(names)
             for value, at in _groups(rows, by):
                 if value not in kept:
-                    kept[value] = BestRows(query_matrix, k, metric)
+                    # The prepared queries are shared by the shards a task sees.
+                    other = next(iter(kept.values()), None)
+                    kept[value] = other.fresh() if other else BestRows(query_matrix, k, metric)
                 best, parts = kept[value], None
                 if cell is not None:
                     cells_of = to_matrix(batch.column(cell))
@@ -180,15 +188,16 @@ def merge_best(
     """Partial results to the final ``rank`` 1..k per query: score down, then id up.
 
     Spark cuts each map task's rows to ``k`` before the exchange (WindowGroupLimit).
-    With ``by`` the cut is made per shard first and the shards are merged after.
+    The scan tasks' rows of a query are merged in parts by a hash of the id first (with
+    ``by`` per shard as well), so that no task gets those of all scan tasks.
     ``repeated`` hits, found through several cells, count once.
     """
     order = (F.col("score").desc(), F.col("id").asc())
-    if by is not None:
-        per_shard = Window.partitionBy("query_id", by).orderBy(*order)
-        hits = hits.withColumn("rank", F.row_number().over(per_shard)).where(F.col("rank") <= k)
-    whole = Window.partitionBy("query_id").orderBy(*order)
     position = F.dense_rank() if repeated else F.row_number()
+    hits = hits.withColumn("__part", F.pmod(F.xxhash64("id"), F.lit(MERGE_PARTS)))
+    part = Window.partitionBy("query_id", *([by] if by else []), "__part").orderBy(*order)
+    hits = hits.withColumn("rank", position.over(part)).where(F.col("rank") <= k).drop("__part")
+    whole = Window.partitionBy("query_id").orderBy(*order)
     ranked = hits.withColumn("rank", position.over(whole)).where(F.col("rank") <= k)
     return ranked.dropDuplicates(["query_id", "rank"]) if repeated else ranked
 
@@ -207,7 +216,8 @@ def exact_top_k(
 ) -> DataFrame:
     """``(query_id, rank, id, carry.., score)`` with the best ``k`` rows per query.
 
-    ``queries`` has ``query_id`` (unique) and ``embedding``; ``corpus`` has ``id``,
+    ``queries`` has ``query_id`` (unique, not null: callers whose ids may repeat number
+    them, as :func:`vecloom.plans.requests.text_search` does) and ``embedding``; ``corpus`` has ``id``,
     ``embedding`` (arrays or packed) and the carried columns. ``exclude_self`` leaves out the row whose
     id is the query's own. ``by`` names the shard column for per-shard search and
     merge, which gives the same rows. ``size`` is the queries' (rows, dimension) where
@@ -220,9 +230,17 @@ def exact_top_k(
     wanted = k + 1 if exclude_self else k
     schema = hit_schema(queries, corpus, carry)
     size = size or query_size(queries)
-    if fits(size, limit_bytes):
-        block = fetch_block(queries, size)
-        hits = scan_best(corpus, block, wanted, schema, metric=metric, carry=carry, by=by)
+    blocks = max(1, -(-size[0] * size[1] * 8 // limit_bytes)) if limit_bytes else MAX_BLOCKS + 1
+    if blocks <= MAX_BLOCKS:
+        # Twice as many parts as needed, so that an uneven hash does not pass the limit.
+        parts = 1 if blocks == 1 else 2 * blocks
+        dealt = F.pmod(F.xxhash64("query_id"), F.lit(parts))
+        chosen = [queries if parts == 1 else queries.where(dealt == n) for n in range(parts)]
+        found = [
+            scan_best(corpus, fetch_block(q, size), wanted, schema, metric=metric, carry=carry, by=by)
+            for q in chosen
+        ]
+        hits = reduce(DataFrame.unionAll, found)
     else:
         hits = cells.best_in_cells(
             queries.withColumn("cell", F.lit(0)),
@@ -231,6 +249,7 @@ def exact_top_k(
             schema,
             metric=metric,
             carry=carry,
+            dim=size[1],
         )
     if exclude_self:
         # The own row takes at most one of the k + 1 places.

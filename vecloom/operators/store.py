@@ -2,17 +2,21 @@
 
 Layout under the store's folder::
 
-    settings/                                   one row per write: batch_no, num_shards, dim
+    settings/                                   one row per write: batch, shards, dim, writer, epoch
     embeddings/batch_no=B/shard_id=N/*.parquet
-    flat/, lsh/, ivf/                           search indexes, once built
+    flat/, lsh/, ivf/                           covers/: one row per finished build, and its folder
 
 Adding a batch writes only that batch. Reading hides a row once a later batch holds
-its id; with one batch there is nothing to hide and the read is a plain scan.
-Writing a batch number again replaces that batch, so a failed add can be repeated.
+its id; with one batch there is nothing to hide and the read is a plain scan. A batch or
+an index is seen once its write is logged, never half written. A batch belongs to its
+writer: the same writer may write its number again, which replaces that batch, so a failed
+add can be repeated; another writer's number is refused.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterable
 from functools import reduce
 
@@ -44,6 +48,9 @@ STORED_SCHEMA = T.StructType(
         T.StructField(SHARD_COLUMN, T.IntegerType()),
     ]
 )
+SETTINGS = "batch_no int, num_shards int, dim int, writer string, epoch long"
+# The writer of batch 0.
+CREATOR = "create"
 CARRY = ("article_id", "article_title")
 APPROXIMATE = ("lsh", "ivf")
 
@@ -52,7 +59,7 @@ def checked(vectors: DataFrame, dim: int | None = None) -> DataFrame:
     """The rows unchanged; a missing id, an incomplete vector or a wrong dimension
     fails the job that reads them, without a pass of its own."""
     problem = F.when(F.col("paragraph_id").isNull(), "paragraph_id is null").when(
-        ~is_complete("embedding"), "embedding is null or has a null element"
+        ~is_complete("embedding"), "embedding is null or has a null or non-finite element"
     )
     if dim is not None:
         problem = problem.when(dims("embedding") != dim, f"embedding must have {dim} dimensions")
@@ -130,6 +137,12 @@ def newest(rows: DataFrame, order: str | None = None) -> DataFrame:
     )
 
 
+def one_per_id(rows: DataFrame, order: str | None = None) -> DataFrame:
+    """:func:`newest`, but vectors are only moved if some id does repeat."""
+    ids = rows.groupBy("paragraph_id").agg(F.count(F.lit(1)).alias("n"))
+    return rows if ids.where("n > 1").isEmpty() else newest(rows, order)
+
+
 def hide_superseded(rows: DataFrame) -> DataFrame:
     """Rows whose id no later batch holds.
 
@@ -162,12 +175,13 @@ class VectorTable:
     def create(
         cls, vectors: DataFrame, path: str, num_shards: int = 1, dim: int | None = None
     ) -> VectorTable:
-        """Write ``vectors`` (paragraph_id, article_id, article_title, embedding; ids
-        unique) as batch 0 of a new store. A store's folder holds one sharding only."""
+        """Write ``vectors`` (paragraph_id, article_id, article_title, embedding) as batch 0
+        of a new store; of a repeated id the highest row in column order stays. A store's
+        folder holds one sharding only."""
         table = cls(vectors.sparkSession, path, num_shards, dim)
         table.refuse_existing()
-        table._write(checked(vectors, dim), 0)
-        return table.log_write(0)
+        table._write(checked(one_per_id(vectors.select(*VECTOR_COLUMNS)), dim), 0)
+        return table.log_write(0, CREATOR)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> VectorTable:
@@ -188,26 +202,32 @@ class VectorTable:
     def _settings(self) -> DataFrame:
         return self._spark.read.parquet(f"{self.path}/settings")
 
-    def log_write(self, batch_no: int) -> VectorTable:
-        """Note a finished write and what a later load needs, the dimension from a
-        stored row."""
+    def log_write(self, batch_no: int, writer: str = "", epoch: int | None = None) -> VectorTable:
+        """Note a finished write, which makes it visible, and what a later load needs, the
+        dimension from a stored row."""
         if self.dim is None:
-            row = self.stored().select(dims("embedding").alias("dim")).first()
+            written = self._files().where(F.col("batch_no") == batch_no)
+            row = written.select(dims("embedding").alias("dim")).first()
             self.dim = row.dim if row else None
-        row = [(batch_no, self.num_shards, self.dim)]
-        self._spark.createDataFrame(row, "batch_no int, num_shards int, dim int").write.mode(
-            "append"
-        ).parquet(f"{self.path}/settings")
+        row = [(batch_no, self.num_shards, self.dim, writer, epoch)]
+        self._spark.createDataFrame(row, SETTINGS).write.mode("append").parquet(
+            f"{self.path}/settings"
+        )
         return self
 
     def _write(self, vectors: DataFrame, batch_no: int, compact: bool = True) -> None:
         rows = with_shards(vectors.select(*VECTOR_COLUMNS), self.num_shards)
         write_shards(rows, f"{self.path}/embeddings/batch_no={batch_no}", compact)
 
-    def stored(self) -> DataFrame:
-        """Every stored row, superseded ones included."""
+    def _files(self) -> DataFrame:
         return self._spark.read.schema(STORED_SCHEMA).parquet(f"{self.path}/embeddings")
 
+    def stored(self) -> DataFrame:
+        """Every row of a logged batch, superseded ones included. Folders of batches that
+        were never logged are not read."""
+        logged = sorted(r.batch_no for r in self._settings().select("batch_no").distinct().collect())
+        return self._files().where(F.col("batch_no").isin(logged))
+
     def last_batch(self) -> int:
         """The highest batch number written."""
         return self._settings().agg(F.max("batch_no")).first()[0]
@@ -217,14 +237,30 @@ class VectorTable:
         return hide_superseded(self.stored()).select(*VECTOR_COLUMNS, SHARD_COLUMN)
 
     def add_batch(
-        self, batch: DataFrame, batch_no: int | None = None, order: str | None = None
+        self,
+        batch: DataFrame,
+        batch_no: int | None = None,
+        order: str | None = None,
+        writer: str = "",
+        epoch: int | None = None,
     ) -> VectorTable:
         """Add rows; an id already stored is replaced. ``order`` names a column that
-        ranks repeats of an id within the batch."""
+        ranks repeats of an id within the batch.
+
+        ``writer`` and ``epoch`` name a batch for a writer that may run it again, such as a
+        stream: the batch it wrote for that epoch is replaced, wherever it stands.
+        """
+        log = self._settings().select("batch_no", "writer", "epoch").distinct()
+        if batch_no is None and epoch is not None:
+            own = log.where((F.col("writer") == writer) & (F.col("epoch") == epoch))
+            batch_no = own.agg(F.max("batch_no")).first()[0]
         if batch_no is None:
             batch_no = self.last_batch() + 1
+        others = log.where((F.col("batch_no") == batch_no) & (F.col("writer") != writer))
+        if not others.isEmpty():
+            raise ValueError(f"batch {batch_no} of {self.path} belongs to another writer")
         self._write(checked(newest(batch, order), self.dim), batch_no)
-        return self.log_write(batch_no)
+        return self.log_write(batch_no, writer, epoch)
 
     def compact(self, path: str) -> VectorTable:
         """The current rows as a new single-batch store."""
@@ -258,10 +294,11 @@ class VectorTable:
 
     def sample_queries(self, count: int = 10) -> DataFrame:
         """The first ``count`` vectors, by id, of the lowest shard that holds data."""
-        lowest = F.broadcast(self.stored().agg(F.min(SHARD_COLUMN).alias(SHARD_COLUMN)))
+        # A constant, so that only this shard's folders are read.
+        lowest = self.stored().agg(F.min(SHARD_COLUMN)).first()[0]
         return (
             self.vectors()
-            .join(lowest, SHARD_COLUMN, "left_semi")
+            .where(F.col(SHARD_COLUMN) == F.lit(lowest))
             .orderBy("paragraph_id")
             .limit(count)
             .select("paragraph_id", "embedding")
@@ -281,44 +318,58 @@ class VectorTable:
 
     def build_flat(self) -> VectorTable:
         """Write the current rows with packed vectors, for exact search."""
-        packed(self.corpus()).write.mode("overwrite").partitionBy(SHARD_COLUMN).parquet(
-            f"{self.path}/flat/vectors"
-        )
-        return self._note_index("flat")
+        folder = self._new_folder("flat")
+        packed(self.corpus()).write.partitionBy(SHARD_COLUMN).parquet(f"{folder}/vectors")
+        return self._note_index("flat", folder)
 
     def build_lsh(self, tables: int = 8, bits: int = 6) -> VectorTable:
         """Write the hyperplane index of the current rows."""
-        approx.write_hyperplane_index(self.corpus(), f"{self.path}/lsh", self.dim, tables, bits)
-        return self._note_index("lsh")
+        folder = self._new_folder("lsh")
+        approx.write_hyperplane_index(self.corpus(), folder, self.dim, tables, bits)
+        return self._note_index("lsh", folder)
 
-    def build_ivf(self, num_cells: int = 16, centres: np.ndarray | None = None) -> VectorTable:
+    def build_ivf(
+        self, num_cells: int = 16, centres: np.ndarray | None = None, share: float = 1.0
+    ) -> VectorTable:
         """Write the cluster index of the current rows, around given centres or around
-        ``num_cells`` fitted ones."""
+        ``num_cells`` ones fitted on all rows, or on the ``share`` of them asked for; the
+        share is noted in the index's settings."""
         corpus = self.corpus()
+        folder = self._new_folder("ivf")
         if centres is None:
-            centres = approx.fit_centres(corpus, num_cells)
-        approx.write_cluster_index(corpus, f"{self.path}/ivf", centres)
-        return self._note_index("ivf")
-
-    def _note_index(self, kind: str) -> VectorTable:
-        covered = [(self._settings().count(),)]
-        self._spark.createDataFrame(covered, "writes long").write.mode("overwrite").parquet(
-            f"{self.path}/{kind}/covers"
-        )
+            centres = approx.fit_centres(corpus, num_cells, share=share)
+            approx.write_cluster_index(corpus, folder, centres, share)
+        else:
+            approx.write_cluster_index(corpus, folder, centres)
+        return self._note_index("ivf", folder)
+
+    def _new_folder(self, kind: str) -> str:
+        return f"{self.path}/{kind}/{uuid.uuid4().hex}"
+
+    def _note_index(self, kind: str, folder: str) -> VectorTable:
+        """The switch to a finished build: readers see it whole from here on."""
+        covered = [(self._settings().count(), folder, time.time())]
+        self._spark.createDataFrame(covered, "writes long, folder string, built double").write.mode(
+            "append"
+        ).parquet(f"{self.path}/{kind}/covers")
         return self
 
-    def _index_state(self, kind: str) -> str:
+    def _index(self, kind: str) -> tuple[str, str | None]:
+        """The state of the newest build and its folder."""
         try:
-            covered = self._spark.read.parquet(f"{self.path}/{kind}/covers").first().writes
+            newest_build = self._spark.read.parquet(f"{self.path}/{kind}/covers")
+            made = newest_build.orderBy(F.desc("built")).first()
         except AnalysisException:
-            return "has not been built"
-        return "ready" if covered == self._settings().count() else "is older than the store"
+            return "has not been built", None
+        ready = made.writes == self._settings().count()
+        return "ready" if ready else "is older than the store", made.folder
 
     def _exact_corpus(self) -> DataFrame:
         """The flat index while it covers the store, else the stored rows themselves."""
-        if self._index_state("flat") != "ready":
+        state, folder = self._index("flat")
+        if state != "ready":
             return self.corpus()
-        return self._spark.read.parquet(f"{self.path}/flat/vectors")
+        return self._spark.read.parquet(f"{folder}/vectors")
 
     def search(
         self,
@@ -339,10 +390,9 @@ class VectorTable:
             hits = exact_top_k(queries, self._exact_corpus(), k, by=SHARD_COLUMN, **common)
             return hits.drop(SHARD_COLUMN)
         if method in APPROXIMATE:
-            state = self._index_state(method)
+            state, path = self._index(method)
             if state != "ready":
                 raise ValueError(f"the {method} index {state}; build it first")
-            path = f"{self.path}/{method}"
             if method == "lsh":
                 return approx.search_hyperplane_index(queries, path, k, **common)
             return approx.search_cluster_index(queries, path, k, probes, **common)

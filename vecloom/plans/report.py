@@ -56,6 +56,15 @@ def shard_stats(vectors: DataFrame) -> DataFrame:
     )
 
 
+def shard_counts(vectors: DataFrame, dim: int) -> DataFrame:
+    """:func:`shard_stats` of vectors of one known dimension, which are not read."""
+    return vectors.groupBy("shard_id").agg(
+        F.count(F.lit(1)).alias("num_vectors"),
+        F.countDistinct("article_id").alias("num_articles"),
+        (F.count(F.lit(1)) * dim * 4).alias("raw_bytes"),
+    )
+
+
 def stored_size(spark: SparkSession, path: str) -> DataFrame:
     """``(n_files, total_bytes)`` of a folder, from the file listing alone."""
     files = (
@@ -70,6 +79,21 @@ def stored_size(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def shard_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """``(shard_id, n_files, stored_bytes)`` of a folder of shard folders, from the listing."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .select(F.regexp_extract("path", r"/shard_id=(\d+)/", 1).alias("shard"), "length")
+    )
+    return (
+        files.where("shard <> ''")
+        .groupBy(F.col("shard").cast("int").alias("shard_id"))
+        .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("stored_bytes"))
+    )
+
+
 def run_report(stats: DataFrame, run: Mapping[str, object]) -> DataFrame:
     """One row for a run: its settings and totals, and the per-shard stats as an array
     (one entry per shard)."""

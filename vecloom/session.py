@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,27 +47,26 @@ def build_session(
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for written intermediates.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session without
-    that setting gets a folder of its own.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="vecloom-"))
-    return context.getCheckpointDir()
+    """The shared folder for written intermediates: the one the cluster names in
+    ``spark.checkpoint.dir``, else a folder beside the tables of the warehouse, which all
+    executors share too."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/vecloom-scratch"
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
-    """A new folder for one run; an earlier run's files are never written over."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new folder for one run; an earlier run's files are never written over.
+
+    The application owns it: its file system removes all its folders when the driver ends.
+    """
+    context = spark.sparkContext
+    own = f"{scratch_root(spark)}/{context.applicationId}"
+    folder = context._jvm.org.apache.hadoop.fs.Path(own)
+    system = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        system.mkdirs(folder)
+        system.deleteOnExit(folder)
+    return f"{own}/{label}-{uuid.uuid4().hex}"
 
 
 def settled(df: DataFrame, label: str) -> DataFrame:
@@ -82,14 +80,15 @@ def settled(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Give a scan with few input splits enough tasks for costly per-row work.
+def spread(scan: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
+    """Give a scan of few files enough tasks for costly per-row work.
 
-    A table of many files already has more splits than cores and passes through
-    without a shuffle. Call it on a scan, before any shuffle. ``key`` should be unique,
-    so that the rows spread evenly and a retried task gets the same rows.
+    A table of at least as many files as there are cores passes through without a
+    shuffle; the file listing tells, no plan is made or run. ``tasks`` asks for so many in
+    any case. ``key`` should be unique, so that the rows spread evenly and a retried task
+    gets the same rows.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
+    if tasks is None and len(scan.inputFiles()) >= cores:
         return scan
-    return scan.repartition(cores * TASKS_PER_CORE, key)
+    return scan.repartition(tasks or cores * TASKS_PER_CORE, key)

@@ -7,34 +7,45 @@ from pyspark.sql import functions as F
 
 from vecloom.functions.text import keep_texts, strip
 
-_RECORD = "_title STRING, extract STRUCT<_VALUE: ARRAY<STRING>>"
+_RECORD = "_title STRING, extract ARRAY<STRUCT<_VALUE: ARRAY<STRING>>>"
 
 
 def read_xml_articles(spark: SparkSession, path: str) -> DataFrame:
     """``(title, extract)`` of every ``<page title=..><extract>..</extract></page>``.
 
-    The files are read as text records that end in ``</page>``. Such a scan splits at
-    any byte offset, so one large dump is read by many tasks; a file-at-a-time XML
-    reader would put it into one. Pages may sit at any depth but not inside each
-    other. Only text before the first child element counts, and a page without such
-    text is dropped. A record that is not well formed fails the job.
+    The files are read as text records that end in ``</page``, with or without space
+    before the ``>``. Such a scan splits at any byte offset, so one large dump is read by
+    many tasks; a file-at-a-time XML reader would put it into one. Pages may sit at any
+    depth, also inside one another. Of several extracts the first counts, of its text what
+    stands before its first child element; a page without such text is dropped. A page
+    that is not well formed fails the job, and so does one whose extract follows a page
+    nested in it, since the two may lie in different records.
     """
-    raw = spark.read.option("lineSep", "</page>").text(path)
-    page = F.regexp_extract("value", r"(?s).*(<page[\s>].*)", 1)
-    opens_with_child = F.col("page").rlike(r"<extract(\s[^>]*)?>\s*<[^!/]")
+    raw = spark.read.option("lineSep", "</page").text(path)
+    alone = F.regexp_replace("value", r"<page(\s[^>]*)?/>", "")
+    opened = F.filter(F.split(alone, r"(?=<page[\s>])"), lambda p: p.rlike(r"^<page[\s>]"))
+    pieces = raw.select(opened.alias("pieces")).select(
+        F.posexplode("pieces").alias("place", "piece"), (F.size("pieces") - 1).alias("last")
+    )
+    # The last page opened in a record is the one that ends it; those before it hold it.
+    head = F.regexp_extract("piece", r"(?s)^(<page[\s>].*?(?:</extract\s*>|<extract(?:\s[^>]*)?/>))", 1)
+    late = F.raise_error(F.lit("a page's extract follows a page nested in it"))
+    page = F.when(F.col("place") == F.col("last"), F.col("piece")).otherwise(F.when(head != "", head).otherwise(late))
+    opens_with_child = F.regexp_extract("page", r"(?s)<extract(?:\s[^>]*)?>(\s*<[^!/])?", 1) != ""
     parsed = (
-        raw.select(page.alias("page"))
-        .where((F.col("page") != "") & ~opens_with_child)
+        pieces.select(page.alias("page"))
+        .where(~opens_with_child)
         .select(
             F.from_xml(
                 F.concat("page", F.lit("</page>")), _RECORD, {"mode": "FAILFAST"}
             ).alias("p")
         )
     )
+    first = F.get("p.extract", F.lit(0))
     return keep_texts(
         parsed.select(
             F.col("p._title").alias("title"),
-            F.get("p.extract._VALUE", F.lit(0)).alias("extract"),
+            F.get(first["_VALUE"], F.lit(0)).alias("extract"),
         ),
         "extract",
     )

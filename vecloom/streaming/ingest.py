@@ -18,18 +18,18 @@ def add_stream(
     checkpoint: str,
     *,
     order: str | None = None,
-    first_batch: int = 1,
 ) -> StreamingQuery:
     """Embed each micro-batch of a paragraph stream and add it to the store.
 
-    The micro-batch's number is its batch number in the store. A micro-batch that is
-    run again after a failure therefore replaces its own rows. ``order`` ranks repeats
-    of an id within one micro-batch; they are settled before anything is embedded.
+    A batch is known by the stream's checkpoint folder and the micro-batch's number. A
+    micro-batch that is run again after a failure replaces its own rows and no others;
+    other streams, and batches added before or meanwhile, keep theirs. ``order`` ranks
+    repeats of an id within one micro-batch; they are settled before anything is embedded.
     """
 
     def add(rows: DataFrame, epoch: int) -> None:
         vectors = embed_texts(newest(rows, order), make, keep=("paragraph_id", "article_id", "article_title"))
-        store.add_batch(vectors, batch_no=first_batch + epoch)
+        store.add_batch(vectors, writer=checkpoint, epoch=epoch)
 
     return (
         paragraphs.writeStream.foreachBatch(add)
