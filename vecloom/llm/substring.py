@@ -141,8 +141,14 @@ def _anchors(window: int):
     return run
 
 
-def _cut(window: int, occurrences: bool):
-    """Segments of repeated anchors: their text, once per document, or every place."""
+def _cut(window: int):
+    """Every segment of a repeated anchor: its words, a key for them, and its place."""
+    names = ["anchor", "key", "content", "row", "at", "place"]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+
+    def packed(out: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,39 +161,20 @@ def _cut(window: int, occurrences: bool):
                 chosen = np.flatnonzero(np.isin(anchor, repeated.values.to_numpy()))
                 begin = starts[first[chosen]].tolist()
                 end = ends[first[chosen] + many[chosen] + window - 2].tolist()
-                seen: dict[tuple, list] = {}
                 for a, place, s, e in zip(
                     anchor[chosen].tolist(), first[chosen].tolist(), begin, end, strict=True
                 ):
                     content = b" ".join(raw[s:e].split())
-                    if occurrences:
-                        out.append((a, xxhash.xxh64_intdigest(content) - 2**63, row, at, place))
-                    elif (a, content) in seen:
-                        seen[a, content][-1] += 1
-                    else:
-                        seen[a, content] = [a, content, at, place, 1]
-                out.extend(seen.values())
+                    out.append((a, xxhash.xxh64_intdigest(content) - 2**63, content, row, at, place))
                 if len(out) >= 20_000:
-                    yield _rows(out, occurrences)
+                    yield packed(out)
                     out = []
             if out:
-                yield _rows(out, occurrences)
+                yield packed(out)
 
     return run
 
 
-def _rows(out: list[tuple], occurrences: bool) -> pa.RecordBatch:
-    columns = list(zip(*out, strict=True))
-    if occurrences:
-        names = ["anchor", "key", "row", "at", "place"]
-        arrays = [pa.array(c, pa.int64()) for c in columns]
-    else:
-        names = ["anchor", "content", "at", "place", "n"]
-        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, names)
-
-
 def shard_matches(contents: list[bytes], at: np.ndarray, place: np.ndarray, n: np.ndarray, window: int):
     """Pieces (content, from, to, at, place): windows from..to of a content start earliest
     at place, place + 1, .. of document ``at``; only what removes some occurrence."""
@@ -312,17 +299,18 @@ def remove_repeats(
     first_texts = texts.join(firsts, "row", "left_semi")
 
     anchored = first_texts.select("row", "packed").mapInArrow(_anchors(window), "anchor bigint, row bigint, n bigint")
+    anchored = written(anchored, "anchors")
     repeated = anchored.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
     wanted = anchored.join(repeated, "anchor", "left_semi").groupBy("row").agg(F.collect_list("anchor").alias("anchors"))
     searched = first_texts.join(bucketed(wanted, "row"), "row").select("row", "at", "anchors", "packed")
 
+    kind = "anchor bigint, key bigint, content binary, row bigint, at bigint, place bigint"
+    places = written(searched.mapInArrow(_cut(window), kind), "segments")
     order = F.col("at").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("place")
-    contents = (
-        searched.mapInArrow(_cut(window, False), "anchor bigint, content binary, at bigint, place bigint, n bigint")
-        .groupBy("anchor", "content")
-        .agg(F.sum("n").alias("n"), F.min("at").alias("at"), F.min_by("place", order).alias("place"))
+    contents = places.groupBy("anchor", "content").agg(
+        F.count(F.lit(1)).alias("n"), F.min("at").alias("at"), F.min_by("place", order).alias("place")
     )
-    contents = written(contents, "segments")
+    contents = written(contents, "contents")
     hot = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > BLOCK_ROWS)
     blocks = F.coalesce(F.ceil(F.col("rows") / BLOCK_ROWS).cast("int"), F.lit(1))
     dealt = (
@@ -345,12 +333,11 @@ def remove_repeats(
     kind = "anchor bigint, key bigint, from bigint, to bigint, first_at bigint, first_place bigint"
     matches = sharded.mapInArrow(_shards(window), kind)
 
-    kind = "anchor bigint, key bigint, row bigint, at bigint, place bigint"
-    places = searched.mapInArrow(_cut(window, True), kind)
     low = F.col("place") + F.col("from")
     earlier = (F.col("first_at") < F.col("at")) | (F.col("first_at") == F.col("at")) & (F.col("first_place") < low)
     spans = (
-        places.join(matches, ["anchor", "key"])
+        places.drop("content")
+        .join(matches, ["anchor", "key"])
         .where(earlier)
         .select("row", low.alias("low"), (F.col("place") + F.col("to") + window - 1).alias("high"))
         .groupBy("row")
