@@ -26,13 +26,14 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: of each group of near-duplicates the smallest id stays.
+    """Operator 10: of each group of near copies (five-word shingles, a similarity of 0.8 or
+    more) the smallest id stays.
 
     A null id stays only in a group without others. Repeated rows of the smallest id are
     one document: one row stays.
     """
     marked = docs.withColumn("simhash_row", F.xxhash64("doc_id", "text"))
-    found = simhash.near_duplicates(marked, doc_id="doc_id", text="text", keep=("simhash_row",))
+    found = simhash.near_copies(marked, doc_id="doc_id", text="text", keep=("simhash_row",))
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         "simhash_row", "component_id", "component"
     )

@@ -39,6 +39,13 @@ def repeats(rows, window=20):
     return out
 
 
+def shingles(text, words=5):
+    parts = (text or "").lower().split()
+    if len(parts) < words:
+        return {" ".join(parts)}
+    return {" ".join(parts[i : i + words]) for i in range(len(parts) - words + 1)}
+
+
 def fingerprint(text):
     words = (text or "").encode().lower().split()
     shingles = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])

@@ -157,6 +157,52 @@ def test_simhash_links_of_dense_prints(spark, block):
         assert found.find(p) == groups.find(p)
 
 
+def edited(words, share):
+    """The words with so many of them replaced, each on its own."""
+    words = list(words)
+    for i in random.sample(range(len(words)), round(share * len(words))):
+        words[i] = f"new{random.random()}"
+    return words
+
+
+def test_near_copies_by_similarity(docs):
+    random.seed(11)
+    rows, families = [], {}
+    for family in range(40):
+        base = [f"{family}x{random.randrange(400)}" for _ in range(300)]
+        for n, share in enumerate((0, 0, 0.003, 0.01, 0.015)):
+            rows.append((family * 10 + n, " ".join(edited(base, share))))
+            families[family * 10 + n] = family * 10
+    shared = random.choices(WORDS, k=60)
+    for i in range(60):  # unrelated but for a shared passage
+        own = [f"y{i}z{random.randrange(500)}" for _ in range(150)]
+        rows.append((1000 + i, " ".join(own + shared)))
+        families[1000 + i] = 1000 + i
+    rows += [(2000, None), (2001, ""), (2002, "two words"), (2003, "Two  words"), (None, "alone here")]
+    families |= {2000: 2000, 2001: 2000, 2002: 2002, 2003: 2002}
+    got = simhash.near_copies(docs(rows), keep=("row", "ids")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.component_id == families.get(r.doc_id) and (r.row, r.ids) == (1, "z")
+    assert simhash.near_copies(docs([])).count() == 0
+
+
+def test_wide_near_pairs_are_all_pairs():
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 1 << 63, (12, 4), dtype=np.uint64)[rng.integers(0, 12, 300)]
+    for row in values:
+        for bit in rng.integers(0, 256, rng.integers(0, 60)):
+            row[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    ends = np.repeat([130, 131, 300], [130, 1, 169])
+    for radius in (5, 47, 64):
+        found = set()
+        for i, j in simhash.near_pairs(values, ends, radius):
+            found |= set(zip(i.tolist(), j.tolist(), strict=True))
+        distance = lambda i, j: int(np.bitwise_count(values[i] ^ values[j]).sum())
+        want = {(i, j) for i in range(300) for j in range(i + 1, int(ends[i])) if distance(i, j) <= radius}
+        assert found == want
+
+
 def test_near_pairs_are_all_pairs():
     random.seed(8)
     values = np.array([random.getrandbits(6) for _ in range(500)], np.uint64)

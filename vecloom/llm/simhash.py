@@ -8,6 +8,10 @@ once: planes shifted by d are xor-ed and added into carry-save counters, 64 pair
 machine word, and words whose pairs all exceed the radius leave the block early.
 Tasks keep a spanning forest of the links they find; components are Spark jobs.
 
+A radius of two bits only finds texts that differ in very little. ``near_copies`` therefore
+compares fingerprints of 256 bits over five-word shingles, by the same planes and counters,
+at the distance that a Jaccard similarity of 0.8 gives.
+
 Null and empty texts have no words and the fingerprint zero, which links like any other.
 Repeated rows share a fingerprint. Null ids never name a component (one whose ids are all
 null has a null id). An empty table gives no rows.
@@ -15,6 +19,8 @@ null has a null id). An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -23,10 +29,16 @@ from pyspark.sql import functions as F
 
 from vecloom.llm.blocks import Forest, block_pairs, per_groups
 from vecloom.llm.components import connected_components
+from vecloom.llm.embedding_dups import tables_for
 from vecloom.session import settled
 
 BLOCK_ROWS = 2048
 RADIUS = 2
+# For similarity rather than a radius: the bits, the deviations allowed above the expected
+# distance, and the share of pairs at the asked similarity that meet in some table.
+WIDE_BITS = 256
+RADIUS_SPREAD = 2.0
+WIDE_RECALL = 0.99
 SHINGLES_AT_ONCE = 1 << 16
 
 
@@ -63,47 +75,71 @@ def fingerprint(text: Column, words: int = 3, seed: int = 42) -> Column:
     return made(text)
 
 
-def near_pairs(prints: np.ndarray, ends: np.ndarray, radius: int):
-    """Yield (i, j) arrays of rows within the radius. ends: end of each row's bucket."""
-    n = len(prints)
+def _exceeds(counters: list[np.ndarray], over: np.ndarray, radius: int) -> np.ndarray:
+    """Pairs whose bit-sliced count is above the radius."""
+    above, equal = over, ~np.zeros_like(over)
+    for k in reversed(range(len(counters))):
+        if radius >> k & 1:
+            equal = equal & counters[k]
+        else:
+            above = above | equal & counters[k]
+            equal = equal & ~counters[k]
+    return above
+
+
+def near_pairs(prints: np.ndarray, ends: np.ndarray, radius: int, forest: Forest | None = None):
+    """Yield (i, j) arrays of rows within the radius.
+
+    prints: a row of 64-bit words for each fingerprint. ends: end of each row's bucket. With
+    a forest, pairs that it joins already are not compared.
+    """
+    prints = np.ascontiguousarray(prints).reshape(len(prints), -1)
+    n, planes_many = len(prints), 64 * prints.shape[1]
     width = -(-n // 64)
-    bits = np.zeros((width * 64, 64), np.uint8)
-    bits[:n] = np.unpackbits(prints.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    bits = np.zeros((width * 64, planes_many), np.uint8)
+    bits[:n] = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")
     planes = np.packbits(bits.T.copy(), axis=1, bitorder="little").view(np.uint64)
-    planes = np.concatenate([planes, np.zeros((64, 1), np.uint64)], axis=1)
+    planes = np.concatenate([planes, np.zeros((planes_many, 1), np.uint64)], axis=1)
     after = np.zeros(width * 64, np.int64)
     after[:n] = ends - np.arange(n) - 1
     per_word = after.reshape(-1, 64)
-    longest = per_word.max(1)
+    longest = per_word.max(1, initial=0)
+    full = np.uint64(0xFFFFFFFFFFFFFFFF)
     for d in range(1, int(longest.max(initial=0)) + 1):
         words = np.flatnonzero(longest >= d)
-        met = np.packbits(per_word[words] >= d, axis=1, bitorder="little").view(np.uint64)[:, 0]
+        wanted = per_word[words] >= d
+        if forest is not None:
+            rows = np.minimum(words[:, None] * 64 + np.arange(64), n - 1)
+            wanted &= forest.up[rows] != forest.up[np.minimum(rows + d, n - 1)]
+            some = wanted.any(1)
+            words, wanted = words[some], wanted[some]
+            if not len(words):
+                continue
+        met = np.packbits(wanted, axis=1, bitorder="little").view(np.uint64)[:, 0]
         jump, shift = divmod(d, 64)
         near = np.minimum(words + jump, width)
         far = np.minimum(words + jump + 1, width)
-        ones = np.zeros(len(words), np.uint64)
-        twos, over = ones.copy(), ~met
-        for plane in range(64):
+        over = ~met
+        counters = [np.zeros(len(words), np.uint64) for _ in range(radius.bit_length() or 1)]
+        for plane in range(planes_many):
             row = planes[plane]
             other = row[near]
             if shift:
                 other = other >> np.uint64(shift) | row[far] << np.uint64(64 - shift)
-            x = row[words] ^ other
-            carry = ones & x
-            ones ^= x
-            over |= twos & carry
-            twos ^= carry
+            carry = row[words] ^ other
+            for counter in counters:
+                carry, counter[:] = counter & carry, counter ^ carry
+            over |= carry
             if plane % 8 == 7:
-                # Two bits count to three; a set `over`, or more than the radius, is out.
-                exceeded = over | (twos & ones if radius == 2 else twos | ones if radius == 0 else twos)
-                live = exceeded != np.uint64(0xFFFFFFFFFFFFFFFF)
+                exceeded = _exceeds(counters, over, radius)
+                live = exceeded != full
                 if not live.all():
                     words, near, far, over = words[live], near[live], far[live], exceeded[live]
-                    ones, twos = ones[live], twos[live]
+                    counters = [c[live] for c in counters]
                     if not len(words):
                         break
         if len(words):
-            exceeded = over | (twos & ones if radius == 2 else twos | ones if radius == 0 else twos)
+            exceeded = _exceeds(counters, over, radius)
             found = np.unpackbits((~exceeded).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             word, bit = np.nonzero(found)
             i = words[word] * 64 + bit
@@ -111,7 +147,7 @@ def near_pairs(prints: np.ndarray, ends: np.ndarray, radius: int):
 
 
 def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK_ROWS) -> DataFrame:
-    """Edges (a, b) that connect all distinct fingerprints within the radius (0 to 2)."""
+    """Edges (a, b) that connect all distinct fingerprints within the radius, 2 at most."""
     band = [F.shiftrightunsigned("fingerprint", 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in range(4)]
     pairs = [(i, j) for i in range(4) for j in range(i + 1, 4)]
     keys = [
@@ -123,7 +159,7 @@ def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK_ROWS) -> D
         values = joined.column("fingerprint").to_numpy()
         ends = np.repeat(starts[1:], np.diff(starts))
         forest = Forest(len(values))
-        for i, j in near_pairs(np.ascontiguousarray(values).view(np.uint64), ends, radius):
+        for i, j in near_pairs(np.ascontiguousarray(values).view(np.uint64), ends, radius, forest):
             forest.link(i, j)
         kept = np.array(forest.kept, np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(values[kept[:, 0]]), pa.array(values[kept[:, 1]])], ["a", "b"])
@@ -132,6 +168,99 @@ def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK_ROWS) -> D
     return met.mapInArrow(per_groups(compared), "a bigint, b bigint")
 
 
+def wide_fingerprint(text: Column, words: int = 5) -> Column:
+    """A SimHash of WIDE_BITS bits, as bytes: wide enough to tell similarities apart."""
+
+    def made_of(raw: bytes) -> bytes:
+        parts = raw.lower().split()
+        short = min(words, len(parts))
+        n = len(parts) - short + 1 if parts else 0
+        digest = xxhash.xxh3_128_digest
+        sums = np.zeros(WIDE_BITS, np.int64)
+        for at in range(0, n, SHINGLES_AT_ONCE // 4):
+            some = parts[at : min(n, at + SHINGLES_AT_ONCE // 4) + short - 1]
+            shingles = [b" ".join(s) for s in zip(*(some[i:] for i in range(short)), strict=False)]
+            hashes = b"".join([digest(s, 1) + digest(s, 2) for s in shingles])
+            bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(len(shingles), -1), axis=1, bitorder="little")
+            sums += bits.sum(0, dtype=np.int64)
+        return np.packbits(2 * sums > n, bitorder="little").tobytes()
+
+    @F.arrow_udf("binary")
+    def made(texts: pa.Array) -> pa.Array:
+        return pa.array([made_of(raw or b"") for raw in texts.cast(pa.binary()).to_pylist()], pa.binary())
+
+    return made(text)
+
+
+def wide_links(classes: DataFrame, rows: int, similarity: float, block: int = BLOCK_ROWS) -> DataFrame:
+    """Edges (a, b) between nodes whose wide fingerprints are as near as those of texts of
+    the given Jaccard similarity.
+
+    Sets of similarity s have a cosine of about 2s / (1 + s), which fixes the share of
+    differing bits; the radius adds RADIUS_SPREAD standard deviations. A bucket key is the
+    fingerprint's bits at places drawn for its table; their number follows the number of
+    rows, and that of the tables the share of pairs that must meet (as in embedding_dups).
+    """
+    cosine = 2 * similarity / (1 + similarity)
+    share = math.acos(cosine) / math.pi
+    radius = math.ceil(WIDE_BITS * share + RADIUS_SPREAD * math.sqrt(WIDE_BITS * share * (1 - share)))
+    signs, tables = tables_for(rows, cosine, WIDE_RECALL)
+    random = np.random.default_rng(10)
+    places = np.stack([random.choice(WIDE_BITS, signs, replace=False) for _ in range(tables)])
+
+    @F.arrow_udf("array<bigint>")
+    def keys(prints: pa.Array) -> pa.Array:
+        raw = np.frombuffer(b"".join(prints.to_pylist()), np.uint8).reshape(len(prints), -1)
+        bits = np.unpackbits(raw, axis=1, bitorder="little")
+        found = bits[:, places].astype(np.int64) @ (np.int64(1) << np.arange(signs))
+        return pa.array(list(found | np.arange(tables) << 40), pa.list_(pa.int64()))
+
+    hashed = classes.select(F.explode(keys("fingerprint")).alias("bucket"), "node", "fingerprint")
+
+    def compared(joined: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        node = joined.column("node").to_numpy()
+        prints = np.frombuffer(b"".join(joined.column("fingerprint").to_pylist()), np.uint64).reshape(len(node), -1)
+        ends = np.repeat(starts[1:], np.diff(starts))
+        forest = Forest(len(node))
+        for i, j in near_pairs(prints, ends, radius, forest):
+            forest.link(i, j)
+        kept = np.array(forest.kept, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(node[kept[:, 0]]), pa.array(node[kept[:, 1]])], ["a", "b"])
+
+    met = block_pairs(hashed, block, ["node", "fingerprint"], "node")
+    return met.mapInArrow(per_groups(compared), "a bigint, b bigint")
+
+
+def near_copies(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    similarity: float = 0.8,
+    words: int = 5,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """(doc_id, *keep, component_id, component) for every row: texts whose word shingles are
+    about as similar as asked are joined. Nulls and repeats as in :func:`near_duplicates`."""
+    made = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.struct(F.lit(0).alias("_"), *keep).alias("others"),
+        wide_fingerprint(F.col(text), words).alias("fingerprint"),
+    )
+    made = settled(made, "prints")
+    classes = made.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
+    classes = settled(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    parts = connected_components(wide_links(classes, classes.count(), similarity), "a", "b")
+    named = classes.join(parts, "node", "left").select(
+        "fingerprint", "first", F.coalesce("component", "node").alias("component")
+    )
+    named = settled(named, "components")
+    lowest = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    named = named.join(lowest, "component").select("fingerprint", "component_id", "component")
+    return made.join(named, "fingerprint").select(
+        "doc_id", *(F.col("others")[c].alias(c) for c in keep), "component_id", "component"
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
