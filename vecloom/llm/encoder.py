@@ -28,9 +28,9 @@ from vecloom.llm.common import text_buffers
 
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 # Bytes handled at once; arrays of about 60 times this size live at the same time.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 # Fragments remembered by a worker before it starts afresh.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 SEPARATOR = " "
 
 
