@@ -6,11 +6,14 @@ on all rows its predecessor kept. Repeated rows of one id are told apart by thei
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.llm import packing, pii, quality, simhash, substring
-from vecloom.llm.common import table
+from vecloom.llm.common import bounded_batches, table
 from vecloom.llm.queries import BYTE_BPE
 from vecloom.session import settled
 
@@ -70,12 +73,23 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.pack(docs, BYTE_BPE)
 
 
+def bounded(stage: Callable) -> Callable:
+    """The stage with Arrow batches of bounded size."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality_filter", quality_filter),
-    ("simhash_dedup", simhash_dedup),
-    ("substring_dedup", substring_dedup),
-    ("pii_redaction", pii_redaction),
-    ("best_fit_packing", best_fit_packing),
+    ("quality_filter", bounded(quality_filter)),
+    ("simhash_dedup", bounded(simhash_dedup)),
+    ("substring_dedup", bounded(substring_dedup)),
+    ("pii_redaction", bounded(pii_redaction)),
+    ("best_fit_packing", bounded(best_fit_packing)),
 ]
 # A trained model and a tokenizer have no SQL; the tests hold each stage against brute force.
 ORACLE_SQL = None

@@ -9,11 +9,21 @@ from pyspark.sql import functions as F
 
 from vecloom.session import run_dir
 
+BATCH_ROWS = 2000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_ROWS rows from here on in this session. The default of
+    10,000 texts is held by a task several times over, in Python and beside the JVM's heap."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def bucketed(rows: DataFrame, key: str) -> DataFrame:
     """The rows as a written table bucketed by ``key``: joins on it do not shuffle them again.
 

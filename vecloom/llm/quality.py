@@ -26,7 +26,7 @@ from vecloom.llm.words import word_hashes
 
 SAMPLE_DOCUMENTS = 4000
 SAMPLE_LINES = 256
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 STEPS = 80
 
 _UPPER = np.zeros(256, bool)

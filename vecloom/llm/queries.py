@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.llm import bpe, embedding_dups, packing, pii, quality, secret_scan, simhash, substring, topk, urls
-from vecloom.llm.common import spans_text, table
+from vecloom.llm.common import bounded_batches, spans_text, table
 from vecloom.llm.oracle import ORACLE
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -22,8 +23,13 @@ __all__ = ["BYTE_BPE", "ORACLE", "QUERIES"]
 
 
 def registered(query):
-    QUERIES[query.__name__] = query
-    return query
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return query(spark, sf_dir)
+
+    QUERIES[query.__name__] = run
+    return run
 
 
 @registered
