@@ -7,6 +7,8 @@ taken whole. Repeated rows are kept; other columns pass through untouched.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -48,7 +50,7 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded
     return df.withColumn(text, decoded(F.col(ids)))
 
 
-def round_trip(tokenizer: str) -> "callable":
+def round_trip(tokenizer: str) -> Callable[[Column], Column]:
     """A column function text -> (ids, decoded): both directions in one pass."""
     spec = tokenizer_file(tokenizer)
 

@@ -6,8 +6,8 @@ it and what touches it; a vote is for, against or none. Expectation-maximisation
 how reliable each labeler is, without labels. It needs only how often each combination of
 kind, votes and length class occurs, a table of at most KINDS x 81 x 3 rows, which is
 counted over all documents. A logistic span classifier is then trained on the expected
-labels. Base spans stay whatever it says; wider ones are added if it accepts them and they
-touch no base span.
+labels. Base spans stay whatever it says; wider ones are added if it accepts them, a labeler
+beside their form is for them and none against, and they touch no base span.
 
 Patterns are written so that a failing run of characters is tried once, not from each of its
 characters, and so that no repeated group recurses. Places are code points.
