@@ -187,6 +187,44 @@ def test_near_copies_by_similarity(docs):
     assert simhash.near_copies(docs([])).count() == 0
 
 
+def grams(text, words=5):
+    """The set of shingles as the operator takes it: bytes, lower case of ASCII."""
+    parts = (text or "").encode().lower().split()
+    return {tuple(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))} if parts else set()
+
+
+def similar(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def copies_by_sets(rows, least=0.8):
+    groups, sets = brute.Groups(), [grams(t) for _, t in rows]
+    for i, a in enumerate(sets):
+        groups.find(i)
+        for j in range(i):
+            if similar(a, sets[j]) >= least:
+                groups.join(i, j)
+    lowest = {}
+    for i, (doc_id, _) in enumerate(rows):
+        root = groups.find(i)
+        lowest[root] = min(lowest.get(root, doc_id), doc_id)
+    return {doc_id: lowest[groups.find(i)] for i, (doc_id, _) in enumerate(rows)}
+
+
+@pytest.mark.parametrize("block", [16, 512])
+def test_less_similar_texts_are_not_joined(docs, monkeypatch, block):
+    """Documents of one template, pairwise about 0.6 alike, all stay apart; copies do not."""
+    monkeypatch.setattr(simhash.similar_links, "__defaults__", (block,))
+    random.seed(21)
+    template = [f"t{i}" for i in range(300)]
+    rows = [(i, " ".join([*template, *(f"d{i}w{n}" for n in range(98))])) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + " one more") for i in range(5)]
+    pair = similar(grams(rows[0][1]), grams(rows[1][1]))
+    assert 0.55 < pair < 0.65
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs(rows)).collect()}
+    assert got == copies_by_sets(rows) == {i: i % 100 for i, _ in rows}
+
+
 def test_wide_near_pairs_are_all_pairs():
     rng = np.random.default_rng(3)
     values = rng.integers(0, 1 << 63, (12, 4), dtype=np.uint64)[rng.integers(0, 12, 300)]

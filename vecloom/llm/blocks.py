@@ -89,11 +89,11 @@ class Forest:
             self.up = flat
 
 
-def per_groups(work: Callable[[pa.Table, np.ndarray], pa.RecordBatch]):
-    """A mapInArrow function that hands whole groups to ``work``."""
+def per_groups(work: Callable[[pa.Table, np.ndarray], pa.RecordBatch], rows: int = 1 << 15):
+    """A mapInArrow function that hands whole groups to ``work``, of about so many rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for joined, starts in whole_groups(batches):
+        for joined, starts in whole_groups(batches, rows):
             yield work(joined, starts)
 
     return run
