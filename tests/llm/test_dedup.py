@@ -225,6 +225,20 @@ def test_less_similar_texts_are_not_joined(docs, monkeypatch, block):
     assert got == copies_by_sets(rows) == {i: i % 100 for i, _ in rows}
 
 
+def test_all_pairs_of_the_similarity_are_joined(docs):
+    """Pairs just at the bound and above, among them the shortest that can lie there."""
+    random.seed(22)
+    rows = []
+    for n in range(500):
+        words = [f"p{n}w{i}" for i in range(8 if n % 5 == 0 else 84)]
+        rows.append((2 * n, " ".join(words)))
+        rows.append((2 * n + 1, " ".join(words + [f"p{n}v{i}" for i in range(1 if n % 5 == 0 else 20)])))
+    sets = [grams(t) for _, t in rows]
+    assert all(similar(a, b) == 0.8 for a, b in zip(sets[::2], sets[1::2], strict=True))
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs(rows)).collect()}
+    assert got == {i: i // 2 * 2 for i, _ in rows}
+
+
 def test_wide_near_pairs_are_all_pairs():
     rng = np.random.default_rng(3)
     values = rng.integers(0, 1 << 63, (12, 4), dtype=np.uint64)[rng.integers(0, 12, 300)]

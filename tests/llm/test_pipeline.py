@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 import corpus_pipeline
 from tests.llm import brute
+from tests.llm.test_dedup import copies_by_sets
 from vecloom.llm import queries
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -58,6 +59,14 @@ def test_simhash_stage(spark, sf):
     assert {i for i, _ in rows} - kept <= related
 
 
+def test_simhash_stage_goes_by_the_similarity(spark, sf):
+    """Of each two documents of 0.8 or more one goes, and nothing else does."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    kept = {r.doc_id for r in corpus_pipeline.simhash_dedup(spark, docs, sf).select("doc_id").collect()}
+    assert kept == set(copies_by_sets(rows).values())
+
+
 def test_substring_stage(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     done = {r.doc_id: r for r in corpus_pipeline.substring_dedup(spark, docs, sf).collect()}

@@ -39,8 +39,8 @@ RADIUS = 2
 # For similarity rather than a radius: the bits, the deviations allowed above the expected
 # distance, and the share of pairs at the asked similarity that meet in some table.
 WIDE_BITS = 256
-RADIUS_SPREAD = 2.0
-WIDE_RECALL = 0.99
+RADIUS_SPREAD = 4.0
+WIDE_RECALL = 0.9999
 # Sets up to this size have their distances counted out; rows of a block with its sets.
 SMALL_SET = 32
 SET_ROWS = 512
