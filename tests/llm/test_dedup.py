@@ -239,6 +239,12 @@ def test_all_pairs_of_the_similarity_are_joined(docs):
     assert got == {i: i // 2 * 2 for i, _ in rows}
 
 
+def test_short_texts_are_not_like_empty_ones(docs):
+    rows = [(i, " ".join(f"s{i}w{n}" for n in range(6))) for i in range(400)] + [(1000, ""), (1001, None)]
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs(rows)).collect()}
+    assert got == {i: min(i, 1000) for i, _ in rows}
+
+
 def test_wide_near_pairs_are_all_pairs():
     rng = np.random.default_rng(3)
     values = rng.integers(0, 1 << 63, (12, 4), dtype=np.uint64)[rng.integers(0, 12, 300)]

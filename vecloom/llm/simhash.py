@@ -338,7 +338,7 @@ def near_copies(
         F.min("doc_id").alias("first"), F.max(F.length("shingles")).alias("size")
     )
     classes = settled(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    candidates = connected_components(wide_links(classes, classes.count(), similarity), "a", "b")
+    candidates = connected_components(wide_links(classes.where("size > 0"), classes.count(), similarity), "a", "b")
     wanted = classes.join(candidates, "node").select("digest", "node", F.col("component").alias("bucket"))
     sets = made.select("digest", "fingerprint", "shingles").join(wanted, "digest")
     sets = sets.groupBy("bucket", "node", "fingerprint").agg(F.first("shingles").alias("shingles"))
