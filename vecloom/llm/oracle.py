@@ -112,5 +112,14 @@ kept AS (
 SELECT split.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
   sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM split LEFT JOIN kept ON split.doc_id = kept.doc_id
+""",
+    "op11_exact_dedup": r"""
+WITH normal AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content FROM documents),
+marked AS (
+  SELECT *, min(doc_id) OVER (PARTITION BY content) AS keep_id, count(*) OVER (PARTITION BY content) AS group_size
+  FROM normal)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(content) AS text_sha256
+FROM marked
 """,
 }

@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import bpe, embedding_dups, packing, pii, quality, secret_scan, simhash, substring, topk, urls
+from vecloom.llm import bpe, embedding_dups, exact_dups, packing, pii, quality, secret_scan, simhash, substring, topk, urls
 from vecloom.llm.common import bounded_batches, spans_text, table
 from vecloom.llm.oracle import ORACLE
 
@@ -106,3 +106,9 @@ def op9_fm_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@registered
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dups.find_copies(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("digest", "text_sha256")
