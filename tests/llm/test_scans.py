@@ -5,11 +5,12 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from public_tokenizers import PATTERN
 from pyspark.sql import functions as F
 
 from tests.llm import brute
 from vecloom.llm import pii, quality, secret_scan, topk, urls
-from vecloom.llm.queries import RANKS, RANKS_PATTERN, URL_RULES
+from vecloom.llm.queries import RANKS, URL_RULES
 
 PIECES = ["a.b", "@", "x-y.com", ".", "1", "22", "300", "1.2.3.4", "255.1.1.256", " ", "-", "+1", "(514)", "555-8389"]
 PIECES += ["4111111111111111", "4111 1111 1111 1111", "é", "🙂", "_", "%", "\n", "00", "token", "=", "9-9", "a@b.co_c@d.org"]
@@ -83,7 +84,7 @@ def test_secrets(docs):
     rows = [(i, "".join(random.choices(SECRETS, k=random.randrange(30)))) for i in range(300)]
     rows += [(900, None), (901, ""), (902, "f" * 100_000), (903, "password=token:abcdefghijklmnop"), (None, "AKIA" * 9)]
     ranks = secret_scan.encoding_file(RANKS)
-    got = docs(rows).select("doc_id", secret_scan.find(ranks, RANKS_PATTERN, F.col("text")).alias("f")).collect()
+    got = docs(rows).select("doc_id", secret_scan.find(ranks, PATTERN, F.col("text")).alias("f")).collect()
     texts = dict(rows)
     import re
 
@@ -105,7 +106,7 @@ def test_random_strings_cost_many_tokens(docs):
     plain = ["internationalization_of_the_programming_language2", "CamelCaseIdentifierWithManyWords12", "-" * 60]
     plain += ["5f4dcc3b-5aa7-65d6-1d83-27deb882cf99", "D41D8CD98F00B204E9800998ECF8427E", "x" * 30, "9" * 40]
     rows = [(0, f"key é {key} end"), *((i + 1, f"see {p} here") for i, p in enumerate(plain))]
-    got = docs(rows).select("doc_id", secret_scan.find(ranks, RANKS_PATTERN, F.col("text")).alias("f")).collect()
+    got = docs(rows).select("doc_id", secret_scan.find(ranks, PATTERN, F.col("text")).alias("f")).collect()
     added = {r.doc_id: [tuple(s) for s in r.f.spans if s.kind == "random"] for r in got}
     assert added[0] == [(6, 3, "random", 6 + len(key))]
     assert all(not added[i + 1] for i in range(len(plain)))

@@ -3,20 +3,32 @@
 from __future__ import annotations
 
 import functools
-import os
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import bpe, embedding_dups, exact_dups, packing, pii, quality, secret_scan, simhash, substring, topk, urls
+from vecloom.llm import (
+    alignment,
+    bpe,
+    embedding_dups,
+    exact_dups,
+    packing,
+    pii,
+    quality,
+    resampling,
+    secret_scan,
+    simhash,
+    substring,
+    topk,
+    urls,
+)
 from vecloom.llm.common import bounded_batches, spans_text, table
 from vecloom.llm.oracle import ORACLE
 
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
-BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
-RANKS = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
-# The pattern that goes with the rank file (a fixed value of that vocabulary).
-RANKS_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 QUERIES: dict = {}
 __all__ = ["BYTE_BPE", "ORACLE", "QUERIES"]
@@ -63,7 +75,7 @@ def op4_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_efficiency_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = secret_scan.encoding_file(RANKS)
     docs = table(spark, sf_dir, "documents")
-    found = docs.select("doc_id", secret_scan.find(ranks, RANKS_PATTERN, F.col("text")).alias("f"))
+    found = docs.select("doc_id", secret_scan.find(ranks, public_tokenizers.PATTERN, F.col("text")).alias("f"))
 
     def many(kind: str):
         return F.size(F.filter("f.base", lambda s: s["kind"] == kind)).cast("long")
@@ -112,3 +124,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dups.find_copies(table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("digest", "text_sha256")
+
+
+@registered
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@registered
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
