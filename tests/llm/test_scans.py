@@ -112,6 +112,29 @@ def test_random_strings_cost_many_tokens(docs):
     assert all(not added[i + 1] for i in range(len(plain)))
 
 
+@pytest.mark.parametrize("alphabet", ["mixed", "upper", "base62", "base32", "lower"])
+@pytest.mark.parametrize("length", [20, 32, 64])
+def test_random_strings_of_any_letters_are_found(alphabet, length):
+    """Whatever they are made of, without digits too; and no word of plain prose is."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    letters = {"mixed": upper + lower, "upper": upper, "base62": upper + lower + "0123456789", "lower": lower}
+    encoding = secret_scan._encoding(secret_scan.encoding_file(RANKS), PATTERN)
+    rng = random.Random(length)
+    drawn = ["".join(rng.choices(letters.get(alphabet, upper + "234567"), k=length)) for _ in range(400)]
+    share = sum(secret_scan.looks_random(s, encoding) for s in drawn) / len(drawn)
+    assert share >= (0.85 if alphabet == "lower" else 0.99)
+
+
+def test_plain_documents_have_no_random_strings(spark):
+    ranks = secret_scan.encoding_file(RANKS)
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    found = docs.select(secret_scan.find(ranks, PATTERN, F.col("text")).alias("f"))
+    assert found.where("size(f.spans) > size(f.base)").count() == 0
+    words = "geschwindigkeitsbegrenzungen snake_case_name_of_thing a/b_path/with/many/parts get2HTTP3Codes4From5"
+    row = spark.createDataFrame([(words,)], "text string").select(secret_scan.find(ranks, PATTERN, F.col("text")).alias("f"))
+    assert row.first().f.spans == []
+
+
 def link(href, kind="canonical"):
     if kind == "canonical":
         return f"<head><LINK href='{href}' rel=canonical></head>"

@@ -1,10 +1,14 @@
 """Operator 5: secrets by fixed patterns and by token efficiency.
 
-A BPE vocabulary spells words in few tokens and random strings in many: a long string with
-few characters to a token is taken for a random one, after known digests (hex of the usual
-digest lengths), UUIDs and identifiers (words joined by case, ``_``, ``-`` or ``/``) are set
-aside. The fixed patterns (the base) stay whatever their efficiency; random strings are
-added where they touch no base span. One narrow Arrow pass; places are code points.
+A BPE vocabulary spells words in few tokens and random strings in many: a string of
+``shortest`` characters or more with fewer than ``efficiency`` to a token is taken for a random
+one, whatever letters or digits it is made of. Known digests (hex of the usual digest lengths),
+UUIDs and identifiers are set aside first. An identifier is words of two letters or more, and
+short numbers, joined by case, ``_``, ``-`` or ``/``; its words are weighed without what joins
+them, at the lower ratio ``word_efficiency``, so a random string that only has the form of one
+is still found: of 20 random lower-case letters 92 in 100, of mixed case all. The fixed patterns (the
+base) stay whatever their efficiency; random strings are added where they touch no base span.
+One narrow Arrow pass; places are code points.
 
 A null text is empty and has no spans. Texts are taken whole. Strings of any length are
 weighed in blocks of PIECE characters. Ties go by the order of the kinds. Repeated rows
@@ -25,6 +29,8 @@ BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "random")
 # Fewer characters to a token than this look random; English words have over four.
 EFFICIENCY = 2.2
+# Words of a language that the vocabulary does not know well come down to 1.9.
+WORD_EFFICIENCY = 1.9
 SHORTEST = 20
 PIECE = 512
 
@@ -35,12 +41,16 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
-_LONG = re.compile(rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}")
+_LONG = "[A-Za-z0-9+/_=-]{%d,}"
 _DIGESTS = {32, 40, 48, 56, 64, 96, 128}
 _ALL_HEX = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-# Words of two letters or more, or short numbers, one after another.
-_IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4}|[_/=+-])+")
+# Words of two letters or more, letters that stand alone, or short numbers, one after another.
+# Nothing is given back, so any string takes linear time.
+_IDENTIFIER = re.compile(
+    r"(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|(?<![A-Za-z0-9])[A-Za-z](?![A-Za-z0-9])|[0-9]{1,4}+|[_/=+-]++)++"
+)
+_WORD = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{2,}")
 
 
 def encoding_file(path: str) -> str:
@@ -71,38 +81,54 @@ def base_spans(text: str) -> list[tuple[int, int, str, int]]:
     return sorted(found)
 
 
-def looks_random(span: str, encoding: tiktoken.Encoding) -> bool:
-    digits = sum(c.isdigit() for c in span)
-    letters = sum(c.isalpha() for c in span)
-    if digits < 2 or letters < 4 or _UUID.fullmatch(span) or _IDENTIFIER.fullmatch(span):
-        return False
-    if len(span) in _DIGESTS and _ALL_HEX.fullmatch(span):
-        return False
+def per_token(span: str, encoding: tiktoken.Encoding) -> float:
+    """Characters to a token."""
     tokens = sum(len(encoding.encode_ordinary(span[i : i + PIECE])) for i in range(0, len(span), PIECE))
-    return len(span) / tokens < EFFICIENCY
+    return len(span) / tokens
+
+
+def looks_random(
+    span: str, encoding: tiktoken.Encoding, efficiency: float = EFFICIENCY, word_efficiency: float = WORD_EFFICIENCY
+) -> bool:
+    if _UUID.fullmatch(span) or len(span) in _DIGESTS and _ALL_HEX.fullmatch(span):
+        return False
+    if _IDENTIFIER.fullmatch(span):
+        words = _WORD.findall(span)
+        letters = sum(map(len, words))
+        return bool(words) and letters / sum(len(w) / per_token(w, encoding) for w in words) < word_efficiency
+    return per_token(span, encoding) < efficiency
 
 
-def random_spans(text: str, base: list[tuple], encoding: tiktoken.Encoding) -> list[tuple[int, int, str, int]]:
+def random_spans(
+    text: str, base: list[tuple], encoding: tiktoken.Encoding, long: re.Pattern, *ratios: float
+) -> list[tuple[int, int, str, int]]:
     found = []
-    for m in _LONG.finditer(text):
+    for m in long.finditer(text):
         touched = any(s < m.end() and m.start() < e for s, _, _, e in base)
-        if not touched and looks_random(m[0], encoding):
+        if not touched and looks_random(m[0], encoding, *ratios):
             found.append((m.start(), 3, "random", m.end()))
     return found
 
 
-def find(ranks: str, pattern: str, text: Column) -> Column:
+def find(
+    ranks: str,
+    pattern: str,
+    text: Column,
+    shortest: int = SHORTEST,
+    efficiency: float = EFFICIENCY,
+    word_efficiency: float = WORD_EFFICIENCY,
+) -> Column:
     """(base, spans): sorted spans (start, place of the kind, kind, end) of a text."""
     kind = "array<struct<start:int,place:int,kind:string,end:int>>"
     span = pa.struct([("start", pa.int32()), ("place", pa.int32()), ("kind", pa.string()), ("end", pa.int32())])
 
     @F.arrow_udf(f"struct<base:{kind},spans:{kind}>")
     def found(texts: pa.Array) -> pa.Array:
-        encoding = _encoding(ranks, pattern)
+        encoding, long = _encoding(ranks, pattern), re.compile(_LONG % shortest)
         base, spans = [], []
         for value in texts.to_pylist():
             some = base_spans(value or "")
-            more = sorted(some + random_spans(value or "", some, encoding))
+            more = sorted(some + random_spans(value or "", some, encoding, long, efficiency, word_efficiency))
             for out, rows in ((base, some), (spans, more)):
                 out.append([dict(zip(("start", "place", "kind", "end"), r, strict=True)) for r in rows])
         return pa.StructArray.from_arrays([pa.array(x, pa.list_(span)) for x in (base, spans)], ["base", "spans"])
