@@ -9,12 +9,13 @@ indices of their parents, byte lengths become ends by cumulative sums over each
 segment, and a hash join on (text, end) in Acero gives the links. The links are written once,
 as ids alone. Their counts are partial ``Table.group_by`` counts of each batch, merged by
 Spark. Of two tokens that end together one is a suffix of the other, so no more pairs can ever
-be linked than the two vocabularies hold suffixes of each other (`possible_pairs`), and the
-counts are shipped to the tasks, which join them to the links in Acero again.
+be linked than the two vocabularies hold suffixes of each other (`possible_pairs`: 324,297 for
+the registered query's, 8 MB of counts whatever the corpus), and the counts are shipped to the
+tasks, which join them to the links in Acero again.
 
 A long text is cut at letters followed by a space, where both tokenizers always part tokens,
 so its arrays come piece by piece; its numbers are added up and its groups hashed one after
-another.
+another. A text without such a place is taken whole.
 
 Texts that are null or empty, or whose tokens do not spell them (characters that a tokenizer
 normalises or cannot show), have no tokens: zeros and an empty string. Repeated rows count as
@@ -40,8 +41,8 @@ from tokenizers import Tokenizer
 from vecloom.llm.encoder import byte_letters
 from vecloom.session import settled
 
-# Bytes aligned at once; a longer text comes in pieces of about that size.
-PIECE = 1 << 20
+# Characters aligned at once; a longer text comes in pieces of about that size.
+PIECE = 1 << 17
 # Links to a written row.
 ROW_LINKS = 1 << 20
 SPACE = "▁"
@@ -69,7 +70,7 @@ class ByteTokens:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """The ids of each text with a space before it."""
-        return [e.ids for e in self.tokenizer.encode_batch([f" {t}" for t in texts], add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
 
 
 class PieceTokens:
