@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from vecloom.llm import packing, pii, quality, simhash, substring
 from vecloom.llm.common import bounded_batches, table
 from vecloom.llm.queries import BYTE_BPE
-from vecloom.session import settled
+from vecloom.session import passing_scratch, run_dir
 
 # A document below this quality goes.
 QUALITY = 0.3
+# A document's id and text as 256 bits, while a stage runs.
+ROW = "corpus_pipeline_row"
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,20 +31,21 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: of each group of near copies (five-word shingles, a similarity of 0.8 or
-    more) the smallest id stays.
-
-    A null id stays only in a group without others. Repeated rows of the smallest id are
-    one document: one row stays.
+    """Operator 10, with its shingles of three words and its radius of two bits: of each group
+    the document with the smallest id stays.
+
+    Null and empty texts have the fingerprint zero and are one group. A null id stays only in
+    a group without others. Of rows with the smallest id and other texts the one with the
+    smallest digest stays; rows that repeat id and text are one document, of which one row
+    stays. An empty table gives no rows. Other columns stay as they are, and the stage adds
+    none.
     """
-    marked = docs.withColumn("simhash_row", F.xxhash64("doc_id", "text"))
-    found = simhash.near_copies(marked, doc_id="doc_id", text="text", keep=("simhash_row",))
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        "simhash_row", "component_id", "component"
-    )
-    chosen = first.groupBy("component").agg(F.min("simhash_row").alias("simhash_row")).select("simhash_row")
-    kept = marked.join(chosen, "simhash_row", "left_semi").dropDuplicates(["simhash_row"])
-    return kept.select(*docs.columns)
+    key = F.sha2(F.to_json(F.struct("doc_id", "text")), 256)
+    marked = docs.withColumn(ROW, key)
+    found = simhash.near_duplicates(marked, keep=(ROW,))
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = first.groupBy("component").agg(F.min(ROW).alias(ROW)).select(ROW)
+    return marked.join(chosen, ROW, "left_semi").dropDuplicates([ROW]).select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -98,5 +101,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = settled(stage(spark, docs, sf_dir), name)
+        path = run_dir(spark, name)
+        with passing_scratch(spark):
+            rows = stage(spark, docs, sf_dir)
+            rows.write.parquet(path)
+        docs = spark.read.schema(rows.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 # task holds a few such blocks at a time whatever the size of the table.
 ARROW_BATCH_ROWS = 8192
 TASKS_PER_CORE = 4
+# The folders of run_dir since the innermost passing_scratch began.
+_made: list[str] = []
 
 
 def build_session(
@@ -66,7 +70,23 @@ def run_dir(spark: SparkSession, label: str) -> str:
     if not system.exists(folder):
         system.mkdirs(folder)
         system.deleteOnExit(folder)
-    return f"{own}/{label}-{uuid.uuid4().hex}"
+    _made.append(f"{own}/{label}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+@contextlib.contextmanager
+def passing_scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders made by :func:`run_dir` inside are removed at the end: for a step whose result is
+    written elsewhere before it ends."""
+    outer, _made[:] = list(_made), []
+    try:
+        yield
+    finally:
+        inner, _made[:] = list(_made), outer
+        context = spark.sparkContext
+        for path in inner:
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def settled(df: DataFrame, label: str) -> DataFrame:
