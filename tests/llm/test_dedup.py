@@ -157,92 +157,9 @@ def test_simhash_links_of_dense_prints(spark, block):
         assert found.find(p) == groups.find(p)
 
 
-def edited(words, share):
-    """The words with so many of them replaced, each on its own."""
-    words = list(words)
-    for i in random.sample(range(len(words)), round(share * len(words))):
-        words[i] = f"new{random.random()}"
-    return words
-
-
-def test_near_copies_by_similarity(docs):
-    random.seed(11)
-    rows, families = [], {}
-    for family in range(40):
-        base = [f"{family}x{random.randrange(400)}" for _ in range(300)]
-        for n, share in enumerate((0, 0, 0.003, 0.01, 0.015)):
-            rows.append((family * 10 + n, " ".join(edited(base, share))))
-            families[family * 10 + n] = family * 10
-    shared = random.choices(WORDS, k=60)
-    for i in range(60):  # unrelated but for a shared passage
-        own = [f"y{i}z{random.randrange(500)}" for _ in range(150)]
-        rows.append((1000 + i, " ".join(own + shared)))
-        families[1000 + i] = 1000 + i
-    rows += [(2000, None), (2001, ""), (2002, "two words"), (2003, "Two  words"), (None, "alone here")]
-    families |= {2000: 2000, 2001: 2000, 2002: 2002, 2003: 2002}
-    got = simhash.near_copies(docs(rows), keep=("row", "ids")).collect()
-    assert len(got) == len(rows)
-    for r in got:
-        assert r.component_id == families.get(r.doc_id) and (r.row, r.ids) == (1, "z")
-    assert simhash.near_copies(docs([])).count() == 0
-
-
-def grams(text, words=5):
-    """The set of shingles as the operator takes it: bytes, lower case of ASCII."""
-    parts = (text or "").encode().lower().split()
-    return {tuple(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))} if parts else set()
-
-
-def similar(a, b):
-    return len(a & b) / len(a | b) if a | b else 1.0
-
-
-def copies_by_sets(rows, least=0.8):
-    groups, sets = brute.Groups(), [grams(t) for _, t in rows]
-    for i, a in enumerate(sets):
-        groups.find(i)
-        for j in range(i):
-            if similar(a, sets[j]) >= least:
-                groups.join(i, j)
-    lowest = {}
-    for i, (doc_id, _) in enumerate(rows):
-        root = groups.find(i)
-        lowest[root] = min(lowest.get(root, doc_id), doc_id)
-    return {doc_id: lowest[groups.find(i)] for i, (doc_id, _) in enumerate(rows)}
-
-
-@pytest.mark.parametrize("block", [16, 512])
-def test_less_similar_texts_are_not_joined(docs, monkeypatch, block):
-    """Documents of one template, pairwise about 0.6 alike, all stay apart; copies do not."""
-    monkeypatch.setattr(simhash.similar_links, "__defaults__", (block,))
-    random.seed(21)
-    template = [f"t{i}" for i in range(300)]
-    rows = [(i, " ".join([*template, *(f"d{i}w{n}" for n in range(98))])) for i in range(60)]
-    rows += [(100 + i, rows[i][1] + " one more") for i in range(5)]
-    pair = similar(grams(rows[0][1]), grams(rows[1][1]))
-    assert 0.55 < pair < 0.65
-    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs(rows)).collect()}
-    assert got == copies_by_sets(rows) == {i: i % 100 for i, _ in rows}
-
-
-def test_all_pairs_of_the_similarity_are_joined(docs):
-    """Pairs just at the bound and above, among them the shortest that can lie there."""
-    random.seed(22)
-    rows = []
-    for n in range(500):
-        words = [f"p{n}w{i}" for i in range(8 if n % 5 == 0 else 84)]
-        rows.append((2 * n, " ".join(words)))
-        rows.append((2 * n + 1, " ".join(words + [f"p{n}v{i}" for i in range(1 if n % 5 == 0 else 20)])))
-    sets = [grams(t) for _, t in rows]
-    assert all(similar(a, b) == 0.8 for a, b in zip(sets[::2], sets[1::2], strict=True))
-    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs(rows)).collect()}
-    assert got == {i: i // 2 * 2 for i, _ in rows}
-
-
-def test_short_texts_are_not_like_empty_ones(docs):
-    rows = [(i, " ".join(f"s{i}w{n}" for n in range(6))) for i in range(400)] + [(1000, ""), (1001, None)]
-    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs(rows)).collect()}
-    assert got == {i: min(i, 1000) for i, _ in rows}
+def test_larger_radius_is_refused(docs):
+    with pytest.raises(ValueError, match="radius"):
+        simhash.near_duplicates(docs([(1, "a")]), radius=3)
 
 
 def test_wide_near_pairs_are_all_pairs():

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 import __spark_entry__
 import corpus_pipeline
 from tests.llm import brute
-from tests.llm.test_dedup import copies_by_sets
 from vecloom.llm import queries
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -28,7 +27,7 @@ def test_stages_are_registered():
     ]
     found = __spark_entry__.queries()
     assert found["pipeline"] is corpus_pipeline.run
-    assert sorted(int(n[2:].split("_")[0]) for n in found if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in found if n.startswith("op")) == list(range(1, 14))
 
 
 def test_quality_stage_keeps_clean_rows(spark, sf):
@@ -41,30 +40,41 @@ def test_quality_stage_keeps_clean_rows(spark, sf):
     assert kept.join(good, "doc_id").count() >= good.join(docs, "doc_id").count() - 1
 
 
+def kept_by_groups(rows):
+    return Counter(i for i, _, least in brute.simhash(rows) if i == least)
+
+
 def test_simhash_stage(spark, sf):
     rows = [(3, "a b c d e f"), (1, "A b c d e f"), (1, "A b c d e f"), (2, "other words here"), (None, "z y x w"), (9, None), (8, "")]
     kept = corpus_pipeline.simhash_dedup(spark, frame(spark, rows), sf)
     assert kept.columns == COLUMNS
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 8]
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    kept = {r.doc_id for r in corpus_pipeline.simhash_dedup(spark, docs, sf).select("doc_id").collect()}
-    rows = [(r.doc_id, r.text) for r in docs.collect()]
-    sets = [brute.shingles(text) for _, text in rows]
-    alike = [
-        (rows[j][0], rows[i][0], len(a & sets[j]) / len(a | sets[j])) for i, a in enumerate(sets) for j in range(i)
-    ]
-    # Of each two that are surely near copies one goes; what goes has something like it.
-    assert not any(a in kept and b in kept for a, b, similar in alike if similar >= 0.9)
-    related = {x for a, b, similar in alike if similar >= 0.5 for x in (a, b)}
-    assert {i for i, _ in rows} - kept <= related
-
-
-def test_simhash_stage_goes_by_the_similarity(spark, sf):
-    """Of each two documents of 0.8 or more one goes, and nothing else does."""
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    rows = [(r.doc_id, r.text) for r in docs.collect()]
-    kept = {r.doc_id for r in corpus_pipeline.simhash_dedup(spark, docs, sf).select("doc_id").collect()}
-    assert kept == set(copies_by_sets(rows).values())
+    kept = corpus_pipeline.simhash_dedup(spark, docs, sf).collect()
+    rows = {r.doc_id: r for r in docs.collect()}
+    assert Counter(r.doc_id for r in kept) == kept_by_groups([(r.doc_id, r.text) for r in rows.values()])
+    assert all(r == rows[r.doc_id] for r in kept)
+
+
+ODD = [(4, None), (3, ""), (1, "some words of a text"), (1, "some words of a text"), (None, None), (7, "x" * 200_000), (2, " \n\t ")]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_of_odd_and_of_no_rows(spark, sf, name, stage):
+    """Nulls, empty and long texts, repeats, null ids, extra columns of clashing names."""
+    names = ("row", "corpus_pipeline_row2", "others", "spans", "packed", "digest", "fingerprint", "component", "kept")
+    odd = frame(spark, ODD).withColumns({n: F.lit(n) for n in names})
+    done = stage(spark, odd, sf)
+    if name == "best_fit_packing":
+        assert Counter(r.doc_id for r in done.where("piece = 0").collect()) == Counter(i for i, _ in ODD)
+    else:
+        assert done.columns == odd.columns
+        assert all(r[n] == n for r in done.collect() for n in names)
+    if name in ("substring_dedup", "pii_redaction"):
+        assert Counter((r.doc_id, r.text) for r in done.collect()) == Counter(ODD)
+    if name == "simhash_dedup":
+        assert Counter(r.doc_id for r in done.collect()) == Counter([1, 2, 7])
+    assert stage(spark, odd.limit(0), sf).count() == 0
 
 
 def test_substring_stage(spark, sf):

@@ -2,6 +2,7 @@
 
 import random
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 from vecloom.llm import pii, quality, secret_scan, topk, urls
-from vecloom.llm.queries import RANKS, URL_RULES
+from vecloom.llm.queries import ORACLE, RANKS, URL_RULES
 
 PIECES = ["a.b", "@", "x-y.com", ".", "1", "22", "300", "1.2.3.4", "255.1.1.256", " ", "-", "+1", "(514)", "555-8389"]
 PIECES += ["4111111111111111", "4111 1111 1111 1111", "é", "🙂", "_", "%", "\n", "00", "token", "=", "9-9", "a@b.co_c@d.org"]
@@ -152,17 +153,30 @@ def test_url_verdicts(spark):
         (7, None, "", None, "allow"),
         (8, "no scheme", link("http://example.com/de/9"), None, "allow"),
         (9, "http://one.com/a", link("http://example.com/de/z"), None, "block"),
-        (10, "http://two.com/b", link("//one.com/a?x=1", "refresh"), None, "block"),
-        (11, "http://two.com/dir/c", link("../b"), None, "allow"),  # not resolved to /b
+        (10, "http://two.com/b", link("//one.com/x/./../a#top", "refresh"), None, "block"),
+        (11, "http://two.com/dir/c", link("../b"), None, "block"),  # /b of two.com
         (12, "http://two.com/d", link("b"), None, "block"),
         (13, "http://three.com/a", link("http://org/fr/ok") + link("http://example.com/de/z2"), None, "allow"),
         (14, "http://four.com/a", link("mailto:x@y.z"), None, "allow"),
         (15, "http://two.com/b", "", None, "block"),
         (16, "http://five.com/a", link("http://example.com/de/z2"), None, "allow"),
         (17, "", None, None, "allow"),
+        (18, "http://one.com/a?x=1", "", None, "allow"),  # other than one.com/a
+        (19, "http://view.com/show?id=1", link("http://example.com/de/z3"), None, "block"),
+        (20, "http://view.com/show?id=2", "", None, "allow"),  # nothing links it
+        (21, "http://view.com/show?id=1#part", "", None, "block"),
+        (22, "http://view.com/show", link("?id=1"), None, "block"),
+        (23, "http://view.com/show?id=3#x", link("#y"), None, "allow"),
+        (24, "http://six.com/a/b/", link("../../../../six/."), None, "block"),
+        (25, "http://six.com/six/", link("http://example.com/de/z4?q#f"), None, "block"),
     ]
     schema = "page_id bigint, url string, html string, rule int, host int, node int"
     frame = spark.createDataFrame([(*p[:3], 1, 2, 3) for p in pages], schema)
+    database = duckdb.connect()
+    database.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    database.executemany("INSERT INTO pages VALUES (?, ?, ?)", [p[:3] for p in pages])
+    by_sql = {r[0]: r[3:] for r in database.execute(ORACLE["op3_url_aliases"]).fetchall()}
+    assert by_sql == {p[0]: p[3:] for p in pages}
     got = {r.page_id: (r.rule, r.verdict) for r in urls.judge(frame, URL_RULES).collect()}
     assert got == {p[0]: p[3:] for p in pages}
     assert urls.judge(frame.limit(0), URL_RULES).count() == 0

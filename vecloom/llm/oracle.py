@@ -11,36 +11,52 @@ WITH RECURSIVE pages_at AS (
 named AS (
   SELECT page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+    regexp_extract(rest, '^[^/?#]*[^?#]*(\?[^#]*)', 1) AS query
   FROM pages_at),
 tags AS (
-  SELECT host, path, regexp_extract(tag, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS link
-  FROM (SELECT host, path, unnest(regexp_extract_all(html,
+  SELECT host, path, query, regexp_extract(tag, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS link
+  FROM (SELECT host, path, query, unnest(regexp_extract_all(html,
       '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>')) AS tag FROM named WHERE host <> '')
   UNION ALL
-  SELECT host, path, regexp_extract(tag, '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)
-  FROM (SELECT host, path, unnest(regexp_extract_all(html,
+  SELECT host, path, query, regexp_extract(tag, '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)
+  FROM (SELECT host, path, query, unnest(regexp_extract_all(html,
       '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>')) AS tag FROM named WHERE host <> '')),
 links AS (
-  SELECT host, path, replace(link, '&amp;', '&') AS link,
+  SELECT host, path, query, replace(link, '&amp;', '&') AS link,
     regexp_extract(replace(link, '&amp;', '&'), '^([A-Za-z][A-Za-z0-9+.-]*):', 1) AS scheme,
     regexp_extract(path, '^(.*/)', 1) AS folder
   FROM tags WHERE link <> ''),
 resolved AS (
-  SELECT host || path AS a,
+  SELECT host, path, query,
     CASE WHEN lower(scheme) IN ('http', 'https') THEN link
          WHEN scheme <> '' THEN NULL
          WHEN starts_with(link, '//') THEN 'x:' || link
          WHEN starts_with(link, '/') THEN 'x://' || host || link
-         WHEN regexp_matches(link, '^[?#]') THEN 'x://' || host || path
+         WHEN starts_with(link, '?') THEN 'x://' || host || path || link
+         WHEN starts_with(link, '#') THEN 'x://' || host || path || query
          ELSE 'x://' || host || (CASE folder WHEN '' THEN '/' ELSE folder END) || link END AS target
   FROM links),
+targets AS (
+  SELECT host, path, query, CASE WHEN strpos(coalesce(target, ''), '://') > 0
+      THEN substr(target, strpos(target, '://') + 3) ELSE '' END AS rest FROM resolved),
+ends AS (
+  SELECT host, path, query, translate(regexp_extract(rest, '^([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS to_host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS to_path,
+    regexp_extract(rest, '^[^/?#]*[^?#]*(\?[^#]*)', 1) AS to_query
+  FROM targets),
+all_paths AS (SELECT DISTINCT path FROM (SELECT path FROM named UNION ALL SELECT to_path FROM ends)),
+plain_paths AS (
+  SELECT path, CASE WHEN contains(path, '/.') THEN
+      list_reduce(string_split(path, '/'), lambda done, segment: CASE segment WHEN '.' THEN done
+        WHEN '..' THEN regexp_replace(done, '/[^/]*$', '') ELSE done || '/' || segment END)
+      || CASE WHEN regexp_matches(path, '/\.\.?$') THEN '/' ELSE '' END ELSE path END AS plain
+  FROM all_paths),
 edges AS (
-  SELECT a, translate(regexp_extract(rest, '^([^/?#]*)', 1),
-      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS b
-  FROM (SELECT a, CASE WHEN strpos(coalesce(target, ''), '://') > 0
-      THEN substr(target, strpos(target, '://') + 3) ELSE '' END AS rest FROM resolved)
-  WHERE regexp_extract(rest, '^([^/?#]*)', 1) <> ''),
+  SELECT host || p.plain || query AS a, to_host || t.plain || to_query AS b
+  FROM ends JOIN plain_paths p ON ends.path = p.path JOIN plain_paths t ON ends.to_path = t.path
+  WHERE to_host <> ''),
 both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
 reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
 rules(rule, rule_host, rule_path, decision) AS (VALUES ('net/', 'net', '/', 'block'),
@@ -49,9 +65,9 @@ rules(rule, rule_host, rule_path, decision) AS (VALUES ('net/', 'net', '/', 'blo
 nodes AS (SELECT DISTINCT b AS node FROM reach),
 node_rules AS (
   SELECT node, arg_max(decision, length(rule)) AS decision
-  FROM nodes JOIN rules ON (regexp_extract(node, '^([^/]*)', 1) = rule_host
-      OR ends_with(regexp_extract(node, '^([^/]*)', 1), '.' || rule_host))
-    AND starts_with(regexp_extract(node, '(?s)(/.*)', 1), rule_path)
+  FROM nodes JOIN rules ON (regexp_extract(node, '^([^/?]*)', 1) = rule_host
+      OR ends_with(regexp_extract(node, '^([^/?]*)', 1), '.' || rule_host))
+    AND starts_with(regexp_extract(node, '^[^/?]*([^?]*)', 1), rule_path)
   GROUP BY node),
 carried AS (
   SELECT a AS node, CASE WHEN bool_or(decision = 'allow') THEN 'allow' ELSE 'block' END AS verdict
@@ -62,8 +78,8 @@ page_rules AS (
     ON (n.host = rule_host OR ends_with(n.host, '.' || rule_host)) AND starts_with(n.path, rule_path)
   GROUP BY n.host, n.path)
 SELECT n.page_id, n.host, n.path, p.rule, coalesce(p.decision, c.verdict, 'allow') AS verdict
-FROM named n LEFT JOIN page_rules p ON n.host = p.host AND n.path = p.path
-LEFT JOIN carried c ON n.host <> '' AND n.host || n.path = c.node
+FROM named n JOIN plain_paths USING (path) LEFT JOIN page_rules p ON n.host = p.host AND n.path = p.path
+LEFT JOIN carried c ON n.host <> '' AND n.host || plain_paths.plain || n.query = c.node
 """,
     "op4_threshold_topk": """
 WITH usable AS (

@@ -8,11 +8,6 @@ once: planes shifted by d are xor-ed and added into carry-save counters, 64 pair
 machine word, and words whose pairs all exceed the radius leave the block early.
 Tasks keep a spanning forest of the links they find; components are Spark jobs.
 
-A radius of two bits only finds texts that differ in very little. ``near_copies`` therefore
-compares fingerprints of 256 bits over the set of five-word shingles, by the same planes and
-counters, at the distance that a Jaccard similarity of 0.8 may give. Those are candidates:
-a link needs the similarity itself, from the written sets.
-
 Null and empty texts have no words and the fingerprint zero, which links like any other.
 Repeated rows share a fingerprint. Null ids never name a component (one whose ids are all
 null has a null id). An empty table gives no rows.
@@ -20,8 +15,6 @@ null has a null id). An empty table gives no rows.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -30,20 +23,10 @@ from pyspark.sql import functions as F
 
 from vecloom.llm.blocks import Forest, block_pairs, per_groups
 from vecloom.llm.components import connected_components
-from vecloom.llm.embedding_dups import tables_for
-from vecloom.llm.words import mixed
 from vecloom.session import settled
 
 BLOCK_ROWS = 2048
 RADIUS = 2
-# For similarity rather than a radius: the bits, the deviations allowed above the expected
-# distance, and the share of pairs at the asked similarity that meet in some table.
-WIDE_BITS = 256
-RADIUS_SPREAD = 4.0
-WIDE_RECALL = 0.9999
-# Sets up to this size have their distances counted out; rows of a block with its sets.
-SMALL_SET = 32
-SET_ROWS = 512
 SHINGLES_AT_ONCE = 1 << 16
 
 
@@ -152,7 +135,10 @@ def near_pairs(prints: np.ndarray, ends: np.ndarray, radius: int, forest: Forest
 
 
 def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK_ROWS) -> DataFrame:
-    """Edges (a, b) that connect all distinct fingerprints within the radius, 2 at most."""
+    """Edges (a, b) that connect all distinct fingerprints within the radius, 2 at most: two
+    bits leave two of four bands alike, more need not."""
+    if not 0 <= radius <= RADIUS:
+        raise ValueError(f"the radius must be between 0 and {RADIUS}")
     band = [F.shiftrightunsigned("fingerprint", 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in range(4)]
     pairs = [(i, j) for i in range(4) for j in range(i + 1, 4)]
     keys = [
@@ -173,187 +159,6 @@ def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK_ROWS) -> D
     return met.mapInArrow(per_groups(compared), "a bigint, b bigint")
 
 
-def shingle_hashes(raw: bytes, words: int) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of a text's shingles; a shorter text is one shingle."""
-    parts = raw.lower().split()
-    short = min(words, len(parts))
-    n = len(parts) - short + 1 if parts else 0
-    digest = xxhash.xxh3_64_intdigest
-    found = [np.zeros(0, np.uint64)]
-    for at in range(0, n, SHINGLES_AT_ONCE):
-        some = parts[at : min(n, at + SHINGLES_AT_ONCE) + short - 1]
-        shingles = zip(*(some[i:] for i in range(short)), strict=False)
-        found.append(np.unique(np.array([digest(b" ".join(s)) for s in shingles], np.uint64)))
-    return np.unique(np.concatenate(found))
-
-
-def wide_print(hashes: np.ndarray) -> bytes:
-    """The SimHash of WIDE_BITS bits of a set of hashes: each counts once."""
-    sums = np.zeros(WIDE_BITS, np.int64)
-    for at in range(0, len(hashes), SHINGLES_AT_ONCE // 4):
-        some = hashes[at : at + SHINGLES_AT_ONCE // 4, None]
-        with np.errstate(over="ignore"):
-            wide = mixed(some + np.arange(1, WIDE_BITS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        bits = np.unpackbits(wide.view(np.uint8).reshape(len(some), -1), axis=1, bitorder="little")
-        sums += bits.sum(0, dtype=np.int64)
-    return np.packbits(2 * sums > len(hashes), bitorder="little").tobytes()
-
-
-def wide_fingerprint(text: Column, words: int = 5) -> Column:
-    """(fingerprint, digest, shingles) of a text: a SimHash of WIDE_BITS bits, wide enough to
-    tell similarities apart, 16 bytes that name its set of shingles, and the set's hashes."""
-
-    @F.arrow_udf("struct<fingerprint:binary,digest:binary,shingles:binary>")
-    def made(texts: pa.Array) -> pa.Array:
-        prints, digests, sets = [], [], []
-        for raw in texts.cast(pa.binary()).to_pylist():
-            hashes = shingle_hashes(raw or b"", words)
-            prints.append(wide_print(hashes))
-            sets.append(hashes.tobytes())
-            digests.append(xxhash.xxh3_128_digest(sets[-1]))
-        columns = [pa.array(x, pa.binary()) for x in (prints, digests, sets)]
-        return pa.StructArray.from_arrays(columns, ["fingerprint", "digest", "shingles"])
-
-    return made(text)
-
-
-def differing_share(similarity: float) -> float:
-    """The largest expected share of differing bits of two sets of the given Jaccard similarity.
-
-    Sets of similarity s have a cosine of 2s / (1 + s) at least, which fixes the share for
-    large sets; in small ones ties and single shingles weigh more (0.19 instead of 0.15 for
-    four of five shingles), so these are counted out.
-    """
-    worst = math.acos(2 * similarity / (1 + similarity)) / math.pi
-
-    def set_bit(own: int, k: int, size: int) -> float:
-        return sum(math.comb(own, j) for j in range(own + 1) if 2 * (k + j) > size) / 2**own
-
-    for a in range(1, SMALL_SET + 1):
-        for b in range(a, int(a / similarity + 1e-9) + 1):
-            both = math.ceil(similarity / (1 + similarity) * (a + b) - 1e-9)
-            if both <= a:
-                share = 0.0
-                for k in range(both + 1):
-                    x, y = set_bit(a - both, k, a), set_bit(b - both, k, b)
-                    share += math.comb(both, k) / 2**both * (x * (1 - y) + y * (1 - x))
-                worst = max(worst, share)
-    return worst
-
-
-def wide_links(classes: DataFrame, rows: int, similarity: float, block: int = BLOCK_ROWS) -> DataFrame:
-    """Edges (a, b) that connect all nodes whose wide fingerprints are as near as those of sets
-    of the given Jaccard similarity may be: candidates, many of which are less similar.
-
-    The radius is the expected distance and RADIUS_SPREAD standard deviations. A bucket key
-    is the fingerprint's bits at places drawn for its table; their number follows the number
-    of rows, and that of the tables the share of pairs that must meet (as in embedding_dups).
-    """
-    share = differing_share(similarity)
-    radius = wide_radius(share)
-    signs, tables = tables_for(rows, math.cos(math.pi * share), WIDE_RECALL)
-    random = np.random.default_rng(10)
-    places = np.stack([random.choice(WIDE_BITS, signs, replace=False) for _ in range(tables)])
-
-    @F.arrow_udf("array<bigint>")
-    def keys(prints: pa.Array) -> pa.Array:
-        raw = np.frombuffer(b"".join(prints.to_pylist()), np.uint8).reshape(len(prints), -1)
-        bits = np.unpackbits(raw, axis=1, bitorder="little")
-        found = bits[:, places].astype(np.int64) @ (np.int64(1) << np.arange(signs))
-        return pa.array(list(found | np.arange(tables) << 40), pa.list_(pa.int64()))
-
-    hashed = classes.select(F.explode(keys("fingerprint")).alias("bucket"), "node", "fingerprint")
-
-    def compared(joined: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
-        node = joined.column("node").to_numpy()
-        prints = np.frombuffer(b"".join(joined.column("fingerprint").to_pylist()), np.uint64).reshape(len(node), -1)
-        ends = np.repeat(starts[1:], np.diff(starts))
-        forest = Forest(len(node))
-        for i, j in near_pairs(prints, ends, radius, forest):
-            forest.link(i, j)
-        kept = np.array(forest.kept, np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(node[kept[:, 0]]), pa.array(node[kept[:, 1]])], ["a", "b"])
-
-    met = block_pairs(hashed, block, ["node", "fingerprint"], "node")
-    return met.mapInArrow(per_groups(compared), "a bigint, b bigint")
-
-
-def wide_radius(share: float) -> int:
-    return math.ceil(WIDE_BITS * share + RADIUS_SPREAD * math.sqrt(WIDE_BITS * share * (1 - share)))
-
-
-def similar_links(sets: DataFrame, similarity: float, block: int = SET_ROWS) -> DataFrame:
-    """Edges (a, b) that connect all nodes of a bucket whose sets of shingles have the given
-    Jaccard similarity or more. sets: (bucket, node, fingerprint, shingles).
-
-    The bit planes give the candidates; a link is made only where the sets themselves bear
-    it out. Pairs that verified links join already are not compared.
-    """
-    radius = wide_radius(differing_share(similarity))
-
-    def compared(joined: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
-        node = joined.column("node").to_numpy()
-        prints = np.frombuffer(b"".join(joined.column("fingerprint").to_pylist()), np.uint64).reshape(len(node), -1)
-        shingles = [np.frombuffer(s.as_buffer(), np.uint64) for s in joined.column("shingles")]
-        ends = np.repeat(starts[1:], np.diff(starts))
-        forest = Forest(len(node))
-        for left, right in near_pairs(prints, ends, radius, forest):
-            alike = np.zeros(len(left), bool)
-            for n, (i, j) in enumerate(zip(left.tolist(), right.tolist(), strict=True)):
-                a, b = shingles[i], shingles[j]
-                if min(len(a), len(b)) / max(len(a), len(b)) >= similarity:
-                    shared = len(np.intersect1d(a, b, assume_unique=True))
-                    alike[n] = shared / (len(a) + len(b) - shared) >= similarity
-            forest.link(left[alike], right[alike])
-        kept = np.array(forest.kept, np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(node[kept[:, 0]]), pa.array(node[kept[:, 1]])], ["a", "b"])
-
-    met = block_pairs(sets, block, ["node", "fingerprint", "shingles"], "node")
-    return met.mapInArrow(per_groups(compared, SET_ROWS), "a bigint, b bigint")
-
-
-def near_copies(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    similarity: float = 0.8,
-    words: int = 5,
-    keep: tuple[str, ...] = (),
-) -> DataFrame:
-    """(doc_id, *keep, component_id, component) for every row: texts whose sets of word
-    shingles have the Jaccard similarity asked for, or more, are joined.
-
-    Texts of one set are one class. Near fingerprints only tell which classes may be alike:
-    what they connect is compared again by the written sets, block by block, and only pairs
-    that are similar enough become links. Texts without words are alike among themselves
-    only. Nulls and repeats as in :func:`near_duplicates`.
-    """
-    made = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.struct(F.lit(0).alias("_"), *keep).alias("others"),
-        wide_fingerprint(F.col(text), words).alias("made"),
-    )
-    made = settled(made.select("doc_id", "others", "made.*"), "prints")
-    classes = made.groupBy("digest", "fingerprint").agg(
-        F.min("doc_id").alias("first"), F.max(F.length("shingles")).alias("size")
-    )
-    classes = settled(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    candidates = connected_components(wide_links(classes.where("size > 0"), classes.count(), similarity), "a", "b")
-    wanted = classes.join(candidates, "node").select("digest", "node", F.col("component").alias("bucket"))
-    sets = made.select("digest", "fingerprint", "shingles").join(wanted, "digest")
-    sets = sets.groupBy("bucket", "node", "fingerprint").agg(F.first("shingles").alias("shingles"))
-    parts = connected_components(similar_links(settled(sets, "sets"), similarity), "a", "b")
-    named = classes.join(parts, "node", "left").select(
-        "digest", "first", F.coalesce("component", "node").alias("component")
-    )
-    named = settled(named, "components")
-    lowest = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = named.join(lowest, "component").select("digest", "component_id", "component")
-    return made.join(named, "digest").select(
-        "doc_id", *(F.col("others")[c].alias(c) for c in keep), "component_id", "component"
-    )
-
-
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",

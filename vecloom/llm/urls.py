@@ -2,8 +2,9 @@
 
 A page's own rule decides it: the longest rule whose host is the url's host or a parent of
 it and whose path begins the url's path. A page without a rule takes the verdict of its
-aliases: urls (host and path) joined by canonical links and refresh redirects, in either
-direction and over any number of steps. One allowed alias allows them all; otherwise one
+aliases: urls joined by canonical links and refresh redirects, in either direction and over any
+number of steps. A url is known by its host, its path without dot segments and its query; the
+fragment is no part of it. One allowed alias allows them all; otherwise one
 blocked alias blocks them; otherwise the page is allowed. Components are Spark jobs
 (components.py), so a hub that a third of all pages link to is split like any other.
 
@@ -25,12 +26,31 @@ from vecloom.session import settled
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def host_and_path(url: Column) -> tuple[Column, Column]:
+def url_parts(url: Column) -> tuple[Column, Column, Column]:
+    """(host, path, query with its question mark) of a url."""
     url = F.coalesce(url, F.lit(""))
     at = F.locate("://", url)
     rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise("")
     host = F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), _UPPER, _UPPER.lower())
-    return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
+    path = F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
+    return host, path, F.regexp_extract(rest, r"^[^/?#]*[^?#]*(\?[^#]*)", 1)
+
+
+def without_dots(path: Column) -> Column:
+    """The path with its . and .. segments resolved."""
+
+    def step(done: Column, segment: Column) -> Column:
+        up = F.regexp_replace(done, "/[^/]*$", "")
+        return F.when(segment == ".", done).when(segment == "..", up).otherwise(F.concat(done, F.lit("/"), segment))
+
+    segments = F.split(path, "/")
+    done = F.aggregate(F.slice(segments, 2, F.greatest(F.size(segments) - 1, F.lit(0))), F.lit(""), step)
+    folder = F.when(path.rlike(r"/\.\.?$"), "/").otherwise("")
+    return F.when(path.contains("/."), F.concat(done, folder)).otherwise(path)
+
+
+def url_node(host: Column, path: Column, query: Column) -> Column:
+    return F.concat(host, without_dots(path), query)
 
 
 def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
@@ -62,8 +82,10 @@ def _links(html: Column) -> Column:
 
 
 def aliases(pages: DataFrame) -> DataFrame:
-    """(a, b): urls, as host and path, that one link joins."""
-    links = pages.where("host <> ''").select("host", "path", F.explode(_links(F.col("html"))).alias("link"))
+    """(a, b): urls, as nodes, that one link joins. pages: (host, path, query, node, html)."""
+    links = pages.where("host <> ''").select(
+        "host", "path", "query", "node", F.explode(_links(F.col("html"))).alias("link")
+    )
     scheme = F.regexp_extract("link", r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     folder = F.regexp_extract("path", r"^(.*/)", 1)
     absolute = (
@@ -71,12 +93,13 @@ def aliases(pages: DataFrame) -> DataFrame:
         .when(scheme != "", F.lit(None))
         .when(F.col("link").startswith("//"), F.concat(F.lit("x:"), "link"))
         .when(F.col("link").startswith("/"), F.concat(F.lit("x://"), "host", "link"))
-        .when(F.col("link").rlike("^[?#]"), F.concat(F.lit("x://"), "host", "path"))
+        .when(F.col("link").startswith("?"), F.concat(F.lit("x://"), "host", "path", "link"))
+        .when(F.col("link").startswith("#"), F.concat(F.lit("x://"), "host", "path", "query"))
         .otherwise(F.concat(F.lit("x://"), "host", F.when(folder == "", "/").otherwise(folder), "link"))
     )
-    host, path = host_and_path(absolute)
-    named = links.select(F.concat("host", "path").alias("a"), host.alias("host"), path.alias("path"))
-    return named.where("host <> ''").select("a", F.concat("host", "path").alias("b"))
+    parts = url_parts(absolute)
+    named = links.select(F.col("node").alias("a"), parts[0].alias("host"), url_node(*parts).alias("b"))
+    return named.where("host <> ''").select("a", "b")
 
 
 def judge(
@@ -87,16 +110,24 @@ def judge(
     html: str = "html",
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict) of every page."""
-    host, path = host_and_path(F.col(url))
+    host, path, query = url_parts(F.col(url))
     named = pages.select(
-        F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"), F.col(html).alias("html")
+        F.col(page_id).alias("page_id"),
+        host.alias("host"),
+        path.alias("path"),
+        query.alias("query"),
+        F.when(host != "", url_node(host, path, query)).alias("node"),
+        F.col(html).alias("html"),
     )
     parts = connected_components(settled(aliases(named), "aliases"), "a", "b")
-    parts = settled(parts, "parts")
-    rule, verdict = rule_for(F.regexp_extract("node", "^([^/]*)", 1), F.regexp_extract("node", "(?s)(/.*)", 1), rules)
+    of_node = F.regexp_extract("node", "^([^/?]*)", 1), F.regexp_extract("node", "^[^/?]*([^?]*)", 1)
+    _, verdict = rule_for(*of_node, rules)
+    parts = settled(parts.withColumn("verdict", verdict), "parts")
     decided = (
         parts.groupBy("component")
-        .agg(F.max(verdict == "allow").alias("allowed"), F.max(verdict == "block").alias("blocked"))
+        .agg(
+            F.max(F.col("verdict") == "allow").alias("allowed"), F.max(F.col("verdict") == "block").alias("blocked")
+        )
         .select(
             "component",
             F.when(F.coalesce("allowed", F.lit(False)), "allow")
@@ -106,8 +137,7 @@ def judge(
     )
     carried = parts.join(decided, "component").where("carried IS NOT NULL").select("node", "carried")
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
-    judged = named.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("own"))
-    node = F.when(F.col("host") != "", F.concat("host", "path"))
-    return judged.join(carried, node == F.col("node"), "left").select(
+    judged = named.select("page_id", "host", "path", "node", rule.alias("rule"), verdict.alias("own"))
+    return judged.join(carried, "node", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("own", "carried", F.lit("allow")).alias("verdict")
     )
