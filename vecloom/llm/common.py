@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from vecloom.session import run_dir
 
 BATCH_ROWS = 2000
+# What a task of a bucketed table reads at most, on average.
+BUCKET_BYTES = 256 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,18 +26,22 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def bucketed(rows: DataFrame, key: str) -> DataFrame:
+def bucketed(rows: DataFrame, key: str, size: int = 0) -> DataFrame:
     """The rows as a written table bucketed by ``key``: joins on it do not shuffle them again.
 
     An external table in the shared folder, with as many buckets as the session's shuffles
-    have partitions.
+    have partitions, and more where ``size``, the bytes it will have, asks for them. Its entry
+    in the catalog goes at once; the files stay as long as other intermediates.
     """
     spark = rows.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     path = run_dir(spark, "bucketed")
     name = "t" + path.rsplit("-", 1)[1]
     rows.repartition(buckets, key).write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
-    return spark.table(name)
+    made = spark.table(name)
+    made.schema  # resolved: the files and buckets are known from here on
+    spark.sql(f"DROP TABLE {name}")
+    return made
 
 
 def written(rows: DataFrame, label: str) -> DataFrame:

@@ -128,15 +128,16 @@ def segments(raw: bytes, window: int) -> tuple[np.ndarray, ...]:
 def _anchors(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, rows, counts = [], [], []
-            for row, raw in zip(batch.column(0).to_pylist(), _texts(batch.column(1)), strict=True):
+            values, counts = [], []
+            for raw in _texts(batch.column(1)):
                 found, many = anchors(raw, window)
                 values.append(found)
                 counts.append(many)
-                rows.append(np.full(len(found), row, np.int64))
             if values:
-                arrays = [pa.array(np.concatenate(x).astype(np.int64)) for x in (values, rows, counts)]
-                yield pa.RecordBatch.from_arrays(arrays, ["anchor", "row", "n"])
+                owner = np.repeat(np.arange(len(values)), [len(v) for v in values])
+                anchor, n = (pa.array(np.concatenate(x).astype(np.int64)) for x in (values, counts))
+                rows = batch.column(0).take(pa.array(owner))
+                yield pa.RecordBatch.from_arrays([anchor, rows, n], ["anchor", "row", "n"])
 
     return run
 
@@ -144,7 +145,7 @@ def _anchors(window: int):
 def _cut(window: int):
     """Every segment of a repeated anchor: its words, a key for them, and its place."""
     names = ["anchor", "key", "content", "row", "at", "place"]
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
 
     def packed(out: list[tuple]) -> pa.RecordBatch:
         columns = zip(*out, strict=True)
@@ -294,17 +295,20 @@ def remove_repeats(
         _word_digest(F.col(text)).alias("digest"),
         _compressed(F.col(text)).alias("packed"),
     )
-    texts = bucketed(base.withColumn("row", F.xxhash64("at", "digest")), "row")
-    firsts = texts.groupBy("digest").agg(F.min("at").alias("at")).select(F.xxhash64("at", "digest").alias("row"))
+    # 128 bits, as the digest itself: documents are not mixed up at any size.
+    row = F.unhex(F.md5(F.concat(F.encode(F.col("at").cast("string"), "UTF-8"), "digest"))).alias("row")
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    texts = bucketed(base.select("*", row), "row", size)
+    firsts = texts.groupBy("digest").agg(F.min("at").alias("at")).select(row)
     first_texts = texts.join(firsts, "row", "left_semi")
 
-    anchored = first_texts.select("row", "packed").mapInArrow(_anchors(window), "anchor bigint, row bigint, n bigint")
+    anchored = first_texts.select("row", "packed").mapInArrow(_anchors(window), "anchor bigint, row binary, n bigint")
     anchored = written(anchored, "anchors")
     repeated = anchored.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
     wanted = anchored.join(repeated, "anchor", "left_semi").groupBy("row").agg(F.collect_list("anchor").alias("anchors"))
-    searched = first_texts.join(bucketed(wanted, "row"), "row").select("row", "at", "anchors", "packed")
+    searched = first_texts.join(bucketed(wanted, "row", size), "row").select("row", "at", "anchors", "packed")
 
-    kind = "anchor bigint, key bigint, content binary, row bigint, at bigint, place bigint"
+    kind = "anchor bigint, key bigint, content binary, row binary, at bigint, place bigint"
     places = written(searched.mapInArrow(_cut(window), kind), "segments")
     order = F.col("at").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("place")
     contents = places.groupBy("anchor", "content").agg(
