@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from collections.abc import Iterator
 
@@ -43,6 +44,8 @@ from vecloom.session import settled
 
 # Characters aligned at once; a longer text comes in pieces of about that size.
 PIECE = 1 << 17
+# Texts of a batch that are held as Python strings at once.
+SOME_TEXTS = 250
 # Links to a written row.
 ROW_LINKS = 1 << 20
 SPACE = "▁"
@@ -153,6 +156,8 @@ class Side:
 
 class Aligner:
     def __init__(self, byte_file: str, piece_file: bytes):
+        # The library's own threads would each hold memory beside Spark's tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.one, self.other = ByteTokens(byte_file), PieceTokens(piece_file)
         self.a, self.b = Spelling(self.one.spelled, b"|"), Spelling(self.other.spelled, b";")
         self.shown = pa.array(self.a.shown + self.b.shown, pa.binary())
@@ -294,19 +299,26 @@ FIELDS = {
 }
 
 
+def listed(texts: list[list[tuple]]) -> pa.Array:
+    """The rows of each text as Arrow lists."""
+    rows = [row for own in texts for row in own]
+    columns = zip(*rows, strict=True) if rows else [[]] * len(FIELDS)
+    arrays = [pa.array(list(x), kind) for x, kind in zip(columns, FIELDS.values(), strict=True)]
+    ends = np.cumsum([0, *map(len, texts)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(arrays, list(FIELDS)))
+
+
 def alignments(text: Column, byte_file: str, piece_file: bytes) -> Column:
     """The rows of a text (see ``Total.rows``) as an array."""
     kinds = "part:int,parts:int,n_a:bigint,n_b:bigint,n_groups:bigint,groups_sha256:string,links:array<bigint>"
 
     @F.arrow_udf(f"array<struct<{kinds}>>")
     def align(texts: pa.Array) -> pa.Array:
-        ends, rows = [0], []
-        for own in aligned(worker_aligner(byte_file, piece_file), texts.to_pylist()):
-            rows += own
-            ends.append(len(rows))
-        columns = zip(*rows, strict=True) if rows else [[]] * len(FIELDS)
-        arrays = [pa.array(list(x), kind) for x, kind in zip(columns, FIELDS.values(), strict=True)]
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(arrays, list(FIELDS)))
+        aligner = worker_aligner(byte_file, piece_file)
+        found = [listed([])]
+        for at in range(0, len(texts), SOME_TEXTS):
+            found.append(listed(list(aligned(aligner, texts.slice(at, SOME_TEXTS).to_pylist()))))
+        return pa.concat_arrays(found)
 
     return align(text)
 
