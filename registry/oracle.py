@@ -388,6 +388,16 @@ ORACLE: dict[str, str] = {
         SELECT paragraph_id, article_id, article_title, shard_id FROM merged UNION ALL
         SELECT name || paragraph_id, article_id, article_title, CAST(article_id % 4 AS INTEGER)
         FROM paragraphs CROSS JOIN names""",
+    "j1_two_streams": f"""WITH {_VECTORS}, {_PARAGRAPHS}, names AS (SELECT unnest(['one ', 'two ']) AS name)
+        SELECT paragraph_id, article_id, article_title, shard_id FROM vectors UNION ALL
+        SELECT name || paragraph_id, article_id, article_title, CAST(article_id % 4 AS INTEGER)
+        FROM paragraphs CROSS JOIN names""",
+    "j1_many_batches": f"""WITH {_VECTORS} SELECT paragraph_id, article_id, shard_id,
+        CASE WHEN article_id % 19 > 0 THEN 'batch ' || (article_id % 19) ELSE article_title END AS article_title
+        FROM vectors""",
+    "j1_earlier_version": f"""WITH {_VECTORS}, {_CHANGED}
+        SELECT paragraph_id, article_id, article_title, shard_id, 0 AS version FROM vectors UNION ALL
+        SELECT paragraph_id, article_id, article_title, shard_id, 1 FROM merged""",
     "f7_fitted_share": f"""WITH {_VECTORS}, {_EVERY}, {_ranked(_SAMPLE_PAIRS, 3)}
         SELECT query_id, rank, id, {_SCORE}, share FROM ranked
         CROSS JOIN (SELECT unnest([1.0::DOUBLE, 0.5::DOUBLE]) AS share) s""",

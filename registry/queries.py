@@ -805,6 +805,39 @@ def j1_stream_into_batches(spark, sf):
     return target.vectors().select("paragraph_id", "article_id", "article_title", "shard_id")
 
 
+def j1_two_streams(spark, sf):
+    """Two streams add to one store at the same time, a file of their own after another."""
+    target = _stored(spark, sf)
+    running = []
+    for name in ("one", "two"):
+        arriving = run_dir(spark, "arriving")
+        paragraphs(spark, sf).repartition(3, "paragraph_id").write.parquet(arriving)
+        stream = spark.readStream.schema(src.PARAGRAPH_SCHEMA).option("maxFilesPerTrigger", 1).parquet(arriving)
+        stream = stream.withColumn("paragraph_id", F.concat(F.lit(f"{name} "), "paragraph_id"))
+        running.append(add_stream(stream, target, HASHING, run_dir(spark, "progress")))
+    for query in running:
+        query.awaitTermination()
+    return target.vectors().select("paragraph_id", "article_id", "article_title", "shard_id")
+
+
+def j1_many_batches(spark, sf):
+    """Eighteen batches that replace fewer and fewer vectors, the first sixteen merged on the way."""
+    target = _stored(spark, sf)
+    for number in range(1, 19):
+        batch = vectors(spark, sf).where(F.pmod("article_id", F.lit(19)) >= number)
+        target.add_batch(batch.withColumn("article_title", F.lit(f"batch {number}")))
+    return target.vectors().select("paragraph_id", "article_id", "article_title", "shard_id")
+
+
+def j1_earlier_version(spark, sf):
+    """The store before and after a batch, both read after it."""
+    target = _stored(spark, sf)
+    before = target.log.latest()
+    target.add_batch(_changed(spark, sf), order="version")
+    rows = [target.vectors(v).withColumn("version", F.lit(n)) for n, v in enumerate((before, before + 1))]
+    return store.unite(rows).select("paragraph_id", "article_id", "article_title", "shard_id", "version")
+
+
 def f7_fitted_share(spark, sf):
     """Clusters fitted on every row and on an asked share, all probed: both exact."""
     found = []

@@ -1,4 +1,5 @@
 import glob
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import brute_force, found_ids, query_frame, unit_vectors, vector_frame
 from vecloom.operators import store as st
+from vecloom.operators.commits import CommitLog
 from vecloom.operators.search import exact_top_k, packed
 from vecloom.operators.store import VectorTable
 
@@ -291,6 +293,132 @@ def test_first_batch_is_not_shuffled_by_a_small_add(spark, path):
     assert "BroadcastHashJoin" in final and "hashpartitioning" not in final
 
 
+# --- writers side by side -------------------------------------------------------------
+
+
+def other_writer_first(table, monkeypatch, add, times=1):
+    """Let ``add`` run between the write of the next batch and its log entry."""
+    publish, done = table.log.publish, []
+
+    def late(version, state):
+        if len(done) < times:
+            done.append(version)
+            add(VectorTable.load(table._spark, table.path))
+        return publish(version, state)
+
+    monkeypatch.setattr(table.log, "publish", late)
+
+
+def test_writers_between_write_and_log_keep_their_rows(spark, path, monkeypatch):
+    table = VectorTable.create(vector_frame(spark, unit_vectors(5, 4)), path, 2)
+
+    def add(other):
+        other.add_batch(vector_frame(spark, unit_vectors(4, 4, seed=2), prefix="b", title="other {}"), writer="b")
+        other.add_batch(vector_frame(spark, unit_vectors(1, 4, seed=3), title="other {}"), writer="b")
+
+    other_writer_first(table, monkeypatch, add)
+    table.add_batch(vector_frame(spark, unit_vectors(3, 4, seed=1), title="mine {}"), writer="a")
+    expected = {f"p{i}": f"mine {i}" if i < 3 else f"Article {i}" for i in range(5)}
+    assert titles(table) == expected | {f"b{i}": f"other {i}" for i in range(4)}
+    # The log has them in the order in which they became visible.
+    assert [b["writer"] for b in table.state()["batches"]] == ["create", "b", "b", "a"]
+    assert len({b["write"] for b in table.state()["batches"]}) == 4
+
+
+def test_an_epoch_run_again_beside_another_writer(spark, path, monkeypatch):
+    table = VectorTable.create(vector_frame(spark, unit_vectors(6, 4)), path, 2)
+    table.add_batch(vector_frame(spark, unit_vectors(4, 4), title="first try {}"), writer="s", epoch=0)
+    table.add_batch(vector_frame(spark, unit_vectors(2, 4), title="later {}"), writer="t")
+
+    def add(other):
+        other.add_batch(vector_frame(spark, unit_vectors(1, 4), prefix="n", title="meanwhile {}"), writer="t")
+
+    other_writer_first(table, monkeypatch, add)
+    table.add_batch(vector_frame(spark, unit_vectors(3, 4), title="again {}"), writer="s", epoch=0)
+    # Its rows are replaced where they stood: below the later batch, and p3 is as it was.
+    assert titles(table) == {
+        "p0": "later 0", "p1": "later 1", "p2": "again 2", "p3": "Article 3", "p4": "Article 4",
+        "p5": "Article 5", "n0": "meanwhile 0",
+    }
+
+
+def test_a_write_that_is_never_logged_is_not_seen(spark, path, monkeypatch):
+    table = VectorTable.create(vector_frame(spark, unit_vectors(3, 4)), path)
+    with monkeypatch.context() as broken:
+        broken.setattr(table.log, "publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            table.add_batch(vector_frame(spark, unit_vectors(2, 4), title="lost {}"))
+    assert titles(table) == {f"p{i}": f"Article {i}" for i in range(3)}
+    table.add_batch(vector_frame(spark, unit_vectors(1, 4), title="next {}"))
+    assert titles(table)["p0"] == "next 0" and titles(table)["p1"] == "Article 1"
+
+
+def test_a_version_stays_as_it_was(spark, path):
+    table = VectorTable.create(vector_frame(spark, unit_vectors(3, 4)), path, 2)
+    version = table.log.latest()
+    rows = table.vectors(version)
+    table.add_batch(vector_frame(spark, unit_vectors(3, 4), title="new {}"))
+    assert {r.article_title for r in rows.collect()} == {f"Article {i}" for i in range(3)}
+    assert {r.article_title for r in table.vectors(version).collect()} == {f"Article {i}" for i in range(3)}
+    assert set(titles(table).values()) == {f"new {i}" for i in range(3)}
+
+
+def test_numbers_and_versions_have_one_owner(spark, path):
+    with ThreadPoolExecutor(8) as pool:
+        logs = [CommitLog(spark, path) for _ in range(8)]
+        claimed = sorted(pool.map(lambda log: log.claim(0), logs))
+        first = list(pool.map(lambda log: log.publish(0, {"by": id(log)}), logs))
+    assert claimed == list(range(8))
+    assert first.count(True) == 1 and logs[0].read(0) == {"by": id(logs[first.index(True)])}
+    for version in range(1, 20):
+        assert logs[0].publish(version, {"v": version}) and not logs[1].publish(version, {})
+        assert logs[2].latest() == CommitLog(spark, path).latest() == version
+
+
+def test_many_batches_are_merged(spark, path, monkeypatch):
+    monkeypatch.setattr(st, "FANOUT", 3)
+    table = VectorTable.create(vector_frame(spark, unit_vectors(8, 4)), path, 2)
+    expected = {f"p{i}": f"Article {i}" for i in range(8)}
+    for n in range(13):
+        rows = vector_frame(spark, unit_vectors(3 if n % 2 else 2, 4, seed=n), title=f"batch {n} {{}}")
+        new = vector_frame(spark, unit_vectors(1, 4, seed=n), prefix=f"n{n}x", title=f"new {n} {{}}")
+        table.add_batch(rows.unionByName(new), writer="s", epoch=n)
+        expected |= {f"p{i}": f"batch {n} {i}" for i in range(3 if n % 2 else 2)} | {f"n{n}x0": f"new {n} 0"}
+    assert titles(table) == expected
+    assert len(table.state()["batches"]) <= 6 and table.last_batch() >= 13
+    with pytest.raises(ValueError, match="merged"):
+        table.add_batch(vector_frame(spark, unit_vectors(1, 4)), writer="s", epoch=0)
+
+
+def test_merging_gives_way_to_another_writer(spark, path, monkeypatch):
+    monkeypatch.setattr(st, "FANOUT", 2)
+    table = VectorTable.create(vector_frame(spark, unit_vectors(4, 4)), path)
+    table.add_batch(vector_frame(spark, unit_vectors(1, 4), title="one {}"), writer="a")
+    publish, tries = table.log.publish, []
+
+    def late(version, state):
+        tries.append(version)
+        if len(tries) == 2:  # the merge, after the add
+            with monkeypatch.context() as alone:
+                alone.setattr(st, "FANOUT", 99)
+                VectorTable.load(spark, path).add_batch(vector_frame(spark, unit_vectors(2, 4), title="late {}"), writer="b")
+        return publish(version, state)
+
+    monkeypatch.setattr(table.log, "publish", late)
+    table.add_batch(vector_frame(spark, unit_vectors(1, 4, seed=2), prefix="q", title="two {}"), writer="a")
+    assert titles(table) == {"p0": "late 0", "p1": "late 1", "p2": "Article 2", "p3": "Article 3", "q0": "two 0"}
+    assert all(b["tier"] == 0 for b in table.state()["batches"])
+
+
+def test_batches_of_new_ids_are_read_without_a_join(spark, path):
+    table = VectorTable.create(vector_frame(spark, unit_vectors(4, 4)), path, 2)
+    for n in range(4):
+        table.add_batch(vector_frame(spark, unit_vectors(2, 4), prefix=f"b{n}x"))
+    rows = table.vectors()
+    assert rows.count() == 12
+    assert "Join" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
 def test_vectors_survive_as_floats(spark, path):
     vectors = unit_vectors(3, 4)
     rows = VectorTable.create(vector_frame(spark, vectors), path).vectors().orderBy("paragraph_id").collect()

@@ -2,15 +2,25 @@
 
 Layout under the store's folder::
 
-    settings/                                   one row per write: batch, shards, dim, writer, epoch
+    log/                                        one small file per version (commits.py)
+    claims/                                     numbers of batches that a writer has taken
     embeddings/batch_no=B/shard_id=N/*.parquet
+    hidden/by=B/of=A/*.parquet                  ids of batch A that batch B replaced
     flat/, lsh/, ivf/                           covers/: one row per finished build, and its folder
 
-Adding a batch writes only that batch. Reading hides a row once a later batch holds
-its id; with one batch there is nothing to hide and the read is a plain scan. A batch or
-an index is seen once its write is logged, never half written. A batch belongs to its
-writer: the same writer may write its number again, which replaces that batch, so a failed
-add can be repeated; another writer's number is refused.
+Adding a batch claims a number, writes its own folder and then the next version of the log;
+if another writer was first, what that one added is compared and the version after is tried.
+So writers wait for nobody and lose nothing, and a batch is seen whole or not at all. The
+order of the versions is that of the batches.
+
+What a batch replaces is found when it is added, from the ids alone, and written beside it.
+Reading is a plain scan of all batches of which nothing was replaced; only the others are
+compared with the ids hidden in them. Small batches are merged, FANOUT of a size at a time, so
+their number grows with the logarithm of the batches ever added.
+
+A batch belongs to its writer: the same writer may write its number, or its epoch, again,
+which replaces that batch where it stands, so a failed add can be repeated; another writer's
+number is refused.
 """
 
 from __future__ import annotations
@@ -35,9 +45,11 @@ from vecloom.functions.ids import (
 )
 from vecloom.functions.vectors import dims, is_complete
 from vecloom.operators import approx
+from vecloom.operators.commits import CommitLog
 from vecloom.operators.search import exact_top_k, packed
 
 VECTOR_COLUMNS = ("paragraph_id", "article_id", "article_title", "embedding")
+HIDDEN = "paragraph_id string, by int, of int"
 STORED_SCHEMA = T.StructType(
     [
         T.StructField("paragraph_id", T.StringType()),
@@ -48,9 +60,10 @@ STORED_SCHEMA = T.StructType(
         T.StructField(SHARD_COLUMN, T.IntegerType()),
     ]
 )
-SETTINGS = "batch_no int, num_shards int, dim int, writer string, epoch long"
 # The writer of batch 0.
 CREATOR = "create"
+# So many batches of a size become one.
+FANOUT = 16
 CARRY = ("article_id", "article_title")
 APPROXIMATE = ("lsh", "ivf")
 
@@ -143,23 +156,6 @@ def one_per_id(rows: DataFrame, order: str | None = None) -> DataFrame:
     return rows if ids.where("n > 1").isEmpty() else newest(rows, order)
 
 
-def hide_superseded(rows: DataFrame) -> DataFrame:
-    """Rows whose id no later batch holds.
-
-    Only the ids of batches after the first are compared. That side is read from its
-    own partitions; Spark broadcasts it while it is small, so the large first batch is
-    not shuffled, and drops the join when there is no later batch.
-    """
-    later = rows.where(F.col("batch_no") > 0).select(
-        F.col("paragraph_id").alias("later_id"), F.col("batch_no").alias("later_no")
-    )
-    return rows.join(
-        later,
-        (F.col("paragraph_id") == F.col("later_id")) & (F.col("batch_no") < F.col("later_no")),
-        "left_anti",
-    )
-
-
 class VectorTable:
     """A stored set of vectors: add, search, save, load."""
 
@@ -170,6 +166,7 @@ class VectorTable:
         self.path = path
         self.num_shards = check_num_shards(num_shards)
         self.dim = dim
+        self.log = CommitLog(spark, path)
 
     @classmethod
     def create(
@@ -180,61 +177,132 @@ class VectorTable:
         folder holds one sharding only."""
         table = cls(vectors.sparkSession, path, num_shards, dim)
         table.refuse_existing()
-        table._write(checked(one_per_id(vectors.select(*VECTOR_COLUMNS)), dim), 0)
-        return table.log_write(0, CREATOR)
+        number = table.log.claim(0)
+        table._write(checked(one_per_id(vectors.select(*VECTOR_COLUMNS)), dim), number)
+        return table.commit(number, CREATOR)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> VectorTable:
-        try:
-            made = spark.read.parquet(f"{path}/settings").first()
-        except AnalysisException as missing:
-            raise ValueError(f"no store under {path}") from missing
-        return cls(spark, path, made.num_shards, made.dim)
+        table = cls(spark, path, 1)
+        made = table.state()
+        if not made["batches"]:
+            raise ValueError(f"no store under {path}")
+        table.num_shards, table.dim = made["num_shards"], made["dim"]
+        return table
 
     def refuse_existing(self) -> None:
         """A new store needs a folder of its own: shards of two settings never mix."""
-        try:
-            self._settings()
-        except AnalysisException:
-            return
-        raise ValueError(f"there is a store under {self.path} already")
+        if self.log.latest() >= 0:
+            raise ValueError(f"there is a store under {self.path} already")
 
-    def _settings(self) -> DataFrame:
-        return self._spark.read.parquet(f"{self.path}/settings")
+    def state(self, version: int | None = None) -> dict:
+        """The batches as they are now, or were in an earlier version of the log."""
+        if version is None:
+            version = self.log.latest()
+        if version < 0:
+            return {"version": -1, "changes": 0, "batches": []}
+        return {**self.log.read(version), "version": version}
 
-    def log_write(self, batch_no: int, writer: str = "", epoch: int | None = None) -> VectorTable:
-        """Note a finished write, which makes it visible, and what a later load needs, the
-        dimension from a stored row."""
-        if self.dim is None:
-            written = self._files().where(F.col("batch_no") == batch_no)
-            row = written.select(dims("embedding").alias("dim")).first()
-            self.dim = row.dim if row else None
-        row = [(batch_no, self.num_shards, self.dim, writer, epoch)]
-        self._spark.createDataFrame(row, SETTINGS).write.mode("append").parquet(
-            f"{self.path}/settings"
-        )
-        return self
+    def folder(self, write: int) -> str:
+        return f"{self.path}/embeddings/batch_no={write}"
 
-    def _write(self, vectors: DataFrame, batch_no: int, compact: bool = True) -> None:
+    def _write(self, vectors: DataFrame, write: int, compact: bool = True) -> None:
         rows = with_shards(vectors.select(*VECTOR_COLUMNS), self.num_shards)
-        write_shards(rows, f"{self.path}/embeddings/batch_no={batch_no}", compact)
-
-    def _files(self) -> DataFrame:
-        return self._spark.read.schema(STORED_SCHEMA).parquet(f"{self.path}/embeddings")
+        write_shards(rows, self.folder(write), compact)
+
+    def _files(self, writes: Iterable[int]) -> DataFrame:
+        """The rows of these folders; no others are listed."""
+        paths = [self.folder(w) for w in writes]
+        rows = self._spark.read.schema(STORED_SCHEMA).option("basePath", f"{self.path}/embeddings")
+        return rows.parquet(*paths) if paths else self._spark.createDataFrame([], STORED_SCHEMA)
+
+    def _hide(self, write: int, batches: list[dict], place: float) -> dict[int, bool]:
+        """Note the ids that the new folder and these batches share: hidden in the batch that
+        comes first. Returns the folders in which something is hidden."""
+        if not batches:
+            return {}
+        later = [b["write"] for b in batches if b["place"] > place]
+        mine = self._files([write]).select("paragraph_id")
+        others = self._files(b["write"] for b in batches).select("paragraph_id", "batch_no")
+        of = F.when(F.col("batch_no").isin(later), F.lit(write)).otherwise(F.col("batch_no")).alias("of")
+        shared = others.join(mine, "paragraph_id").select("paragraph_id", of).distinct()
+        folder = f"{self.path}/hidden/by={write}"
+        shared.write.mode("append").partitionBy("of").parquet(folder)
+        # One row for each batch that lives.
+        touched = self._spark.read.schema(HIDDEN).parquet(folder).select("of").distinct().collect()
+        return {r.of: True for r in touched}
+
+    def commit(
+        self, write: int, writer: str = "", epoch: int | None = None, number: int | None = None
+    ) -> VectorTable:
+        """Make a written folder the store's newest batch, or put it in the place of the batch
+        that the writer wrote for this number or epoch before."""
+        if self.dim is None:
+            row = self._files([write]).select(dims("embedding").alias("dim")).first()
+            self.dim = row.dim if row else None
+        number = write if number is None else number
+        compared: set[int] = set()
+        touched: set[int] = set()
+        while True:
+            state = self.state()
+            old = self._own(state, writer, epoch, number)
+            if writer == CREATOR and state["version"] >= 0:
+                raise ValueError(f"there is a store under {self.path} already")
+            gone = {b["write"] for b in old}
+            batches = [b for b in state["batches"] if b["write"] not in gone]
+            place = old[0]["place"] if old else state["version"] + 1
+            fresh = [b for b in batches if b["write"] not in compared]
+            touched |= self._hide(write, fresh, place).keys()
+            compared |= {b["write"] for b in fresh}
+            hidden = [
+                {**b, "by": [w for w in b["by"] if w not in gone] + [write] * (b["write"] in touched)} for b in batches
+            ]
+            own = [write] if write in touched else []
+            mine = {"write": write, "number": number, "place": place, "writer": writer, "epoch": epoch, "tier": 0}
+            after = {
+                "num_shards": self.num_shards,
+                "dim": self.dim,
+                "changes": state["changes"] + 1,
+                "merged": state.get("merged", {}),
+                "batches": sorted([*hidden, {**mine, "by": own}], key=lambda b: b["place"]),
+            }
+            if self.log.publish(state["version"] + 1, after):
+                return self
+
+    def _own(self, state: dict, writer: str, epoch: int | None, number: int) -> list[dict]:
+        """The batch that this one replaces, if there is one; another writer's is refused."""
+        if epoch is not None:
+            if epoch <= state.get("merged", {}).get(writer, -1):
+                raise ValueError(f"epoch {epoch} of {writer} is merged with others already")
+            return [b for b in state["batches"] if b["writer"] == writer and b["epoch"] == epoch]
+        same = [b for b in state["batches"] if b["number"] == number]
+        if any(b["writer"] != writer for b in same):
+            raise ValueError(f"batch {number} of {self.path} belongs to another writer")
+        return same
 
     def stored(self) -> DataFrame:
-        """Every row of a logged batch, superseded ones included. Folders of batches that
+        """Every row of the store's batches, superseded ones included. Folders of batches that
         were never logged are not read."""
-        logged = sorted(r.batch_no for r in self._settings().select("batch_no").distinct().collect())
-        return self._files().where(F.col("batch_no").isin(logged))
+        return self._files(b["write"] for b in self.state()["batches"])
 
     def last_batch(self) -> int:
         """The highest batch number written."""
-        return self._settings().agg(F.max("batch_no")).first()[0]
-
-    def vectors(self) -> DataFrame:
-        """The current rows: the newest of each id."""
-        return hide_superseded(self.stored()).select(*VECTOR_COLUMNS, SHARD_COLUMN)
+        return max(b["number"] for b in self.state()["batches"])
+
+    def vectors(self, version: int | None = None) -> DataFrame:
+        """The current rows, the newest of each id; or those of an earlier version of the log."""
+        return self._current(self.state(version)["batches"]).select(*VECTOR_COLUMNS, SHARD_COLUMN)
+
+    def _current(self, batches: list[dict]) -> DataFrame:
+        whole = self._files(b["write"] for b in batches if not b["by"])
+        pairs = [(by, b["write"]) for b in batches for by in b["by"]]
+        if not pairs:
+            return whole
+        paths = [f"{self.path}/hidden/by={by}/of={of}" for by, of in pairs]
+        reader = self._spark.read.schema(HIDDEN).option("basePath", f"{self.path}/hidden")
+        hidden = reader.parquet(*paths).select("paragraph_id", F.col("of").alias("batch_no"))
+        rest = self._files(b["write"] for b in batches if b["by"])
+        return whole.unionByName(rest.join(hidden, ["paragraph_id", "batch_no"], "left_anti").select(*whole.columns))
 
     def add_batch(
         self,
@@ -248,19 +316,55 @@ class VectorTable:
         ranks repeats of an id within the batch.
 
         ``writer`` and ``epoch`` name a batch for a writer that may run it again, such as a
-        stream: the batch it wrote for that epoch is replaced, wherever it stands.
+        stream: the batch it wrote for that epoch is replaced, wherever it stands. A number that
+        was merged with others is added anew; such an epoch is refused.
         """
-        log = self._settings().select("batch_no", "writer", "epoch").distinct()
-        if batch_no is None and epoch is not None:
-            own = log.where((F.col("writer") == writer) & (F.col("epoch") == epoch))
-            batch_no = own.agg(F.max("batch_no")).first()[0]
-        if batch_no is None:
-            batch_no = self.last_batch() + 1
-        others = log.where((F.col("batch_no") == batch_no) & (F.col("writer") != writer))
-        if not others.isEmpty():
-            raise ValueError(f"batch {batch_no} of {self.path} belongs to another writer")
-        self._write(checked(newest(batch, order), self.dim), batch_no)
-        return self.log_write(batch_no, writer, epoch)
+        state = self.state()
+        old = self._own(state, writer, epoch, batch_no) if epoch is not None or batch_no is not None else []
+        write = self.log.claim(max((b["write"] for b in state["batches"]), default=-1) + 1)
+        self._write(checked(newest(batch, order), self.dim), write)
+        self.commit(write, writer, epoch, old[0]["number"] if old else batch_no)
+        return self.merge_small()
+
+    def merge_small(self) -> VectorTable:
+        """Put FANOUT neighbours of one tier into one batch of the next, without the rows that
+        were replaced. The newest epoch of a writer stays by itself, as it may be run again. If
+        another writer was first, nothing changes; a later add merges."""
+        state = self.state()
+        run = self._mergeable(state["batches"])
+        if not run:
+            return self
+        write = self.log.claim(max(b["write"] for b in state["batches"]) + 1)
+        write_shards(self._current(run).select(*VECTOR_COLUMNS, SHARD_COLUMN), self.folder(write))
+        merged = dict(state.get("merged", {}))
+        for b in run:
+            if b["epoch"] is not None:
+                merged[b["writer"]] = max(b["epoch"], merged.get(b["writer"], -1))
+        last = run[-1]
+        one = {**last, "write": write, "writer": "", "epoch": None, "tier": last["tier"] + 1, "by": []}
+        writes = {b["write"] for b in run}
+        batches = [b for b in state["batches"] if b["write"] not in writes] + [one]
+        after = {**state, "merged": merged, "batches": sorted(batches, key=lambda b: b["place"])}
+        after.pop("version")
+        self.log.publish(state["version"] + 1, after)
+        return self
+
+    @staticmethod
+    def _mergeable(batches: list[dict]) -> list[dict]:
+        last: dict[str, int] = {}
+        for b in batches:
+            if b["epoch"] is not None:
+                last[b["writer"]] = max(b["epoch"], last.get(b["writer"], -1))
+        run: list[dict] = []
+        for b in batches:
+            alone = b["writer"] == CREATOR or b["epoch"] is not None and b["epoch"] == last[b["writer"]]
+            if alone or run and b["tier"] != run[0]["tier"]:
+                run = []
+            if not alone:
+                run.append(b)
+            if len(run) == FANOUT:
+                return run
+        return []
 
     def compact(self, path: str) -> VectorTable:
         """The current rows as a new single-batch store."""
@@ -268,10 +372,7 @@ class VectorTable:
 
     def shards(self) -> DataFrame:
         """The shards that hold data; none at all is an error."""
-        try:
-            found = self.stored().select(SHARD_COLUMN).distinct()
-        except AnalysisException as missing:
-            raise ValueError(f"no shards under {self.path}") from missing
+        found = self.stored().select(SHARD_COLUMN).distinct()
         if found.isEmpty():
             raise ValueError(f"no shards under {self.path}")
         return found
@@ -348,7 +449,7 @@ class VectorTable:
 
     def _note_index(self, kind: str, folder: str) -> VectorTable:
         """The switch to a finished build: readers see it whole from here on."""
-        covered = [(self._settings().count(), folder, time.time())]
+        covered = [(self.state()["changes"], folder, time.time())]
         self._spark.createDataFrame(covered, "writes long, folder string, built double").write.mode(
             "append"
         ).parquet(f"{self.path}/{kind}/covers")
@@ -361,7 +462,7 @@ class VectorTable:
             made = newest_build.orderBy(F.desc("built")).first()
         except AnalysisException:
             return "has not been built", None
-        ready = made.writes == self._settings().count()
+        ready = made.writes == self.state()["changes"]
         return "ready" if ready else "is older than the store", made.folder
 
     def _exact_corpus(self) -> DataFrame:
