@@ -27,9 +27,9 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +37,9 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from vecloom.llm.encoder import byte_letters
+from vecloom.llm.common import text_buffers
+from vecloom.llm.encoder import Encoder, tokenizer_file
 from vecloom.session import settled
 
 # Characters aligned at once; a longer text comes in pieces of about that size.
@@ -51,33 +51,45 @@ ROW_LINKS = 1 << 20
 SPACE = "▁"
 # Both tokenizers part tokens between the two.
 _BREAK = re.compile("[A-Za-z] ")
+_WORD = re.compile(" +[^ ]*")
+# Words, and fragments of words, whose tokens a worker remembers.
+REMEMBERED = 100_000
+
+
+def id_lists(ids: list, counts: np.ndarray) -> pa.Array:
+    """Flat ids and how many each text has, as Arrow lists."""
+    ends = np.append(0, np.cumsum(counts))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
 
 
 class ByteTokens:
-    """A byte-level BPE from a file of the tokenizers library; special tokens are plain text."""
-
-    def __init__(self, content: str):
-        self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.tokenizer.encode_special_tokens = True
-        spec = json.loads(content)
-        splitting = spec["pre_tokenizer"] or {}
-        if splitting.get("type") != "ByteLevel" or not splitting.get("use_regex", True) or spec["normalizer"]:
-            raise ValueError("not a plain byte-level BPE")
-        byte_of = {letter: b for b, letter in enumerate(byte_letters())}
-        vocabulary = spec["model"]["vocab"]
-        self.spelled = [b""] * (max(vocabulary.values()) + 1)
-        for token, number in vocabulary.items():
-            self.spelled[number] = bytes(byte_of[c] for c in token)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """The ids of each text with a space before it."""
-        return [e.ids for e in self.tokenizer.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
+    """A byte-level BPE; special tokens are plain text. spec: see ``plain_tokenizer``."""
+
+    def __init__(self, spec: tuple):
+        self.encoder = Encoder(*spec)
+        self.spelled = self.encoder.token_bytes
+
+    def encode(self, raw: list[bytes]) -> pa.Array:
+        if len(self.encoder.known) > REMEMBERED:
+            self.encoder.forget()
+        data, offsets = text_buffers(pa.array(raw, pa.binary()).cast(pa.string()))
+        found = [ids for some in self.encoder.encode_batch(data, offsets) for ids in some]
+        values = np.concatenate(found) if found else np.zeros(0, np.uint32)
+        return id_lists(values.astype(np.int32), np.array([len(x) for x in found], np.int64))
+
+
+def plain_tokenizer(path: str) -> tuple:
+    """What the tasks need of a byte-level tokenizer file, without its special tokens."""
+    content, classes = tokenizer_file(path)
+    return json.dumps({**json.loads(content), "added_tokens": []}), classes
 
 
 class PieceTokens:
-    """A sentencepiece model, which puts the space before a text itself."""
+    """A sentencepiece model, which puts the space before a text itself.
+
+    No piece holds a space after another character, so a text's ids are those of its words,
+    each with the spaces before it; a word is encoded once as long as it is remembered.
+    """
 
     def __init__(self, content: bytes):
         self.model = sentencepiece.SentencePieceProcessor(model_proto=content)
@@ -92,8 +104,25 @@ class PieceTokens:
             if self.model.is_control(i) or self.model.is_unknown(i):
                 self.spelled[i] = b""
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+        self.known: dict[str, list[int]] = {}
+        # The library takes a single space for nothing when it is the whole text.
+        self.space = [self.model.piece_to_id(SPACE)]
+
+    def encode(self, texts: list[str]) -> pa.Array:
+        """The ids of each text; they begin with a space."""
+        words = [_WORD.findall(t) for t in texts]
+        new = list({w for own in words for w in own}.difference(self.known))
+        if len(self.known) + len(new) > REMEMBERED:  # starts afresh
+            self.known.clear()
+            new = list({w for own in words for w in own})
+        self.known.update(zip(new, self.model.encode([w[1:] for w in new], num_threads=1), strict=True))
+        self.known[" "] = self.space
+        ids, counts = [], []
+        for own in words:
+            before = len(ids)
+            ids.extend(chain.from_iterable(map(self.known.__getitem__, own)))
+            counts.append(len(ids) - before)
+        return id_lists(ids, np.array(counts, np.int64))
 
 
 def possible_pairs(one: list[bytes], other: list[bytes]) -> int:
@@ -132,8 +161,7 @@ def joined_bytes(tokens: pa.Array) -> bytes:
 class Side:
     """The tokens of some texts: flat ids, the text of each and its end in that text."""
 
-    def __init__(self, ids: list[list[int]], spelling: Spelling):
-        lists = pa.array(ids, pa.list_(pa.int32()))
+    def __init__(self, lists: pa.Array, spelling: Spelling):
         self.ids = pc.list_flatten(lists)
         self.parents = pc.list_parent_indices(lists)
         self.starts = lists.offsets.to_numpy().astype(np.int64)
@@ -155,10 +183,8 @@ class Side:
 
 
 class Aligner:
-    def __init__(self, byte_file: str, piece_file: bytes):
-        # The library's own threads would each hold memory beside Spark's tasks.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.one, self.other = ByteTokens(byte_file), PieceTokens(piece_file)
+    def __init__(self, byte_spec: tuple, piece_file: bytes):
+        self.one, self.other = ByteTokens(byte_spec), PieceTokens(piece_file)
         self.a, self.b = Spelling(self.one.spelled, b"|"), Spelling(self.other.spelled, b";")
         self.shown = pa.array(self.a.shown + self.b.shown, pa.binary())
 
@@ -167,12 +193,13 @@ class Aligner:
         None if its tokens do not spell it."""
         if not texts:
             return
-        raw = [b" " + t.encode() for t in texts]
-        ids = self.one.encode(texts), self.other.encode(texts)
+        texts = [f" {t}" for t in texts]
+        raw = [t.encode() for t in texts]
+        ids = self.one.encode(raw), self.other.encode(texts)
         a, b = Side(ids[0], self.a), Side(ids[1], self.b)
         good = a.spells(raw) & b.spells(raw)
         if not good.all():
-            a, b = (Side([x for x, ok in zip(i, good, strict=True) if ok], s) for i, s in zip(ids, (self.a, self.b), strict=True))
+            a, b = (Side(i.filter(pa.array(good)), s) for i, s in zip(ids, (self.a, self.b), strict=True))
         ends = a.table("a").join(b.table("b"), ["text", "end"], join_type="inner", use_threads=False).sort_by("a")
         last_a, last_b = ends["a"].to_numpy(), ends["b"].to_numpy()
         links = a.ids.take(ends["a"]).to_numpy().astype(np.int64) << 32 | b.ids.take(ends["b"]).to_numpy()
@@ -279,12 +306,12 @@ def aligned(aligner: Aligner, texts: list[str | None]) -> Iterator[list[tuple]]:
 _made: dict[int, Aligner] = {}
 
 
-def worker_aligner(byte_file: str, piece_file: bytes) -> Aligner:
+def worker_aligner(byte_spec: tuple, piece_file: bytes) -> Aligner:
     """One aligner for each worker process and pair of tokenizers."""
-    key = hash((byte_file, piece_file))
+    key = hash((byte_spec[0], piece_file))
     if key not in _made:
         _made.clear()
-        _made[key] = Aligner(byte_file, piece_file)
+        _made[key] = Aligner(byte_spec, piece_file)
     return _made[key]
 
 
@@ -308,13 +335,13 @@ def listed(texts: list[list[tuple]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(arrays, list(FIELDS)))
 
 
-def alignments(text: Column, byte_file: str, piece_file: bytes) -> Column:
+def alignments(text: Column, byte_spec: tuple, piece_file: bytes) -> Column:
     """The rows of a text (see ``Total.rows``) as an array."""
     kinds = "part:int,parts:int,n_a:bigint,n_b:bigint,n_groups:bigint,groups_sha256:string,links:array<bigint>"
 
     @F.arrow_udf(f"array<struct<{kinds}>>")
     def align(texts: pa.Array) -> pa.Array:
-        aligner = worker_aligner(byte_file, piece_file)
+        aligner = worker_aligner(byte_spec, piece_file)
         found = [listed([])]
         for at in range(0, len(texts), SOME_TEXTS):
             found.append(listed(list(aligned(aligner, texts.slice(at, SOME_TEXTS).to_pylist()))))
@@ -386,15 +413,14 @@ def align(
 ) -> DataFrame:
     """(doc_id, *keep, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) for every
     document. byte_tokenizer (A) and piece_model (B) are paths of tokenizer files."""
-    with open(byte_tokenizer, encoding="utf-8") as file:
-        byte_file = file.read()
+    byte_spec = plain_tokenizer(byte_tokenizer)
     with open(piece_model, "rb") as file:
         piece_file = file.read()
     made = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(doc_id).alias("doc_id"),
         F.struct(F.lit(0).alias("_"), *keep).alias("others"),
-        F.explode(alignments(F.col(text), byte_file, piece_file)).alias("t"),
+        F.explode(alignments(F.col(text), byte_spec, piece_file)).alias("t"),
     )
     made = settled(made.select("row", "doc_id", "others", "t.*"), "links")
     counted = made.withColumn("found", with_counts(F.col("links"), link_counts(made)))
