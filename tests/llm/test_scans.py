@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 from vecloom.llm import pii, quality, secret_scan, topk, urls
+from vecloom.llm import vectors as vec
 from vecloom.llm.queries import ORACLE, RANKS, URL_RULES
 
 PIECES = ["a.b", "@", "x-y.com", ".", "1", "22", "300", "1.2.3.4", "255.1.1.256", " ", "-", "+1", "(514)", "555-8389"]
@@ -207,6 +208,44 @@ def test_top_scores(spark, k, block):
     assert got == sorted(brute.best_scores(rows, lambda i: i % 20 == 0, k=k))
 
 
+def sorted_lists(rows):
+    """The entries of (id, vector) rows as one task has them."""
+    raw = [vec._pack(v) for _, v in rows]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(rows)), pa.int64()), pa.array([i for i, _ in rows], pa.int64()), pa.array(raw, pa.binary())],
+        ["row", "vec_id", "packed"],
+    )
+    made = pa.Table.from_batches(topk._entries(64.0)([batch]))
+    made = made.sort_by([("part", "ascending"), ("dims", "ascending"), ("length", "descending")])
+    return made.combine_chunks().to_batches(), raw
+
+
+def test_what_cannot_reach_the_cutoff_is_not_scored(monkeypatch):
+    """On vectors of very different lengths less than a tenth of all entries are scored, in both
+    phases together."""
+    monkeypatch.setattr(topk, "ROWS_AT_ONCE", 128)
+    rng = np.random.default_rng(5)
+    n, dims, k = 20_000, 16, 10
+    matrix = rng.standard_normal((n, dims)) / np.arange(1, n + 1)[:, None] ** 0.5
+    matrix[:, 8:] *= rng.random(n)[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(matrix)]
+    lists, raw = sorted_lists(rows)
+    block = topk.Block([(i, raw[i]) for i in range(0, n, 400)], 64.0)
+    whole = np.floor(64 * matrix)
+    scores = whole[::400] @ whole.T
+    scores[np.arange(n // 400), np.arange(0, n, 400)] = -np.inf
+    best = np.sort(scores, axis=1)[:, -k]
+    scored: list = []
+    first = pa.Table.from_batches(topk.local_lists(block, k, scored)(lists)).to_pandas()
+    assert len(first) == topk.PARTS * k * len(block.ids)
+    cutoffs = best[block.ids // 400]
+    found = pa.Table.from_batches(topk.sufficient(block, cutoffs, scored)(lists)).to_pandas()
+    pairs = set(zip((block.ids[found["query"]] // 400).tolist(), found["row"].tolist(), strict=True))
+    assert {(q, r) for q, r in zip(*np.nonzero(scores >= best[:, None]), strict=True)} <= pairs
+    assert sum(scored) < 0.1 * topk.PARTS * n * len(block.ids)
+    assert len(pairs) < 0.01 * n * len(block.ids)
+
+
 def test_top_scores_of_huge_numbers(spark):
     rows = [(i, [float(2**24 + i), -1.0 * 2**23 + i, 3.0]) for i in range(30)]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")

@@ -1,17 +1,23 @@
 """Operator 4: exact top-k by a three-phase uniform threshold.
 
-A score is a sum over PARTS groups of dimensions; each group is a list of partial scores.
+A score is a sum over PARTS slices of dimensions. The slices are stored apart, each as a list
+of its own, and the lists are sorted by the length of the slice in every task: no entry from
+some place on can have more than that length times the query's.
 
-1. Every scan task takes the best k of each of its lists and gives the k best whole scores
-   among those. The k-th best of all is a cutoff that k rows surely reach.
-2. The cutoffs of a query block are broadcast. A row that reaches a cutoff has a partial
-   score of at least cutoff / PARTS in some list, so the entries from there on suffice.
-3. Their missing partial scores are added, exactly; rows that reach the cutoff are merged.
+1. Every task takes its best k entries of each list, as far down as the lengths allow more.
+   The candidates' whole scores are resolved; the k-th best of them is a cutoff that k rows
+   surely reach.
+2. The cutoffs of a query block are broadcast. A row that reaches a cutoff has an entry of at
+   least cutoff / PARTS in some list, so each list is read down to where its lengths fall
+   below that, and only entries from there on are collected, if what the other slices can add
+   may still reach the cutoff.
+3. The scores of these candidates are resolved by their row, exactly, and merged.
 
 Queries come in blocks of about BLOCK_QUERIES, whatever their number; a block is what is
-broadcast (its vectors and cutoffs). Each block scans the vectors twice, and no row of them
-is shuffled. Per query a task gives k rows in phase 1; they are merged in two levels, so
-that no task gets the rows of all scan tasks for a query.
+broadcast (its vectors and cutoffs). No list is shuffled for it, only candidates are. Per query
+a task gives k rows of each list in phase 1; whole scores are merged in two levels, so that no
+task gets the rows of all scan tasks for a query. How much is not scored depends on the data:
+slices of much the same length are all scored, once in each of the first two phases.
 
 Components are floor(scale * x). Scores are exact: beyond 2^53 whole-number arithmetic is
 used, and scores outside a long are held at its limits. Vectors that are null or hold null
@@ -40,16 +46,49 @@ MERGE_BUCKETS = 32
 ROWS_AT_ONCE = 1024
 LONG = 2**63 - 1
 SCHEMA = "query_id bigint, vec_id bigint, score bigint"
+# A query is its place in the block here.
+NAMES = ["query", "row", "entry"]
+FOUND = "query bigint, row bigint, entry double"
+ENTRY = "part int, dims int, length double, rest double, row bigint, vec_id bigint, slice binary"
 
 
-def _partials(queries: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
-    """The partial scores (queries x rows) of every list."""
-    bound = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * max(1, rows.shape[1])
-    if bound >= 2.0**53:
-        whole = np.vectorize(int, otypes=[object])
-        queries, rows = whole(queries), whole(rows)
-    edges = np.linspace(0, rows.shape[1], PARTS + 1).astype(int)
-    return [queries[:, a:b] @ rows[:, a:b].T for a, b in zip(edges, edges[1:], strict=False)]
+def slices(dims: int) -> list[tuple[int, int]]:
+    edges = np.linspace(0, dims, PARTS + 1).astype(int).tolist()
+    return list(zip(edges, edges[1:], strict=False))
+
+
+def lengths(matrix: np.ndarray) -> np.ndarray:
+    """The length of each row, no less than it is; very large numbers may give infinity."""
+    with np.errstate(over="ignore"):
+        return np.nextafter(np.sqrt((matrix * matrix).sum(1)) * (1 + 2.0**-40), np.inf)
+
+
+def _entries(scale: float) -> Callable:
+    """A mapInArrow function: (row, vec_id, packed) as the entries of all lists. rest: the
+    length of what is outside the slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, ids = (batch.column(i).to_numpy() for i in (0, 1))
+            for some, matrix in by_dimension(batch.column(2).to_pylist()):
+                matrix = np.floor(scale * matrix)
+                for part, (low, high) in enumerate(slices(matrix.shape[1])):
+                    own = np.ascontiguousarray(matrix[:, low:high])
+                    rest = np.delete(matrix, np.s_[low:high], axis=1)
+                    n = len(some)
+                    arrays = [
+                        pa.array(np.full(n, part, np.int32)),
+                        pa.array(np.full(n, matrix.shape[1], np.int32)),
+                        pa.array(lengths(own)),
+                        pa.array(lengths(rest)),
+                        pa.array(row[some]),
+                        pa.array(ids[some]),
+                        pa.array([v.tobytes() for v in own], pa.binary()),
+                    ]
+                    names = ["part", "dims", "length", "rest", "row", "vec_id", "slice"]
+                    yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return run
 
 
 def _longs(scores: np.ndarray) -> np.ndarray:
@@ -58,88 +97,141 @@ def _longs(scores: np.ndarray) -> np.ndarray:
     return scores.astype(np.int64)
 
 
-def _best(found: list[tuple[np.ndarray, ...]], k: int) -> tuple[np.ndarray, ...]:
-    """The k best of (query, id, score) entries for each query."""
-    query, ids, score = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.lexsort((ids, -score, query))
-    ordered = query[order]
-    keep = order[np.arange(len(ordered)) - np.searchsorted(ordered, ordered) < k]
-    return query[keep], ids[keep], score[keep]
+class Block:
+    """The queries of a block by their dimension: places, vectors, lengths of and outside a slice."""
+
+    def __init__(self, block: list[tuple[int, bytes]], scale: float):
+        self.ids = np.array([i for i, _ in block], np.int64)
+        self.groups = {m.shape[1]: (at, np.floor(scale * m)) for at, m in by_dimension([r for _, r in block])}
+
+    def slice(self, dims: int, part: int) -> tuple[np.ndarray, ...] | None:
+        if dims not in self.groups:
+            return None
+        at, matrix = self.groups[dims]
+        low, high = slices(dims)[part]
+        own = matrix[:, low:high]
+        return at, own, lengths(own), lengths(np.delete(matrix, np.s_[low:high], axis=1))
+
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(part, dims, length, rest, row, id, slices) of some neighbours in one list."""
+    for batch in batches:
+        part, dims, length, rest, row, ids = (batch.column(i).to_numpy() for i in range(6))
+        change = np.flatnonzero(np.diff(part) | np.diff(dims)) + 1
+        for begin, end in zip([0, *change.tolist()], [*change.tolist(), len(part)], strict=True):
+            for at in range(begin, end, ROWS_AT_ONCE):
+                s = slice(at, min(end, at + ROWS_AT_ONCE))
+                if s.start < s.stop:
+                    raw = b"".join(batch.column(6).slice(s.start, s.stop - s.start).to_pylist())
+                    matrix = np.frombuffer(raw, np.float64).reshape(s.stop - s.start, -1)
+                    yield int(part[at]), int(dims[at]), length[s], rest[s], row[s], ids[s], matrix
 
-def _scan(block: list, scale: float, k: int, choose: Callable) -> Callable:
-    """A mapInArrow function: the k best a task finds for each query with ``choose``."""
+
+def _partial(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Partial scores, no less than they are: whole numbers below 2^53 exactly."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        found = queries @ rows.T
+        bound = lengths(queries)[:, None] * lengths(rows)[None, :]
+        found = np.where(bound < 2.0**53, found, found + bound * 2.0**-40)
+    return np.where(np.isnan(found), np.inf, found)
+
+
+def local_lists(block: Block, k: int, scored: list | None = None) -> Callable:
+    """Phase 1, a mapInArrow function: the best k entries a task has of each list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = {m.shape[1]: (rows, np.floor(scale * m)) for rows, m in by_dimension([r for _, r in block])}
-        own = np.array([i for i, _ in block], np.int64)
-        kept, entries = [], 0
+        best: dict = {}
+        for part, dims, length, _, row, ids, matrix in _chunks(batches):
+            held = block.slice(dims, part)
+            if held is None:
+                continue
+            at, queries, reach, _ = held
+            if (part, dims) not in best:
+                best[part, dims] = (np.full((len(at), k), -np.inf), np.full((len(at), k), -1))
+            score, rows = best[part, dims]
+            with np.errstate(over="ignore", invalid="ignore"):
+                live = np.flatnonzero(~(reach * length.max() <= score[:, -1]))
+            if not len(live):
+                continue
+            if scored is not None:
+                scored.append(len(live) * len(row))
+            found = _partial(queries[live], matrix)
+            found[block.ids[at[live]][:, None] == ids[None, :]] = -np.inf
+            both = np.hstack([score[live], found])
+            names = np.hstack([rows[live], np.broadcast_to(row, found.shape)])
+            order = np.argsort(-both, axis=1, kind="stable")[:, :k]
+            score[live] = np.take_along_axis(both, order, 1)
+            rows[live] = np.take_along_axis(names, order, 1)
+        for (_, dims), (score, rows) in best.items():
+            q, place = np.nonzero(score > -np.inf)
+            arrays = [pa.array(block.groups[dims][0][q]), pa.array(rows[q, place]), pa.array(score[q, place])]
+            yield pa.RecordBatch.from_arrays(arrays, NAMES)
+
+    return run
+
+
+def sufficient(block: Block, cutoffs: np.ndarray, scored: list | None = None) -> Callable:
+    """Phase 2, a mapInArrow function: the entries that can belong to a row above the cutoff."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, dims, length, rest, row, ids, matrix in _chunks(batches):
+            held = block.slice(dims, part)
+            if held is None:
+                continue
+            at, queries, reach, beyond = held
+            least = cutoffs[at] / PARTS
+            with np.errstate(over="ignore", invalid="ignore"):
+                live = np.flatnonzero(~(reach * length.max() < least))
+            if not len(live):
+                continue
+            if scored is not None:
+                scored.append(len(live) * len(row))
+            found = _partial(queries[live], matrix)
+            with np.errstate(over="ignore", invalid="ignore"):
+                short = found + beyond[live][:, None] * rest[None, :] < cutoffs[at[live]][:, None]
+            own = block.ids[at[live]][:, None] == ids[None, :]
+            q, r = np.nonzero((found >= least[live][:, None]) & ~short & ~own)
+            arrays = [pa.array(at[live[q]]), pa.array(row[r]), pa.array(found[q, r])]
+            yield pa.RecordBatch.from_arrays(arrays, NAMES)
+
+    return run
+
+
+def _products(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The inner product of each row with its partner."""
+    bound = float(np.abs(one).max(initial=0)) * float(np.abs(other).max(initial=0)) * max(1, one.shape[1])
+    if bound >= 2.0**53:
+        whole = np.vectorize(int, otypes=[object])
+        one, other = whole(one), whole(other)
+    return (one * other).sum(1)
+
+
+def whole_scores(block: Block, scale: float) -> Callable:
+    """A mapInArrow function: the exact scores of (query, vec_id, packed)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.zeros(len(block.ids), np.int64)
+        for at, _ in block.groups.values():
+            place[at] = np.arange(len(at))
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for rows, matrix in by_dimension(batch.column(1).to_pylist()):
-                if matrix.shape[1] not in groups:
-                    continue
-                asked, queries = groups[matrix.shape[1]]
-                matrix = np.floor(scale * matrix)
-                for at in range(0, len(rows), ROWS_AT_ONCE):
-                    some = rows[at : at + ROWS_AT_ONCE]
-                    lists = _partials(queries, matrix[at : at + ROWS_AT_ONCE])
-                    allowed = own[asked][:, None] != ids[some][None, :]
-                    q, r, score = choose(lists, allowed, asked)
-                    kept.append((asked[q], ids[some[r]], _longs(score)))
-                    entries += len(q)
-                    if entries > 4 * k * len(block):
-                        kept = [_best(kept, k)]
-                        entries = len(kept[0][0])
-        if entries:
-            q, found, score = _best(kept, k)
-            arrays = [pa.array(own[q]), pa.array(found), pa.array(score)]
+            asked = batch.column(0).to_numpy()
+            scores = np.zeros(len(asked), np.int64)
+            for some, matrix in by_dimension(batch.column(2).to_pylist()):
+                queries = block.groups[matrix.shape[1]][1][place[asked[some]]]
+                scores[some] = _longs(_products(queries, np.floor(scale * matrix)))
+            arrays = [pa.array(block.ids[asked]), batch.column(1), pa.array(scores)]
             yield pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
 
     return run
 
 
-def _local_lists(k: int) -> Callable:
-    def choose(lists, allowed, asked):
-        listed = np.zeros(allowed.shape, bool)
-        for partial in lists:
-            partial = np.where(allowed, partial, -np.inf).astype(float)
-            if partial.shape[1] > k:
-                best = np.argpartition(partial, partial.shape[1] - k, axis=1)[:, -k:]
-                np.put_along_axis(listed, best, True, axis=1)
-            else:
-                listed[:] = True
-        q, r = np.nonzero(listed & allowed)
-        score = sum(partial[q, r] for partial in lists)
-        order = np.lexsort((-score.astype(float), q))
-        place = np.arange(len(q)) - np.searchsorted(q[order], q[order])
-        keep = order[place < k]
-        return q[keep], r[keep], score[keep]
-
-    return choose
-
-
-def _above(cutoffs: np.ndarray) -> Callable:
-    def choose(lists, allowed, asked):
-        cutoff = cutoffs[asked][:, None]
-        sufficient = np.zeros(allowed.shape, bool)
-        for partial in lists:
-            sufficient |= (partial * PARTS >= cutoff).astype(bool)
-        q, r = np.nonzero(sufficient & allowed)
-        score = sum(partial[q, r] for partial in lists)
-        keep = (score >= cutoffs[asked][q]).astype(bool)
-        return q[keep], r[keep], score[keep]
-
-    return choose
-
-
-def best_k(found: DataFrame, k: int) -> DataFrame:
+def best_k(found: DataFrame, k: int, query: str = "query_id", score: str = "score", row: str = "vec_id") -> DataFrame:
     """The k best rows of each query, ranked, merged in two levels."""
-    order = [F.desc("score"), "vec_id"]
-    level = Window.partitionBy("query_id", "bucket").orderBy(*order)
+    order = [F.desc(score), row]
+    level = Window.partitionBy(query, "bucket").orderBy(*order)
     some = found.withColumn("bucket", F.pmod(F.spark_partition_id(), F.lit(MERGE_BUCKETS)))
     some = some.withColumn("rank", F.row_number().over(level)).where(F.col("rank") <= k).drop("rank", "bucket")
-    whole = Window.partitionBy("query_id").orderBy(*order)
+    whole = Window.partitionBy(query).orderBy(*order)
     return some.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= k)
 
 
@@ -155,24 +247,36 @@ def top_k(
     """(query_id, rank, vec_id, score): the k best rows of df for each row where ``asked``."""
     spark = df.sparkSession
     rows = df.select(
-        F.col(vec_id).cast("bigint").alias("vec_id"), packed(F.col(embedding)).alias("packed"), asked.alias("asked")
+        F.monotonically_increasing_id().alias("row"),
+        F.col(vec_id).cast("bigint").alias("vec_id"),
+        packed(F.col(embedding)).alias("packed"),
+        asked.alias("asked"),
     ).where("vec_id IS NOT NULL AND packed IS NOT NULL")
     rows = settled(rows, "vectors")
     queries = rows.where("asked").select("vec_id", "packed").distinct()
     blocks = -(-queries.count() // block_queries)
     dealt = F.pmod(F.xxhash64("vec_id", "packed"), F.lit(max(1, blocks)))
     queries = settled(queries.withColumn("block", dealt), "queries")
-    vectors = rows.select("vec_id", "packed")
+    vectors = rows.select("row", "vec_id", "packed")
+    entries = vectors.mapInArrow(_entries(scale), ENTRY).sortWithinPartitions("part", "dims", F.desc("length"))
+    entries = settled(entries, "lists")
     folder = run_dir(spark, "topk")
     kind = "query_id bigint, rank int, vec_id bigint, score bigint"
+
+    def resolved(found: DataFrame, block: Block) -> DataFrame:
+        pairs = found.select("query", "row").distinct().join(vectors, "row").select("query", "vec_id", "packed")
+        return best_k(pairs.mapInArrow(whole_scores(block, scale), SCHEMA), k)
+
     for number in range(blocks):
         # About block_queries rows: the block is what every task holds.
-        block = [(r.vec_id, bytes(r.packed)) for r in queries.where(F.col("block") == number).collect()]
-        listed = best_k(vectors.mapInArrow(_scan(block, scale, k, _local_lists(k)), SCHEMA), k)
+        asked_rows = queries.where(F.col("block") == number).collect()
+        block = Block([(r.vec_id, bytes(r.packed)) for r in asked_rows], scale)
+        listed = entries.mapInArrow(local_lists(block, k), FOUND)
+        listed = resolved(best_k(listed, PARTS * k, "query", "entry", "row"), block)
         least = {r.query_id: r.score for r in listed.where(F.col("rank") == k).select("query_id", "score").collect()}
         # float(score) may round up beyond 2^53; stay below it.
-        cutoffs = np.array([np.nextafter(float(least[i]), -np.inf) if i in least else -np.inf for i, _ in block])
-        found = best_k(vectors.mapInArrow(_scan(block, scale, k, _above(cutoffs)), SCHEMA), k)
+        cutoffs = [np.nextafter(float(least[i]), -np.inf) if i in least else -np.inf for i in block.ids.tolist()]
+        found = resolved(entries.mapInArrow(sufficient(block, np.array(cutoffs)), FOUND), block)
         found.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(folder)
     if not blocks:
         spark.createDataFrame([], kind).write.parquet(folder)
