@@ -131,6 +131,25 @@ _LSH_SAMPLE_PAIRS = f"""SELECT c.query_id, c.id, {_dot('v.embedding', 'q.asked')
 _LSH_ALL_PAIRS = f"""SELECT c.query_id, c.id, {_dot('v.embedding', 'q.embedding')} AS raw
   FROM candidates c JOIN vectors q ON q.paragraph_id = c.query_id JOIN vectors v ON v.paragraph_id = c.id"""
 
+
+
+def _probed(most: int) -> str:
+    """Candidates of the nearest buckets of each table, so many of them."""
+    return _LSH.rsplit("candidates AS", 1)[0] + f"""
+projected AS (
+  SELECT v.paragraph_id, p.t, p.b, list_dot_product(v.embedding::DOUBLE[], p.plane) AS x
+  FROM vectors v JOIN samples s ON s.query_id = v.paragraph_id CROSS JOIN planes p),
+probed AS (
+  SELECT query_id, t, xor(cell, mask) AS cell, row_number() OVER (PARTITION BY query_id, t ORDER BY cost, mask) AS nth
+  FROM (SELECT p.paragraph_id AS query_id, c.t, c.cell::BIGINT AS cell, m.mask,
+               round(sum(CASE WHEN (m.mask >> p.b) & 1 = 1 THEN p.x * p.x ELSE 0 END), 9) AS cost
+        FROM projected p JOIN cells c USING (paragraph_id, t) CROSS JOIN (SELECT unnest(range(16)) AS mask) m
+        GROUP BY p.paragraph_id, c.t, c.cell, m.mask)),
+candidates AS (
+  SELECT DISTINCT a.query_id, b.paragraph_id AS id FROM probed a JOIN cells b ON a.t = b.t AND a.cell = b.cell
+  WHERE nth <= {most})"""
+
+
 _EVENT_QUANTILES = """
 ordered AS (
   SELECT {groups}, {value} AS v,
@@ -408,5 +427,21 @@ ORACLE: dict[str, str] = {
         SELECT paragraph_id, article_id, article_title, shard_id FROM vectors
         WHERE paragraph_id NOT IN (SELECT paragraph_id FROM arrived)""",
 }
+_SHARES = [
+    f"""SELECT {p} AS probes, (SELECT count(DISTINCT id) FROM candidates) AS n_candidates,
+        (SELECT count(*) FROM vectors) AS n_rows,
+        round((SELECT count(*) FROM (SELECT query_id, id FROM ranked WHERE rank <= 10) JOIN best USING (query_id, id))
+              / (SELECT count(*) FROM best), 6) AS recall"""
+    for p in (1, 4, 16)
+]
+_BEST = f"""best AS (SELECT query_id, id FROM (
+    SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY round(raw, 9) DESC, id) AS place
+    FROM ({_SAMPLE_PAIRS})) WHERE place <= 10)"""
+ORACLE["f6_postings_share"] = " UNION ALL ".join(
+    f"(WITH {_VECTORS}, {_SAMPLES}, {_probed(p)}, {_BEST}, {_ranked(_LSH_SAMPLE_PAIRS, 10)} {share})"
+    for p, share in zip((1, 4, 16), _SHARES, strict=True)
+)
+ORACLE["f6_postings_topk"] = f"""WITH {_VECTORS}, {_EVERY}, {_probed(3)}, {_ranked(_LSH_SAMPLE_PAIRS, 10)}
+    SELECT query_id, rank, id, {_SCORE} FROM ranked"""
 ORACLE["f5_routes"] = f"""{_EVERY10} SELECT query_id, rank, id, {_SCORE}, n.num_shards
     FROM ranked CROSS JOIN (SELECT unnest([1, 4, 7]) AS num_shards) n"""

@@ -18,7 +18,7 @@ from registry.tables import (
     vectors,
 )
 from vecloom.functions import ids, text, vectors as vec
-from vecloom.operators import approx, lookup, store
+from vecloom.operators import approx, postings, lookup, store
 from vecloom.operators.embed import embed_texts, embedder_maker, hash_slots
 from vecloom.operators.search import exact_top_k
 from vecloom.plans import build, report, requests
@@ -595,6 +595,28 @@ def f6_lsh_topk_cells(spark, sf):
     return _hits(_lsh(spark, sf, asked, limit_bytes=0), "query_id", "rank", "id")
 
 
+def f6_postings_topk(spark, sf):
+    """In each table the three buckets nearest to the query; every vector is a query."""
+    built = _stored(spark, sf).build_postings(tables=4, bits=4)
+    found = built.search(_every(spark, sf), 10, method="postings", probes=3)
+    return _hits(found, "query_id", "rank", "id")
+
+
+def f6_postings_share(spark, sf):
+    """What ten queries have scored, and how much of the exact rows they find, by probes."""
+    built = _stored(spark, sf).build_postings(tables=4, bits=4)
+    asked = built.sample_queries(10).withColumnRenamed("paragraph_id", "query_id")
+    exact = built.search(asked, 10)
+    _, path = built._index("postings")
+    parts = []
+    for probes in (1, 4, 16):
+        found = built.search(asked, 10, method="postings", probes=probes)
+        hit = approx.recall(found, exact).agg(F.avg("recall")).first()[0]
+        share = postings.share_read(asked, path, probes).select("probes", "n_candidates", "n_rows")
+        parts.append(share.withColumn("recall", F.round(F.lit(hit), 6)))
+    return store.unite(parts)
+
+
 def f6_ivf_topk(spark, sf):
     """Clusters around the mean vector of each label; a query probes the nearest four."""
     means = table(spark, sf, "embeddings").groupBy("label").agg(
