@@ -427,6 +427,7 @@ ORACLE: dict[str, str] = {
         SELECT paragraph_id, article_id, article_title, shard_id FROM vectors
         WHERE paragraph_id NOT IN (SELECT paragraph_id FROM arrived)""",
 }
+ORACLE["f2_bounded_topk"] = f"{_EVERY10} SELECT query_id, rank, id, {_SCORE} FROM ranked"
 _SHARES = [
     f"""SELECT {p} AS probes, (SELECT count(DISTINCT id) FROM candidates) AS n_candidates,
         (SELECT count(*) FROM vectors) AS n_rows,

@@ -553,6 +553,12 @@ def f3_shard_merge(spark, sf):
     return _hits(found, *HITS, "shard_id")
 
 
+def f2_bounded_topk(spark, sf):
+    """Exact search that reads the blocks whose bounds reach the k-th best; every vector asks."""
+    built = _stored(spark, sf).build_bounded(num_cells=8)
+    return _hits(built.search(_every(spark, sf), 10, method="bounded"), "query_id", "rank", "id")
+
+
 def f4_k_beyond_corpus(spark, sf):
     """Benchmark texts against the region names: fewer rows than k."""
     names = table(spark, sf, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("text"))

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import brute_force, found_ids, query_frame, unit_vectors, vector_frame
-from vecloom.operators import approx, postings
+from vecloom.operators import approx, bounded, postings
+from vecloom.operators.search import exact_top_k
 from vecloom.operators.store import VectorTable
 
 
@@ -97,3 +98,51 @@ def test_hot_bucket_and_no_rows(spark, path, tmp_path):
 def test_bad_probes(spark, bits, probes):
     with pytest.raises(ValueError, match="between|at most"):
         postings.probed_cells(query_frame(spark, unit_vectors(1, 8)), 8, 1, bits, probes)
+
+
+# --- exact search by bounds -----------------------------------------------------------
+
+
+def bounded_store(spark, matrix, path, blocks, monkeypatch):
+    monkeypatch.setattr(bounded, "BLOCK_ROWS", blocks)
+    corpus = vector_frame(spark, matrix).withColumnRenamed("paragraph_id", "id")
+    bounded.write_bounded(corpus, path, matrix[:6].astype("float64"))
+
+
+@pytest.mark.parametrize("metric", ["ip", "cosine"])
+@pytest.mark.parametrize("clusters", [True, False])
+def test_bounds_keep_the_exact_rows(spark, path, monkeypatch, metric, clusters):
+    matrix = clustered(300, 12, seed=7) if clusters else unit_vectors(300, 12)
+    matrix = matrix * (1 + np.arange(300)[:, None] % 5) if metric == "ip" else matrix
+    bounded_store(spark, matrix, path, 40, monkeypatch)
+    read: list = []
+    asked = query_frame(spark, matrix[:4])
+    found = bounded.search_bounded(asked, path, 9, metric=metric, read=read)
+    corpus = vector_frame(spark, matrix).withColumnRenamed("paragraph_id", "id")
+    want = exact_top_k(asked, corpus, 9, metric=metric)
+    assert found_ids(found, 4) == found_ids(want, 4)
+    n_blocks = spark.read.parquet(f"{path}/bounds").count()
+    assert n_blocks >= 300 / 40 and not set(read[0]) & set(read[1])
+    if clusters and metric == "cosine":
+        assert len(read[0]) + len(read[1]) < n_blocks
+
+
+def test_blocks_out_of_reach_are_not_read(spark, path, monkeypatch):
+    matrix = clustered(600, 16, seed=9)
+    bounded_store(spark, matrix, path, 25, monkeypatch)
+    read: list = []
+    found = bounded.search_bounded(query_frame(spark, matrix[:1]), path, 3, read=read)
+    assert found_ids(found, 1) == brute_force(matrix[:1], matrix, 3, [f"p{i}" for i in range(600)])
+    n_blocks = spark.read.parquet(f"{path}/bounds").count()
+    assert len(read[0]) + len(read[1]) <= n_blocks / 2
+
+
+def test_bounded_search_of_few_rows_and_many_queries(spark, path, monkeypatch):
+    matrix = unit_vectors(5, 8)
+    corpus = vector_frame(spark, np.vstack([matrix, np.zeros((1, 8))])).withColumnRenamed("paragraph_id", "id")
+    bounded.write_bounded(corpus, path, matrix[:2].astype("float64"))
+    asked = query_frame(spark, matrix)
+    for limit in (1 << 20, 1):
+        found = bounded.search_bounded(asked, path, 50, metric="cosine", exclude_self=True, limit_bytes=limit)
+        assert found.count() == 5 * 6
+    assert bounded.search_bounded(asked.limit(0), path, 3).count() == 0

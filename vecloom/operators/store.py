@@ -6,7 +6,7 @@ Layout under the store's folder::
     claims/                                     numbers of batches that a writer has taken
     embeddings/batch_no=B/shard_id=N/*.parquet
     hidden/by=B/of=A/*.parquet                  ids of batch A that batch B replaced
-    flat/, lsh/, ivf/, postings/                covers/: one row per finished build, and its folder
+    flat/, lsh/, ivf/, postings/, bounded/      covers/: one row per finished build, and its folder
 
 Adding a batch claims a number, writes its own folder and then the next version of the log;
 if another writer was first, what that one added is compared and the version after is tried.
@@ -44,7 +44,7 @@ from vecloom.functions.ids import (
     to_metadata_json,
 )
 from vecloom.functions.vectors import dims, is_complete
-from vecloom.operators import approx, postings
+from vecloom.operators import approx, bounded, postings
 from vecloom.operators.commits import CommitLog
 from vecloom.operators.search import exact_top_k, packed
 
@@ -429,6 +429,16 @@ class VectorTable:
         approx.write_hyperplane_index(self.corpus(), folder, self.dim, tables, bits)
         return self._note_index("lsh", folder)
 
+    def build_bounded(self, num_cells: int = 16, centres: np.ndarray | None = None, share: float = 1.0) -> VectorTable:
+        """Write the current rows in blocks with bounds, around given or fitted centres, for
+        exact search that leaves blocks out."""
+        corpus = self.corpus()
+        folder = self._new_folder("bounded")
+        if centres is None:
+            centres = approx.fit_centres(corpus, num_cells, share=share)
+        bounded.write_bounded(corpus, folder, centres)
+        return self._note_index("bounded", folder)
+
     def build_postings(self, tables: int = 8, bits: int = 8) -> VectorTable:
         """Write the current rows with the postings of their hyperplane buckets."""
         folder = self._new_folder("postings")
@@ -489,19 +499,22 @@ class VectorTable:
         probes: int = 4,
     ) -> DataFrame:
         """Top-k per query. ``method``: ``exact``; ``sharded`` (per shard, then merged;
-        the same rows); ``lsh``, ``ivf`` or ``postings`` (approximate, from a built index)."""
+        the same rows); ``bounded`` (exact, without the blocks that cannot hold a hit, from a
+        built index); ``lsh``, ``ivf`` or ``postings`` (approximate, from a built index)."""
         common = {"metric": metric, "carry": CARRY, "exclude_self": exclude_self}
         if method == "exact":
             return exact_top_k(queries, self._exact_corpus(), k, **common)
         if method == "sharded":
             hits = exact_top_k(queries, self._exact_corpus(), k, by=SHARD_COLUMN, **common)
             return hits.drop(SHARD_COLUMN)
-        if method in APPROXIMATE:
+        if method in (*APPROXIMATE, "bounded"):
             state, path = self._index(method)
             if state != "ready":
                 raise ValueError(f"the {method} index {state}; build it first")
             if method == "lsh":
                 return approx.search_hyperplane_index(queries, path, k, **common)
+            if method == "bounded":
+                return bounded.search_bounded(queries, path, k, **common)
             if method == "postings":
                 return postings.search_postings(queries, path, k, probes, **common)
             return approx.search_cluster_index(queries, path, k, probes, **common)
