@@ -428,6 +428,9 @@ ORACLE: dict[str, str] = {
         WHERE paragraph_id NOT IN (SELECT paragraph_id FROM arrived)""",
 }
 ORACLE["f2_bounded_topk"] = f"{_EVERY10} SELECT query_id, rank, id, {_SCORE} FROM ranked"
+ORACLE["b1_replace_shards"] = f"""WITH {_VECTORS} SELECT paragraph_id, article_id, shard_id,
+    CASE WHEN shard_id IN (1, 2) THEN 'again' ELSE article_title END AS article_title
+    FROM vectors WHERE shard_id NOT IN (1, 2) OR article_id % 3 > 0"""
 _SHARES = [
     f"""SELECT {p} AS probes, (SELECT count(DISTINCT id) FROM candidates) AS n_candidates,
         (SELECT count(*) FROM vectors) AS n_rows,

@@ -186,6 +186,14 @@ def b1_partitioned_write(spark, sf):
     )
 
 
+def b1_replace_shards(spark, sf):
+    """Shards 1 and 2 are embedded again, without every third article."""
+    target = _stored(spark, sf)
+    again = vectors(spark, sf).where(F.pmod("article_id", F.lit(NUM_SHARDS)).isin(1, 2) & (F.col("article_id") % 3 > 0))
+    target.replace_shards(again.withColumn("article_title", F.lit("again")), [1, 2])
+    return target.vectors().select("paragraph_id", "article_id", "article_title", "shard_id")
+
+
 def b2_sample_queries(spark, sf):
     return _stored(spark, sf).sample_queries(10).select(
         "paragraph_id", micro("embedding").alias("vector")

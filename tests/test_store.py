@@ -1,4 +1,5 @@
 import glob
+import os
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -419,6 +420,39 @@ def test_batches_of_new_ids_are_read_without_a_join(spark, path):
     assert "Join" not in rows._jdf.queryExecution().executedPlan().toString()
 
 
+def test_chosen_shards_are_replaced(spark, path):
+    table = VectorTable.create(vector_frame(spark, unit_vectors(16, 4)), path, 4)  # p0, p1 and p8, p9 in shard 0
+    table.add_batch(vector_frame(spark, unit_vectors(4, 4), title="second {}"))
+    before, version = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/embeddings/**/*.parquet", recursive=True)}, table.log.latest()
+    old = titles(table)
+    again = vector_frame(spark, unit_vectors(10, 4, seed=3), title="again {}").where("paragraph_id IN ('p0', 'p9')")
+    table.replace_shards(again, [0])
+    kept = {i: t for i, t in old.items() if i not in ("p0", "p1", "p8", "p9")}
+    assert titles(table) == kept | {"p0": "again 0", "p9": "again 9"}
+    after = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/embeddings/**/*.parquet", recursive=True)}
+    assert before.items() <= after.items() and all("shard_id=0" in f for f in after.keys() - before.keys())
+    assert {r.paragraph_id: r.article_title for r in table.vectors(version).collect()} == old
+    assert {r.paragraph_id for r in table.shard(0).collect()} == {"p0", "p9"}
+    with pytest.raises(Exception, match="not in the shards"):
+        table.replace_shards(vector_frame(spark, unit_vectors(4, 4)), [0])
+    with pytest.raises(ValueError, match="between 0 and 3"):
+        table.replace_shards(again, [4])
+
+
+def test_rows_added_while_a_shard_is_replaced_stay(spark, path, monkeypatch):
+    table = VectorTable.create(vector_frame(spark, unit_vectors(8, 4)), path, 2)
+
+    def add(other):
+        other.add_batch(vector_frame(spark, unit_vectors(1, 4), title="meanwhile {}"), writer="b")
+        other.add_batch(vector_frame(spark, unit_vectors(1, 4), prefix="n", title="meanwhile {}"), writer="b")
+
+    other_writer_first(table, monkeypatch, add)
+    again = vector_frame(spark, unit_vectors(8, 4), title="again {}").where("article_id % 2 = 0")
+    table.replace_shards(again, [0])
+    expected = {f"p{i}": f"Article {i}" if i // 2 % 2 else f"again {i}" for i in range(8)}
+    assert titles(table) == expected | {"p0": "meanwhile 0", "n0": "meanwhile 0"}
+
+
 def test_vectors_survive_as_floats(spark, path):
     vectors = unit_vectors(3, 4)
     rows = VectorTable.create(vector_frame(spark, vectors), path).vectors().orderBy("paragraph_id").collect()

@@ -233,10 +233,17 @@ class VectorTable:
         return {r.of: True for r in touched}
 
     def commit(
-        self, write: int, writer: str = "", epoch: int | None = None, number: int | None = None
+        self,
+        write: int,
+        writer: str = "",
+        epoch: int | None = None,
+        number: int | None = None,
+        instead: tuple[dict, list[int]] | None = None,
     ) -> VectorTable:
         """Make a written folder the store's newest batch, or put it in the place of the batch
-        that the writer wrote for this number or epoch before."""
+        that the writer wrote for this number or epoch before. ``instead``: a state of the
+        store and the shards of its batches that the folder replaces; it comes right after
+        them, before batches that were added meanwhile."""
         if self.dim is None:
             row = self._files([write]).select(dims("embedding").alias("dim")).first()
             self.dim = row.dim if row else None
@@ -251,12 +258,19 @@ class VectorTable:
             gone = {b["write"] for b in old}
             batches = [b for b in state["batches"] if b["write"] not in gone]
             place = old[0]["place"] if old else state["version"] + 1
+            if instead:
+                place = instead[0]["version"] + 0.5
             fresh = [b for b in batches if b["write"] not in compared]
             touched |= self._hide(write, fresh, place).keys()
             compared |= {b["write"] for b in fresh}
             hidden = [
                 {**b, "by": [w for w in b["by"] if w not in gone] + [write] * (b["write"] in touched)} for b in batches
             ]
+            if instead:
+                earlier = {b["write"] for b in instead[0]["batches"]}
+                for b in hidden:
+                    if b["write"] in earlier:
+                        b["without"] = sorted({*b.get("without", []), *instead[1]})
             own = [write] if write in touched else []
             mine = {"write": write, "number": number, "place": place, "writer": writer, "epoch": epoch, "tier": 0}
             after = {
@@ -282,8 +296,18 @@ class VectorTable:
 
     def stored(self) -> DataFrame:
         """Every row of the store's batches, superseded ones included. Folders of batches that
-        were never logged are not read."""
-        return self._files(b["write"] for b in self.state()["batches"])
+        were never logged, or shards that were replaced, are not read."""
+        return self._rows(self.state()["batches"])
+
+    def _rows(self, batches: list[dict]) -> DataFrame:
+        groups: dict[tuple, list[int]] = {}
+        for b in batches:
+            groups.setdefault(tuple(b.get("without", ())), []).append(b["write"])
+        parts = [
+            self._files(writes).where(~F.col(SHARD_COLUMN).isin(*without)) if without else self._files(writes)
+            for without, writes in groups.items()
+        ]
+        return unite(parts) if parts else self._files([])
 
     def last_batch(self) -> int:
         """The highest batch number written."""
@@ -294,14 +318,14 @@ class VectorTable:
         return self._current(self.state(version)["batches"]).select(*VECTOR_COLUMNS, SHARD_COLUMN)
 
     def _current(self, batches: list[dict]) -> DataFrame:
-        whole = self._files(b["write"] for b in batches if not b["by"])
+        whole = self._rows([b for b in batches if not b["by"]])
         pairs = [(by, b["write"]) for b in batches for by in b["by"]]
         if not pairs:
             return whole
         paths = [f"{self.path}/hidden/by={by}/of={of}" for by, of in pairs]
         reader = self._spark.read.schema(HIDDEN).option("basePath", f"{self.path}/hidden")
         hidden = reader.parquet(*paths).select("paragraph_id", F.col("of").alias("batch_no"))
-        rest = self._files(b["write"] for b in batches if b["by"])
+        rest = self._rows([b for b in batches if b["by"]])
         return whole.unionByName(rest.join(hidden, ["paragraph_id", "batch_no"], "left_anti").select(*whole.columns))
 
     def add_batch(
@@ -326,6 +350,22 @@ class VectorTable:
         self.commit(write, writer, epoch, old[0]["number"] if old else batch_no)
         return self.merge_small()
 
+    def replace_shards(self, vectors: DataFrame, shards: Iterable[int], writer: str = "") -> VectorTable:
+        """Put these vectors in place of all that the named shards hold now, as when a part of
+        the store is embedded again. A vector of another shard fails the write. The other
+        shards' files stay as they are, and so do batches that are added meanwhile; earlier
+        versions still read the old vectors."""
+        state, chosen = self.state(), sorted(set(shards))
+        if not chosen or min(chosen) < 0 or max(chosen) >= self.num_shards:
+            raise ValueError(f"shards must be between 0 and {self.num_shards - 1}, got {chosen}")
+        write = self.log.claim(max((b["write"] for b in state["batches"]), default=-1) + 1)
+        rows = checked(one_per_id(vectors.select(*VECTOR_COLUMNS)), self.dim)
+        outside = ~shard_of("article_id", self.num_shards).isin(chosen)
+        refused = F.raise_error(F.concat(F.lit("not in the shards to replace: "), "paragraph_id"))
+        rows = rows.withColumn("embedding", F.when(outside, refused).otherwise(F.col("embedding")))
+        self._write(rows, write)
+        return self.commit(write, writer, instead=(state, chosen))
+
     def merge_small(self) -> VectorTable:
         """Put FANOUT neighbours of one tier into one batch of the next, without the rows that
         were replaced. The newest epoch of a writer stays by itself, as it may be run again. If
@@ -341,7 +381,7 @@ class VectorTable:
             if b["epoch"] is not None:
                 merged[b["writer"]] = max(b["epoch"], merged.get(b["writer"], -1))
         last = run[-1]
-        one = {**last, "write": write, "writer": "", "epoch": None, "tier": last["tier"] + 1, "by": []}
+        one = {**last, "write": write, "writer": "", "epoch": None, "tier": last["tier"] + 1, "by": [], "without": []}
         writes = {b["write"] for b in run}
         batches = [b for b in state["batches"] if b["write"] not in writes] + [one]
         after = {**state, "merged": merged, "batches": sorted(batches, key=lambda b: b["place"])}
