@@ -295,6 +295,10 @@ ORACLE: dict[str, str] = {
     "d4_hydrate": f"""{_P} SELECT l.doc_id || '_' || l.quality AS id, l.quality,
           coalesce(p.article_title, 'missing') AS article_title, coalesce(p.text, 'missing') AS text
         FROM labels l LEFT JOIN paragraphs p ON p.paragraph_id = l.doc_id || '_' || l.quality""",
+    "d4_hydrate_by_shard": f"""{_P} SELECT l.doc_id || '_' || l.quality AS id, l.doc_id AS article_id, l.quality,
+          coalesce(p.article_title, 'missing') AS article_title, coalesce(p.text, 'missing') AS text
+        FROM labels l LEFT JOIN paragraphs p ON p.paragraph_id = l.doc_id || '_' || l.quality
+        WHERE l.doc_id % 4 IN (1, 3)""",
     "e1_count": _P + "SELECT count(*) AS n_paragraphs FROM paragraphs",
     "e2_filtered_count": "SELECT count(*) AS n FROM customer WHERE c_nationkey = 7",
     "e3_shard_stats": _V + """SELECT shard_id, count(*) AS num_vectors, count(DISTINCT article_id) AS num_articles,

@@ -468,6 +468,18 @@ def d4_hydrate(spark, sf):
     return rows.fillna("missing", ["article_title", "text"])
 
 
+def d4_hydrate_by_shard(spark, sf):
+    """The same lookups from texts that lie by shard, for labels of two shards in four."""
+    path = run_dir(spark, "texts")
+    lookup.write_texts(paragraphs(spark, sf), path, NUM_SHARDS)
+    labelled = table(spark, sf, "labels").where(F.pmod("doc_id", F.lit(NUM_SHARDS)).isin(1, 3))
+    hits = labelled.select(
+        F.concat_ws("_", "doc_id", "quality").alias("id"), F.col("doc_id").alias("article_id"), "quality"
+    )
+    rows = lookup.hydrate_by_shard(hits, path, NUM_SHARDS, ("article_title", "text"))
+    return rows.fillna("missing", ["article_title", "text"])
+
+
 # --- E: aggregations and reports ------------------------------------------------------
 
 
@@ -481,7 +493,8 @@ def e2_filtered_count(spark, sf):
 
 
 def e3_shard_stats(spark, sf):
-    return report.shard_stats(store.with_shards(vectors(spark, sf), NUM_SHARDS))
+    built = _stored(spark, sf)
+    return report.shard_counts(built.vectors(), built.dim)
 
 
 def e4_latency_stats(spark, sf):

@@ -110,6 +110,23 @@ def test_hydrate_runs_the_search_once(spark, texts, corpus):
     assert calls.value == 1
 
 
+def test_texts_of_other_shards_are_not_read(spark, texts, tmp_path):
+    path = str(tmp_path / "texts")
+    rows = texts.select("paragraph_id", F.substring_index("paragraph_id", "_", 1).cast("long").alias("article_id"), "text")
+    lookup.write_texts(rows, path, 4)
+    schema = "query_id string, id string, article_id long"
+    hits = [("q", "1_0", 1), ("q", "1_99", 1), ("r", "1_0", 1), ("r", "x", None), (None, None, 1)]
+    out = lookup.hydrate_by_shard(spark.createDataFrame(hits, schema), path, 4)
+    filters = out._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1:]
+    assert any("shard_id" in f.split("]")[0] for f in filters)
+    assert out.columns == ["query_id", "id", "article_id", "text"]
+    found = {(r.query_id, r.id): r.text for r in out.collect()}
+    assert found == {
+        ("q", "1_0"): TEXTS[0][3], ("q", "1_99"): None, ("r", "1_0"): TEXTS[0][3], ("r", "x"): None, (None, None): None
+    }
+    assert lookup.hydrate_by_shard(spark.createDataFrame([], schema), path, 4).count() == 0
+
+
 def test_few_hits_are_broadcast_to_the_paragraphs(spark, sf):
     rows = paragraphs(spark, sf)
     hits = rows.select(F.col("paragraph_id").alias("id")).orderBy("id").limit(20)
