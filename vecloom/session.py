@@ -52,10 +52,15 @@ def build_session(
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediates: the one the cluster names in
-    ``spark.checkpoint.dir``, else a folder beside the tables of the warehouse, which all
-    executors share too."""
+    ``spark.checkpoint.dir``. Where all tasks run on this machine, a folder beside the tables
+    of the warehouse will do; a cluster that names none is refused, as its executors may not
+    see what the others write there."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/vecloom-scratch"
+    if named:
+        return named
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/vecloom-scratch"
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
