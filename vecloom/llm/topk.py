@@ -11,7 +11,8 @@ some place on can have more than that length times the query's.
    least cutoff / PARTS in some list, so each list is read down to where its lengths fall
    below that, and only entries from there on are collected, if what the other slices can add
    may still reach the cutoff.
-3. The scores of these candidates are resolved by their row, exactly, and merged.
+3. An entry has its whole vector with it, so the missing part of a sufficient entry's score is
+   resolved where it was found, exactly; rows that reach the cutoff are merged.
 
 Queries come in blocks of about BLOCK_QUERIES, whatever their number; a block is what is
 broadcast (its vectors and cutoffs). No list is shuffled for it, only candidates are. Per query
@@ -44,12 +45,14 @@ PARTS = 2
 BLOCK_QUERIES = 2048
 MERGE_BUCKETS = 32
 ROWS_AT_ONCE = 1024
+PAIRS_AT_ONCE = 1 << 17
 LONG = 2**63 - 1
 SCHEMA = "query_id bigint, vec_id bigint, score bigint"
+REACHED = "query_id bigint, row bigint, vec_id bigint, score bigint"
 # A query is its place in the block here.
 NAMES = ["query", "row", "entry"]
 FOUND = "query bigint, row bigint, entry double"
-ENTRY = "part int, dims int, length double, rest double, row bigint, vec_id bigint, slice binary"
+ENTRY = "part int, dims int, length double, rest double, row bigint, vec_id bigint, whole binary"
 
 
 def slices(dims: int) -> list[tuple[int, int]]:
@@ -73,7 +76,7 @@ def _entries(scale: float) -> Callable:
             for some, matrix in by_dimension(batch.column(2).to_pylist()):
                 matrix = np.floor(scale * matrix)
                 for part, (low, high) in enumerate(slices(matrix.shape[1])):
-                    own = np.ascontiguousarray(matrix[:, low:high])
+                    own = matrix[:, low:high]
                     rest = np.delete(matrix, np.s_[low:high], axis=1)
                     n = len(some)
                     arrays = [
@@ -83,9 +86,9 @@ def _entries(scale: float) -> Callable:
                         pa.array(lengths(rest)),
                         pa.array(row[some]),
                         pa.array(ids[some]),
-                        pa.array([v.tobytes() for v in own], pa.binary()),
+                        pa.array([v.tobytes() for v in matrix], pa.binary()),
                     ]
-                    names = ["part", "dims", "length", "rest", "row", "vec_id", "slice"]
+                    names = ["part", "dims", "length", "rest", "row", "vec_id", "whole"]
                     yield pa.RecordBatch.from_arrays(arrays, names)
 
     return run
@@ -114,7 +117,7 @@ class Block:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(part, dims, length, rest, row, id, slices) of some neighbours in one list."""
+    """(part, dims, length, rest, row, id, vectors) of some neighbours in one list."""
     for batch in batches:
         part, dims, length, rest, row, ids = (batch.column(i).to_numpy() for i in range(6))
         change = np.flatnonzero(np.diff(part) | np.diff(dims)) + 1
@@ -155,7 +158,8 @@ def local_lists(block: Block, k: int, scored: list | None = None) -> Callable:
                 continue
             if scored is not None:
                 scored.append(len(live) * len(row))
-            found = _partial(queries[live], matrix)
+            low, high = slices(dims)[part]
+            found = _partial(queries[live], matrix[:, low:high])
             found[block.ids[at[live]][:, None] == ids[None, :]] = -np.inf
             both = np.hstack([score[live], found])
             names = np.hstack([rows[live], np.broadcast_to(row, found.shape)])
@@ -171,7 +175,8 @@ def local_lists(block: Block, k: int, scored: list | None = None) -> Callable:
 
 
 def sufficient(block: Block, cutoffs: np.ndarray, scored: list | None = None) -> Callable:
-    """Phase 2, a mapInArrow function: the entries that can belong to a row above the cutoff."""
+    """Phases 2 and 3, a mapInArrow function: rows with an entry that can belong to a score above
+    the cutoff, and with such a score. A row may come from several lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, dims, length, rest, row, ids, matrix in _chunks(batches):
@@ -186,13 +191,18 @@ def sufficient(block: Block, cutoffs: np.ndarray, scored: list | None = None) ->
                 continue
             if scored is not None:
                 scored.append(len(live) * len(row))
-            found = _partial(queries[live], matrix)
+            low, high = slices(dims)[part]
+            found = _partial(queries[live], matrix[:, low:high])
             with np.errstate(over="ignore", invalid="ignore"):
                 short = found + beyond[live][:, None] * rest[None, :] < cutoffs[at[live]][:, None]
             own = block.ids[at[live]][:, None] == ids[None, :]
             q, r = np.nonzero((found >= least[live][:, None]) & ~short & ~own)
-            arrays = [pa.array(at[live[q]]), pa.array(row[r]), pa.array(found[q, r])]
-            yield pa.RecordBatch.from_arrays(arrays, NAMES)
+            for some in np.array_split(np.arange(len(q)), len(q) // PAIRS_AT_ONCE + 1):
+                score = _products(block.groups[dims][1][live[q[some]]], matrix[r[some]])
+                reached = some[(score >= cutoffs[at[live[q[some]]]]).astype(bool)]
+                score = _longs(score[np.isin(some, reached)])
+                arrays = [block.ids[at[live[q[reached]]]], row[r[reached]], ids[r[reached]], score]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["query_id", "row", "vec_id", "score"])
 
     return run
 
@@ -276,7 +286,8 @@ def top_k(
         least = {r.query_id: r.score for r in listed.where(F.col("rank") == k).select("query_id", "score").collect()}
         # float(score) may round up beyond 2^53; stay below it.
         cutoffs = [np.nextafter(float(least[i]), -np.inf) if i in least else -np.inf for i in block.ids.tolist()]
-        found = resolved(entries.mapInArrow(sufficient(block, np.array(cutoffs)), FOUND), block)
+        found = entries.mapInArrow(sufficient(block, np.array(cutoffs)), REACHED)
+        found = best_k(found.distinct(), k)
         found.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(folder)
     if not blocks:
         spark.createDataFrame([], kind).write.parquet(folder)
