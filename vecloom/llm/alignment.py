@@ -53,7 +53,7 @@ SPACE = "▁"
 _BREAK = re.compile("[A-Za-z] ")
 _WORD = re.compile(" +[^ ]*")
 # Words, and fragments of words, whose tokens a worker remembers.
-REMEMBERED = 100_000
+REMEMBERED = 50_000
 
 
 def id_lists(ids: list, counts: np.ndarray) -> pa.Array:
@@ -381,7 +381,13 @@ def with_counts(links: Column, counts: pa.Table) -> Column:
 
     @F.arrow_udf("struct<n_best:bigint,count_sum:bigint>")
     def look_up(lists: pa.Array) -> pa.Array:
+        # Encoding is over: the worker lets its tokenizers go.
+        _made.clear()
         known = worker_counts(packed)
+        starts = range(0, len(lists) or 1, SOME_TEXTS)
+        return pa.concat_arrays([some_counts(lists.slice(at, SOME_TEXTS), known) for at in starts])
+
+    def some_counts(lists: pa.Array, known: pa.Table) -> pa.Array:
         flat = pa.table({"row": pc.list_parent_indices(lists), "link": pc.list_flatten(lists)})
         met = flat.join(known, "link", join_type="inner", use_threads=False)
         sums = met.group_by("row", use_threads=False).aggregate([("best", "sum"), ("n", "sum")])
