@@ -9,7 +9,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.llm import packing, pii, quality, simhash, substring
@@ -19,12 +19,13 @@ from vecloom.session import passing_scratch, run_dir
 
 # A document below this quality goes.
 QUALITY = 0.3
-# A document's id and text as 256 bits, while a stage runs.
+# A column of a stage's own: a document's id and text as 256 bits, or all its columns.
 ROW = "corpus_pipeline_row"
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: documents that the line model rejects go."""
+    """Operator 6: documents that the line model rejects go. Null and empty texts have a score
+    like any other; repeated rows and other columns stay. An empty table gives no rows."""
     labels = table(spark, sf_dir, "labels").where(~quality.held_out(F.col("doc_id")))
     model = quality.train(docs, labels)
     return docs.where(quality.score(model, F.col("text")) >= QUALITY)
@@ -48,31 +49,41 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return marked.join(chosen, ROW, "left_semi").dropDuplicates([ROW]).select(*docs.columns)
 
 
+def restored(docs: DataFrame, text: Column, n_chars: Column) -> list[Column]:
+    """The columns of docs out of ROW, with another text and its length."""
+    fresh = {"text": text, "n_chars": n_chars}
+    return [fresh.get(c, F.col(ROW)[c]).alias(c) for c in docs.columns]
+
+
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: passages of 20 words and more that start earlier are cut out.
 
-    Texts that lose nothing stay as they are; the others are their kept words, and
-    ``n_chars`` follows.
+    Texts that lose nothing stay as they are, null ones too; the others are their kept words,
+    and ``n_chars`` follows. Rows of one id and text are one document: neither repeats the
+    other. An empty table gives no rows, and other columns stay.
     """
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    found = substring.remove_repeats(docs, keep=others, restore=True)
-    cut = found.withColumn("text", F.col("kept"))
-    changed = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", changed).select(*docs.columns)
+    # As one column, so that no name of theirs can clash with the operator's.
+    packed = docs.select("doc_id", "text", F.struct("*").alias(ROW))
+    found = substring.remove_repeats(packed, keep=(ROW,))
+    changed = F.col("n_removed") > 0
+    length = F.when(changed, F.length("kept").cast("long")).otherwise(F.col(ROW)["n_chars"])
+    text = F.when(changed, F.col("kept")).otherwise(F.col(ROW)["text"])
+    return found.select(*restored(docs, text, length))
 
 
 def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: personal data becomes [KIND]; other texts stay as they are."""
-    found = pii.find(docs, keep=tuple(docs.columns))
-    rows = found.select("spans", *(F.col("others")[c].alias(c) for c in docs.columns))
-    text = pii.redacted(F.col("text"), F.col("spans"))
-    marked = rows.withColumn("text", text)
-    changed = F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return marked.withColumn("n_chars", changed).select(*docs.columns)
+    """Operator 2: personal data becomes [KIND]; other texts stay as they are, null ones too,
+    and so do other columns and repeated rows. An empty table gives no rows."""
+    found = pii.find(docs.select("doc_id", "text", F.struct("*").alias(ROW)), keep=(ROW,))
+    rows = found.select("spans", F.col("others")[ROW].alias(ROW))
+    rows = rows.withColumn("marked", pii.redacted(F.col(ROW)["text"], F.col("spans")))
+    length = F.when(F.size("spans") > 0, F.length("marked").cast("long")).otherwise(F.col(ROW)["n_chars"])
+    return rows.select(*restored(docs, F.col("marked"), length))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: every remaining text in sequences of at most 2048 tokens."""
+    """Operator 8: every remaining text in sequences of at most 2048 tokens. Null and empty
+    texts take one token; repeated rows are packed each. An empty table gives no rows."""
     return packing.pack(docs, BYTE_BPE)
 
 
