@@ -11,7 +11,7 @@ as ids alone. Their counts are partial ``Table.group_by`` counts of each batch,
 Spark. Of two tokens that end together one is a suffix of the other, so no more pairs can ever
 be linked than the two vocabularies hold suffixes of each other (`possible_pairs`: 324,297 for
 the registered query's, 8 MB of counts whatever the corpus), and the counts are shipped to the
-tasks, which join them to the links in Acero again.
+tasks in order, which look the links up there.
 
 A long text is cut at letters followed by a space, where both tokenizers always part tokens,
 so its arrays come piece by piece; its numbers are added up and its groups hashed one after
@@ -25,6 +25,7 @@ carried only if they are named in ``keep``.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -48,6 +49,8 @@ PIECE = 1 << 17
 SOME_TEXTS = 250
 # Links to a written row.
 ROW_LINKS = 1 << 20
+# Links whose counts are looked up at once.
+SOME_LINKS = 1 << 18
 SPACE = "▁"
 # Both tokenizers part tokens between the two.
 _BREAK = re.compile("[A-Za-z] ")
@@ -306,6 +309,14 @@ def aligned(aligner: Aligner, texts: list[str | None]) -> Iterator[list[tuple]]:
 _made: dict[int, Aligner] = {}
 
 
+def let_go() -> None:
+    """Encoding is over: the worker gives up its tokenizers and the memory they held."""
+    if _made:
+        _made.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def worker_aligner(byte_spec: tuple, piece_file: bytes) -> Aligner:
     """One aligner for each worker process and pair of tokenizers."""
     key = hash((byte_spec[0], piece_file))
@@ -355,6 +366,7 @@ def link_counts(rows: DataFrame) -> pa.Table:
     of its B id is linked more often. At most `possible_pairs` rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         total = pa.table({"link": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
         for batch in batches:
             links = pa.table({"link": pc.list_flatten(batch.column(0))})
@@ -376,36 +388,37 @@ def with_counts(links: Column, counts: pa.Table) -> Column:
     """(n_best, count_sum) of a list of links."""
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, counts.schema) as out:
-        out.write_table(counts)
+        out.write_table(counts.sort_by("link"))
     packed = sink.getvalue().to_pybytes()
 
     @F.arrow_udf("struct<n_best:bigint,count_sum:bigint>")
     def look_up(lists: pa.Array) -> pa.Array:
-        # Encoding is over: the worker lets its tokenizers go.
-        _made.clear()
+        let_go()
         known = worker_counts(packed)
-        starts = range(0, len(lists) or 1, SOME_TEXTS)
-        return pa.concat_arrays([some_counts(lists.slice(at, SOME_TEXTS), known) for at in starts])
-
-    def some_counts(lists: pa.Array, known: pa.Table) -> pa.Array:
-        flat = pa.table({"row": pc.list_parent_indices(lists), "link": pc.list_flatten(lists)})
-        met = flat.join(known, "link", join_type="inner", use_threads=False)
-        sums = met.group_by("row", use_threads=False).aggregate([("best", "sum"), ("n", "sum")])
-        found = np.zeros((2, len(lists)), np.int64)
-        found[:, sums["row"].to_numpy()] = sums["best_sum"].to_numpy(), sums["n_sum"].to_numpy()
+        ends = np.append(0, np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy()))
+        flat = lists.flatten().to_numpy()
+        # Running sums to each place, SOME_LINKS of them at a time.
+        sums = np.zeros((2, len(flat) + 1), np.int64)
+        for at in range(0, len(flat), SOME_LINKS):
+            place = np.searchsorted(known[0], flat[at : at + SOME_LINKS])
+            for own, figures in zip(sums, known[1:], strict=True):
+                own[at + 1 : at + 1 + len(place)] = np.cumsum(figures[place]) + own[at]
+        found = np.diff(sums[:, ends], axis=1)
         return pa.StructArray.from_arrays([pa.array(found[0]), pa.array(found[1])], ["n_best", "count_sum"])
 
     return look_up(links)
 
 
-_counts: dict[int, pa.Table] = {}
+_counts: dict[int, tuple[np.ndarray, ...]] = {}
 
 
-def worker_counts(packed: bytes) -> pa.Table:
+def worker_counts(packed: bytes) -> tuple[np.ndarray, ...]:
+    """Links in order, whether each is a best one, and how often it is linked."""
     key = hash(packed)
     if key not in _counts:
         _counts.clear()
-        _counts[key] = pa.ipc.open_stream(packed).read_all()
+        known = pa.ipc.open_stream(packed).read_all()
+        _counts[key] = tuple(known[name].to_numpy() for name in ("link", "best", "n"))
     return _counts[key]
 
 
