@@ -26,15 +26,15 @@ from vecloom.operators import cells as cell_search
 from vecloom.operators.kernel import to_matrix
 from vecloom.operators.search import (
     BROADCAST_BYTES,
+    QueryBlock,
     check_k,
     check_metric,
-    fetch_block,
-    fits,
     hit_schema,
     merge_best,
     packed,
     query_size,
     scan_best,
+    search_in_blocks,
 )
 
 CELLS = T.ArrayType(T.IntegerType())
@@ -156,15 +156,25 @@ def top_k_in_cells(
     schema = hit_schema(queries, corpus, carry)
     asked = queries.select("query_id", "embedding", F.col("cells").alias("probes"))
     size = query_size(asked)
-    if fits(size, limit_bytes):
-        block = fetch_block(asked, size)
-        if "cell" in corpus.columns and block.probes:
-            # A partition column: folders of cells no query probes are not read.
-            probed = np.unique(np.concatenate(block.probes)).tolist()
-            corpus = corpus.where(F.col("cell").isin(probed))
-        hits = scan_best(corpus, block, wanted, schema, metric=metric, carry=carry, cell="cells")
-    else:
-        hits = cell_search.best_in_cells(
+
+    def finish(hits: DataFrame, in_parts: bool = True) -> DataFrame:
+        if exclude_self:
+            hits = hits.where(F.col("id") != F.col("query_id").cast(schema["id"].dataType))
+        return merge_best(hits, k, repeated=True, in_parts=in_parts).select("query_id", "rank", "id", *carry, "score")
+
+    if limit_bytes:
+        def find(block: QueryBlock, stored: DataFrame) -> DataFrame:
+            if "cell" in stored.columns and block.probes:
+                # A partition column: folders of cells no query probes are not read.
+                probed = np.unique(np.concatenate(block.probes)).tolist()
+                stored = stored.where(F.col("cell").isin(probed))
+            return scan_best(stored, block, wanted, schema, metric=metric, carry=carry, cell="cells")
+
+        needed = ["id", *carry, "embedding", "cells", *(["cell"] if "cell" in corpus.columns else [])]
+        stored = corpus.select(*dict.fromkeys(needed))
+        return search_in_blocks(asked, stored, size, wanted, limit_bytes, find, finish)
+    return finish(
+        cell_search.best_in_cells(
             queries.withColumn("cell", F.explode("cells")),
             corpus if "cell" in corpus.columns else corpus.withColumn("cell", F.explode("cells")),
             wanted,
@@ -174,9 +184,7 @@ def top_k_in_cells(
             num_cells=num_cells,
             dim=size[1],
         )
-    if exclude_self:
-        hits = hits.where(F.col("id") != F.col("query_id").cast(schema["id"].dataType))
-    return merge_best(hits, k, repeated=True).select("query_id", "rank", "id", *carry, "score")
+    )
 
 
 def write_hyperplane_index(

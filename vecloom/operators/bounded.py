@@ -125,7 +125,7 @@ def search_bounded(
     vectors = spark.read.parquet(f"{path}/vectors")
     common = {"metric": metric, "carry": carry, "exclude_self": exclude_self}
     size = query_size(queries)
-    if not size[0] or not fits(size, limit_bytes):
+    if not size[0] or not fits(size, k + 1, limit_bytes):
         return exact_top_k(queries, vectors, k, **common)
     held = fetch_block(queries, size)
     bounds = Bounds(path, held.matrix, metric, spark)
