@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from registry import queries
 from registry.tables import paragraphs
 from tests.conftest import unit_vectors, vector_frame
 from vecloom.operators import lookup
@@ -426,3 +427,17 @@ def test_search_metric_has_quantiles_and_backend(spark, tmp_path, texts):
     made = spark.read.json(str(tmp_path / "report")).first()
     assert made.num_sample_queries > 0 and made.backends == "flat"
     assert all(s.stored_bytes > 0 and s.num_vectors > 0 for s in made.shard_stats)
+
+
+def test_unknown_documents_need_no_search(spark, sf, monkeypatch):
+    """The ids that are not there are found from the ids alone."""
+    def refused(*_, **__):
+        raise AssertionError("searched or embedded")
+
+    known = spark.createDataFrame([("a",), ("b",)], "id string")
+    wanted = spark.createDataFrame([("b",), ("c",), ("c",), (None,)], "id string")
+    rows = requests.unknown_documents(wanted, known).collect()
+    assert sorted((r.id or "", r.error) for r in rows) == [("", "id 'null' not found"), ("c", "id 'c' not found")]
+    monkeypatch.setattr(requests, "exact_top_k", refused)
+    monkeypatch.setattr(queries, "embed_texts", refused)
+    assert queries.f9_unknown(spark, sf).count() > 0
