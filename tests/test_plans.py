@@ -441,3 +441,23 @@ def test_unknown_documents_need_no_search(spark, sf, monkeypatch):
     monkeypatch.setattr(requests, "exact_top_k", refused)
     monkeypatch.setattr(queries, "embed_texts", refused)
     assert queries.f9_unknown(spark, sf).count() > 0
+
+
+def test_stream_of_distinct_ids_moves_no_vectors(spark, monkeypatch):
+    """Only ids are compared where none repeats; repeats are still settled."""
+    def refused(*_):
+        raise AssertionError("texts or vectors moved")
+
+    rows = [(f"{n}_0", n, "t", f"word{n}") for n in range(6)]
+    arriving = run_dir(spark, "arriving")
+    spark.createDataFrame(rows, PARAGRAPH_SCHEMA).write.parquet(arriving)
+    target = VectorTable.create(vector_frame(spark, unit_vectors(3, 64)), run_dir(spark, "store"), 2)
+    with monkeypatch.context() as patch:
+        patch.setattr("vecloom.operators.store.newest", refused)
+        stream = spark.readStream.schema(PARAGRAPH_SCHEMA).parquet(arriving)
+        add_stream(stream, target, HashingEmbedder, run_dir(spark, "progress")).awaitTermination()
+    assert target.vectors().count() == 9
+    spark.createDataFrame([rows[0], rows[0]], PARAGRAPH_SCHEMA).write.mode("append").parquet(arriving)
+    stream = spark.readStream.schema(PARAGRAPH_SCHEMA).parquet(arriving)
+    add_stream(stream, target, HashingEmbedder, run_dir(spark, "progress")).awaitTermination()
+    assert target.vectors().count() == 9

@@ -335,9 +335,11 @@ class VectorTable:
         order: str | None = None,
         writer: str = "",
         epoch: int | None = None,
+        distinct: bool = False,
     ) -> VectorTable:
         """Add rows; an id already stored is replaced. ``order`` names a column that
-        ranks repeats of an id within the batch.
+        ranks repeats of an id within the batch; a caller who has settled them says that the
+        ids are ``distinct``, and no vector is moved to compare them.
 
         ``writer`` and ``epoch`` name a batch for a writer that may run it again, such as a
         stream: the batch it wrote for that epoch is replaced, wherever it stands. A number that
@@ -346,7 +348,7 @@ class VectorTable:
         state = self.state()
         old = self._own(state, writer, epoch, batch_no) if epoch is not None or batch_no is not None else []
         write = self.log.claim(max((b["write"] for b in state["batches"]), default=-1) + 1)
-        self._write(checked(newest(batch, order), self.dim), write)
+        self._write(checked(batch if distinct else newest(batch, order), self.dim), write)
         self.commit(write, writer, epoch, old[0]["number"] if old else batch_no)
         return self.merge_small()
 

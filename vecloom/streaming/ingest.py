@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from vecloom.operators.embed import Embedder, embed_texts
-from vecloom.operators.store import VectorTable, newest
+from vecloom.operators.store import VectorTable, one_per_id
 
 
 def add_stream(
@@ -24,12 +24,14 @@ def add_stream(
     A batch is known by the stream's checkpoint folder and the micro-batch's number. A
     micro-batch that is run again after a failure replaces its own rows and no others;
     other streams, and batches added before or meanwhile, keep theirs. ``order`` ranks
-    repeats of an id within one micro-batch; they are settled before anything is embedded.
+    repeats of an id within one micro-batch; they are settled before anything is embedded, and
+    texts are moved for it only if some id does repeat.
     """
 
     def add(rows: DataFrame, epoch: int) -> None:
-        vectors = embed_texts(newest(rows, order), make, keep=("paragraph_id", "article_id", "article_title"))
-        store.add_batch(vectors, writer=checkpoint, epoch=epoch)
+        rows = one_per_id(rows, order)
+        vectors = embed_texts(rows, make, keep=("paragraph_id", "article_id", "article_title"))
+        store.add_batch(vectors, writer=checkpoint, epoch=epoch, distinct=True)
 
     return (
         paragraphs.writeStream.foreachBatch(add)
