@@ -852,13 +852,17 @@ def j1_stream_into_batches(spark, sf):
 
 
 def j1_two_streams(spark, sf):
-    """Two streams add to one store at the same time, a file of their own after another."""
+    """Two streams add to one store at the same time, a third of the files after another."""
     target = _stored(spark, sf)
+    texts = settled(paragraphs(spark, sf), "paragraphs")
+    # No task gets a whole third: each is as many files as the scan has tasks.
+    arriving, files = run_dir(spark, "arriving"), texts.rdd.getNumPartitions()
+    for part in range(3):
+        third = texts.where(F.pmod(F.xxhash64("paragraph_id"), F.lit(3)) == part)
+        third.write.mode("append").parquet(arriving)
     running = []
     for name in ("one", "two"):
-        arriving = run_dir(spark, "arriving")
-        paragraphs(spark, sf).repartition(3, "paragraph_id").write.parquet(arriving)
-        stream = spark.readStream.schema(src.PARAGRAPH_SCHEMA).option("maxFilesPerTrigger", 1).parquet(arriving)
+        stream = spark.readStream.schema(src.PARAGRAPH_SCHEMA).option("maxFilesPerTrigger", files).parquet(arriving)
         stream = stream.withColumn("paragraph_id", F.concat(F.lit(f"{name} "), "paragraph_id"))
         running.append(add_stream(stream, target, HASHING, run_dir(spark, "progress")))
     for query in running:

@@ -461,3 +461,11 @@ def test_stream_of_distinct_ids_moves_no_vectors(spark, monkeypatch):
     stream = spark.readStream.schema(PARAGRAPH_SCHEMA).parquet(arriving)
     add_stream(stream, target, HashingEmbedder, run_dir(spark, "progress")).awaitTermination()
     assert target.vectors().count() == 9
+
+
+def test_arriving_files_are_not_gathered_in_a_few_tasks(spark, sf, monkeypatch):
+    frame = type(spark.range(0))
+    real, dealt = frame.repartition, []
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *by: (dealt.append(n), real(self, n, *by))[1])
+    queries.j1_two_streams(spark, sf)
+    assert 3 not in dealt
