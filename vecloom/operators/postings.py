@@ -131,7 +131,7 @@ def share_read(queries: DataFrame, path: str, probes: int) -> DataFrame:
     return read.select(
         F.lit(probes).alias("probes"),
         "n_candidates",
-        F.lit(whole.n_rows).alias("n_rows"),
+        F.lit(whole.n_rows).cast("bigint").alias("n_rows"),
         "n_blocks_read",
-        F.lit(whole.n_blocks).alias("n_blocks"),
+        F.lit(whole.n_blocks).cast("bigint").alias("n_blocks"),
     )
