@@ -115,3 +115,36 @@ def test_bad_packed_vectors(bad):
 def test_bad_vectors(bad):
     with pytest.raises(ValueError, match="vector"):
         to_matrix(pa.array(bad, pa.list_(pa.float32())))
+
+
+@pytest.mark.parametrize("by_cell", (False, True))
+def test_later_blocks_are_looked_at_in_chunks(monkeypatch, by_cell):
+    """Once every query has its rows, only chunks with a high score are looked at, whatever
+    the sizes of blocks and query groups; a block that beats all before it is scored in full."""
+    rng = np.random.default_rng(7)
+    queries = np.abs(rng.normal(size=(2100, 12))).astype("float32")
+    vectors = rng.normal(size=(3000, 12)).astype("float32")
+    vectors[2500:2800] = np.abs(vectors[2500:2800]) * 9
+    vectors[1600] = vectors[44] = vectors[1999]
+    blocks = np.split(vectors, [1500, 1911, 1912, 2500])
+    ids = [f"id{n}" for n in rng.permutation(len(vectors))]
+    row_cells, probed = rng.integers(0, 3, size=(3000, 1)), [np.array([n % 3, 1]) for n in range(2100)]
+
+    def parts(start, count):
+        return parts_by_cell(row_cells[start : start + count], queries_by_cell(probed))
+
+    in_full = []
+    whole = BestRows._in_tiles
+
+    def noted(self, queries, block, *rest):
+        in_full.append(len(block))
+        return whole(self, queries, block, *rest)
+
+    monkeypatch.setattr(BestRows, "_in_tiles", noted)
+    allowed = [np.isin(row_cells[:, 0], probed[q % 3]) for q in range(3)]
+    got = run(queries, blocks, ids, 4, parts=parts if by_cell else None)
+    want = expected(queries, vectors, ids, 4, allowed=[allowed[q % 3] for q in range(2100)] if by_cell else None)
+    assert [(q, i) for q, i, _ in got] == [(q, i) for q, i, _ in want]
+    if not by_cell:
+        # The first block of both groups of queries, and the one with the long vectors.
+        assert set(in_full) == {1500, 500}
