@@ -148,3 +148,42 @@ def test_later_blocks_are_looked_at_in_chunks(monkeypatch, by_cell):
     if not by_cell:
         # The first block of both groups of queries, and the one with the long vectors.
         assert set(in_full) == {1500, 500}
+
+
+@pytest.mark.parametrize("metric", ("ip", "cosine"))
+def test_leaves_spare_scores(monkeypatch, metric):
+    """Rows that cannot come up to a query's floor by their main axes are not scored, and the
+    rows found are those of brute force: with copies, zero vectors and rows that beat all before."""
+    rng = np.random.default_rng(11)
+    spread = 0.3 ** np.arange(24)
+    vectors = (rng.normal(size=(5000, 24)) * spread).astype("float32")
+    vectors[3000:3060], vectors[300], vectors[4001:4200] = vectors[17], 0, vectors[4000]
+    queries = np.vstack([vectors[rng.permutation(5000)[:300]], np.zeros((2, 24), "float32")])
+    vectors[4700:] *= 30
+    monkeypatch.setattr("vecloom.operators.kernel.FIRST_ROWS", 500)
+    monkeypatch.setattr("vecloom.operators.kernel.ROW_TILE", 1000)
+    monkeypatch.setattr("vecloom.operators.kernel.LEAF_ROWS", 32)
+    scored = []
+    room = BestRows._room
+    monkeypatch.setattr(BestRows, "_room", lambda self, shape, kind: (scored.append(shape[0] * shape[1]), room(self, shape, kind))[1])
+    ids = [f"id{n}" for n in rng.permutation(len(vectors))]
+    got = run(queries, np.split(vectors, [3003]), ids, 5, metric)
+    want = expected(queries, vectors, ids, 5, metric)
+    assert [(q, i) for q, i, _ in got] == [(q, i) for q, i, _ in want]
+    assert sum(scored) < 0.8 * len(queries) * len(vectors)
+
+
+@pytest.mark.parametrize("scale", (1e-25, 1.0, 3e13))
+def test_leaves_of_any_length(monkeypatch, scale):
+    """Bounds hold for very short and very long vectors, and where leaves spare nothing."""
+    rng = np.random.default_rng(5)
+    queries = rng.normal(size=(60, 20)).astype("float32")
+    spread = np.r_[np.ones(6), np.full(14, 0.01)]
+    vectors = (rng.normal(size=(3000, 20)) * spread * scale).astype("float32")
+    monkeypatch.setattr("vecloom.operators.kernel.FIRST_ROWS", 200)
+    monkeypatch.setattr("vecloom.operators.kernel.ROW_TILE", 500)
+    monkeypatch.setattr("vecloom.operators.kernel.LEAF_ROWS", 16)
+    monkeypatch.setattr("vecloom.operators.kernel.SPARED", -1)
+    ids = list(rng.permutation(len(vectors)))
+    got = run(queries, np.split(vectors, [1600]), ids, 3)
+    assert [(q, i) for q, i, _ in got] == [(q, i) for q, i, _ in expected(queries, vectors, ids, 3)]
