@@ -187,3 +187,20 @@ def test_leaves_of_any_length(monkeypatch, scale):
     ids = list(rng.permutation(len(vectors)))
     got = run(queries, np.split(vectors, [1600]), ids, 3)
     assert [(q, i) for q, i, _ in got] == [(q, i) for q, i, _ in expected(queries, vectors, ids, 3)]
+
+
+def test_each_query_keeps_what_it_wants():
+    """Queries that want fewer rows than others keep only these, copies included."""
+    rng = np.random.default_rng(3)
+    queries, vectors = rng.normal(size=(90, 12)).astype("float32"), rng.normal(size=(7000, 12)).astype("float32")
+    vectors[6000:6100] = vectors[5]
+    wanted = rng.integers(1, 21, size=90)
+    ids = [f"id{n}" for n in rng.permutation(len(vectors))]
+    best = BestRows(queries, 20, wanted=wanted)
+    for start in range(0, 7000, 3500):
+        best.offer(pa.table({"id": ids[start : start + 3500]}), vectors[start : start + 3500])
+    table = best.table()
+    assert table.num_rows == best.count() == wanted.sum()
+    got = zip(*(table.column(c).to_pylist() for c in ("query", "id", "score")))
+    want = [row for q in range(90) for row in expected(queries[q : q + 1], vectors, ids, int(wanted[q]))]
+    assert [i for _, i, _ in sorted(got, key=lambda r: (r[0], -r[2], r[1]))] == [i for _, i, _ in want]

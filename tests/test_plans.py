@@ -469,3 +469,23 @@ def test_arriving_files_are_not_gathered_in_a_few_tasks(spark, sf, monkeypatch):
     monkeypatch.setattr(frame, "repartition", lambda self, n, *by: (dealt.append(n), real(self, n, *by))[1])
     queries.j1_two_streams(spark, sf)
     assert 3 not in dealt
+
+
+@pytest.mark.parametrize("blocks", (1, 3))
+def test_requests_are_searched_for_their_own_count(spark, texts, corpus, monkeypatch, blocks):
+    """A search hands over no more rows than its request wants, and the answers are those that
+    each request gets alone."""
+    rows = [("a", "quick cat", 2), ("b", "spark data", 1), ("c", "dog", 3), ("d", "a cat", 5)]
+    alone = []
+    for row in rows:
+        answers, _ = requests.text_search(asked(spark, [row]), corpus, texts, HashingEmbedder)
+        alone += [(r.query_id, r.rank, r.doc_id, r.score) for r in answers.collect()]
+    found = []
+    search = requests.exact_top_k
+    monkeypatch.setattr(requests, "exact_top_k", lambda *a, **b: (found.append(search(*a, **b)), found[0])[1])
+    monkeypatch.setattr("vecloom.operators.search.block_count", lambda *size: blocks)
+    together, _ = requests.text_search(asked(spark, rows), corpus.coalesce(1), texts, HashingEmbedder)
+    assert sorted((r.query_id, r.rank, r.doc_id, r.score) for r in together.collect()) == sorted(alone)
+    if blocks == 1:
+        # One task scanned the corpus.
+        assert found[0].count() == 2 + 1 + 3 + 5
