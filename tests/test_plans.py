@@ -463,6 +463,58 @@ def test_stream_of_distinct_ids_moves_no_vectors(spark, monkeypatch):
     assert target.vectors().count() == 9
 
 
+def _streamed(spark, target, rows):
+    """Adds the rows as a stream of one micro-batch."""
+    arriving = run_dir(spark, "arriving")
+    spark.createDataFrame(rows, PARAGRAPH_SCHEMA).write.parquet(arriving)
+    stream = spark.readStream.schema(PARAGRAPH_SCHEMA).parquet(arriving)
+    add_stream(stream, target, HashingEmbedder, run_dir(spark, "progress")).awaitTermination()
+
+
+def _kept(spark):
+    return spark.sparkContext._jsc.getPersistentRDDs().size()
+
+
+def test_streams_at_the_same_time_compare_ids_that_were_read_once(spark, monkeypatch):
+    """What a micro-batch replaces, and what another writer's batch shares with it, is found
+    without its own folder being read; repeats and nulls are as they were."""
+    target = VectorTable.create(vector_frame(spark, unit_vectors(3, 64), title="old {}"), run_dir(spark, "store"), 2)
+    rows = [("p0", 0, "new", "a b"), ("p1", 0, "new", None), ("s", 9, "new", "e"), ("n0", 7, None, "c"), ("n0", 7, None, "d")]
+    read, write, before, busy = [], VectorTable._write, _kept(spark), []
+    files = VectorTable._files
+
+    def meanwhile(self, vectors, number, compact=True):
+        if self is target and not busy:
+            busy.append(number)
+            kind = vectors.select("paragraph_id", "article_id", "article_title", "embedding").schema
+            other = spark.createDataFrame([(i, n, "other", [1.0] * 64) for i, n in (("s", 9), ("p2", 1))], kind)
+            VectorTable.load(spark, target.path).add_batch(other, writer="other")
+        write(self, vectors, number, compact)
+
+    def noted(self, writes):
+        writes = list(writes)
+        if self is target:
+            read.extend(writes)
+        return files(self, writes)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(VectorTable, "_write", meanwhile)
+        patch.setattr(VectorTable, "_files", noted)
+        _streamed(spark, target, rows)
+    assert busy and busy[0] not in read and set(read) == {0, 2}
+    assert _kept(spark) == before
+    titles = {r.paragraph_id: r.article_title for r in target.vectors().collect()}
+    assert titles == {"p0": "new", "p1": "new", "p2": "other", "n0": None, "s": "new"}
+    assert target.vectors().count() == 5
+    streamed = target.vectors().where("article_title = 'new' OR article_id = 7")
+    made = {r.paragraph_id: list(r.embedding) for r in streamed.collect()}
+    texts = [("n0", "d"), ("p0", "a b"), ("p1", ""), ("s", "e")]
+    assert made == {i: HashingEmbedder().embed([t])[0].tolist() for i, t in texts}
+    with pytest.raises(Exception, match="paragraph_id is null"):
+        _streamed(spark, target, [(None, 1, "t", "x"), (None, 1, "t", "x"), ("q", 1, "t", "x")])
+    assert _kept(spark) == before and target.vectors().count() == 5
+
+
 def test_arriving_files_are_not_gathered_in_a_few_tasks(spark, sf, monkeypatch):
     frame = type(spark.range(0))
     real, dealt = frame.repartition, []

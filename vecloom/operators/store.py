@@ -150,9 +150,15 @@ def newest(rows: DataFrame, order: str | None = None) -> DataFrame:
     )
 
 
-def one_per_id(rows: DataFrame, order: str | None = None) -> DataFrame:
-    """:func:`newest`, but vectors are only moved if some id does repeat."""
-    ids = rows.groupBy("paragraph_id").agg(F.count(F.lit(1)).alias("n"))
+def counted_ids(rows: DataFrame) -> DataFrame:
+    """``(paragraph_id, n)``: each id and the number of its rows."""
+    return rows.groupBy("paragraph_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def one_per_id(rows: DataFrame, order: str | None = None, ids: DataFrame | None = None) -> DataFrame:
+    """:func:`newest`, but vectors are only moved if some id does repeat. ``ids``: the rows'
+    :func:`counted_ids`, from a caller who needs them again."""
+    ids = counted_ids(rows) if ids is None else ids
     return rows if ids.where("n > 1").isEmpty() else newest(rows, order)
 
 
@@ -216,13 +222,14 @@ class VectorTable:
         rows = self._spark.read.schema(STORED_SCHEMA).option("basePath", f"{self.path}/embeddings")
         return rows.parquet(*paths) if paths else self._spark.createDataFrame([], STORED_SCHEMA)
 
-    def _hide(self, write: int, batches: list[dict], place: float) -> dict[int, bool]:
+    def _hide(self, write: int, batches: list[dict], place: float, ids: DataFrame | None = None) -> dict[int, bool]:
         """Note the ids that the new folder and these batches share: hidden in the batch that
-        comes first. Returns the folders in which something is hidden."""
+        comes first. Returns the folders in which something is hidden. ``ids``: the folder's
+        ids, which are read from it otherwise."""
         if not batches:
             return {}
         later = [b["write"] for b in batches if b["place"] > place]
-        mine = self._files([write]).select("paragraph_id")
+        mine = (self._files([write]) if ids is None else ids).select("paragraph_id")
         others = self._files(b["write"] for b in batches).select("paragraph_id", "batch_no")
         of = F.when(F.col("batch_no").isin(later), F.lit(write)).otherwise(F.col("batch_no")).alias("of")
         shared = others.join(mine, "paragraph_id").select("paragraph_id", of).distinct()
@@ -239,11 +246,13 @@ class VectorTable:
         epoch: int | None = None,
         number: int | None = None,
         instead: tuple[dict, list[int]] | None = None,
+        ids: DataFrame | None = None,
     ) -> VectorTable:
         """Make a written folder the store's newest batch, or put it in the place of the batch
         that the writer wrote for this number or epoch before. ``instead``: a state of the
         store and the shards of its batches that the folder replaces; it comes right after
-        them, before batches that were added meanwhile."""
+        them, before batches that were added meanwhile. ``ids``: the folder's distinct ids, if
+        the caller has them."""
         if self.dim is None:
             row = self._files([write]).select(dims("embedding").alias("dim")).first()
             self.dim = row.dim if row else None
@@ -261,7 +270,7 @@ class VectorTable:
             if instead:
                 place = instead[0]["version"] + 0.5
             fresh = [b for b in batches if b["write"] not in compared]
-            touched |= self._hide(write, fresh, place).keys()
+            touched |= self._hide(write, fresh, place, ids).keys()
             compared |= {b["write"] for b in fresh}
             hidden = [
                 {**b, "by": [w for w in b["by"] if w not in gone] + [write] * (b["write"] in touched)} for b in batches
@@ -335,11 +344,12 @@ class VectorTable:
         order: str | None = None,
         writer: str = "",
         epoch: int | None = None,
-        distinct: bool = False,
+        ids: DataFrame | None = None,
     ) -> VectorTable:
         """Add rows; an id already stored is replaced. ``order`` names a column that
-        ranks repeats of an id within the batch; a caller who has settled them says that the
-        ids are ``distinct``, and no vector is moved to compare them.
+        ranks repeats of an id within the batch; a caller who has settled them gives the
+        distinct ``ids``, and no vector is moved to compare them, nor is the batch read again
+        for its ids.
 
         ``writer`` and ``epoch`` name a batch for a writer that may run it again, such as a
         stream: the batch it wrote for that epoch is replaced, wherever it stands. A number that
@@ -348,8 +358,8 @@ class VectorTable:
         state = self.state()
         old = self._own(state, writer, epoch, batch_no) if epoch is not None or batch_no is not None else []
         write = self.log.claim(max((b["write"] for b in state["batches"]), default=-1) + 1)
-        self._write(checked(batch if distinct else newest(batch, order), self.dim), write)
-        self.commit(write, writer, epoch, old[0]["number"] if old else batch_no)
+        self._write(checked(newest(batch, order) if ids is None else batch, self.dim), write)
+        self.commit(write, writer, epoch, old[0]["number"] if old else batch_no, ids=ids)
         return self.merge_small()
 
     def replace_shards(self, vectors: DataFrame, shards: Iterable[int], writer: str = "") -> VectorTable:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from vecloom.operators.embed import Embedder, embed_texts
-from vecloom.operators.store import VectorTable, one_per_id
+from vecloom.operators.store import VectorTable, counted_ids, one_per_id
 
 
 def add_stream(
@@ -25,13 +26,18 @@ def add_stream(
     micro-batch that is run again after a failure replaces its own rows and no others;
     other streams, and batches added before or meanwhile, keep theirs. ``order`` ranks
     repeats of an id within one micro-batch; they are settled before anything is embedded, and
-    texts are moved for it only if some id does repeat.
+    texts are moved for it only if some id does repeat. The ids that this takes stay on the
+    executors' disks, dealt by id, until they are compared with those of the store's batches.
     """
 
     def add(rows: DataFrame, epoch: int) -> None:
-        rows = one_per_id(rows, order)
-        vectors = embed_texts(rows, make, keep=("paragraph_id", "article_id", "article_title"))
-        store.add_batch(vectors, writer=checkpoint, epoch=epoch, distinct=True)
+        ids = counted_ids(rows).persist(StorageLevel.DISK_ONLY)
+        try:
+            rows = one_per_id(rows, order, ids)
+            vectors = embed_texts(rows, make, keep=("paragraph_id", "article_id", "article_title"))
+            store.add_batch(vectors, writer=checkpoint, epoch=epoch, ids=ids)
+        finally:
+            ids.unpersist()
 
     return (
         paragraphs.writeStream.foreachBatch(add)
