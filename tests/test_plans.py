@@ -515,6 +515,22 @@ def test_streams_at_the_same_time_compare_ids_that_were_read_once(spark, monkeyp
     assert _kept(spark) == before and target.vectors().count() == 5
 
 
+def test_streams_into_batches_read_a_folder_for_later_ones_only(spark, sf, monkeypatch):
+    """Of two streams into a store of two batches the first one's folder is read for the second
+    one's comparison and for the result, the second one's for the result alone."""
+    files, read = VectorTable._files, []
+
+    def noted(self, writes):
+        writes = list(writes)
+        read.append(writes)
+        return files(self, writes)
+
+    monkeypatch.setattr(VectorTable, "_files", noted)
+    rows = queries.j1_stream_into_batches(spark, sf)
+    assert [sum(n in writes for writes in read) for n in (2, 3)] == [2, 1]
+    assert rows.count() == rows.select("paragraph_id").distinct().count()
+
+
 def test_arriving_files_are_not_gathered_in_a_few_tasks(spark, sf, monkeypatch):
     frame = type(spark.range(0))
     real, dealt = frame.repartition, []
