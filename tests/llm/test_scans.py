@@ -245,6 +245,47 @@ def test_what_cannot_reach_the_cutoff_is_not_scored(monkeypatch):
     assert sum(scored) < 0.1 * topk.PARTS * n * len(block.ids)
 
 
+@pytest.mark.parametrize("same", [0, 300])
+def test_few_of_the_entries_are_sorted(monkeypatch, same):
+    """Of the entries scored in phase 1 only those that enter a query's best k are sorted, and
+    the best k are those of a sort of all: equal ones in the order of the list. ``same`` rows
+    are one vector, and ids repeat."""
+    monkeypatch.setattr(topk, "ROWS_AT_ONCE", 256)
+    rng = np.random.default_rng(7)
+    n, dims, k = 1500, 6, 5
+    matrix = rng.standard_normal((n, dims)).round(1)
+    matrix[:same] = matrix[same]
+    lists, raw = sorted_lists([(i % 1400, v.tolist()) for i, v in enumerate(matrix)])
+    block = topk.Block([(i, raw[i]) for i in range(0, n, 20)], 64.0)
+    ordered, scored = [], []
+    for name in ("argsort", "lexsort"):
+        real = getattr(np, name)
+        monkeypatch.setattr(np, name, lambda x, *a, real=real, **b: (ordered.append(np.shape(x)), real(x, *a, **b))[1])
+    got = pa.Table.from_batches(topk.local_lists(block, k, scored)(lists)).to_pandas()
+    monkeypatch.undo()
+    assert sum(int(np.prod(x)) for x in ordered) < (0.5 + bool(same)) * sum(scored)
+    wanted = []
+    for part, (low, high) in enumerate(topk.slices(dims)):
+        whole = np.floor(64 * matrix)
+        entry = whole[::20, low:high] @ whole[:, low:high].T
+        entry[block.ids[:, None] == np.arange(n)[None, :] % 1400] = -np.inf
+        listed = [r for b in lists for p, r in zip(b["part"].to_pylist(), b["row"].to_pylist()) if p == part]
+        for q, found in enumerate(entry[:, listed]):
+            best = np.argsort(-found, kind="stable")[:k]
+            wanted += [(q, listed[r], found[r]) for r in best]
+    assert sorted(zip(got["query"], got["row"], got["entry"], strict=True)) == sorted(wanted)
+
+
+def test_partial_scores_beyond_whole_numbers_are_no_less():
+    big = np.array([[2.0**40, 3.0], [2.0**600, 1.0], [1e200, -1e200]])
+    rows = np.array([[2.0**40, 5.0], [1e200, 1e200]])
+    exact = [[sum(int(a) * int(b) for a, b in zip(x, y, strict=True)) for y in rows] for x in big]
+    got = topk._partial(big, rows)
+    assert all(np.isinf(g) or int(g) >= e for gs, es in zip(got, exact, strict=True) for g, e in zip(gs, es, strict=True))
+    small = np.array([[3.0, -4.0]])
+    assert topk._partial(small, rows[:1] / 2.0**30).tolist() == [[3.0 * 2.0**10 - 20 / 2.0**30]]
+
+
 def test_top_scores_of_huge_numbers(spark):
     rows = [(i, [float(2**24 + i), -1.0 * 2**23 + i, 3.0]) for i in range(30)]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
