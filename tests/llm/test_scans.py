@@ -276,6 +276,34 @@ def test_few_of_the_entries_are_sorted(monkeypatch, same):
     assert sorted(zip(got["query"], got["row"], got["entry"], strict=True)) == sorted(wanted)
 
 
+def test_candidates_are_resolved_where_they_are_found(spark, monkeypatch):
+    """Phase 1 gives each entry's whole score, so no vector is looked up or moved for it; with
+    repeated rows, nulls, and an id whose vectors differ, or differ by less than a component."""
+    rng = np.random.default_rng(11)
+    matrix = rng.standard_normal((90, 5)).round(1)
+    lists, raw = sorted_lists([(i, v.tolist()) for i, v in enumerate(matrix)])
+    monkeypatch.setattr(topk, "VALUES_AT_ONCE", 64)
+    block = topk.Block([(i, raw[i]) for i in range(0, 90, 20)], 64.0)
+    found = pa.Table.from_batches(topk.local_lists(block, 4)(lists)).to_pandas()
+    whole = np.floor(64 * matrix)
+    assert (found["query_id"] == block.ids[found["query"]]).all()
+    assert found["score"].tolist() == (whole[found["query_id"]] * whole[found["row"]]).sum(1).tolist()
+
+    rows = [(i + 1, v.tolist()) for i, v in enumerate(matrix)]
+    rows += [rows[19], rows[4], rows[4], (None, [1.0] * 5), (100, None)]
+    twins = [(40, rows[59][1]), (20, [x + 1e-6 for x in rows[19][1]])]
+    frame = spark.createDataFrame(rows + twins, "vec_id bigint, embedding array<double>").repartition(3)
+    monkeypatch.setattr(type(frame), "join", lambda *_: pytest.fail("vectors are looked up"))
+    got = topk.top_k(frame, F.col("vec_id") % 20 == 0, k=6).select("query_id", "rank", "vec_id", "score")
+    got = sorted(tuple(r) for r in got.collect())
+    places = [(n, i, np.floor(64 * np.array(v))) for n, (i, v) in enumerate(rows + twins) if i is not None and v]
+    for query in (20, 40, 60, 80):
+        asked = [v for _, i, v in places if i == query]
+        scores = {(-int(v @ w), i, n) for v in asked for n, i, w in places if i != query}
+        wanted = [(query, rank + 1, i, -s) for rank, (s, i, _) in enumerate(sorted(scores)[:6])]
+        assert [r for r in got if r[0] == query] == wanted
+
+
 def test_partial_scores_beyond_whole_numbers_are_no_less():
     big = np.array([[2.0**40, 3.0], [2.0**600, 1.0], [1e200, -1e200]])
     rows = np.array([[2.0**40, 5.0], [1e200, 1e200]])

op4_threshold_topk: candidates of phase 1 are resolved where they are found, of all tasks, not looked up by a join

Symptom: for every block of queries all vectors were scanned and shuffled to resolve 2k candidates a query, and the cutoff of so few was low, so phase 2 resolved and sent many rows that cannot be among the best.
Evidence: the profiler at 0.02 GB before this step: 1423 CPU seconds a GB (JVM 413, Python 971), 57 MB shuffled, 774378 rows read; of one block, 350 thousand rows reach the cutoff for 26 thousand wanted; for a query's true k-th best of 1734, 1750, 1650 the cutoff was 1379, 1335, 1241.
Fix: an entry has its vector with it, so the whole score of every entry that enters a task's best k is taken there, and the cutoff is the k-th best of all tasks' candidates (1709, 1686, 1556 for these queries); no join, no vector shuffled; products are taken in pieces of 2 MB.
Effect, together with 2 more commits on this code: at 0.6 GB of input CPU 236 -> 189 s, shuffle 0.10 -> 0.03 GB, spill 0.00 -> 0.00 GB, read 0.21 -> 0.17 GB, longest task 4 -> 4 s, most memory of a task 105 -> 174 MB; at 6 GB of input CPU 5808 -> 1757 s, shuffle 5.15 -> 0.41 GB, spill 0.00 -> 0.00 GB, read 12.94 -> 9.10 GB, longest task 17 -> 6 s, most memory of a task 105 -> 178 MB; with hot keys, at 0.6 GB of input CPU 215 -> 151 s, shuffle 0.09 -> 0.03 GB, spill 0.00 -> 0.00 GB, read 0.18 -> 0.15 GB, longest task 4 -> 3 s, most memory of a task 105 -> 174 MB.

@@ -5,14 +5,14 @@ of its own, and the lists are sorted by the length of the slice in every task: n
 some place on can have more than that length times the query's.
 
 1. Every task takes its best k entries of each list, as far down as the lengths allow more.
-   The candidates' whole scores are resolved; the k-th best of them is a cutoff that k rows
-   surely reach.
+   An entry has its whole vector with it, so the candidates' whole scores are resolved where
+   they are found; the k-th best of all tasks' candidates is a cutoff that k rows surely reach.
 2. The cutoffs of a query block are broadcast. A row that reaches a cutoff has an entry of at
    least cutoff / PARTS in some list, so each list is read down to where its lengths fall
    below that, and only entries from there on are collected, if what the other slices can add
    may still reach the cutoff.
-3. An entry has its whole vector with it, so the missing part of a sufficient entry's score is
-   resolved where it was found, exactly; rows that reach the cutoff are merged.
+3. The missing part of a sufficient entry's score is resolved where it was found, exactly; rows
+   that reach the cutoff are merged.
 
 Queries come in blocks of about BLOCK_QUERIES, whatever their number; a block is what is
 broadcast (its vectors and cutoffs). No list is shuffled for it, only candidates are. Per query
@@ -45,13 +45,13 @@ PARTS = 2
 BLOCK_QUERIES = 2048
 MERGE_BUCKETS = 32
 ROWS_AT_ONCE = 1024
-PAIRS_AT_ONCE = 1 << 17
+# Of either side of the pairs whose products are taken at once: 2 MB, which fits the cache.
+VALUES_AT_ONCE = 1 << 18
 LONG = 2**63 - 1
-SCHEMA = "query_id bigint, vec_id bigint, score bigint"
 REACHED = "query_id bigint, row bigint, vec_id bigint, score bigint"
 # A query is its place in the block here.
-NAMES = ["query", "row", "entry"]
-FOUND = "query bigint, row bigint, entry double"
+NAMES = ["query", "row", "entry", "query_id", "score"]
+FOUND = "query bigint, row bigint, entry double, query_id bigint, score bigint"
 ENTRY = "part int, dims int, length double, rest double, row bigint, vec_id bigint, whole binary"
 
 
@@ -149,30 +149,37 @@ def _own(asked: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return query, some[place]
 
 
-def _merge(score: np.ndarray, rows: np.ndarray, live: np.ndarray, found: np.ndarray, row: np.ndarray) -> None:
+def _merge(best: tuple[np.ndarray, ...], live: np.ndarray, found: np.ndarray, row: np.ndarray) -> tuple:
     """Put the entries ``found`` by the ``live`` queries among the best k they hold: the larger
     first, of equal ones those that were held, then in the order of the list. Only what is
-    larger than a query's k-th best is sorted."""
-    k = score.shape[1]
-    enter = found > score[live, -1:]
+    larger than a query's k-th best is sorted. Returns the query, its place and the row of each
+    that came in, for its whole score."""
+    entry, rows, score = best
+    k = entry.shape[1]
+    enter = found > entry[live, -1:]
     many = np.flatnonzero(np.count_nonzero(enter, axis=1) > k)
     if len(many):
         least = np.partition(found[many], -k, axis=1)[:, -k]
         enter[many] &= found[many] >= least[:, None]
-    query, place = np.nonzero(enter)
+    query, new = np.nonzero(enter)
     changed = np.unique(query)
     at = live[changed]
     whose = np.concatenate([np.repeat(changed, k), query])
-    both = np.concatenate([score[at].ravel(), found[query, place]])
-    names = np.concatenate([rows[at].ravel(), row[place]])
+    both = np.concatenate([entry[at].ravel(), found[query, new]])
+    names = np.concatenate([rows[at].ravel(), row[new]])
+    whole = np.concatenate([score[at].ravel(), np.zeros_like(new)])
+    came = np.concatenate([np.full(at.size * k, -1), new])
     order = np.lexsort((-both, whose))
     first = np.searchsorted(whose[order], changed)
-    best = order[first[:, None] + np.arange(k)]
-    score[at], rows[at] = both[best], names[best]
+    order = order[first[:, None] + np.arange(k)]
+    entry[at], rows[at], score[at], came = both[order], names[order], whole[order], came[order]
+    query, place = np.nonzero(came >= 0)
+    return at[query], place, came[query, place]
 
 
 def local_lists(block: Block, k: int, scored: list | None = None) -> Callable:
-    """Phase 1, a mapInArrow function: the best k entries a task has of each list."""
+    """Phase 1, a mapInArrow function: the best k entries a task has of each list, with the whole
+    scores of their rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict = {}
@@ -182,10 +189,11 @@ def local_lists(block: Block, k: int, scored: list | None = None) -> Callable:
                 continue
             at, queries, reach, _ = held
             if (part, dims) not in best:
-                best[part, dims] = (np.full((len(at), k), -np.inf), np.full((len(at), k), -1))
-            score, rows = best[part, dims]
+                size = (len(at), k)
+                best[part, dims] = np.full(size, -np.inf), np.full(size, -1), np.zeros(size, np.int64)
+            entry, _, score = best[part, dims]
             with np.errstate(over="ignore", invalid="ignore"):
-                live = np.flatnonzero(~(reach * length.max() <= score[:, -1]))
+                live = np.flatnonzero(~(reach * length.max() <= entry[:, -1]))
             if not len(live):
                 continue
             if scored is not None:
@@ -193,11 +201,13 @@ def local_lists(block: Block, k: int, scored: list | None = None) -> Callable:
             low, high = slices(dims)[part]
             found = _partial(queries[live], matrix[:, low:high])
             found[_own(block.ids[at[live]], ids)] = -np.inf
-            _merge(score, rows, live, found, row)
-        for (_, dims), (score, rows) in best.items():
-            q, place = np.nonzero(score > -np.inf)
-            arrays = [pa.array(block.groups[dims][0][q]), pa.array(rows[q, place]), pa.array(score[q, place])]
-            yield pa.RecordBatch.from_arrays(arrays, NAMES)
+            query, place, new = _merge(best[part, dims], live, found, row)
+            score[query, place] = whole_scores(block, dims, query, matrix, new)
+        for (_, dims), (entry, rows, score) in best.items():
+            q, place = np.nonzero(entry > -np.inf)
+            query = block.groups[dims][0][q]
+            arrays = [query, rows[q, place], entry[q, place], block.ids[query], score[q, place]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], NAMES)
 
     return run
 
@@ -221,9 +231,7 @@ def sufficient(block: Block, cutoffs: np.ndarray, scored: list | None = None) ->
                 scored.append(len(live) * len(row))
             low, high = slices(dims)[part]
             found = _partial(queries[live], matrix[:, low:high])
-            entries = np.nonzero(found >= least[live][:, None])
-            pieces = len(entries[0]) // PAIRS_AT_ONCE + 1
-            for q, r in zip(*(np.array_split(x, pieces) for x in entries), strict=True):
+            for q, r in _pieces(dims, *np.nonzero(found >= least[live][:, None])):
                 cutoff = cutoffs[at[live[q]]]
                 with np.errstate(over="ignore", invalid="ignore"):
                     short = found[q, r] + beyond[live[q]] * rest[r] < cutoff
@@ -232,6 +240,8 @@ def sufficient(block: Block, cutoffs: np.ndarray, scored: list | None = None) ->
                 score = _products(block.groups[dims][1][live[q]], matrix[r])
                 reached = (score >= cutoff).astype(bool)
                 q, r = q[reached], r[reached]
+                if not len(q):
+                    continue
                 arrays = [block.ids[at[live[q]]], row[r], ids[r], _longs(score[reached])]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["query_id", "row", "vec_id", "score"])
 
@@ -247,23 +257,17 @@ def _products(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", one, other)
 
 
-def whole_scores(block: Block, scale: float) -> Callable:
-    """A mapInArrow function: the exact scores of (query, vec_id, packed)."""
+def _pieces(dims: int, *pairs: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """The pairs in pieces of at most about VALUES_AT_ONCE components of either side."""
+    count = len(pairs[0]) * dims // VALUES_AT_ONCE + 1
+    return zip(*(np.array_split(x, count) for x in pairs), strict=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = np.zeros(len(block.ids), np.int64)
-        for at, _ in block.groups.values():
-            place[at] = np.arange(len(at))
-        for batch in batches:
-            asked = batch.column(0).to_numpy()
-            scores = np.zeros(len(asked), np.int64)
-            for some, matrix in by_dimension(batch.column(2).to_pylist()):
-                queries = block.groups[matrix.shape[1]][1][place[asked[some]]]
-                scores[some] = _longs(_products(queries, np.floor(scale * matrix)))
-            arrays = [pa.array(block.ids[asked]), batch.column(1), pa.array(scores)]
-            yield pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
 
-    return run
+def whole_scores(block: Block, dims: int, query: np.ndarray, matrix: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The exact scores of queries, by their places among those of the dimension, and rows of
+    the matrix."""
+    queries = block.groups[dims][1]
+    return np.concatenate([_longs(_products(queries[q], matrix[r])) for q, r in _pieces(dims, query, row)])
 
 
 def best_k(found: DataFrame, k: int, query: str = "query_id", score: str = "score", row: str = "vec_id") -> DataFrame:
@@ -298,22 +302,19 @@ def top_k(
     blocks = -(-queries.count() // block_queries)
     dealt = F.pmod(F.xxhash64("vec_id", "packed"), F.lit(max(1, blocks)))
     queries = settled(queries.withColumn("block", dealt), "queries")
-    vectors = rows.select("row", "vec_id", "packed")
-    entries = vectors.mapInArrow(_entries(scale), ENTRY).sortWithinPartitions("part", "dims", F.desc("length"))
+    entries = rows.select("row", "vec_id", "packed").mapInArrow(_entries(scale), ENTRY).sortWithinPartitions("part", "dims", F.desc("length"))
     entries = settled(entries, "lists")
     folder = run_dir(spark, "topk")
     kind = "query_id bigint, rank int, vec_id bigint, score bigint"
 
-    def resolved(found: DataFrame, block: Block) -> DataFrame:
-        pairs = found.select("query", "row").distinct().join(vectors, "row").select("query", "vec_id", "packed")
-        return best_k(pairs.mapInArrow(whole_scores(block, scale), SCHEMA), k)
-
     for number in range(blocks):
         # About block_queries rows: the block is what every task holds.
         asked_rows = queries.where(F.col("block") == number).collect()
         block = Block([(r.vec_id, bytes(r.packed)) for r in asked_rows], scale)
         listed = entries.mapInArrow(local_lists(block, k), FOUND)
-        listed = resolved(best_k(listed, PARTS * k, "query", "entry", "row"), block)
+        # A row may come from each of its lists: so many hold k rows at least.
+        listed = best_k(listed.select("query_id", "row", "score"), PARTS * k, row="row").drop("rank")
+        listed = best_k(listed.distinct(), k, row="row")
         least = {r.query_id: r.score for r in listed.where(F.col("rank") == k).select("query_id", "score").collect()}
         # float(score) may round up beyond 2^53; stay below it.
         cutoffs = [np.nextafter(float(least[i]), -np.inf) if i in least else -np.inf for i in block.ids.tolist()]
