@@ -276,6 +276,20 @@ def test_few_of_the_entries_are_sorted(monkeypatch, same):
     assert sorted(zip(got["query"], got["row"], got["entry"], strict=True)) == sorted(wanted)
 
 
+def test_vectors_are_packed_without_lists(monkeypatch):
+    """Slices of the column's numbers are packed; nulls and odd numbers as ever."""
+    real, given = vec._pack, []
+    rows = [[1.0, None], None, [], [float("nan"), 1.0], [-0.0, 2.5], [1e300, 1.0], [float("inf")], [0.1], [None], [3.0] * 4]
+    wanted = [None, None, b"f", None, real([0.0, 2.5]), real([1e300, 1.0]), None, real([0.1]), None, real([3.0] * 4)]
+    column = pa.array(rows, pa.list_(pa.float64()))
+    monkeypatch.setattr(vec, "_pack", lambda v: (given.append(v), real(v))[1])
+    assert vec._packed.func(column).to_pylist() == wanted
+    assert vec._packed.func(column.slice(3, 5)).to_pylist() == wanted[3:8]
+    assert vec._packed.func(column[:0]).to_pylist() == []
+    assert given and not any(isinstance(v, list) for v in given)
+    assert real([-0.0, 2.5])[1:5] == bytes(4)
+
+
 def test_candidates_are_resolved_where_they_are_found(spark, monkeypatch):
     """Phase 1 gives each entry's whole score, so no vector is looked up or moved for it; with
     repeated rows, nulls, and an id whose vectors differ, or differ by less than a component."""

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 
-def _pack(vector: list | None) -> bytes | None:
-    if vector is None or None in vector:
+def _pack(vector: list | np.ndarray | None) -> bytes | None:
+    if vector is None or isinstance(vector, list) and None in vector:
         return None
-    values = np.array(vector, np.float64) + 0.0  # no negative zero
+    values = np.asarray(vector, np.float64) + 0.0  # no negative zero
     if not np.isfinite(values).all():
         return None
     small = values.astype(np.float32)
@@ -21,7 +21,10 @@ def _pack(vector: list | None) -> bytes | None:
 
 @F.arrow_udf(BinaryType())
 def _packed(vectors: pa.Array) -> pa.Array:
-    return pa.array([_pack(v) for v in vectors.to_pylist()], pa.binary())
+    # A null component is NaN here, which leaves a vector out just so.
+    values, at = vectors.values.to_numpy(zero_copy_only=False), vectors.offsets.to_numpy()
+    rows = zip(at, at[1:], vectors.is_valid().to_numpy(zero_copy_only=False), strict=False)
+    return pa.array([_pack(values[a:b]) if there else None for a, b, there in rows], pa.binary())
 
 
 def packed(vector: Column) -> Column:
